@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
@@ -76,7 +77,7 @@ def grid_table(spark: SparkSession, grid: Grid, name: str = "grid") -> DataFrame
         lat=pa.array(grid.lat, pa.float64()),
     )
     return lats.select(
-        F.lit(name).alias("grid_name"), "lat_idx", "lat", F.posexplode(F.lit(list(grid.lon))).alias("lon_idx", "lon")
+        F.lit(name).alias("grid_name"), "lat_idx", "lat", F.posexplode(F.lit(np.array(grid.lon))).alias("lon_idx", "lon")
     ).select("grid_name", cell_key(F.col("lat"), F.col("lon")).alias("cell_id"), "lat_idx", "lon_idx", "lat", "lon")
 
 
@@ -259,10 +260,10 @@ def axis_weights(spark: SparkSession, source: Grid, target: Grid, method: str =
 def nearest_cell(points: DataFrame, grid: Grid, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Add grid_lat and grid_lon: the nearest on each axis alone, ties upwards.
 
-    Binary search in the sorted axis arrays, without a join.
+    The sorted axes are array literals, so no join is needed.
     """
     def near(col: Column, axis: Sequence[float]) -> Column:
-        values = F.lit(list(axis))
+        values = F.lit(np.array(axis))
         below = F.element_at(F.filter(values, lambda v: v <= col), -1)
         above = F.get(F.filter(values, lambda v: v >= col), F.lit(0))
         return _nearest(col, below, above)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isohyet.functions.coords import axis_key, cell_key
+from isohyet.functions.coords import MICRO, axis_key, cell_key
 from isohyet.operators.grids import Grid, axis_weights, same_grid, weights_by_axis
 from isohyet.operators.sizing import fail_when
 
@@ -78,9 +79,9 @@ def to_grid(df: DataFrame, grid: Grid, values: Sequence[str], keys: Sequence[str
     """
     steps = df.select(*keys).distinct()
     skeleton = (
-        steps.withColumn("lat", F.explode(F.lit(list(grid.lat))))
+        steps.withColumn("lat", F.explode(F.lit(np.array(grid.lat))))
         .repartition(*keys, "lat")
-        .withColumn("lon", F.explode(F.lit(list(grid.lon))))
+        .withColumn("lon", F.explode(F.lit(np.array(grid.lon))))
         .withColumn("cell_id", cell_key(F.col("lat"), F.col("lon")))
         .withColumn("_on_grid", F.lit(True))
     )
@@ -101,11 +102,11 @@ def pivot_map(df: DataFrame, value: str, grid: Grid, max_columns: int = 2000) ->
     """Time mean per cell as a map: one row per lat, one column per lon."""
     if len(grid.lon) > max_columns:
         raise ValueError(f"{len(grid.lon)} longitudes; use the long form")
-    mean = df.groupBy("lat", "lon").agg(F.avg(value).alias("_mean"))
-    return mean.groupBy("lat").agg(*[
-        F.max(F.when(axis_key(F.col("lon")) == axis_key(F.lit(lon)), F.col("_mean"))).alias(lon_name(lon))
-        for lon in grid.lon
-    ])
+    keys = {round(lon * MICRO): lon_name(lon) for lon in grid.lon}
+    mean = df.groupBy("lat", axis_key(F.col("lon")).alias("_lon_key")).agg(F.avg(value).alias("_mean"))
+    return mean.groupBy("lat").pivot("_lon_key", list(keys)).agg(F.max("_mean")).withColumnsRenamed(
+        {str(k): name for k, name in keys.items()}
+    )
 
 
 def lon_name(lon: float) -> str:
