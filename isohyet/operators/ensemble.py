@@ -16,7 +16,7 @@ def ensemble_stats(df: DataFrame, values: Sequence[str] = VALUES,
                    keys: Sequence[str] = ("scenario", "year", "month", "lat", "lon")) -> DataFrame:
     """Mean and population standard deviation over models, missing values left out."""
     return df.groupBy(*keys).agg(
-        F.count_distinct("model").alias("n_models") if "model" not in df.columns else F.count(F.lit(1)).alias("n_models"),
+        F.count(F.lit(1)).alias("n_models"),
         *[F.avg(v).alias(f"{v}_mean") for v in values], *[F.stddev_pop(v).alias(f"{v}_std") for v in values],
     )
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from isohyet.constants import SAMPLE_POINTS, TEST_YEARS
@@ -267,66 +266,3 @@ def prediction_summary(df: DataFrame, values: Sequence[str] = ("pred_tas", "pred
     ])
 
 
-def classification_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5) -> DataFrame:
-    """Accuracy, precision, recall and exact ROC AUC in one row.
-
-    Precision and recall are 0 without a denominator. AUC is missing when one
-    class is absent.
-    """
-    y, p = F.col(label) == 1, F.col(score) > threshold
-    pairs = df.filter(both(F.col(label), F.col(score)))
-    counts = pairs.agg(
-        F.avg((y == p).cast("double")).alias("accuracy"),
-        F.coalesce(F.try_divide(F.count_if(y & p), F.count_if(p)), F.lit(0.0)).alias("precision"),
-        F.coalesce(F.try_divide(F.count_if(y & p), F.count_if(y)), F.lit(0.0)).alias("recall"),
-    )
-    return counts.withColumn("roc_auc", roc_auc(pairs, label, score).scalar())
-
-
-def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives per distinct score; tied rows collapse here."""
-    return df.groupBy(F.col(score).alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("n_pos"), F.count_if(F.col(label) != 1).alias("n_neg")
-    )
-
-
-def score_ranks(df: DataFrame, label: str, score: str, rows_per_range: int = 500_000) -> DataFrame:
-    """Distinct scores with the negatives below each (`neg_below`).
-
-    Beyond one range of scores, the running sum is taken inside score ranges
-    of bounded size and shifted by the totals of the ranges before.
-    """
-    counts = score_counts(df, label, score).persist()
-    n_scores = counts.count()
-    ranges = -(-n_scores // rows_per_range)
-    if ranges <= 1:
-        bucketed = counts.withColumn("bucket", F.lit(0))
-    else:
-        probabilities = [i / ranges for i in range(1, ranges)]
-        cuts = sorted(set(counts.approxQuantile("score", probabilities, 1 / (4 * ranges))))
-        bucketed = counts.withColumn("bucket", F.size(F.filter(F.lit(cuts), lambda c: c < F.col("score"))))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bucketed.groupBy("bucket").agg(F.sum("n_neg").alias("_neg")).select(
-        "bucket", F.coalesce(F.sum("_neg").over(before), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy("bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    return bucketed.withColumn("_inside", F.coalesce(F.sum("n_neg").over(inside), F.lit(0))).join(
-        F.broadcast(offsets), "bucket"  # one row per range
-    ).select("score", "n_pos", "n_neg", (F.col("_inside") + F.col("_offset")).alias("neg_below"))
-
-
-def roc_auc(df: DataFrame, label: str, score: str, rows_per_range: int = 500_000) -> DataFrame:
-    """Exact area under the ROC curve: pairs ranked right, ties counted half."""
-    ranks = score_ranks(df, label, score, rows_per_range)
-    right = F.sum(F.col("n_pos").cast("double") * (F.col("neg_below") + F.col("n_neg") / 2))
-    pairs = F.sum("n_pos").cast("double") * F.sum("n_neg")
-    return ranks.agg(F.try_divide(right, pairs).alias("roc_auc"))
-
-
-def tied_ranks(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Average rank of each distinct score over all rows, ties shared."""
-    swapped = score_counts(df, label, score).select(
-        "score", (F.col("n_pos") + F.col("n_neg")).alias("n")
-    )
-    below = score_ranks(swapped.select("score", F.col("n"), F.lit(0).alias("_label")), "_label", "score")
-    return below

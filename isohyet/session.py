@@ -34,12 +34,13 @@ def build_session(app: str = "isohyet", master: str | None = None, **conf) -> Sp
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster; a temporary one only in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        spark.sparkContext.setCheckpointDir(configured)
+        return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="isohyet-checkpoint-")
