@@ -264,7 +264,7 @@ def nearest_cell(points: DataFrame, grid: Grid, lat: str = "lat", lon: str = "lo
     """
     def near(col: Column, axis: Sequence[float]) -> Column:
         values = F.lit(np.array(axis))
-        below = F.element_at(F.filter(values, lambda v: v <= col), -1)
+        below = F.try_element_at(F.filter(values, lambda v: v <= col), F.lit(-1))
         above = F.get(F.filter(values, lambda v: v >= col), F.lit(0))
         return _nearest(col, below, above)
 

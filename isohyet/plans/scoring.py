@@ -77,6 +77,7 @@ def downscale_all(spark: SparkSession, raw: DataFrame, models: ModelSet, grid: G
     entries = [(f"{r['model']}_{r['scenario']}", "downscale", r["status"], r["error"]) for r in status.collect()]
     manifest_table.record(spark, f"{output}/manifest", entries)
     complete = status.filter(F.col("status") == "completed").select("model", "scenario")
-    rows = stored.join(complete, ["model", "scenario"], "left_semi")
+    # At most one row per requested pair, so the semi join does not shuffle a large model.
+    rows = stored.join(F.broadcast(complete), ["model", "scenario"], "left_semi")
     write_table(ensemble_of(rows), f"{output}/ensemble", ("scenario",))
     return status
