@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,15 +55,31 @@ def axis_values(df: DataFrame, keys: Sequence[str] = (), lat: str = "lat", lon:
     )
 
 
-def grid_of(df: DataFrame, lat: str = "lat", lon: str = "lon") -> Grid:
-    """The grid a cube lies on. Raises when the points are not rectilinear axes."""
-    table = axis_values(df, lat=lat, lon=lon).select("axis", "value").limit(2 * AXIS_LIMIT + 1).toArrow()
+def grids_of(df: DataFrame, key: str, lat: str = "lat", lon: str = "lon") -> dict[str, Grid]:
+    """The grid of each model (or other key) of a cube, found in one job.
+
+    Raises when the points are not rectilinear axes.
+    """
+    rows = axis_values(df, [key], lat, lon).select(key, "axis", "value")
+    table = rows.limit(2 * AXIS_LIMIT + 1).toArrow()
     if table.num_rows > 2 * AXIS_LIMIT:
-        raise ValueError("too many distinct coordinates: not a rectilinear grid")
-    axes: dict[str, list[float]] = {"lat": [], "lon": []}
-    for axis, value in zip(table["axis"].to_pylist(), table["value"].to_pylist()):
-        axes[axis].append(value)
-    return Grid(tuple(sorted(axes["lat"])), tuple(sorted(axes["lon"])))
+        raise ValueError("too many distinct coordinates: not rectilinear grids")
+    axes: dict[str, dict[str, list[float]]] = {}
+    for name, axis, value in zip(*(table[c].to_pylist() for c in (key, "axis", "value"))):
+        axes.setdefault(name, {"lat": [], "lon": []})[axis].append(value)
+    return {n: Grid(tuple(sorted(a["lat"])), tuple(sorted(a["lon"]))) for n, a in axes.items()}
+
+
+def grids_of_cubes(cubes: Mapping[str, DataFrame]) -> dict[str, Grid]:
+    """The grids of several cubes, found in one job."""
+    points = [df.select(F.lit(name).alias("_cube"), "lat", "lon") for name, df in cubes.items()]
+    return grids_of(reduce(DataFrame.unionByName, points), "_cube")
+
+
+def grid_of(df: DataFrame, lat: str = "lat", lon: str = "lon") -> Grid:
+    """The grid a cube lies on."""
+    found = grids_of(df.withColumn("_cube", F.lit("cube")), "_cube", lat, lon)
+    return found.get("cube", Grid((), ()))
 
 
 def grid_table(spark: SparkSession, grid: Grid, name: str = "grid") -> DataFrame:
@@ -81,14 +98,18 @@ def grid_table(spark: SparkSession, grid: Grid, name: str = "grid") -> DataFrame
     ).select("grid_name", cell_key(F.col("lat"), F.col("lon")).alias("cell_id"), "lat_idx", "lon_idx", "lat", "lon")
 
 
-def axes_table(spark: SparkSession, grid: Grid) -> DataFrame:
-    """Axis coordinates (axis, idx, key, value)."""
-    n_lat, n_lon = len(grid.lat), len(grid.lon)
+def axes_table(spark: SparkSession, grids: Mapping[str, Grid]) -> DataFrame:
+    """Axis coordinates of named grids: (grid, axis, idx, value, key)."""
+    names, axes, index, values = [], [], [], []
+    for name, grid in grids.items():
+        for axis, coords in (("lat", grid.lat), ("lon", grid.lon)):
+            names += [name] * len(coords)
+            axes += [axis] * len(coords)
+            index += range(len(coords))
+            values += coords
     table = _local(
-        spark,
-        axis=pa.array(["lat"] * n_lat + ["lon"] * n_lon, pa.string()),
-        idx=pa.array([*range(n_lat), *range(n_lon)], pa.int32()),
-        value=pa.array([*grid.lat, *grid.lon], pa.float64()),
+        spark, grid=pa.array(names, pa.string()), axis=pa.array(axes, pa.string()),
+        idx=pa.array(index, pa.int32()), value=pa.array(values, pa.float64()),
     )
     return table.withColumn("key", axis_key(F.col("value")))
 
@@ -129,25 +150,24 @@ def axis_steps(values: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return values.withColumn("step", F.col("value") - F.lag("value").over(w))
 
 
-def axis_bracket(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Source neighbours of each target coordinate: (axis, key, value, below, above).
+def axis_bracket(source: DataFrame, target: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Source neighbours of each target coordinate: (keys, axis, key, value, below, above).
 
     Both axes are merged and scanned in order, once upwards and once downwards,
     so no range join is needed. A neighbour that does not exist is NULL.
     """
-    both = source.select("axis", "key", "value", F.lit(True).alias("is_source")).unionByName(
-        target.select("axis", "key", "value", F.lit(False).alias("is_source"))
+    columns = [*keys, "axis", "key", "value"]
+    both = source.select(*columns, F.lit(True).alias("is_source")).unionByName(
+        target.select(*columns, F.lit(False).alias("is_source"))
     )
     known = F.when(F.col("is_source"), F.col("value"))
-    up = Window.partitionBy("axis").orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    down = Window.partitionBy("axis").orderBy(F.desc("key")).rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    axis = Window.partitionBy(*keys, "axis")
+    span = (Window.unboundedPreceding, Window.currentRow)
     return (
-        both.withColumn("below", F.last(known, ignorenulls=True).over(up))
-        .withColumn("above", F.last(known, ignorenulls=True).over(down))
+        both.withColumn("below", F.last(known, ignorenulls=True).over(axis.orderBy("key").rangeBetween(*span)))
+        .withColumn("above", F.last(known, ignorenulls=True).over(axis.orderBy(F.desc("key")).rangeBetween(*span)))
         .filter(~F.col("is_source"))
-        .select("axis", "key", "value", "below", "above")
+        .select(*columns, "below", "above")
     )
 
 
@@ -156,10 +176,12 @@ def _pair(src: Column, weight: Column) -> Column:
 
 
 def _unfold(df: DataFrame, pairs: Column) -> DataFrame:
-    rows = df.select("axis", F.col("value").alias("dst"), pairs.alias("pairs")).filter(F.col("pairs").isNotNull())
+    rows = df.select("grid", "axis", F.col("value").alias("dst"), pairs.alias("pairs")).filter(
+        F.col("pairs").isNotNull()
+    )
     return rows.select(
-        "axis", "dst", F.size("pairs").alias("n_src"), F.explode("pairs").alias("p")
-    ).select("axis", axis_key(F.col("p.src")).alias("src_key"), "dst", F.col("p.w").alias("w"), "n_src")
+        "grid", "axis", "dst", F.size("pairs").alias("n_src"), F.explode("pairs").alias("p")
+    ).select("grid", "axis", axis_key(F.col("p.src")).alias("src_key"), "dst", F.col("p.w").alias("w"), "n_src")
 
 
 def bilinear_weights(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -169,7 +191,7 @@ def bilinear_weights(source: DataFrame, target: DataFrame) -> DataFrame:
         lo.isNotNull() & hi.isNotNull(),
         F.array(_pair(lo, (hi - t) / (hi - lo)), _pair(hi, (t - lo) / (hi - lo))),
     )
-    return _unfold(axis_bracket(source, target), pairs)
+    return _unfold(axis_bracket(source, target, ["grid"]), pairs)
 
 
 def _nearest(t: Column, lo: Column, hi: Column) -> Column:
@@ -180,12 +202,12 @@ def _nearest(t: Column, lo: Column, hi: Column) -> Column:
 def nearest_weights(source: DataFrame, target: DataFrame) -> DataFrame:
     """Weight 1 at the nearest coordinate, also outside the hull."""
     near = _nearest(F.col("value"), F.col("below"), F.col("above"))
-    return _unfold(axis_bracket(source, target), F.array(_pair(near, F.lit(1.0))))
+    return _unfold(axis_bracket(source, target, ["grid"]), F.array(_pair(near, F.lit(1.0))))
 
 
 def axis_bounds(values: DataFrame) -> DataFrame:
     """Cell bounds halfway between neighbours; the outer cells are symmetric."""
-    w = Window.partitionBy("axis").orderBy("key")
+    w = Window.partitionBy("grid", "axis").orderBy("key")
     before = F.col("value") - F.lag("value").over(w)
     after = F.lead("value").over(w) - F.col("value")
     low = F.col("value") - F.coalesce(F.col("_before"), F.col("_after")) / 2
@@ -193,7 +215,7 @@ def axis_bounds(values: DataFrame) -> DataFrame:
     # Latitudes end at the poles.
     is_lat = F.col("axis") == "lat"
     return values.withColumns({"_before": before, "_after": after}).select(
-        "axis", "key", "value",
+        "grid", "axis", "key", "value",
         F.when(is_lat, F.greatest(low, F.lit(-90.0))).otherwise(low).alias("low"),
         F.when(is_lat, F.least(high, F.lit(90.0))).otherwise(high).alias("high"),
     )
@@ -214,20 +236,22 @@ def conservative_weights(source: DataFrame, target: DataFrame) -> DataFrame:
     """
     def edges(axis: DataFrame, role: str) -> DataFrame:
         b = axis_bounds(axis)
-        last = F.row_number().over(Window.partitionBy("axis").orderBy(F.desc("key"))) == 1
+        last = F.row_number().over(Window.partitionBy("grid", "axis").orderBy(F.desc("key"))) == 1
         cell = F.struct(F.col("value").alias("cell"))
         none = F.struct(F.lit(None).cast("double").alias("cell"))
-        starts = b.select("axis", F.col("low").alias("at"), cell.alias(role))
-        ends = b.withColumn("_last", last).filter("_last").select("axis", F.col("high").alias("at"), none.alias(role))
+        starts = b.select("grid", "axis", F.col("low").alias("at"), cell.alias(role))
+        ends = b.withColumn("_last", last).filter("_last").select(
+            "grid", "axis", F.col("high").alias("at"), none.alias(role)
+        )
         return starts.unionByName(ends)
 
     # Bounds that agree to a micro-degree are one bound, not a sliver.
     marks = (
         edges(source, "src").unionByName(edges(target, "dst"), allowMissingColumns=True)
-        .groupBy("axis", axis_key(F.col("at")).alias("pos"))
+        .groupBy("grid", "axis", axis_key(F.col("at")).alias("pos"))
         .agg(F.max("at").alias("at"), F.max("src").alias("src"), F.max("dst").alias("dst"))
     )
-    w = Window.partitionBy("axis").orderBy("pos")
+    w = Window.partitionBy("grid", "axis").orderBy("pos")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     stretches = (
         marks.withColumns({
@@ -238,23 +262,29 @@ def conservative_weights(source: DataFrame, target: DataFrame) -> DataFrame:
         .filter(F.col("dst").isNotNull() & F.col("to").isNotNull())
         .withColumn("extent", _measure(F.col("at"), F.col("to")))
     )
-    cell = Window.partitionBy("axis", "dst")
+    cell = Window.partitionBy("grid", "axis", "dst")
     return (
-        stretches.groupBy("axis", "dst", "src").agg(F.sum("extent").alias("extent"))
+        stretches.groupBy("grid", "axis", "dst", "src").agg(F.sum("extent").alias("extent"))
         .withColumn("w", F.col("extent") / F.sum("extent").over(cell))
         .withColumn("n_src", F.count("src").over(cell).cast("int"))
         .filter(F.col("src").isNotNull())
-        .select("axis", axis_key(F.col("src")).alias("src_key"), "dst", "w", "n_src")
+        .select("grid", "axis", axis_key(F.col("src")).alias("src_key"), "dst", "w", "n_src")
     )
 
 
-def axis_weights(spark: SparkSession, source: Grid, target: Grid, method: str = "bilinear") -> DataFrame:
-    """Weights (axis, src_key, dst, w, n_src); n_src is what a target needs."""
+def axis_weights(spark: SparkSession, sources: Mapping[str, Grid], target: Grid,
+                 method: str = "bilinear") -> DataFrame:
+    """Weights (grid, axis, src_key, dst, w, n_src) of named source grids to one target.
+
+    n_src is the number of source coordinates a target coordinate needs.
+    """
     if method not in METHODS:
         raise ValueError(f"unknown method: {method}; one of {METHODS}")
     build = {"bilinear": bilinear_weights, "nearest": nearest_weights, "conservative": conservative_weights}[method]
-    weights = build(axes_table(spark, source), axes_table(spark, target))
-    return settle(weights, max_rows=8 * AXIS_LIMIT)[0]
+    targets = {name: target for name in sources}
+    weights = build(axes_table(spark, sources), axes_table(spark, targets))
+    bound = 8 * sum(len(g.lat) + len(g.lon) + len(target.lat) + len(target.lon) for g in sources.values())
+    return settle(weights, max_rows=bound)[0]
 
 
 def nearest_cell(points: DataFrame, grid: Grid, lat: str = "lat", lon: str = "lon") -> DataFrame:
@@ -283,10 +313,12 @@ def points_table(spark: SparkSession, points: Sequence[tuple[float, float]]) ->
     )
 
 
-def weights_by_axis(weights: DataFrame) -> Mapping[str, DataFrame]:
+def weights_by_axis(weights: DataFrame, key: str | None) -> dict[str, DataFrame]:
+    """The two weight tables a regrid joins, with the grid under the cube's key column."""
+    grid = [F.col("grid").alias(key)] if key else []
     return {
         axis: weights.filter(F.col("axis") == axis).select(
-            F.col("src_key").alias(f"_{axis}_key"), F.col("dst").alias(axis),
+            *grid, F.col("src_key").alias(f"_{axis}_key"), F.col("dst").alias(axis),
             F.col("w").alias(f"_{axis}_w"), F.col("n_src").alias(f"_{axis}_n"),
         )
         for axis in ("lat", "lon")

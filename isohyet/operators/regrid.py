@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -15,32 +15,39 @@ from isohyet.operators.sizing import fail_when
 _DUPLICATE = "regrid: two source rows for one cell"
 
 
-def regrid(df: DataFrame, source: Grid, target: Grid, method: str = "bilinear",
-           values: Sequence[str] = ("tas", "pr"), keys: Sequence[str] = ("time",),
+def regrid(df: DataFrame, source: Grid | Mapping[str, Grid], target: Grid, method: str = "bilinear",
+           values: Sequence[str] = ("tas", "pr"), keys: Sequence[str] = ("time",), grid_key: str | None = None,
            weights: DataFrame | None = None, keep_missing: bool = False) -> DataFrame:
     """Move a cube from one grid to another; output columns are keys, lat, lon, values.
 
+    `source` is one grid, or one grid per value of `grid_key` (one of `keys`,
+    such as the model), all moved in one plan.
+
     Latitudes are combined first, then longitudes. Both weight tables are axis
     tables and are broadcast. One shuffle, by (keys, target latitude), carries
     source-resolution rows; both aggregates run on it, so the fine rows are
     never shuffled. A value is missing when any cell it needs is missing.
     """
-    if same_grid(source, target):
+    sources = {"": source} if isinstance(source, Grid) else dict(source)
+    if all(same_grid(g, target) for g in sources.values()):
         return df.select(*keys, "lat", "lon", *values)
+    if not isinstance(source, Grid) and grid_key not in keys:
+        raise ValueError("several source grids need grid_key, one of the keys")
     if weights is None:
-        weights = axis_weights(df.sparkSession, source, target, method)
-    parts = weights_by_axis(weights)
-
+        weights = axis_weights(df.sparkSession, sources, target, method)
     rows = df.select(
         *keys, axis_key(F.col("lat")).alias("_lat_key"), axis_key(F.col("lon")).alias("_lon_key"), *values
     )
-    by_lat = rows.join(F.broadcast(parts["lat"]), "_lat_key").repartition(*keys, "lat")
+    on = [] if isinstance(source, Grid) else [grid_key]
+    parts = weights_by_axis(weights, on[0] if on else None)
+    # Both tables hold a few rows per axis coordinate, bounded by AXIS_LIMIT.
+    by_lat = rows.join(F.broadcast(parts["lat"]), [*on, "_lat_key"]).repartition(*keys, "lat")
     columns = _combine(by_lat, [*keys, "lat", "_lon_key"], values, "lat")
-    by_lon = columns.join(F.broadcast(parts["lon"]), "_lon_key")
+    by_lon = columns.join(F.broadcast(parts["lon"]), [*on, "_lon_key"])
     cells = _combine(by_lon, [*keys, "lat", "lon"], values, "lon")
     if not keep_missing:
         cells = cells.na.drop(how="all", subset=list(values))
-    return cells
+    return cells.select(*keys, "lat", "lon", *values)
 
 
 def _combine(df: DataFrame, keys: Sequence[str], values: Sequence[str], axis: str) -> DataFrame:

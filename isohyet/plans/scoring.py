@@ -21,9 +21,9 @@ from isohyet.sources.sinks import write_downscaled, write_table
 KEYS = ("model", "scenario", "time")
 
 
-def downscale(raw: DataFrame, models: ModelSet, grid: Grid, source_grid: Grid | None = None) -> DataFrame:
+def downscale(raw: DataFrame, models: ModelSet, grid: Grid, source_grids: dict[str, Grid] | None = None) -> DataFrame:
     """Raw model cells to dense predictions (model, scenario, time, lat, lon, pred_tas, pred_pr)."""
-    cube = read_model(raw, grid, source_grid=source_grid)
+    cube = read_model(raw, grid, source_grids=source_grids)
     return score_cube(cube, models, grid)
 
 

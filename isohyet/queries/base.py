@@ -19,7 +19,7 @@ from isohyet.functions.calendar import as_ntz, month_start
 from isohyet.session import checkpoint_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
-ODD = 7.919
+ODD = 7.91907019
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -178,32 +178,32 @@ def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 TABLES = {
     "obs": """select year(l_shipdate)::int as yr, month(l_shipdate)::int as mon,
         23.125::double + 0.25::double*(l_partkey % 12) as lat, 60.125::double + 0.25::double*(l_suppkey % 15) as lon,
-        avg(l_quantity)*8/7.919::double as tas, round(min(l_discount)*100)*8/7.919::double as pr from lineitem group by 1,2,3,4""",
+        avg(l_quantity)*8/7.91907019::double as tas, round(min(l_discount)*100)*8/7.91907019::double as pr from lineitem group by 1,2,3,4""",
     "tgt": """select year(l_shipdate)::int as yr, month(l_shipdate)::int as mon,
         23.125::double + 0.25::double*(l_partkey % 12) as lat, 60.125::double + 0.25::double*(l_suppkey % 15) as lon,
-        case when min(l_tax) > 0 then max(l_quantity)*8/7.919::double end as tas, floor(min(l_extendedprice)/1000)/7.919::double as pr
+        case when min(l_tax) > 0 then max(l_quantity)*8/7.91907019::double end as tas, floor(min(l_extendedprice)/1000)/7.91907019::double as pr
         from lineitem group by 1,2,3,4""",
     "gcm": """select year(o_orderdate)::int as yr, month(o_orderdate)::int as mon,
         22.5::double + 1.0::double*(o_custkey % 5) as lat, 60.0::double + 1.0::double*(o_orderkey % 5) as lon,
-        floor(max(o_totalprice)/1000)/7.919::double as tas, floor(min(o_totalprice)/1000)/7.919::double as pr
+        floor(max(o_totalprice)/1000)/7.91907019::double as tas, floor(min(o_totalprice)/1000)/7.91907019::double as pr
         from orders group by 1,2,3,4""",
     "multi": """select o_orderpriority as model, case when year(o_orderdate) <= 1998 then 'hist' else 'ssp585' end as scenario,
         year(o_orderdate)::int as yr, month(o_orderdate)::int as mon,
         22.5::double + 2.0::double*(o_custkey % 3) as lat, 60.0::double + 2.0::double*(o_orderkey % 3) as lon,
-        floor(max(o_totalprice)/1000)/7.919::double as tas, floor(min(o_totalprice)/1000)/(8*7.919::double) as pr
+        floor(max(o_totalprice)/1000)/7.91907019::double as tas, floor(min(o_totalprice)/1000)/(8*7.91907019::double) as pr
         from orders group by 1,2,3,4,5,6""",
     "raw_target": """select l_shipdate as time, 22.5::double + 1.0::double*(l_partkey % 5) as lat,
         60.0::double + 1.0::double*(l_suppkey % 5) as lon,
-        case when min(l_tax) <> 0 then max(l_quantity)*8/7.919::double + 273.15::double end as t2m, round(min(l_discount)*100)/(1000*7.919::double) as tp
+        case when min(l_tax) <> 0 then max(l_quantity)*8/7.91907019::double + 273.15::double end as t2m, round(min(l_discount)*100)/(1000*7.91907019::double) as tp
         from lineitem group by 1,2,3""",
     "raw_model": """select o_orderkey, o_orderpriority as model,
         case when year(o_orderdate) <= 1998 then 'hist' else 'ssp585' end as scenario, o_orderdate as time,
         22.5::double + 2.0::double*(o_custkey % 3) as lat, 60.0::double + 2.0::double*(o_orderkey % 3) as lon,
-        floor(o_totalprice/1000)/7.919::double as tas, floor(o_totalprice/1000)/(8*7.919::double) as pr_day from orders""",
+        floor(o_totalprice/1000)/7.91907019::double as tas, floor(o_totalprice/1000)/(8*7.91907019::double) as pr_day from orders""",
     "raw_calendar": """select l_orderkey, l_linenumber, year(l_shipdate)::int as y, month(l_shipdate)::int as m,
         (1 + l_orderkey % 31)::int as d, l_quantity as v from lineitem""",
     "scored": """select l_orderkey, l_linenumber, year(l_shipdate)::int as yr, l_discount*10 as p_wet,
-        case when l_quantity > 25 then 1 else 0 end as wet, l_quantity as y_true, l_extendedprice/(250*7.919::double) as y_pred from lineitem""",
+        case when l_quantity > 25 then 1 else 0 end as wet, l_quantity as y_true, l_extendedprice/(250*7.91907019::double) as y_pred from lineitem""",
     "status_log": """select o_orderpriority || '_' || o_custkey::varchar as dataset,
         case o_orderstatus when 'F' then 'completed' when 'O' then 'failed' else 'running' end as status,
         o_orderdate as ts from orders""",

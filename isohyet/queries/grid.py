@@ -16,7 +16,12 @@ _REGRID_OUT = f"select yr as year, mon as month, lat, lon, {r6('tas', 'tas')}, {
 def regridded(spark, sf, method: str = "bilinear"):
     """The coarse cube on the fine grid."""
     cube = coarse(spark, sf)
-    return regrid(cube, grids.grid_of(cube), grids.grid_of(observed(spark, sf)), method, keys=("year", "month"))
+    grid = both_grids(spark, sf)
+    return regrid(cube, grid["coarse"], grid["fine"], method, keys=("year", "month"))
+
+
+def both_grids(spark, sf):
+    return grids.grids_of_cubes({"coarse": coarse(spark, sf), "fine": observed(spark, sf)})
 
 
 @query("regrid_bilinear", _REGRID_OUT + "regridded", ("regridded",))
@@ -60,8 +65,8 @@ def _(spark, sf):
 
 @query("regrid_weights", f"select axis, s as src, t as dst, {r6('w', 'w')}, n as n_src from linear", ("linear",))
 def _(spark, sf):
-    source, target = grids.grid_of(coarse(spark, sf)), grids.grid_of(observed(spark, sf))
-    return grids.axis_weights(spark, source, target).select(
+    grid = both_grids(spark, sf)
+    return grids.axis_weights(spark, {"coarse": grid["coarse"]}, grid["fine"]).select(
         "axis", (F.col("src_key") / 1e6).alias("src"), "dst", "w", "n_src"
     )
 
@@ -69,8 +74,8 @@ def _(spark, sf):
 @query("conservative_weights", f"select axis, s as src, t as dst, {r6('w', 'w')}, n::int as n_src from ({_OVERLAPS})",
        ("axes_src", "axes_dst"))
 def _(spark, sf):
-    source, target = grids.grid_of(coarse(spark, sf)), grids.grid_of(observed(spark, sf))
-    return grids.axis_weights(spark, source, target, "conservative").select(
+    grid = both_grids(spark, sf)
+    return grids.axis_weights(spark, {"coarse": grid["coarse"]}, grid["fine"], "conservative").select(
         "axis", (F.col("src_key") / 1e6).alias("src"), "dst", "w", "n_src"
     )
 

@@ -19,7 +19,7 @@ from isohyet.functions.units import (
 )
 from isohyet.operators.features import scoring_features
 from isohyet.operators.align import join_tas_pr
-from isohyet.operators.grids import Grid, grid_of
+from isohyet.operators.grids import Grid, grid_of, grids_of
 from isohyet.operators.naming import (
     alias_variable, drop_coords, nulls_for_nan, rename_coords,
 )
@@ -105,16 +105,17 @@ def convert_model(raw: DataFrame, exact_days: bool = False) -> DataFrame:
 
 
 def read_model(raw: DataFrame, reference: Grid | None = None, years: tuple[int, int] = ALL_YEARS,
-               method: str = "bilinear", source_grid: Grid | None = None) -> DataFrame:
+               method: str = "bilinear", source_grids: Mapping[str, Grid] | None = None) -> DataFrame:
     """Climate-model cube of all models and scenarios in the input, in one plan.
 
-    Only historical rows are clipped. Models on one native grid are regridded
-    together; use one call per native grid otherwise.
+    Only historical rows are clipped. Each model may have its own native grid;
+    pass `source_grids` when they are known, to save the pass that finds them.
     """
     cube = conditional_clip(convert_model(raw), *years)
     if reference is None:
         return cube
-    return regrid(cube, source_grid or grid_of(cube), reference, method, keys=("model", "scenario", "time"))
+    grids = source_grids or grids_of(rename_coords(raw, MODEL_COORDS), "model")
+    return regrid(cube, grids, reference, method, keys=("model", "scenario", "time"), grid_key="model")
 
 
 def model_report(raw: DataFrame) -> DataFrame:
