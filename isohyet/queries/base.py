@@ -51,8 +51,16 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
+_OPENED: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its files are listed once per application."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _OPENED:
+        _OPENED[key] = spark.read.parquet(path)
+    return _OPENED[key]
 
 
 def scratch(spark: SparkSession) -> str:
