@@ -215,6 +215,14 @@ TABLES = {
     "status_log": """select o_orderpriority || '_' || o_custkey::varchar as dataset,
         case o_orderstatus when 'F' then 'completed' when 'O' then 'failed' else 'running' end as status,
         o_orderdate as ts from orders""",
+    "obs_wide": """select year(l_shipdate)::int as yr, month(l_shipdate)::int as mon,
+        23.125::double + 0.25::double*(l_partkey % 60) as lat, 60.125::double + 0.25::double*(l_suppkey % 72) as lon,
+        avg(l_quantity)*8/7.91907019::double as tas, round(min(l_discount)*100)*8/7.91907019::double as pr
+        from lineitem group by 1,2,3,4""",
+    "gcm_wide": """select year(o_orderdate)::int as yr, month(o_orderdate)::int as mon,
+        22.5::double + 1.0::double*(o_custkey % 17) as lat, 60.0::double + 1.0::double*(o_orderkey % 19) as lon,
+        floor(max(o_totalprice)/1000)/7.91907019::double as tas, floor(min(o_totalprice)/1000)/7.91907019::double as pr
+        from orders group by 1,2,3,4""",
     # Linear weights from the coarse to the fine grid, per axis.
     "axes_src": "select distinct 'lat' as axis, lat as v from gcm union select distinct 'lon', lon from gcm",
     "axes_dst": "select distinct 'lat' as axis, lat as v from obs union select distinct 'lon', lon from obs",

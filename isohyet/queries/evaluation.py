@@ -15,7 +15,8 @@ from isohyet.plans.scoring import diagnostics
 from isohyet.queries.base import (
     POINTS, SEASON_SQL, TEST_YEARS, corr_sql, multi, observed, query, r2_sql, r6, scored,
 )
-from isohyet.queries.grid import regridded
+from isohyet.queries.grid import regridded, regridded_wide
+from isohyet.queries.sqltext import linear_tables
 
 
 def pairs(spark, sf, how="inner"):
@@ -34,6 +35,18 @@ def _(spark, sf):
     return evaluate.cell_metrics(pairs(spark, sf)).drop("cell_id")
 
 
+@query("cell_metrics_wide", f"""with {linear_tables('gcm_wide', 'obs_wide', 'wide', ('yr', 'mon'), extra='gcm_wide, obs_wide')},
+    pairs as (select o.lat, o.lon, p.tas as pt, o.tas as ot, p.pr as pp, o.pr as op from wide p
+        join obs_wide o using (yr, mon, lat, lon))
+    select lat, lon, count(*) filter (where pt is not null and ot is not null) as n_tas,
+    {r6(_RMSE_T, 'rmse_tas')}, {r6(_CORR_T, 'corr_tas')},
+    count(*) filter (where pp is not null and op is not null) as n_pr, {r6(_RMSE_P, 'rmse_pr')}, {r6(_CORR_P, 'corr_pr')}
+    from pairs group by 1,2""")
+def _(spark, sf):
+    wide = align_pred_obs(regridded_wide(spark, sf), observed(spark, sf, 60, 72))
+    return evaluate.cell_metrics(wide).drop("cell_id")
+
+
 @query("cell_rmse", f"select lat, lon, {r6(_RMSE_T, 'rmse_tas')}, {r6(_RMSE_P, 'rmse_pr')} from pairs group by 1,2", ("pairs",))
 def _(spark, sf):
     return evaluate.cell_rmse(pairs(spark, sf)).drop("cell_id")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from isohyet.operators import grids
 from isohyet.operators.regrid import flatten, lon_name, pivot_map, regrid, to_grid
-from isohyet.queries.base import POINTS, coarse, observed, query, r6, table
+from isohyet.queries.base import coarse, observed, query, r6, table
+from isohyet.queries.sqltext import linear_tables
 
 _XYM = ["year", "month", "lat", "lon", "tas", "pr"]
 _REGRID_OUT = f"select yr as year, mon as month, lat, lon, {r6('tas', 'tas')}, {r6('pr', 'pr')} from "
@@ -29,6 +30,19 @@ def _(spark, sf):
     return regridded(spark, sf).select(*_XYM)
 
 
+def regridded_wide(spark, sf):
+    """The same on the 60 x 72 grid, from a 17 x 19 grid."""
+    cube = coarse(spark, sf, 17, 19)
+    grid = grids.grids_of_cubes({"coarse": cube, "fine": observed(spark, sf, 60, 72)})
+    return regrid(cube, grid["coarse"], grid["fine"], keys=("year", "month"))
+
+
+@query("regrid_wide", f"""with {linear_tables('gcm_wide', 'obs_wide', 'wide', ('yr', 'mon'), extra='gcm_wide, obs_wide')}
+    {_REGRID_OUT} wide""")
+def _(spark, sf):
+    return regridded_wide(spark, sf).select(*_XYM)
+
+
 _NEAREST = """select axis, t, case when lo is null then hi when hi is null then lo when t-lo < hi-t then lo else hi end as s
     from brackets"""
 
