@@ -19,8 +19,24 @@ def axis_key(degrees: Column) -> Column:
 
 def cell_key(lat: Column, lon: Column) -> Column:
     """One BIGINT per cell; longitudes may run from -180 to 360."""
-    return (axis_key(lat) + 90 * MICRO) * _LON_SPAN + (axis_key(lon) + 180 * MICRO)
+    return pack_keys(axis_key(lat), axis_key(lon))
 
 
-def with_cell(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
-    return df.withColumn("cell_id", cell_key(F.col(lat), F.col(lon)))
+def pack_keys(lat_key: Column, lon_key: Column) -> Column:
+    return (lat_key + 90 * MICRO) * _LON_SPAN + (lon_key + 180 * MICRO)
+
+
+def with_keys(df: DataFrame) -> DataFrame:
+    """Add lat_key and lon_key where they are not there yet.
+
+    Joins use the pair, so a cube that is hashed by (time, lat_key) can keep
+    its partitioning through an alignment.
+    """
+    missing = {k: axis_key(F.col(c)) for k, c in (("lat_key", "lat"), ("lon_key", "lon")) if k not in df.columns}
+    return df.withColumns(missing) if missing else df
+
+
+def with_cell(df: DataFrame) -> DataFrame:
+    if "lat_key" in df.columns and "lon_key" in df.columns:
+        return df.withColumn("cell_id", pack_keys(F.col("lat_key"), F.col("lon_key")))
+    return df.withColumn("cell_id", cell_key(F.col("lat"), F.col("lon")))

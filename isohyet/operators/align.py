@@ -1,6 +1,7 @@
 """Alignment joins and set operations on cubes.
 
-All joins are equi joins on integers and timestamps: cells join by `cell_id`.
+All joins are equi joins on integers and timestamps: cells join by their
+integer axis keys (micro-degrees).
 """
 
 from __future__ import annotations
@@ -13,12 +14,12 @@ from pyspark.sql import functions as F
 
 from isohyet.constants import FUTURE_SCENARIOS, MODELS
 from isohyet.functions.calendar import month_start
-from isohyet.functions.coords import cell_key
+from isohyet.functions.coords import pack_keys, with_keys
 from isohyet.operators.sizing import one_per_key
+from isohyet.operators.temporal import add_calendar
 
 
-def _with_cell(df: DataFrame) -> DataFrame:
-    return df if "cell_id" in df.columns else df.withColumn("cell_id", cell_key(F.col("lat"), F.col("lon")))
+CELL_KEYS = ("lat_key", "lon_key")
 
 
 def align_exact(frames: Sequence[tuple[DataFrame, Sequence[str]]], keys: Sequence[str] = ()) -> DataFrame:
@@ -28,10 +29,10 @@ def align_exact(frames: Sequence[tuple[DataFrame, Sequence[str]]], keys: Sequenc
     cube, so six variables of three sources need two joins. Coordinates are the
     first cube's.
     """
-    on = [*keys, "time", "cell_id"]
+    on = [*keys, "time", *CELL_KEYS]
     first, values = frames[0]
-    head = _with_cell(first).select(*on, "lat", "lon", *values)
-    rest = [_with_cell(df).select(*on, *names) for df, names in frames[1:]]
+    head = with_keys(first).select(*on, "lat", "lon", *values)
+    rest = [with_keys(df).select(*on, *names) for df, names in frames[1:]]
     return reduce(lambda a, b: a.join(b, on), rest, head)
 
 
@@ -40,17 +41,17 @@ def align_month(frames: Sequence[tuple[DataFrame, Sequence[str]]], keys: Sequenc
     """Inner join on (year, month, cell), stamped with the first of the month.
 
     Sources stamp months on different days, so this is the default alignment.
+    Year and month come from the cube where it has them, else from its time.
     A second row for a month and cell is an error; `duplicates='all'` joins
     every combination instead.
     """
     if duplicates not in ("error", "all"):
         raise ValueError(f"unknown duplicates rule: {duplicates}")
-    on = [*keys, "year", "month", "cell_id"]
+    on = [*keys, "year", "month", *CELL_KEYS]
 
     def prepared(df: DataFrame, names: Sequence[str], what: str) -> DataFrame:
-        rows = _with_cell(df).withColumns({"year": F.year("time"), "month": F.month("time")}).filter(
-            F.col("year").isNotNull()
-        ).select(*on, *names)
+        rows = with_keys(df if {"year", "month"} <= set(df.columns) else add_calendar(df))
+        rows = rows.filter(F.col("year").isNotNull()).select(*on, *names)
         return one_per_key(rows, on, list(names), what) if duplicates == "error" else rows
 
     first, values = frames[0]
@@ -86,17 +87,18 @@ def align_pred_obs(pred: DataFrame, obs: DataFrame, variables: Sequence[str] = (
     `inner` keeps the common coordinates; `full_outer` keeps both sides, for
     statistics that use each side alone.
     """
-    keys = [*on, "cell_id"]
+    keys = [*on, *CELL_KEYS]
 
     def side(df: DataFrame, prefix: str) -> DataFrame:
-        return _with_cell(df).select(
+        return with_keys(df).select(
             *keys, F.col("lat").alias(f"_{prefix}_lat"), F.col("lon").alias(f"_{prefix}_lon"),
             *[F.col(v).alias(f"{prefix}_{v}") for v in variables],
         )
 
     joined = side(pred, "pred").join(side(obs, "obs"), keys, how)
     return joined.select(
-        *keys, F.coalesce("_obs_lat", "_pred_lat").alias("lat"), F.coalesce("_obs_lon", "_pred_lon").alias("lon"),
+        *on, pack_keys(*map(F.col, CELL_KEYS)).alias("cell_id"),
+        F.coalesce("_obs_lat", "_pred_lat").alias("lat"), F.coalesce("_obs_lon", "_pred_lon").alias("lon"),
         *[f"{p}_{v}" for v in variables for p in ("pred", "obs")],
     )
 
@@ -119,9 +121,9 @@ def keep_common_times(frames: Sequence[DataFrame], time: str = "time") -> list[D
 def merge_variables(tas: DataFrame, pr: DataFrame, keys: Sequence[str] = ("model", "scenario"),
                     tas_name: str = "tas", pr_name: str = "pr") -> DataFrame:
     """Two variables of one model on the union of their coordinates."""
-    on = [*keys, "time", "cell_id"]
-    a = _with_cell(tas).select(*on, F.col("lat").alias("_lat_a"), F.col("lon").alias("_lon_a"), tas_name)
-    b = _with_cell(pr).select(*on, F.col("lat").alias("_lat_b"), F.col("lon").alias("_lon_b"), pr_name)
+    on = [*keys, "time", *CELL_KEYS]
+    a = with_keys(tas).select(*on, F.col("lat").alias("_lat_a"), F.col("lon").alias("_lon_a"), tas_name)
+    b = with_keys(pr).select(*on, F.col("lat").alias("_lat_b"), F.col("lon").alias("_lon_b"), pr_name)
     return a.join(b, on, "full_outer").select(
         *on, F.coalesce("_lat_a", "_lat_b").alias("lat"), F.coalesce("_lon_a", "_lon_b").alias("lon"),
         tas_name, pr_name,

@@ -318,7 +318,8 @@ def weights_by_axis(weights: DataFrame, key: str | None) -> dict[str, DataFrame]
     grid = [F.col("grid").alias(key)] if key else []
     return {
         axis: weights.filter(F.col("axis") == axis).select(
-            *grid, F.col("src_key").alias(f"_{axis}_key"), F.col("dst").alias(axis),
+            *grid, F.col("src_key").alias(f"_{axis}_src"), F.col("dst").alias(axis),
+            axis_key(F.col("dst")).alias(f"{axis}_key"),
             F.col("w").alias(f"_{axis}_w"), F.col("n_src").alias(f"_{axis}_n"),
         )
         for axis in ("lat", "lon")

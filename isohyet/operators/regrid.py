@@ -8,17 +8,18 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isohyet.functions.coords import MICRO, axis_key, cell_key
+from isohyet.functions.coords import MICRO, axis_key, with_keys
 from isohyet.operators.grids import Grid, axis_weights, same_grid, weights_by_axis
 from isohyet.operators.sizing import fail_when
 
+CELL = ("lat_key", "lon_key", "lat", "lon")
 _DUPLICATE = "regrid: two source rows for one cell"
 
 
 def regrid(df: DataFrame, source: Grid | Mapping[str, Grid], target: Grid, method: str = "bilinear",
            values: Sequence[str] = ("tas", "pr"), keys: Sequence[str] = ("time",), grid_key: str | None = None,
            weights: DataFrame | None = None, keep_missing: bool = False) -> DataFrame:
-    """Move a cube from one grid to another; output columns are keys, lat, lon, values.
+    """Move a cube from one grid to another; output: keys, lat_key, lon_key, lat, lon, values.
 
     `source` is one grid, or one grid per value of `grid_key` (one of `keys`,
     such as the model), all moved in one plan.
@@ -30,30 +31,32 @@ def regrid(df: DataFrame, source: Grid | Mapping[str, Grid], target: Grid, metho
     """
     sources = {"": source} if isinstance(source, Grid) else dict(source)
     if all(same_grid(g, target) for g in sources.values()):
-        return df.select(*keys, "lat", "lon", *values)
+        return with_keys(df).select(*keys, *CELL, *values)
     if not isinstance(source, Grid) and grid_key not in keys:
         raise ValueError("several source grids need grid_key, one of the keys")
     if weights is None:
         weights = axis_weights(df.sparkSession, sources, target, method)
     rows = df.select(
-        *keys, axis_key(F.col("lat")).alias("_lat_key"), axis_key(F.col("lon")).alias("_lon_key"), *values
+        *keys, axis_key(F.col("lat")).alias("_lat_src"), axis_key(F.col("lon")).alias("_lon_src"), *values
     )
     on = [] if isinstance(source, Grid) else [grid_key]
     parts = weights_by_axis(weights, on[0] if on else None)
     # Both tables hold a few rows per axis coordinate, bounded by AXIS_LIMIT.
-    by_lat = rows.join(F.broadcast(parts["lat"]), [*on, "_lat_key"]).repartition(*keys, "lat")
-    columns = _combine(by_lat, [*keys, "lat", "_lon_key"], values, "lat")
-    by_lon = columns.join(F.broadcast(parts["lon"]), [*on, "_lon_key"])
-    cells = _combine(by_lon, [*keys, "lat", "lon"], values, "lon")
+    by_lat = rows.join(F.broadcast(parts["lat"]), [*on, "_lat_src"]).repartition(*keys, "lat_key")
+    columns = _combine(by_lat, [*keys, "lat_key", "_lon_src"], ["lat"], values, "lat")
+    by_lon = columns.join(F.broadcast(parts["lon"]), [*on, "_lon_src"])
+    cells = _combine(by_lon, [*keys, "lat_key", "lon_key"], ["lat", "lon"], values, "lon")
     if not keep_missing:
         cells = cells.na.drop(how="all", subset=list(values))
-    return cells.select(*keys, "lat", "lon", *values)
+    return cells.select(*keys, *CELL, *values)
 
 
-def _combine(df: DataFrame, keys: Sequence[str], values: Sequence[str], axis: str) -> DataFrame:
+def _combine(df: DataFrame, keys: Sequence[str], carried: Sequence[str], values: Sequence[str],
+             axis: str) -> DataFrame:
+    """Weighted sums per key; `carried` columns are the same in all rows of a key."""
     w, need = F.col(f"_{axis}_w"), F.col("_need")
     summed = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), F.max(f"_{axis}_n").alias("_need"),
+        F.count(F.lit(1)).alias("_rows"), F.max(f"_{axis}_n").alias("_need"), *[F.max(c).alias(c) for c in carried],
         *[F.sum(F.col(v) * w).alias(v) for v in values],
         *[F.count(v).alias(f"_have_{v}") for v in values],
     )
@@ -61,7 +64,7 @@ def _combine(df: DataFrame, keys: Sequence[str], values: Sequence[str], axis: st
         fail_when(F.col("_rows") > need, _DUPLICATE, F.when(F.col(f"_have_{v}") == need, F.col(v))).alias(v)
         for v in values
     ]
-    return summed.select(*keys, *complete)
+    return summed.select(*keys, *carried, *complete)
 
 
 def flatten(df: DataFrame, values: str, lat: str = "lats", lon: str = "lons",
@@ -85,17 +88,19 @@ def to_grid(df: DataFrame, grid: Grid, values: Sequence[str], keys: Sequence[str
     so no task holds a whole grid.
     """
     steps = df.select(*keys).distinct()
+    on = [*keys, "lat_key", "lon_key"]
     skeleton = (
         steps.withColumn("lat", F.explode(F.lit(np.array(grid.lat))))
-        .repartition(*keys, "lat")
+        .withColumn("lat_key", axis_key(F.col("lat")))
+        .repartition(*keys, "lat_key")
         .withColumn("lon", F.explode(F.lit(np.array(grid.lon))))
-        .withColumn("cell_id", cell_key(F.col("lat"), F.col("lon")))
+        .withColumn("lon_key", axis_key(F.col("lon")))
         .withColumn("_on_grid", F.lit(True))
     )
-    rows = df.select(*keys, cell_key(F.col("lat"), F.col("lon")).alias("cell_id"), *values).groupBy(
-        *keys, "cell_id"
-    ).agg(F.count(F.lit(1)).alias("_rows"), *[F.max(v).alias(v) for v in values])
-    joined = skeleton.join(rows, [*keys, "cell_id"], "full_outer")
+    rows = with_keys(df).groupBy(*on).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.max(v).alias(v) for v in values]
+    )
+    joined = skeleton.join(rows, on, "full_outer")
     off = F.col("_on_grid").isNull()
     checked = [
         fail_when(off, "to_grid: a row lies off the grid",

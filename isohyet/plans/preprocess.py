@@ -11,7 +11,7 @@ from isohyet.constants import ALL_YEARS, HISTORICAL, MODELS
 from isohyet.operators.align import pending
 from isohyet.operators.grids import Grid, grid_of
 from isohyet.sources import manifest as manifest_table
-from isohyet.sources.cubes import read_model, read_reference, read_target
+from isohyet.sources.cubes import read_model, read_target, reference_cube
 from isohyet.sources.sinks import write_table
 
 STAGE = "preprocess"
@@ -45,7 +45,7 @@ def process_and_save(spark: SparkSession, reference: DataFrame, target: DataFram
 
     if "reference" in todo:
         fail_fast("reference", lambda: write_table(
-            read_reference(reference, years)[0].select("time", "lat", "lon", "tas", "pr"), f"{output}/reference"
+            reference_cube(reference, years).select("time", "lat", "lon", "tas", "pr"), f"{output}/reference"
         ))
     grid = grid_of(spark.read.parquet(f"{output}/reference"))
     if "target" in todo:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isohyet.functions.coords import with_cell
+from isohyet.functions.coords import with_keys
 from isohyet.operators.align import align
 from isohyet.operators.features import (
     add_calendar_features, add_log_features, sample_splits, split_by_year,
@@ -62,8 +62,8 @@ def train_all(spark: SparkSession, data: str, output: str, algorithm: str = "aut
     The table is read once and kept for the fits, on disk where memory is short.
     """
     params = hyperparams or {}
-    table = with_cell(read_split(spark, data)).filter(F.col("split").isNotNull())
-    table = sample_splits(table, sample_fraction, ["year", "month", "cell_id"]).persist()
+    table = with_keys(read_split(spark, data)).filter(F.col("split").isNotNull())
+    table = sample_splits(table, sample_fraction, ["year", "month", "lat_key", "lon_key"]).persist()
     try:
         temperature = fit_temperature(table, algorithm, params.get("temperature"))
         temperature.save(f"{output}/{temperature.algorithm}_{SUFFIX['temperature']}")

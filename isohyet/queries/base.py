@@ -83,12 +83,17 @@ def _stamped(df: DataFrame) -> DataFrame:
     return df.withColumn("time", month_start(F.col("year"), F.col("month")))
 
 
-def observed(spark: SparkSession, sf_dir: str, n_lat: int = 12, n_lon: int = 15) -> DataFrame:
-    """Fine monthly cube, 0.25 degrees."""
-    rows = _monthly(
+def observed_points(spark: SparkSession, sf_dir: str, n_lat: int = 12, n_lon: int = 15) -> DataFrame:
+    """Rows of the fine grid before they are grouped; enough to find the grid."""
+    return _monthly(
         table(spark, sf_dir, "lineitem"), "l_shipdate",
         lat=axis(23.125, 0.25, "l_partkey", n_lat), lon=axis(60.125, 0.25, "l_suppkey", n_lon),
     )
+
+
+def observed(spark: SparkSession, sf_dir: str, n_lat: int = 12, n_lon: int = 15) -> DataFrame:
+    """Fine monthly cube, 0.25 degrees."""
+    rows = observed_points(spark, sf_dir, n_lat, n_lon)
     return _stamped(rows.groupBy("year", "month", "lat", "lon").agg(
         (F.avg("l_quantity") * 8 / ODD).alias("tas"), (F.round(F.min("l_discount") * 100) * 8 / ODD).alias("pr")
     ))
@@ -96,22 +101,23 @@ def observed(spark: SparkSession, sf_dir: str, n_lat: int = 12, n_lon: int = 15)
 
 def target_months(spark: SparkSession, sf_dir: str, n_lat: int = 12, n_lon: int = 15) -> DataFrame:
     """A second fine monthly cube with other values; stands for the target."""
-    rows = _monthly(
-        table(spark, sf_dir, "lineitem"), "l_shipdate",
-        lat=axis(23.125, 0.25, "l_partkey", n_lat), lon=axis(60.125, 0.25, "l_suppkey", n_lon),
-    )
+    rows = observed_points(spark, sf_dir, n_lat, n_lon)
     return _stamped(rows.groupBy("year", "month", "lat", "lon").agg(
         F.when(F.min("l_tax") > 0, F.max("l_quantity") * 8 / ODD).alias("tas"),
         (F.floor(F.min("l_extendedprice") / 1000) / ODD).alias("pr"),
     ))
 
 
-def coarse(spark: SparkSession, sf_dir: str, n_lat: int = 5, n_lon: int = 5) -> DataFrame:
-    """Coarse monthly cube, 1 degree; its hull covers the fine grid."""
-    rows = _monthly(
+def coarse_points(spark: SparkSession, sf_dir: str, n_lat: int = 5, n_lon: int = 5) -> DataFrame:
+    return _monthly(
         table(spark, sf_dir, "orders"), "o_orderdate",
         lat=axis(22.5, 1.0, "o_custkey", n_lat), lon=axis(60.0, 1.0, "o_orderkey", n_lon),
     )
+
+
+def coarse(spark: SparkSession, sf_dir: str, n_lat: int = 5, n_lon: int = 5) -> DataFrame:
+    """Coarse monthly cube, 1 degree; its hull covers the fine grid."""
+    rows = coarse_points(spark, sf_dir, n_lat, n_lon)
     return _stamped(rows.groupBy("year", "month", "lat", "lon").agg(
         (F.floor(F.max("o_totalprice") / 1000) / ODD).alias("tas"),
         (F.floor(F.min("o_totalprice") / 1000) / ODD).alias("pr"),

@@ -13,7 +13,7 @@ from isohyet.operators.grids import grid_of
 from isohyet.operators.learning import two_stage_combine
 from isohyet.plans.scoring import diagnostics
 from isohyet.queries.base import (
-    POINTS, SEASON_SQL, TEST_YEARS, corr_sql, multi, observed, query, r2_sql, r6, scored,
+    POINTS, SEASON_SQL, TEST_YEARS, corr_sql, multi, observed, observed_points, query, r2_sql, r6, scored,
 )
 from isohyet.queries.grid import regridded, regridded_wide
 from isohyet.queries.sqltext import linear_tables
@@ -110,7 +110,7 @@ _SERIES = """select point, plat as lat, plon as lon, yr as year, mon as month, p
        f"from (with {_LOCATED} {_SERIES})", ("sides", "axes_dst"))
 def _(spark, sf):
     pred, obs = regridded(spark, sf), observed(spark, sf)
-    grid = grid_of(obs)
+    grid = grid_of(observed_points(spark, sf))
     return evaluate.point_series(pred, obs, grid, grid, "tas", POINTS)
 
 
@@ -119,7 +119,7 @@ def _(spark, sf):
     from (with {_LOCATED} {_SERIES}) group by 1,2,3""", ("sides", "axes_dst"))
 def _(spark, sf):
     pred, obs = regridded(spark, sf), observed(spark, sf)
-    grid = grid_of(obs)
+    grid = grid_of(observed_points(spark, sf))
     return evaluate.point_metrics(pred, obs, grid, grid, "tas", POINTS)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from isohyet.operators import grids
 from isohyet.operators.regrid import flatten, lon_name, pivot_map, regrid, to_grid
-from isohyet.queries.base import coarse, observed, query, r6, table
+from isohyet.queries.base import coarse, coarse_points, observed, observed_points, query, r6, table
 from isohyet.queries.sqltext import linear_tables
 
 _XYM = ["year", "month", "lat", "lon", "tas", "pr"]
@@ -22,7 +22,7 @@ def regridded(spark, sf, method: str = "bilinear"):
 
 
 def both_grids(spark, sf):
-    return grids.grids_of_cubes({"coarse": coarse(spark, sf), "fine": observed(spark, sf)})
+    return grids.grids_of_cubes({"coarse": coarse_points(spark, sf), "fine": observed_points(spark, sf)})
 
 
 @query("regrid_bilinear", _REGRID_OUT + "regridded", ("regridded",))
@@ -33,7 +33,7 @@ def _(spark, sf):
 def regridded_wide(spark, sf):
     """The same on the 60 x 72 grid, from a 17 x 19 grid."""
     cube = coarse(spark, sf, 17, 19)
-    grid = grids.grids_of_cubes({"coarse": cube, "fine": observed(spark, sf, 60, 72)})
+    grid = grids.grids_of_cubes({"coarse": coarse_points(spark, sf, 17, 19), "fine": observed_points(spark, sf, 60, 72)})
     return regrid(cube, grid["coarse"], grid["fine"], keys=("year", "month"))
 
 
@@ -98,7 +98,7 @@ def _(spark, sf):
     (row_number() over (partition by lat order by lon) - 1)::int as lon_idx, lat, lon from (
     select a.v as lat, b.v as lon from axes_dst a join axes_dst b on a.axis = 'lat' and b.axis = 'lon')""", ("axes_dst",))
 def _(spark, sf):
-    return grids.grid_table(spark, grids.grid_of(observed(spark, sf))).select("lat_idx", "lon_idx", "lat", "lon")
+    return grids.grid_table(spark, grids.grid_of(observed_points(spark, sf))).select("lat_idx", "lon_idx", "lat", "lon")
 
 
 @query("same_grid", f"""select coalesce(a.axis, b.axis) as axis, count(a.v) as n_first, count(b.v) as n_second,
@@ -108,14 +108,14 @@ def _(spark, sf):
     full join (select axis, v, row_number() over (partition by axis order by v) as i from axes_dst) b
     on a.axis = b.axis and a.i = b.i group by 1""", ("axes_src", "axes_dst"))
 def _(spark, sf):
-    first = grids.indexed_axes(grids.axis_values(coarse(spark, sf)))
-    second = grids.indexed_axes(grids.axis_values(observed(spark, sf)))
+    first = grids.indexed_axes(grids.axis_values(coarse_points(spark, sf)))
+    second = grids.indexed_axes(grids.axis_values(observed_points(spark, sf)))
     return grids.compare_grids(first, second)
 
 
 @query("axis_bracket", "select axis, t as value, lo as below, hi as above from brackets", ("brackets",))
 def _(spark, sf):
-    source, target = grids.axis_values(coarse(spark, sf)), grids.axis_values(observed(spark, sf))
+    source, target = grids.axis_values(coarse_points(spark, sf)), grids.axis_values(observed_points(spark, sf))
     return grids.axis_bracket(source, target).select("axis", "value", "below", "above")
 
 
@@ -139,7 +139,7 @@ def _(spark, sf):
         "s_suppkey", (F.lit(22.5) + F.lit(0.125) * (F.col("s_suppkey") % 40)).alias("lat"),
         (F.lit(59.5) + F.lit(0.125) * (F.col("s_suppkey") % 37)).alias("lon"),
     )
-    return grids.nearest_cell(points, grids.grid_of(observed(spark, sf)))
+    return grids.nearest_cell(points, grids.grid_of(observed_points(spark, sf)))
 
 
 @query("flatten", f"""select vec_id, label::double as lat, (i - 1)::double as lon, {r6('embedding[i]', 'value')}
@@ -159,7 +159,7 @@ def _(spark, sf):
        ("obs", "axes_dst"))
 def _(spark, sf):
     cube = observed(spark, sf)
-    return to_grid(cube, grids.grid_of(cube), ("tas", "pr"), ("year", "month"))
+    return to_grid(cube, grids.grid_of(observed_points(spark, sf)), ("tas", "pr"), ("year", "month"))
 
 
 _LONS = [60.125 + 0.25 * i for i in range(15)]
@@ -169,4 +169,4 @@ _LONS = [60.125 + 0.25 * i for i in range(15)]
     r6(f"avg(tas) filter (where lon = {x})", lon_name(x)) for x in _LONS) + " from obs group by lat", ("obs",))
 def _(spark, sf):
     cube = observed(spark, sf)
-    return pivot_map(cube, "tas", grids.grid_of(cube))
+    return pivot_map(cube, "tas", grids.grid_of(observed_points(spark, sf)))

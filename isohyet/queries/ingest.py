@@ -11,7 +11,7 @@ from isohyet.operators import naming, profile as prof, quality, temporal
 from isohyet.operators.features import scoring_features, prepare_features, sample_rows, wet_only
 from isohyet.operators.grids import grid_of
 from isohyet.queries.base import (
-    coarse, multi, observed, query, r6, raw_calendar, raw_model, raw_target, scored, scratch, table,
+    coarse, multi, observed, observed_points, query, r6, raw_calendar, raw_model, raw_target, scored, scratch, table,
 )
 from isohyet.sources import cubes, sinks
 from isohyet.queries.sqltext import linear_tables
@@ -31,7 +31,7 @@ def _(spark, sf):
     with {linear_tables('monthly', 'obs', 'tgt', ('yr', 'mon'), extra='''raw_target, obs''')}
     select yr as year, mon as month, lat, lon, {r6('tas', 'tas')}, {r6('pr', 'pr')} from tgt""")
 def _(spark, sf):
-    grid = grid_of(observed(spark, sf))
+    grid = grid_of(observed_points(spark, sf))
     cube = cubes.read_target(raw_target(spark, sf), grid, (1996, 2000))
     return cube.select("year", "month", "lat", "lon", "tas", "pr")
 
@@ -51,7 +51,7 @@ def _(spark, sf):
     with {linear_tables('multi_mm', 'obs', 'out', ('model', 'scenario', 'yr', 'mon'), extra='multi, obs')}
     select model, scenario, yr as year, mon as month, lat, lon, {r6('tas', 'tas')}, {r6('pr', 'pr')} from out""")
 def _(spark, sf):
-    grid = grid_of(observed(spark, sf))
+    grid = grid_of(observed_points(spark, sf))
     raw = multi(spark, sf).withColumnsRenamed({"tas": "TMP", "pr": "PRE"})
     cube = cubes.read_model(raw, grid, years=(1995, 1998))
     return cube.select("model", "scenario", F.year("time").alias("year"), F.month("time").alias("month"),

@@ -11,7 +11,7 @@ from isohyet.operators.grids import grid_of
 from isohyet.plans import preprocess, scoring, training as train_plan
 from isohyet.queries.alignment import training
 from isohyet.queries.base import (
-    SPLITS, coarse, multi, observed, query, r6, raw_model, raw_target, scratch,
+    SPLITS, coarse, multi, observed, observed_points, query, r6, raw_model, raw_target, scratch,
 )
 from isohyet.sources import registry
 
@@ -114,14 +114,14 @@ def raw_scenarios(spark, sf):
 
 @query("score_scenarios")
 def _(spark, sf):
-    grid = grid_of(observed(spark, sf))
+    grid = grid_of(observed_points(spark, sf))
     models = trained(spark, sf)
     return scoring.downscale(raw_scenarios(spark, sf), models, grid)
 
 
 @query("downscale_all")
 def _(spark, sf):
-    grid = grid_of(observed(spark, sf))
+    grid = grid_of(observed_points(spark, sf))
     names = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     folder = f"{scratch(spark)}/downscaled"
     scoring.downscale_all(spark, raw_scenarios(spark, sf), trained(spark, sf), grid, folder, names, ["ssp126", "ssp585"])

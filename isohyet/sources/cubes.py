@@ -53,14 +53,20 @@ def _checked(df: DataFrame, source: str, keys: Sequence[str], validate: bool) ->
     return df
 
 
-def read_reference(raw: DataFrame, years: tuple[int, int] = ALL_YEARS, validate: bool = True) -> tuple[DataFrame, Grid]:
-    """Observed cube of the period and the grid it defines.
+def reference_cube(raw: DataFrame, years: tuple[int, int] = ALL_YEARS, validate: bool = True) -> DataFrame:
+    """Observed cube of the period.
 
     Ranges are strict and are checked on all years; an empty period is an error.
     """
     cube = alias_variable(alias_variable(raw, VARIABLE_ALIASES["cru_tmp"], "tas"), VARIABLE_ALIASES["cru_pre"], "pr")
     cube = _checked(nulls_for_nan(cube, VALUES), "reference", (), validate)
-    cube = require_rows(clip_years(cube, *years), "reference") if validate else clip_years(cube, *years)
+    clipped = clip_years(cube, *years)
+    return require_rows(clipped, "reference") if validate else clipped
+
+
+def read_reference(raw: DataFrame, years: tuple[int, int] = ALL_YEARS, validate: bool = True) -> tuple[DataFrame, Grid]:
+    """The observed cube and the grid it defines."""
+    cube = reference_cube(raw, years, validate)
     return cube, grid_of(cube)
 
 
@@ -81,9 +87,11 @@ def read_target(raw: DataFrame, reference: Grid | None = None, years: tuple[int,
     cube = _checked(convert_target(raw), "target", (), validate)
     if dict(cube.dtypes)["time"] == "string":
         cube = parse_times(cube, "time")
-    monthly = clip_years(resample_monthly(cube, {"tas": "mean", "pr": "sum"}), *years)
+    # Whole months lie on one side of a year's end, so the clip goes first and reaches the scan.
+    clipped = clip_years(cube, *years)
     if validate:
-        require_rows(monthly, "target")
+        require_rows(clipped, "target")
+    monthly = resample_monthly(clipped, {"tas": "mean", "pr": "sum"})
     if reference is None:
         return monthly
     return regrid(monthly, grid_of(cube), reference, keys=("time", "year", "month"))
