@@ -14,9 +14,12 @@ VALUES = ("tas", "pr")
 
 def ensemble_stats(df: DataFrame, values: Sequence[str] = VALUES,
                    keys: Sequence[str] = ("scenario", "year", "month", "lat", "lon")) -> DataFrame:
-    """Mean and population standard deviation over models, missing values left out."""
+    """Mean and population standard deviation over models, missing values left out.
+
+    n_models counts the models that have a value.
+    """
     return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_models"),
+        F.count_if(F.coalesce(*values).isNotNull()).alias("n_models"),
         *[F.avg(v).alias(f"{v}_mean") for v in values], *[F.stddev_pop(v).alias(f"{v}_std") for v in values],
     )
 

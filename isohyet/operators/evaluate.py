@@ -22,7 +22,6 @@ from isohyet.operators.align import align_pred_obs
 from isohyet.operators.grids import Grid, nearest_cell, points_table
 from isohyet.operators.temporal import period_select
 
-CELL = ("cell_id", "lat", "lon")
 VARIABLES = ("tas", "pr")
 
 
@@ -40,18 +39,22 @@ def spatial_mean(df: DataFrame, values: Sequence[str] = VARIABLES,
     return df.groupBy(*keys).agg(*[F.avg(v).alias(v) for v in values])
 
 
-def cell_rmse(pairs: DataFrame, variables: Sequence[str] = VARIABLES, cell: Sequence[str] = CELL) -> DataFrame:
-    return pairs.groupBy(*cell).agg(*[rmse(_p(v), _o(v)).alias(f"rmse_{v}") for v in variables])
+def _per_cell(df: DataFrame, aggregates: Sequence[Column], keys: Sequence[str] = ()) -> DataFrame:
+    """Group by the integer cell key; the coordinates are carried along."""
+    return df.groupBy(*keys, "cell_id").agg(F.min("lat").alias("lat"), F.min("lon").alias("lon"), *aggregates)
 
 
-def cell_correlation(pairs: DataFrame, variables: Sequence[str] = VARIABLES,
-                     cell: Sequence[str] = CELL) -> DataFrame:
-    return pairs.groupBy(*cell).agg(*[correlation(_p(v), _o(v)).alias(f"corr_{v}") for v in variables])
+def cell_rmse(pairs: DataFrame, variables: Sequence[str] = VARIABLES) -> DataFrame:
+    return _per_cell(pairs, [rmse(_p(v), _o(v)).alias(f"rmse_{v}") for v in variables])
 
 
-def cell_metrics(pairs: DataFrame, variables: Sequence[str] = VARIABLES, cell: Sequence[str] = CELL) -> DataFrame:
+def cell_correlation(pairs: DataFrame, variables: Sequence[str] = VARIABLES) -> DataFrame:
+    return _per_cell(pairs, [correlation(_p(v), _o(v)).alias(f"corr_{v}") for v in variables])
+
+
+def cell_metrics(pairs: DataFrame, variables: Sequence[str] = VARIABLES) -> DataFrame:
     """RMSE, correlation and pair count per cell in one aggregate."""
-    return pairs.groupBy(*cell).agg(*[
+    return _per_cell(pairs, [
         e for v in variables for e in (
             F.count_if(both(_p(v), _o(v))).alias(f"n_{v}"),
             rmse(_p(v), _o(v)).alias(f"rmse_{v}"),
@@ -250,8 +253,8 @@ def bias_map(pairs: DataFrame, variable: str = "tas", by_season: bool = False) -
     """
     keys = ["season"] if by_season else []
     rows = pairs.withColumn("season", season_of(F.col("month"))) if by_season else pairs
-    maps = rows.groupBy(*keys, *CELL).agg(
-        F.avg(_p(variable)).alias("pred_mean"), F.avg(_o(variable)).alias("obs_mean")
+    maps = _per_cell(
+        rows, [F.avg(_p(variable)).alias("pred_mean"), F.avg(_o(variable)).alias("obs_mean")], keys
     ).withColumn("bias", F.col("pred_mean") - F.col("obs_mean"))
     limits = maps.groupBy(*keys).agg(F.max(F.abs(F.col("bias"))).alias("limit"))
     if by_season:

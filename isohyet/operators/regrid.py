@@ -80,14 +80,17 @@ def flatten(df: DataFrame, values: str, lat: str = "lats", lon: str = "lons",
     return by_cell.select(*keys, "lat", F.get(lon, F.col("_j")).alias("lon"), name)
 
 
-def to_grid(df: DataFrame, grid: Grid, values: Sequence[str], keys: Sequence[str] = ("time",)) -> DataFrame:
+def to_grid(df: DataFrame, grid: Grid, values: Sequence[str], keys: Sequence[str] = ("time",),
+            steps: DataFrame | None = None) -> DataFrame:
     """Dense (keys x lat x lon) rows; absent cells are missing.
 
-    An off-grid row or a second row for a cell is an error. The skeleton is
+    `steps` holds the distinct keys; give it when they can be read more cheaply
+    than from `df`, which is otherwise computed twice. An off-grid row or a second row for a cell is an error. The skeleton is
     exploded from the axis arrays and spread before the longitudes are added,
     so no task holds a whole grid.
     """
-    steps = df.select(*keys).distinct()
+    if steps is None:
+        steps = df.select(*keys).distinct()
     on = [*keys, "lat_key", "lon_key"]
     skeleton = (
         steps.withColumn("lat", F.explode(F.lit(np.array(grid.lat))))

@@ -22,16 +22,19 @@ KEYS = ("model", "scenario", "time")
 
 
 def downscale(raw: DataFrame, models: ModelSet, grid: Grid, source_grids: dict[str, Grid] | None = None) -> DataFrame:
-    """Raw model cells to dense predictions (model, scenario, time, lat, lon, pred_tas, pred_pr)."""
-    cube = read_model(raw, grid, source_grids=source_grids)
-    return score_cube(cube, models, grid)
+    """Raw model cells to dense predictions (model, scenario, time, lat, lon, pred_tas, pred_pr).
+
+    Every time step of the input appears; the steps come from the raw scan.
+    """
+    steps = read_model(raw).select(*KEYS).distinct()
+    return score_cube(read_model(raw, grid, source_grids=source_grids), models, grid, steps)
 
 
-def score_cube(cube: DataFrame, models: ModelSet, grid: Grid) -> DataFrame:
+def score_cube(cube: DataFrame, models: ModelSet, grid: Grid, steps: DataFrame | None = None) -> DataFrame:
     """Score a cube that is on the target grid. Cells without both predictors stay missing."""
     features = scoring_features(cube.withColumnsRenamed({"tas": "gcm_tas_degC", "pr": "gcm_pr_mm"}))
     known = features.na.drop(subset=["gcm_tas_degC", "gcm_pr_log1p"])
-    return to_grid(score(known, models), grid, ("pred_tas", "pred_pr"), KEYS)
+    return to_grid(score(known, models), grid, ("pred_tas", "pred_pr"), KEYS, steps)
 
 
 def diagnostics(raw: DataFrame, downscaled: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

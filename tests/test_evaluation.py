@@ -187,3 +187,13 @@ def test_bias_map_limit_is_symmetric(uneven):
     assert {round(r["limit"], 9) for r in rows} == {round(max(abs(r["bias"]) for r in rows if r["bias"] is not None), 9)}
     seasonal = evaluate.bias_map(uneven[0], by_season=True).collect()
     assert {r["season"] for r in seasonal} == {"DJF", "MAM", "JJA", "SON"}
+
+
+def test_float_noise_does_not_split_a_cell(spark):
+    from isohyet.operators.align import align_pred_obs
+
+    schema = "year int, month int, lat double, lon double, tas double, pr double"
+    pred = spark.createDataFrame([(2000, m, 0.3, 1.0, 1.0 * m, 1.0) for m in (1, 2)], schema)
+    obs = spark.createDataFrame([(2000, 1, 0.1 + 0.2, 1.0, 2.0, 1.0), (2000, 2, 0.3, 1.0, 2.0, 1.0)], schema)
+    rows = evaluate.cell_metrics(align_pred_obs(pred, obs)).collect()
+    assert len(rows) == 1 and rows[0]["n_tas"] == 2
