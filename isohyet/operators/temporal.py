@@ -80,3 +80,8 @@ def resample_monthly(df: DataFrame, rules: Mapping[str, str],
     return monthly.filter(F.col("year").isNotNull()).select(
         *keys, month_start(F.col("year"), F.col("month")).alias(time), "year", "month", *cell, *rules
     )
+
+
+def sorted_times(df: DataFrame, time: str = "time") -> DataFrame:
+    """Distinct times, ascending."""
+    return df.select(time).filter(F.col(time).isNotNull()).distinct().orderBy(time)

@@ -133,6 +133,14 @@ def _(spark, sf):
     return manifest.batch_summary(status_log(spark, sf))
 
 
+@query("failed_jobs", f"""select dataset, l.status || '@' || strftime(l.ts, '%Y-%m-%d') as error from (
+    select dataset, max_by({{'status': status, 'ts': ts}}, (ts, status)) as l from status_log group by dataset)
+    where l.status = 'failed'""", ("status_log",))
+def _(spark, sf):
+    rows = status_log(spark, sf).withColumn("error", F.concat_ws("@", "status", F.col("ts").cast("date").cast("string")))
+    return manifest.failures(rows).select("dataset", "error")
+
+
 @query("manifest_roundtrip", "select status, count(*) as n from status_log group by status", ("status_log",))
 def _(spark, sf):
     from isohyet.queries.base import scratch

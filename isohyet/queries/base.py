@@ -47,7 +47,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             out[f.name] = F.round(F.col(f.name).cast("double"), digits) + F.lit(0.0)
         elif isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
-            out[f.name] = F.date_format(F.col(f.name), "yyyy-MM-dd HH:mm:ss")
+            out[f.name] = F.col(f.name).cast("string")
     return df.withColumns(out) if out else df
 
 

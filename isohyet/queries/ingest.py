@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from isohyet.constants import RANGES, VARIABLE_ALIASES
 from isohyet.functions import units
 from isohyet.functions.coords import cell_key
+from isohyet.functions.names import dataset_name
 from isohyet.operators import naming, profile as prof, quality, temporal
 from isohyet.operators.features import scoring_features, prepare_features, sample_rows, wet_only
 from isohyet.operators.grids import grid_of
@@ -212,6 +213,18 @@ def _(spark, sf):
     return temporal.clip_years(rows, 1996, 1998).select("o_orderkey", "time", "tas")
 
 
+@query("sorted_times", f"select distinct {STAMP.format('time')} as time from raw_model order by 1", ("raw_model",))
+def _(spark, sf):
+    return temporal.sorted_times(raw_model(spark, sf).withColumnRenamed("TIME", "time"))
+
+
+@query("dataset_names", "select model || '_' || scenario || '_tas' as dataset, count(*) as n from raw_model group by 1",
+       ("raw_model",))
+def _(spark, sf):
+    rows = raw_model(spark, sf).select(dataset_name(F.col("model"), F.col("scenario"), F.lit("tas")).alias("dataset"))
+    return rows.groupBy("dataset").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("period_select", f"select yr as year, mon as month, lat, lon, {r6('tas', 'tas')} from obs where yr in (2000, 2001)",
        ("obs",))
 def _(spark, sf):

@@ -17,7 +17,8 @@ from isohyet.sources import registry
 
 GBT = {"maxIter": 3, "maxDepth": 4, "stepSize": 0.3}
 RF = {"numTrees": 5, "maxDepth": 6}
-SMALL = {"temperature": GBT, "precipitation": GBT, "precipitation_occurrence": GBT}
+TINY = {"maxIter": 2, "maxDepth": 3, "stepSize": 0.5}
+SMALL = {"temperature": TINY, "precipitation": TINY, "precipitation_occurrence": TINY}
 
 
 def stored_training(spark, sf) -> str:

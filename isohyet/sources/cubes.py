@@ -131,16 +131,27 @@ def model_report(raw: DataFrame) -> DataFrame:
     return validate_range(convert_model(raw), RANGES["model"], ("model", "scenario"))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _hadoop(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+    return jvm_path, jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm_path, fs = _hadoop(spark, path)
+    return fs.exists(jvm_path)
+
+
+def siblings(spark: SparkSession, path: str) -> list[str]:
+    """Names in the folder a path lies in."""
+    folder, fs = _hadoop(spark, path.rstrip("/").rsplit("/", 1)[0] or "/")
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
 
 
 def first_existing(spark: SparkSession, candidates: Sequence[str]) -> str:
-    """First candidate path that exists; the error names all of them."""
+    """First candidate path that exists; the error names them and what is there instead."""
     found = next((p for p in candidates if path_exists(spark, p)), None)
     if found is None:
-        raise FileNotFoundError(f"none of these exist: {list(candidates)}")
+        raise FileNotFoundError(f"none of {list(candidates)} exist; available: {siblings(spark, candidates[0])}")
     return found
 
 

@@ -34,5 +34,12 @@ def latest_status(manifest: DataFrame, keys: Sequence[str] = ("dataset",), ts: s
 
 
 def batch_summary(manifest: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Entries per status, and how many of them carry an error text."""
+    """Entries per status."""
     return manifest.groupBy(*keys, "status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def failures(manifest: DataFrame, keys: Sequence[str] = ("dataset",)) -> DataFrame:
+    """Datasets whose latest entry is a failure, with its error."""
+    order = F.struct("ts", "status")
+    latest = manifest.groupBy(*keys).agg(F.max_by(F.struct("status", "error", "ts"), order).alias("last"))
+    return latest.filter(F.col("last.status") == "failed").select(*keys, "last.error", "last.ts")

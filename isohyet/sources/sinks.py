@@ -38,7 +38,7 @@ def downscaled_table(df: DataFrame, values: Mapping[str, str] | None = None) ->
 def write_downscaled(df: DataFrame, path: str, model_paths: Mapping[str, object], algorithm: str) -> None:
     """Predictions by scenario and model, and a provenance table beside them."""
     write_table(downscaled_table(df), f"{path}/data", ("scenario", "model"))
-    provenance(df.sparkSession.read.parquet(f"{path}/data"), model_paths, algorithm).coalesce(1).write.mode(
+    provenance(df.sparkSession.read.parquet(f"{path}/data"), model_paths, algorithm).repartition(1).write.mode(
         "overwrite"
     ).json(f"{path}/provenance")
 
@@ -63,4 +63,4 @@ def provenance(df: DataFrame, model_paths: Mapping[str, object], algorithm: str)
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
-    metrics.coalesce(1).write.mode("overwrite").json(path)
+    metrics.repartition(1).write.mode("overwrite").json(path)

@@ -93,6 +93,7 @@ def log(spark):
 def test_pending_uses_the_latest_status(spark, log):
     wanted = spark.createDataFrame([(x,) for x in "abcde"], "dataset string")
     assert sorted(r[0] for r in align.pending(wanted, log).collect()) == ["b", "d", "e"]
+    assert {r["dataset"]: r["error"] for r in manifest.failures(log).collect()} == {"b": "x", "d": "x"}
     assert {r["status"]: r["n"] for r in manifest.batch_summary(log).collect()} == {"completed": 3, "failed": 3}
 
 
