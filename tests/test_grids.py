@@ -189,3 +189,22 @@ def test_pivot_map_is_the_time_mean(cube):
 def test_unknown_method(spark):
     with pytest.raises(ValueError):
         grids.axis_weights(spark, {"g": SRC}, SRC, "cubic")
+
+
+def test_alignment_keeps_the_regrids_partitioning(spark, cube, tmp_path):
+    from isohyet.operators.align import align_pred_obs
+    from isohyet.operators.temporal import add_calendar
+
+    target = Grid((0.5, 1.5), (10.5, 11.5))
+    cube(plane(SRC)).write.parquet(str(tmp_path / "model"))
+    cube(plane(target)).write.parquet(str(tmp_path / "obs"))
+    model, obs = (add_calendar(spark.read.parquet(str(tmp_path / n))) for n in ("model", "obs"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = align_pred_obs(regrid(model, SRC, target, keys=("year", "month")), obs)
+        plan = plan_of(pairs)
+        # One exchange inside the regrid, one that brings the observations to it.
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert pairs.count() == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
