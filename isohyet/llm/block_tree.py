@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.ml.classification import DecisionTreeClassifier
@@ -41,12 +42,13 @@ HINTS = frozenset(
     "sponsor sponsored subscribe tags toolbar topbar trending warning widget widgets".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
+# Inside a tag: anything but its end; an open quote runs to the next one or to the end of the page.
+INSIDE = r"(?:[^>\"']|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+"
 TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+(?:/>|>.*?(?:</(?P=raw)\s*+[^>]*+>|\Z))"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<[!?/][^>]*+(?:>|\Z)"
-    r"|<[a-zA-Z/][^<>]*+\Z",  # a tag that the end of the page cuts off
+    r"|<(?P<raw>" + "|".join(RAW) + rf")\b{INSIDE}(?:/>|>.*?(?:</(?P=raw)\b[^>]*+(?:>|\Z)|\Z)|\Z)"
+    rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>{INSIDE})(?:>|\Z)"
+    r"|<[!?/][^>]*+(?:>|\Z)",
     re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 PARTS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
@@ -84,6 +86,8 @@ def blocks_of(page: str) -> list[Block]:
     """The flat text blocks of a page, in page order; tags, comments and raw elements are gone."""
     blocks: list[Block] = []
     stack: list[tuple[str, bool, bool]] = []
+    open_tags: Counter[str] = Counter()
+    articles = boilerplates = 0
     parts: list[str] = []
     linked: list[str] = []
     in_link, heading = False, False
@@ -94,7 +98,7 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 words = len(html.unescape("".join(linked)).split())
-                blocks.append(Block(text, words, any(s[1] for s in stack), any(s[2] for s in stack), heading))
+                blocks.append(Block(text, words, articles > 0, boilerplates > 0, heading))
         parts, linked = [], []
 
     def take(text: str) -> None:
@@ -115,10 +119,17 @@ def blocks_of(page: str) -> list[Block]:
             cut()
             if tag in CONTAINERS:
                 if not m["close"]:
-                    stack.append((tag, *marks_of(tag, m["attrs"], any(s[1] for s in stack))))
-                elif any(s[0] == tag for s in stack):
-                    while stack.pop()[0] != tag:
-                        pass
+                    stack.append((tag, *marks_of(tag, m["attrs"], articles > 0)))
+                    open_tags[tag] += 1
+                    articles += stack[-1][1]
+                    boilerplates += stack[-1][2]
+                elif open_tags[tag]:
+                    name = ""
+                    while name != tag:
+                        name, article, boilerplate = stack.pop()
+                        open_tags[name] -= 1
+                        articles -= article
+                        boilerplates -= boilerplate
             heading = tag[0] == "h" and tag[1:].isdigit() and not m["close"] or heading and tag == "br"
     take(page[at:])
     cut()
