@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isohyet.llm import block_tree, bpe_transducer, sumsquares_packing, token_counts
+from isohyet.llm import block_tree, bpe_transducer, risk_thresholds, subword_embedding, sumsquares_packing, token_counts
 from isohyet.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,11 +29,22 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_tree.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return subword_embedding.score(docs, subword_embedding.fit(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return risk_thresholds.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.encode(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
