@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isohyet.llm import block_tree, bpe_transducer, risk_thresholds, subword_embedding, sumsquares_packing, token_counts
+from isohyet.llm import block_tree, bpe_transducer, hyperminhash, risk_thresholds, subword_embedding, sumsquares_packing, token_counts
 from isohyet.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sumsquares_packing.pack_documents(
         table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")
     ).drop("_shard")
+
+
+@query
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)

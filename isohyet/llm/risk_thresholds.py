@@ -30,7 +30,7 @@ from isohyet.llm.texts import map_texts, settled, words_of
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
-_KEEP_SYMBOLS = re.compile(f"[{re.escape(SYMBOLS)}]")
+_CAPITALS = re.compile("[A-ZÀ-ÖØ-Þ]")
 ALPHA, DELTA = 0.05, 0.1
 # Weight of a good document's rejection against a bad one's when certified cutoffs are compared.
 GOOD_WEIGHT = 10.0
@@ -50,19 +50,24 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 def repeat_words(ids: np.ndarray, doc: np.ndarray, n_docs: int, window: int = WINDOW) -> np.ndarray:
     """Per document, the words inside windows that occur twice or more in it.
 
-    Windows get exact numbers: a window of k + 1 words is numbered by the number
-    of its first k words and its last word.
+    Windows get exact numbers: a window of k + 1 words of a document is numbered
+    by the number of its first k words and its last word.
     """
     n = len(ids)
     if n < window:
         return np.zeros(n_docs, np.int64)
-    number = ids.astype(np.int64)
-    for k in range(1, window):
-        number = np.unique(number[:n - k] * (n + 1) + ids[k:n], return_inverse=True)[1]
-    inside = doc[:n - window + 1] == doc[window - 1:]
-    number = number.astype(np.int64)[inside] * n_docs + doc[:n - window + 1][inside]
-    _, which, count = np.unique(number, return_inverse=True, return_counts=True)
-    starts = np.flatnonzero(inside)[count[which] > 1]
+    # Only where all word pairs of a window occur twice in the document can the window do so.
+    pair = (ids[:-1].astype(np.int64) * n_docs + doc[:-1]) * (n + 1) + ids[1:]
+    _, number, count = np.unique(pair, return_inverse=True, return_counts=True)
+    again = (count[number] > 1) & (doc[1:] == doc[:-1])
+    run = np.ones(n - window + 1, bool)
+    for k in range(window - 1):
+        run &= again[k:n - window + 1 + k]
+    starts = np.flatnonzero(run)
+    number = doc[starts].astype(np.int64)
+    for k in range(window):
+        number = np.unique(number * (n + 1) + ids[starts + k], return_inverse=True)[1].astype(np.int64)
+    starts = starts[np.bincount(number)[number] > 1] if len(starts) else starts
     change = np.zeros(n + 1, np.int64)
     np.add.at(change, starts, 1)
     np.add.at(change, starts + window, -1)
@@ -85,7 +90,7 @@ def counts_of(texts: list[str]) -> list[list[int]]:
         lines.append(len(own))
         dup_lines.append(len(own) - len(set(own)))
     return [sizes.tolist(), [sum(map(len, ws)) for ws in words], [sum(map(t.count, SYMBOLS)) for t in texts], dup_lines,
-            repeats.tolist(), lines, doubled.tolist(), [sum(1 for c in t if c.isupper()) for t in texts]]
+            repeats.tolist(), lines, doubled.tolist(), [len(_CAPITALS.findall(t)) for t in texts]]
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", strata: tuple[str, ...] = ()) -> DataFrame:
