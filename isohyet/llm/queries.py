@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isohyet.llm import block_tree, bpe_transducer, hyperminhash, risk_thresholds, subword_embedding, sumsquares_packing, token_counts
+from isohyet.llm import block_tree, bpe_transducer, hyperminhash, risk_thresholds, rp_forest, subword_embedding, sumsquares_packing, token_counts
 from isohyet.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rp_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_tree.extract(table(spark, sf_dir, "pages"))
