@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isohyet.llm import block_tree, bpe_transducer, hyperminhash, risk_thresholds, rp_forest, subword_embedding, sumsquares_packing, token_counts
+from isohyet.llm import block_tree, bpe_transducer, hyperminhash, risk_thresholds, rp_forest, subword_embedding, suffix_dedup, sumsquares_packing, token_counts
 from isohyet.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk_thresholds.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
