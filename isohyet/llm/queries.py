@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isohyet.llm import block_tree, bpe_transducer, hyperminhash, risk_thresholds, rp_forest, subword_embedding, suffix_dedup, sumsquares_packing, token_counts
+from isohyet.llm import block_tree, bpe_transducer, hpyp, hyperminhash, risk_thresholds, rp_forest, subword_embedding, suffix_dedup, sumsquares_packing, token_counts
 from isohyet.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_tree.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpyp.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
