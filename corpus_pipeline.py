@@ -1,6 +1,80 @@
-"""The training-data pipeline over `documents`."""
+"""A training-data pipeline over `documents`.
+
+Quality classifier, quality rules, near-duplicates, repeated passages, packing.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes it
+to the shared folder and rereads it as the next stage's documents. All stages
+but the last return the columns of `documents`; other columns pass through the
+first three. Nulls, empty texts, repeated rows and empty tables are handled as
+the operators state; a null or empty text fails the quality rules.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from isohyet.llm import hyperminhash, risk_thresholds, subword_embedding, suffix_dedup, sumsquares_packing
+from isohyet.llm.queries import tokenizer_path
+from isohyet.llm.texts import settled, table
+
+#: Word shingles of the near-duplicate stage, and the least similarity in percent.
+SHINGLE, PERCENT = 5, 80
+#: Bytes of a repeated passage.
+PASSAGE = 200
+
+# No SQL: the first stage trains a model.
 ORACLE_SQL = None
+
+
+def _only(docs: DataFrame, decided: DataFrame, keep) -> DataFrame:
+    """The documents whose ids are decided to stay; a null id is looked up like any other."""
+    ids = decided.filter(keep).select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for good ones."""
+    model = subword_embedding.fit(docs, table(spark, sf_dir, "labels"))
+    return _only(docs, subword_embedding.score(docs, model), F.col("predicted") == 1)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no rule rejects."""
+    return _only(docs, risk_thresholds.apply_rules(docs, table(spark, sf_dir, "labels")), F.col("kept"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id."""
+    kept = _only(docs, hyperminhash.near_duplicates(docs, SHINGLE, PERCENT), F.col("kept"))
+    # Rows that repeat an id are copies of each other.
+    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that stand elsewhere too; documents of which no word is left go."""
+    texts = suffix_dedup.dedup(docs, PASSAGE).filter(F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")).select(
+        F.col("doc_id").alias("_id"), "kept_text").dropDuplicates(["_id"])
+    joined = docs.drop("text", "n_chars").join(texts, docs["doc_id"].eqNullSafe(texts["_id"]))
+    out = joined.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")})
+    return out.select(*[c for c in docs.columns])
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their sequences."""
+    return sumsquares_packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("quality rules", quality_rules),
+    ("near-duplicates", near_duplicates),
+    ("repeated passages", repeated_passages),
+    ("best-fit packing", best_fit_packing),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = settled(stage(spark, docs, sf_dir))
+    return docs

@@ -69,7 +69,7 @@ def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sumsquares_packing.pack_documents(
         table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")
-    ).drop("_shard")
+    )
 
 
 @query
