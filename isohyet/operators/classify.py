@@ -5,21 +5,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from isohyet.functions.statistics import both
-from isohyet.operators.sizing import settle
 
 ROWS_PER_RANGE = 500_000
-MAX_RANGES = 10_000
+
+
+def _number(score: Column) -> Column:
+    """The score as a double; NaN counts as missing."""
+    value = score.cast("double")
+    return F.when(~F.isnan(value), value)
 
 
 def score_counts(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Positives and negatives per distinct score; tied rows collapse here."""
-    pairs = df.filter(both(F.col(label), F.col(score)))
-    return pairs.groupBy(*keys, F.col(score).cast("double").alias("score")).agg(
+    """Positives and negatives per distinct score; tied rows collapse here.
+
+    Rows that miss the label or the score are left out.
+    """
+    pairs = df.withColumn("_score", _number(F.col(score))).filter(both(F.col(label), F.col("_score")))
+    return pairs.groupBy(*keys, F.col("_score").alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("n_pos"), F.count_if(F.col(label) != 1).alias("n_neg")
     )
 
@@ -28,45 +35,35 @@ def totals_below(counts: DataFrame, values: Sequence[str], keys: Sequence[str] =
                  rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add <v>_below: the total of <v> over all rows with a smaller `by` (and the same keys).
 
-    `counts` holds each `by` once. A small table is ranked in one window. A
-    larger one is cut into ranges of about `rows_per_range` rows; sums run
-    inside each range and are shifted by the totals of the ranges before it,
-    so no task ever sorts the whole.
+    `counts` holds each `by` once per key, without NaN. It is cut into ranges of
+    about `rows_per_range` rows; sums run inside each range and are shifted by
+    the totals of the ranges before it, so no task ever sorts the whole. The way
+    is the same at every size. A missing key is a group like any other.
     """
-    table, fits = settle(counts, rows_per_range)
-    if fits:
-        return _running(table.withColumn("_range", F.lit(0.0)), values, keys, by)
-    table = counts.persist()
-    ranges = min(-(-table.count() // rows_per_range), MAX_RANGES)
+    ranges = max(1, -(-counts.count() // rows_per_range))
     steps = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(table.approxQuantile(by, steps, 1 / (4 * ranges))))
-    if not cuts:
-        return _running(table.withColumn("_range", F.lit(0.0)), values, keys, by)
-    splits = [float("-inf"), *cuts, float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol=by, outputCol="_range").transform(table)
+    quantiles = counts.approxQuantile(by, steps, 1 / (4 * ranges)) if steps else []
+    splits = [float("-inf"), *sorted({0.0, *quantiles} - {float("-inf"), float("inf")}), float("inf")]
+    ranged = Bucketizer(splits=splits, inputCol=by, outputCol="_range").transform(counts)
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # One row per range and key.
     shift = ranged.groupBy(*keys, "_range").agg(*[F.sum(v).alias(v) for v in values]).select(
-        *keys, "_range", *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_shift_{v}") for v in values]
+        *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_range").alias("_key__range"),
+        *[F.coalesce(F.sum(v).over(before), F.lit(0)).alias(f"_shift_{v}") for v in values],
     )
-    local = _running(ranged, values, keys, by, keep_range=True)
-    joined = local.join(shift, [*keys, "_range"])
-    return joined.withColumns(
+    inside = Window.partitionBy(*keys, "_range").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumns({f"{v}_below": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values})
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in (*keys, "_range")]
+    return local.join(shift, same).withColumns(
         {f"{v}_below": F.col(f"{v}_below") + F.col(f"_shift_{v}") for v in values}
-    ).drop("_range", *[f"_shift_{v}" for v in values])
-
-
-def _running(df: DataFrame, values: Sequence[str], keys: Sequence[str], by: str,
-             keep_range: bool = False) -> DataFrame:
-    w = Window.partitionBy(*keys, "_range").orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
-    out = df.withColumns({f"{v}_below": F.coalesce(F.sum(v).over(w), F.lit(0)) for v in values})
-    return out if keep_range else out.drop("_range")
+    ).drop("_range", "_key__range", *[f"_key_{k}" for k in keys], *[f"_shift_{v}" for v in values])
 
 
 def tied_ranks(df: DataFrame, score: str, keys: Sequence[str] = (),
                rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Each distinct score with its row count and its average rank, ties shared."""
-    counts = df.filter(F.col(score).isNotNull()).groupBy(*keys, F.col(score).cast("double").alias("score")).agg(
+    rows = df.withColumn("_score", _number(F.col(score))).filter(F.col("_score").isNotNull())
+    counts = rows.groupBy(*keys, F.col("_score").alias("score")).agg(
         F.count(F.lit(1)).alias("n")
     )
     ranked = totals_below(counts, ["n"], keys, rows_per_range=rows_per_range)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isohyet.constants import ALL_YEARS, FUTURE_YEARS, HISTORICAL
@@ -49,10 +49,11 @@ def change_signal(ensemble: DataFrame, future: tuple[int, int] = FUTURE_YEARS,
         *[F.avg(F.when(in_base, F.col(f"{v}_mean"))).alias(f"base_{v}") for v in VALUES],
         *[F.avg(f"{v}_std").alias(f"spread_{v}") for v in VALUES],
     )
-    history = per_scenario.filter(F.col("scenario") == HISTORICAL)
-    out = per_scenario.filter(F.col("scenario") != HISTORICAL)
-    for v in VALUES:
-        out = out.withColumn(f"base_{v}", history.select(f"base_{v}").scalar())
+    # One row per scenario: a window over all of them spreads the historical base.
+    every = Window.partitionBy()
+    out = per_scenario.withColumns({
+        f"base_{v}": F.max(F.when(F.col("scenario") == HISTORICAL, F.col(f"base_{v}"))).over(every) for v in VALUES
+    }).filter(F.col("scenario") != HISTORICAL)
     return out.select(
         "scenario",
         *[F.col(f"{p}_{v}") for v in VALUES for p in ("base", "future")],

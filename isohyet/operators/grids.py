@@ -18,10 +18,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from isohyet.functions.coords import MICRO, axis_key, cell_key
-from isohyet.operators.sizing import settle
+from isohyet.operators.sizing import fail_when
 
 # 200,000 coordinates on one axis are 200 m at the equator.
 AXIS_LIMIT = 200_000
+# Coordinates this close are the same.
+RTOL, ATOL = 1e-5, 1e-8
+# A target this far outside the source hull, in degrees, is on its border.
+SNAP = 1e-5
 METHODS = ("bilinear", "nearest", "conservative")
 
 
@@ -60,13 +64,14 @@ def grids_of(df: DataFrame, key: str, lat: str = "lat", lon: str = "lon") -> dic
 
     Raises when the points are not rectilinear axes.
     """
-    rows = axis_values(df, [key], lat, lon).select(key, "axis", "value")
-    table = rows.limit(2 * AXIS_LIMIT + 1).toArrow()
-    if table.num_rows > 2 * AXIS_LIMIT:
-        raise ValueError("too many distinct coordinates: not rectilinear grids")
+    rows = axis_values(df, [key], lat, lon)
+    # The bound is per axis, so any number of grids may come together.
+    axis = rows.groupBy(key, "axis").agg(F.count(F.lit(1)).alias("n"), F.collect_list("value").alias("values"))
+    table = axis.select(key, "axis", fail_when(
+        F.col("n") > AXIS_LIMIT, "too many distinct coordinates: not rectilinear grids", F.col("values")).alias("values")).toArrow()
     axes: dict[str, dict[str, list[float]]] = {}
-    for name, axis, value in zip(*(table[c].to_pylist() for c in (key, "axis", "value"))):
-        axes.setdefault(name, {"lat": [], "lon": []})[axis].append(value)
+    for name, axis, values in zip(*(table[c].to_pylist() for c in (key, "axis", "values"))):
+        axes.setdefault(name, {"lat": [], "lon": []})[axis] += values
     return {n: Grid(tuple(sorted(a["lat"])), tuple(sorted(a["lon"]))) for n, a in axes.items()}
 
 
@@ -114,7 +119,7 @@ def axes_table(spark: SparkSession, grids: Mapping[str, Grid]) -> DataFrame:
     return table.withColumn("key", axis_key(F.col("value")))
 
 
-def same_grid(first: Grid, second: Grid, rtol: float = 1e-5, atol: float = 1e-8) -> bool:
+def same_grid(first: Grid, second: Grid, rtol: float = RTOL, atol: float = ATOL) -> bool:
     """Equal sizes and every coordinate close."""
     def close(a, b):
         return len(a) == len(b) and all(abs(x - y) <= atol + rtol * abs(y) for x, y in zip(a, b))
@@ -122,7 +127,7 @@ def same_grid(first: Grid, second: Grid, rtol: float = 1e-5, atol: float = 1e-8)
     return close(first.lat, second.lat) and close(first.lon, second.lon)
 
 
-def compare_grids(first: DataFrame, second: DataFrame, rtol: float = 1e-5, atol: float = 1e-8) -> DataFrame:
+def compare_grids(first: DataFrame, second: DataFrame, rtol: float = RTOL, atol: float = ATOL) -> DataFrame:
     """`same_grid` as a table: per axis the sizes, the largest gap and the verdict.
 
     Both inputs are axis tables (axis, idx, value).
@@ -185,8 +190,13 @@ def _unfold(df: DataFrame, pairs: Column) -> DataFrame:
 
 
 def bilinear_weights(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Linear weights per axis. Targets outside the source hull have none."""
-    t, lo, hi = F.col("value"), F.col("below"), F.col("above")
+    """Linear weights per axis. Targets outside the source hull have none.
+
+    A target that misses the hull by rounding only takes the value of its border.
+    """
+    t, slack = F.col("value"), F.lit(SNAP) + F.lit(RTOL) * F.abs(F.col("value"))
+    lo = F.coalesce("below", F.when(F.col("above") - t <= slack, F.col("above")))
+    hi = F.coalesce("above", F.when(t - F.col("below") <= slack, F.col("below")))
     pairs = F.when(axis_key(lo) == axis_key(hi), F.array(_pair(lo, F.lit(1.0)))).when(
         lo.isNotNull() & hi.isNotNull(),
         F.array(_pair(lo, (hi - t) / (hi - lo)), _pair(hi, (t - lo) / (hi - lo))),
@@ -276,15 +286,25 @@ def axis_weights(spark: SparkSession, sources: Mapping[str, Grid], target: Grid,
                  method: str = "bilinear") -> DataFrame:
     """Weights (grid, axis, src_key, dst, w, n_src) of named source grids to one target.
 
-    n_src is the number of source coordinates a target coordinate needs.
+    n_src is the number of source coordinates a target coordinate needs. A grid
+    that is the target up to rounding maps one to one.
     """
     if method not in METHODS:
         raise ValueError(f"unknown method: {method}; one of {METHODS}")
     build = {"bilinear": bilinear_weights, "nearest": nearest_weights, "conservative": conservative_weights}[method]
-    targets = {name: target for name in sources}
-    weights = build(axes_table(spark, sources), axes_table(spark, targets))
-    bound = 8 * sum(len(g.lat) + len(g.lon) + len(target.lat) + len(target.lon) for g in sources.values())
-    return settle(weights, max_rows=bound)[0]
+    same = {name: g for name, g in sources.items() if same_grid(g, target)}
+    other = {name: g for name, g in sources.items() if name not in same}
+    weights = build(axes_table(spark, other), axes_table(spark, {name: target for name in other}))
+    weights = weights.unionByName(same_weights(axes_table(spark, same), axes_table(spark, {name: target for name in same})))
+    # A few rows per coordinate of grids that are in memory already: evaluated once, here.
+    return spark.createDataFrame(weights.toArrow(), schema=weights.schema)
+
+
+def same_weights(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Weight 1 from each coordinate to the one at the same place of an axis of equal size."""
+    dst = target.select("grid", "axis", "idx", F.col("value").alias("dst"))
+    return source.join(dst, ["grid", "axis", "idx"]).select(
+        "grid", "axis", F.col("key").alias("src_key"), "dst", F.lit(1.0).alias("w"), F.lit(1).alias("n_src"))
 
 
 def nearest_cell(points: DataFrame, grid: Grid, lat: str = "lat", lon: str = "lon") -> DataFrame:

@@ -15,13 +15,16 @@ def rename_coords(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(mapping))
 
 
-def standardize_coords(df: DataFrame) -> DataFrame:
-    """Rename the column whose name contains time, lat or lon, in any case.
+def standardize_coords(df: DataFrame, values: Sequence[str] = ()) -> DataFrame:
+    """Rename the coordinate whose name contains time, lat or lon, in any case.
 
-    Two columns that claim the same name are an error.
+    `values` are data columns, which keep their names whatever these contain.
+    Two coordinates that claim the same name are an error.
     """
     mapping: dict[str, str] = {}
     for name in df.columns:
+        if name in values:
+            continue
         target = next((t for t in ("time", "lat", "lon") if t in name.lower()), None)
         if target is None:
             continue

@@ -11,7 +11,6 @@ from isohyet.constants import CORE_COLUMNS
 from isohyet.functions.units import (
     flux_to_per_month, kelvin_to_celsius, metres_to_mm,
 )
-from isohyet.operators.sizing import join_settled
 
 
 class DataQualityError(ValueError):
@@ -57,8 +56,8 @@ def validate_range(df: DataFrame, rules: Mapping[str, tuple[float, float, bool]]
 
 
 def enforce(report: DataFrame) -> None:
-    """Raise on strict violations or an empty dataset; the report is tiny."""
-    bad = report.filter(F.col("status").isin("error", "empty")).limit(20).collect()
+    """Raise on strict violations or an empty dataset, naming all of them; the report has a row per dataset and variable."""
+    bad = report.filter(F.col("status").isin("error", "empty")).collect()
     if bad:
         lines = [
             f"{r['variable']}: {r['status']}, {r['n_outside']} of {r['n_rows']} rows outside "
@@ -86,7 +85,11 @@ def guarded_convert(df: DataFrame, kind: str, keys: Sequence[str],
         raise ValueError(f"unknown kind: {kind}")
     limit, convert = (10.0, metres_to_mm) if kind == "target" else (1.0, flux_to_per_month)
     peaks = df.groupBy(*keys).agg(F.max(tas).alias("_tas_max"), F.max(pr).alias("_pr_max"))
-    joined = join_settled(df, peaks, keys, null_safe=True)
+    if keys:
+        renamed = peaks.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+        joined = df.join(renamed, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]).drop(*[f"_key_{k}" for k in keys])
+    else:
+        joined = df.withColumns({c: peaks.select(c).scalar() for c in peaks.columns})
     return joined.withColumns({
         tas: F.when(F.col("_tas_max") > 100, kelvin_to_celsius(F.col(tas))).otherwise(F.col(tas)),
         pr: F.when(F.col("_pr_max") < limit, convert(F.col(pr))).otherwise(F.col(pr)),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isohyet.functions.coords import MICRO, axis_key, with_keys
-from isohyet.operators.grids import Grid, axis_weights, same_grid, weights_by_axis
+from isohyet.operators.grids import Grid, axis_weights, weights_by_axis
 from isohyet.operators.sizing import fail_when
 
 CELL = ("lat_key", "lon_key", "lat", "lon")
@@ -27,11 +27,11 @@ def regrid(df: DataFrame, source: Grid | Mapping[str, Grid], target: Grid, metho
     Latitudes are combined first, then longitudes. Both weight tables are axis
     tables and are broadcast. One shuffle, by (keys, target latitude), carries
     source-resolution rows; both aggregates run on it, so the fine rows are
-    never shuffled. A value is missing when any cell it needs is missing.
+    never shuffled. A value is missing when any cell it needs is missing. A
+    source that is the target up to rounding gets the target's coordinates; the
+    check for duplicates and the rule for missing cells are the same.
     """
     sources = {"": source} if isinstance(source, Grid) else dict(source)
-    if all(same_grid(g, target) for g in sources.values()):
-        return with_keys(df).select(*keys, *CELL, *values)
     if not isinstance(source, Grid) and grid_key not in keys:
         raise ValueError("several source grids need grid_key, one of the keys")
     if weights is None:

@@ -1,4 +1,4 @@
-"""Size-checked small tables and key checks."""
+"""Run-time checks of keys and values."""
 
 from __future__ import annotations
 
@@ -7,39 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A table of this many short rows is far below a hundred megabytes.
-BROADCAST_ROWS = 1_000_000
-
-
-def settle(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Evaluate a table that should be small, once.
-
-    Returns (local table, True) within the bound. Beyond it the DataFrame comes
-    back unchanged with False, so the caller joins it by shuffle.
-    """
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return df, False
-    if table.num_rows == 0:
-        return df.sparkSession.createDataFrame([], df.schema), True
-    return df.sparkSession.createDataFrame(table, schema=df.schema), True
-
-
-def join_settled(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-                 max_rows: int = BROADCAST_ROWS, null_safe: bool = False) -> DataFrame:
-    """Join a dimension: broadcast when its size is proven, shuffle otherwise.
-
-    `null_safe` lets a missing key match itself, as a grouping does.
-    """
-    table, fits = settle(small, max_rows)
-    if null_safe:
-        renamed = table.withColumnsRenamed({k: f"_key_{k}" for k in on})
-        condition = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in on]
-        joined = big.join(F.broadcast(renamed) if fits else renamed, condition, how)
-        return joined.drop(*[f"_key_{k}" for k in on])
-    return big.join(F.broadcast(table) if fits else table, list(on), how)
-
-
 def fail_when(condition: Column, message: str, value: Column) -> Column:
     """`value`, or a run-time error where the condition holds."""
     return F.when(condition, F.raise_error(F.lit(message))).otherwise(value)

@@ -39,7 +39,7 @@ def process_and_save(spark: SparkSession, reference: DataFrame, target: DataFram
         try:
             work()
         except Exception as error:
-            log([(dataset, "failed", str(error)[:500])])
+            log([(dataset, "failed", str(error))])
             raise
         log([(dataset, "completed", None)])
 
@@ -74,7 +74,7 @@ def _models(spark: SparkSession, models: DataFrame, grid: Grid, names: Sequence[
             try:
                 write([name])
             except Exception as error:
-                errors[name] = str(error)[:500]
+                errors[name] = str(error)
     written = spark.read.parquet(f"{output}/models").select("model").distinct()
     present = {r["model"] for r in written.filter(F.col("model").isin(*names)).collect()}
     out = []

@@ -20,9 +20,9 @@ def record(spark: SparkSession, path: str, entries: Sequence[tuple[str, str, str
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
-    """The manifest, or an empty one when it is absent or cannot be read."""
+    """The manifest, or an empty one when it is absent; files that cannot be read are skipped."""
     try:
-        return spark.read.schema(SCHEMA).parquet(path)
+        return spark.read.schema(SCHEMA).option("ignoreCorruptFiles", "true").parquet(path)
     except AnalysisException:
         return spark.createDataFrame([], SCHEMA)
 

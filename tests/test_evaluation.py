@@ -197,3 +197,15 @@ def test_float_noise_does_not_split_a_cell(spark):
     obs = spark.createDataFrame([(2000, 1, 0.1 + 0.2, 1.0, 2.0, 1.0), (2000, 2, 0.3, 1.0, 2.0, 1.0)], schema)
     rows = evaluate.cell_metrics(align_pred_obs(pred, obs)).collect()
     assert len(rows) == 1 and rows[0]["n_tas"] == 2
+
+
+@pytest.mark.parametrize("rows_per_range", [500_000, 3])
+def test_missing_keys_and_nan_scores_at_every_size(spark, rows_per_range):
+    rows = [(None if i % 3 else "a", float(i % 2), float("nan") if i == 7 else i / 10) for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, y double, p double")
+    got = classify.classification_metrics(df, "y", "p", keys=["k"], rows_per_range=rows_per_range).collect()
+    assert {r["k"] for r in got} == {None, "a"}
+    for r in got:
+        own = [(y, p) for k, y, p in rows if k == r["k"] and p == p]
+        pairs = [(p > q) + (p == q) / 2 for y, p in own for z, q in own if y == 1 and z == 0]
+        assert r["roc_auc"] == pytest.approx(sum(pairs) / len(pairs))

@@ -114,6 +114,29 @@ def test_linear_weights_match_numpy(spark, src, dst):
     assert [got[t] for t in inside] == pytest.approx(list(want))
 
 
+def test_a_source_that_is_the_target_up_to_rounding(spark, cube):
+    target = Grid((23.1, 24.1, 25.1), (60.3, 61.3))
+    near = Grid(tuple(float(np.float32(x)) for x in target.lat), tuple(float(np.float32(x)) for x in target.lon))
+    got = result(regrid(cube(plane(near)), near, target))
+    assert set(got) == {(la, lo) for la in target.lat for lo in target.lon}
+    rows = [(*r[:3], None, None) for r in plane(near)[:1]] + plane(near)[1:]
+    assert len(regrid(cube(rows), near, target).collect()) == 5  # a cell without a value is dropped, as elsewhere
+    with pytest.raises(PySparkException, match="two source rows"):
+        regrid(cube(plane(near) + plane(near)[:1]), near, target).collect()
+
+
+def test_border_keeps_its_rows_in_spite_of_rounding(cube):
+    target = Grid((-2e-6, 1.5, 3.00001), (10.0, 13.0))
+    got = result(regrid(cube(plane(SRC)), SRC, target))
+    assert {la for la, _ in got} == set(target.lat)
+
+
+def test_many_models_have_many_coordinates(spark):
+    df = spark.range(450 * 60).selectExpr("cast(id % 450 as string) as model", "double(id div 450) as lat", "double(id div 450) + 0.5 as lon")
+    found = grids.grids_of(df, "model")
+    assert len(found) == 450 and found["7"].lat == tuple(float(i) for i in range(60))
+
+
 def test_models_with_different_native_grids_in_one_plan(spark, cube):
     other = Grid((0.0, 2.0, 4.0), (10.0, 14.0))
     rows = [(*r, "a") for r in plane(SRC)] + [(*r, "b") for r in plane(other)]

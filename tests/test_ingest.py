@@ -133,6 +133,19 @@ def test_standardize_coords(spark):
     assert naming.standardize_coords(df).columns == ["time", "lat", "lon", "tas"]
     with pytest.raises(ValueError):
         naming.standardize_coords(df.withColumn("lat_bounds", F.lit(0)))
+    fluxes = df.withColumns({"longwave": F.lit(1.0), "latent_heat": F.lit(2.0)})
+    assert naming.standardize_coords(fluxes, values=("tas", "longwave", "latent_heat")).columns == [
+        "time", "lat", "lon", "tas", "longwave", "latent_heat"]
+
+
+def test_broken_manifest_files_are_skipped(spark, tmp_path):
+    from isohyet.sources import manifest
+
+    path = str(tmp_path / "manifest")
+    manifest.record(spark, path, [("a", "preprocess", "completed", None)])
+    (tmp_path / "manifest" / "part-broken.parquet").write_bytes(b"not parquet")
+    assert [r["dataset"] for r in manifest.load(spark, path).collect()] == ["a"]
+    assert manifest.load(spark, str(tmp_path / "absent")).count() == 0
 
 
 def test_alias_variable(spark):
