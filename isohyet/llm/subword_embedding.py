@@ -26,7 +26,7 @@ from isohyet.llm.texts import id_and_text, map_texts, words_of
 ROWS_BITS = 17
 DIM = 16
 NGRAMS = (3, 4, 5)
-EPOCHS = 8
+EPOCHS, LEAST_STEPS = 8, 12_000  # small samples are gone through more often
 RATE = 0.5
 # Labelled rows of each class that training takes at most.
 ROWS_PER_CLASS = 1_500
@@ -95,6 +95,7 @@ def train(texts: list[str], labels: list[int], bits: int = ROWS_BITS, dim: int =
     n1 = max(1, sum(labels))
     n0 = max(1, len(labels) - n1)
     weight = np.array([0.5 * len(labels) / n0, 0.5 * len(labels) / n1], np.float32)
+    epochs = max(epochs, -(-LEAST_STEPS // max(1, len(docs))))
     steps, step = epochs * len(docs), 0
     for _ in range(epochs):
         for i in rng.permutation(len(docs)).tolist():
