@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isohyet.constants import (
@@ -73,6 +73,12 @@ def wet_share(df: DataFrame, target: str = "era_tp_mm", keys: Sequence[str] = ()
     return df.groupBy(*keys).agg(share(F.col(target) > 0).alias("wet_share"))
 
 
+def _share_below(fraction: Column, keys: Sequence[str], seed: int) -> Column:
+    """Whether a row's hash lies in the first `fraction` of all hashes: the first 8 hex digits of an MD5 of its keys."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") < fraction * float(1 << 32)
+
+
 def sample_rows(df: DataFrame, fraction: float, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """A fraction of the rows by a hash of their keys.
 
@@ -80,16 +86,14 @@ def sample_rows(df: DataFrame, fraction: float, keys: Sequence[str], seed: int =
     """
     if not 0 <= fraction <= 1:
         raise ValueError("fraction must lie in [0, 1]")
-    buckets = 1_000_000
-    return df.filter(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(buckets)) < int(round(fraction * buckets)))
+    return df.filter(_share_below(F.lit(float(fraction)), keys, seed))
 
 
 def sample_splits(df: DataFrame, fraction: float, keys: Sequence[str], seed: int = 42) -> DataFrame:
     """`fraction` of train, at least a fifth of validation, all of test."""
     if fraction >= 1:
         return df
-    buckets = 1_000_000
     share_of = F.when(F.col("split") == "train", fraction).when(
         F.col("split") == "validation", max(fraction, 0.2)
     ).otherwise(1.0)
-    return df.filter(F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(buckets)) < F.round(share_of * buckets))
+    return df.filter(_share_below(share_of, keys, seed))

@@ -239,7 +239,10 @@ def _measure(low: Column, high: Column) -> Column:
 
 
 def conservative_weights(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Overlap of each source and target interval over the target's extent.
+    """Overlap of each source and target interval over the covered part of the target.
+
+    A target cell that reaches beyond the source grid gets the area mean of the
+    part that is covered; a cell without any cover has no weights.
 
     The bounds of both axes are merged in order. Each stretch between two
     bounds lies in one source and one target cell, so a scan finds all overlaps.
@@ -275,9 +278,9 @@ def conservative_weights(source: DataFrame, target: DataFrame) -> DataFrame:
     cell = Window.partitionBy("grid", "axis", "dst")
     return (
         stretches.groupBy("grid", "axis", "dst", "src").agg(F.sum("extent").alias("extent"))
+        .filter(F.col("src").isNotNull())
         .withColumn("w", F.col("extent") / F.sum("extent").over(cell))
         .withColumn("n_src", F.count("src").over(cell).cast("int"))
-        .filter(F.col("src").isNotNull())
         .select("grid", "axis", axis_key(F.col("src")).alias("src_key"), "dst", "w", "n_src")
     )
 

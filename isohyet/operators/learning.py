@@ -83,18 +83,19 @@ class DownscalingModel:
     def occurrence(self) -> bool:
         return self.model_type == "precipitation_occurrence"
 
-    def _estimator(self, validation: str | None):
+    def _estimator(self, validation: str | None, tolerance: float):
         common = {"featuresCol": "features", "labelCol": self.target, "seed": SEED, **self.hyperparams}
         if self.algorithm == "rf":
             return (RandomForestClassifier if self.occurrence else RandomForestRegressor)(**common)
         if validation:
             # Stops when the validation error no longer falls by the tolerance.
-            common.update(validationIndicatorCol=validation, validationTol=0.01)
+            common.update(validationIndicatorCol=validation, validationTol=tolerance)
         return (GBTClassifier if self.occurrence else GBTRegressor)(**common)
 
-    def fit(self, df: DataFrame, early_stopping: bool = False, metrics: bool = True) -> DownscalingModel:
+    def fit(self, df: DataFrame, early_stopping: bool = False, metrics: bool = True, tolerance: float = 0.01) -> DownscalingModel:
         """Fit on the `train` split; `validation` rows serve early stopping and metrics.
 
+        Boosting stops when the validation error falls by less than `tolerance` (of its value).
         Without a `split` column all rows are training rows.
         """
         checkpoint_dir(df.sparkSession)
@@ -110,7 +111,7 @@ class DownscalingModel:
             rows = df.filter(F.col("split") == "train")
         assembler = VectorAssembler(inputCols=list(self.features), outputCol="features", handleInvalid="error")
         started = time.monotonic()
-        self.fitted = Pipeline(stages=[assembler, self._estimator("_validation" if stop else None)]).fit(rows)
+        self.fitted = Pipeline(stages=[assembler, self._estimator("_validation" if stop else None, tolerance)]).fit(rows)
         self.history = {
             "model_type": self.model_type, "algorithm": self.algorithm,
             "hyperparams": dict(self.hyperparams), "n_features": len(self.features),

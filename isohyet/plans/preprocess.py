@@ -11,7 +11,7 @@ from isohyet.constants import ALL_YEARS, HISTORICAL, MODELS
 from isohyet.operators.align import pending
 from isohyet.operators.grids import Grid, grid_of
 from isohyet.sources import manifest as manifest_table
-from isohyet.sources.cubes import read_model, read_target, reference_cube
+from isohyet.sources.cubes import read_model, read_target, reference_cube, repeated_cells
 from isohyet.sources.sinks import write_table
 
 STAGE = "preprocess"
@@ -22,8 +22,9 @@ def process_and_save(spark: SparkSession, reference: DataFrame, target: DataFram
                      years: tuple[int, int] = ALL_YEARS) -> DataFrame:
     """Process all sources and return the manifest.
 
-    Reference and target fail fast. Models run as one job; if it fails, they
-    run one by one, so a bad model does not stop the others.
+    Reference and target fail fast. Models run as one job; those without rows or
+    with repeated cells are found first and logged, and do not stop the others.
+    The log tells of this run only, whatever an older one has stored.
     """
     path = f"{output}/manifest"
     wanted = ["reference", "target", *names]
@@ -62,25 +63,17 @@ def _models(spark: SparkSession, models: DataFrame, grid: Grid, names: Sequence[
             years: tuple[int, int]) -> list[tuple[str, str, str | None]]:
     history = models.filter(F.col("scenario") == HISTORICAL)
 
-    def write(some: Sequence[str]) -> None:
-        cube = read_model(history.filter(F.col("model").isin(*some)), grid, years)
-        write_table(cube.withColumn("year", F.year("time")), f"{output}/models", ("model", "scenario", "year"))
-
-    errors: dict[str, str] = {}
-    try:
-        write(names)
-    except Exception:
-        for name in names:
-            try:
-                write([name])
-            except Exception as error:
-                errors[name] = str(error)
-    written = spark.read.parquet(f"{output}/models").select("model").distinct()
-    present = {r["model"] for r in written.filter(F.col("model").isin(*names)).collect()}
-    out = []
-    for name in names:
-        if name in errors or name not in present:
-            out.append((name, "failed", errors.get(name, "no rows in the requested period")))
-        else:
-            out.append((name, "completed", None))
-    return out
+    history = history.filter(F.col("model").isin(*names))
+    # Both lists have at most one row per requested name.
+    repeated = {r["model"]: r["n_repeated"] for r in repeated_cells(read_model(history, years=years), ["model"]).collect()}
+    good = history.filter(~F.col("model").isin(*repeated)) if repeated else history
+    present = {r["model"] for r in read_model(good, years=years).select("model").distinct().collect()}
+    errors = {n: f"{repeated[n]} cells stand twice" for n in names if n in repeated}
+    errors |= {n: "no rows in the requested period" for n in names if n not in present and n not in repeated}
+    if present:
+        cube = read_model(good.filter(F.col("model").isin(*present)), grid, years)
+        try:
+            write_table(cube.withColumn("year", F.year("time")), f"{output}/models", ("model", "scenario", "year"))
+        except Exception as error:
+            errors |= {n: str(error) for n in present}
+    return [(n, "failed", errors[n]) if n in errors else (n, "completed", None) for n in names]

@@ -15,7 +15,7 @@ from isohyet.operators.grids import Grid
 from isohyet.operators.learning import ModelSet, score
 from isohyet.operators.regrid import to_grid
 from isohyet.sources import manifest as manifest_table
-from isohyet.sources.cubes import read_model
+from isohyet.sources.cubes import read_model, repeated_cells
 from isohyet.sources.sinks import write_downscaled, write_table
 
 KEYS = ("model", "scenario", "time")
@@ -59,28 +59,44 @@ def downscale_all(spark: SparkSession, raw: DataFrame, models: ModelSet, grid: G
                   names: Sequence[str] = MODELS, scenarios: Sequence[str] = FUTURE_SCENARIOS) -> DataFrame:
     """Score, store and combine every requested pair; returns the status per pair.
 
-    One job scores all pairs. A pair without input is reported as failed and
-    does not stop the others; the ensemble uses complete pairs only.
+    One job scores all pairs. A pair without input or with repeated cells is
+    logged as failed and does not stop the others; an error of the job itself is
+    logged for the pairs it was to make. Statuses are those of this run: what an
+    older one has stored counts for nothing. The ensemble uses complete pairs only.
     """
     jobs = job_matrix(spark, names, scenarios)
     wanted = raw.filter(F.col("model").isin(*names) & F.col("scenario").isin(*scenarios))
-    write_downscaled(downscale(wanted, models, grid), output, models.paths, models.temperature.algorithm)
-
-    # The stored predictions feed the rest, so nothing is scored twice.
-    stored = spark.read.parquet(f"{output}/data")
-    stored = stored.withColumnsRenamed({"tas": "pred_tas", "pr": "pred_pr"})
-    outputs = stored.groupBy("model", "scenario").agg(
-        F.count("pred_tas").alias("n_tas"), F.count("pred_pr").alias("n_pr")
-    )
-    status = jobs.join(outputs, ["model", "scenario"], "left").select(
-        "model", "scenario",
-        F.when((F.col("n_tas") > 0) & (F.col("n_pr") > 0), "completed").otherwise("failed").alias("status"),
-        F.when(F.col("n_tas").isNull(), "no input").alias("error"),
-    )
-    entries = [(f"{r['model']}_{r['scenario']}", "downscale", r["status"], r["error"]) for r in status.collect()]
+    cube = read_model(wanted)
+    # Both have at most one row per requested pair.
+    found = cube.select("model", "scenario").distinct()
+    repeated = repeated_cells(cube)
+    plan = spark.createDataFrame(jobs.join(found.withColumn("_found", F.lit(True)), ["model", "scenario"], "left").join(
+        repeated, ["model", "scenario"], "left").select("model", "scenario", F.when(
+            F.col("_found").isNull(), "no input").when(F.col("n_repeated").isNotNull(), F.concat_ws(
+                " ", "n_repeated", F.lit("cells stand twice"))).alias("error")).toArrow(), "model string, scenario string, error string")
+    ready = plan.filter("error is null").select("model", "scenario")
+    status, broken = plan.withColumn("status", F.lit("failed")), None
+    if not ready.isEmpty():
+        good = wanted.join(F.broadcast(ready), ["model", "scenario"], "left_semi")
+        try:
+            write_downscaled(downscale(good, models, grid), output, models.paths, models.temperature.algorithm, ready)
+        except Exception as error:
+            broken = str(error)
+        else:
+            # The stored predictions feed the rest, so nothing is scored twice.
+            stored = spark.read.parquet(f"{output}/data").withColumnsRenamed({"tas": "pred_tas", "pr": "pred_pr"})
+            rows = stored.join(F.broadcast(ready), ["model", "scenario"], "left_semi")
+            outputs = rows.groupBy("model", "scenario").agg(F.count("pred_tas").alias("n_tas"), F.count("pred_pr").alias("n_pr"))
+            status = plan.join(outputs, ["model", "scenario"], "left").select("model", "scenario", "error", F.when(
+                F.col("error").isNull() & (F.col("n_tas") > 0) & (F.col("n_pr") > 0), "completed").otherwise("failed").alias("status"))
+    if broken:
+        status = status.withColumn("error", F.coalesce("error", F.lit(broken)))
+    log = spark.createDataFrame(status.select("model", "scenario", "status", "error").toArrow(),
+                                "model string, scenario string, status string, error string")
+    entries = [(f"{r['model']}_{r['scenario']}", "downscale", r["status"], r["error"]) for r in log.collect()]
     manifest_table.record(spark, f"{output}/manifest", entries)
-    complete = status.filter(F.col("status") == "completed").select("model", "scenario")
-    # At most one row per requested pair, so the semi join does not shuffle a large model.
-    rows = stored.join(F.broadcast(complete), ["model", "scenario"], "left_semi")
-    write_table(ensemble_of(rows), f"{output}/ensemble", ("scenario",))
-    return status
+    complete = log.filter(F.col("status") == "completed").select("model", "scenario")
+    if not complete.isEmpty():
+        # At most one row per requested pair, so the semi join does not shuffle a large model.
+        write_table(ensemble_of(rows.join(F.broadcast(complete), ["model", "scenario"], "left_semi")), f"{output}/ensemble", ("scenario",))
+    return log

@@ -43,11 +43,15 @@ def save_training_table(table: DataFrame, path: str) -> None:
 
 
 def train_two_stage(table: DataFrame, output: str, algorithm: str = "auto",
-                    hyperparams: Mapping[str, Mapping] | None = None) -> tuple[DownscalingModel, DownscalingModel]:
-    """Occurrence and amount models, saved with the metrics of their product."""
-    params = hyperparams or {}
-    occurrence = fit_occurrence(table, algorithm, params.get("precipitation_occurrence"))
-    amount = fit_amount(table, algorithm, params.get("precipitation"))
+                    hyperparams: Mapping[str, Mapping] | None = None, early_stopping: bool = True,
+                    tolerance: float = 0.01) -> tuple[DownscalingModel, DownscalingModel]:
+    """Occurrence and amount models, saved with the metrics of their product.
+
+    Boosted trees stop early on the validation rows unless told otherwise.
+    """
+    params, stop = hyperparams or {}, {"early_stopping": early_stopping, "tolerance": tolerance}
+    occurrence = fit_occurrence(table, algorithm, params.get("precipitation_occurrence"), **stop)
+    amount = fit_amount(table, algorithm, params.get("precipitation"), **stop)
     occurrence.save(f"{output}/{occurrence.algorithm}_pr_occ")
     amount.save(f"{output}/{amount.algorithm}_pr_amt")
     pair = ModelSet(temperature=None, occurrence=occurrence, amount=amount)
@@ -56,21 +60,24 @@ def train_two_stage(table: DataFrame, output: str, algorithm: str = "auto",
 
 
 def train_all(spark: SparkSession, data: str, output: str, algorithm: str = "auto", two_stage: bool = True,
-              sample_fraction: float = 1.0, hyperparams: Mapping[str, Mapping] | None = None) -> ModelSet:
+              sample_fraction: float = 1.0, hyperparams: Mapping[str, Mapping] | None = None,
+              early_stopping: bool = True, tolerance: float = 0.01) -> ModelSet:
     """Temperature and precipitation models from the stored training table.
 
+    Boosted trees stop early on the validation rows unless told otherwise.
     The table is read once and kept for the fits, on disk where memory is short.
     """
     params = hyperparams or {}
     table = with_keys(read_split(spark, data)).filter(F.col("split").isNotNull())
     table = sample_splits(table, sample_fraction, ["year", "month", "lat_key", "lon_key"]).persist()
     try:
-        temperature = fit_temperature(table, algorithm, params.get("temperature"))
+        stop = {"early_stopping": early_stopping, "tolerance": tolerance}
+        temperature = fit_temperature(table, algorithm, params.get("temperature"), **stop)
         temperature.save(f"{output}/{temperature.algorithm}_{SUFFIX['temperature']}")
         if two_stage:
-            occurrence, amount = train_two_stage(table, output, algorithm, params)
+            occurrence, amount = train_two_stage(table, output, algorithm, params, **stop)
             return ModelSet(temperature, None, occurrence, amount)
-        single = fit_precip(table, algorithm, params.get("precipitation"))
+        single = fit_precip(table, algorithm, params.get("precipitation"), **stop)
         single.save(f"{output}/{single.algorithm}_{SUFFIX['precipitation']}")
         return ModelSet(temperature, single)
     finally:

@@ -65,11 +65,12 @@ def _(spark, sf):
 
 
 @query("join_tas_pr", f"""select model, scenario, yr as year, mon as month, lat, lon, {r6('tas', 'gcm_tas_degC')},
-    {r6('pr', 'gcm_pr_mm')} from multi where tas > 40 and pr < 2""", ("multi",))
+    {r6('pr', 'gcm_pr_mm')} from multi where model not in ('1-URGENT', '5-LOW')""", ("multi",))
 def _(spark, sf):
     cube = multi(spark, sf)
-    tas = cube.filter("tas > 40").withColumnRenamed("tas", "gcm_tas_degC").drop("pr")
-    pr = cube.filter("pr < 2").withColumnRenamed("pr", "gcm_pr_mm").drop("tas")
+    # Each side lacks a model of its own.
+    tas = cube.filter("model <> '1-URGENT'").withColumnRenamed("tas", "gcm_tas_degC").drop("pr")
+    pr = cube.filter("model <> '5-LOW'").withColumnRenamed("pr", "gcm_pr_mm").drop("tas")
     return align.join_tas_pr(tas, pr).select(
         "model", "scenario", F.year("time").alias("year"), F.month("time").alias("month"), "lat", "lon",
         "gcm_tas_degC", "gcm_pr_mm",
@@ -84,26 +85,30 @@ def _(spark, sf):
 
 
 @query("common_times", """select strftime(make_date(yr, mon, 1), '%Y-%m-%d 00:00:00') as time from (
-    select distinct yr, mon from obs intersect select distinct yr, mon from gcm intersect select distinct yr, mon from multi
-    where model = '1-URGENT')""", ("obs", "gcm", "multi"))
+    select distinct yr, mon from obs intersect select distinct yr, mon from gcm intersect
+    select yr, mon from multi group by 1,2 having count(distinct model) = (select count(distinct model) from multi))""", ("obs", "gcm", "multi"))
 def _(spark, sf):
-    urgent = multi(spark, sf).filter("model = '1-URGENT'")
-    return align.common_times([observed(spark, sf), coarse(spark, sf), urgent])
+    cube = multi(spark, sf)
+    models = [cube.filter(F.col("model") == m) for m in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")]
+    return align.common_times([observed(spark, sf), coarse(spark, sf), *models])
 
 
-@query("keep_common_times", f"""select yr as year, mon as month, lat, lon, {r6('tas', 'tas')} from obs
-    semi join gcm using (yr, mon)""", ("obs", "gcm"))
+@query("keep_common_times", " union all ".join(
+    f"select '{a}' as cube, yr as year, mon as month, lat, lon, {r6('tas', 'tas')}, {r6('pr', 'pr')} from {a} semi join {b} using (yr, mon)"
+    for a, b in (("obs", "gcm"), ("gcm", "obs"))), ("obs", "gcm"))
 def _(spark, sf):
-    kept = align.keep_common_times([observed(spark, sf), coarse(spark, sf)])
-    return kept[0].select("year", "month", "lat", "lon", "tas")
+    first, second = (
+        df.select(F.lit(name).alias("cube"), "year", "month", "lat", "lon", "tas", "pr")
+        for name, df in zip(("obs", "gcm"), align.keep_common_times([observed(spark, sf), coarse(spark, sf)])))
+    return first.unionByName(second)
 
 
 @query("merge_variables", f"""select model, scenario, yr as year, mon as month, lat, lon, {r6('a.tas', 'tas')},
-    {r6('b.pr', 'pr')} from (select * from multi where tas > 40) a
-    full join (select * from multi where pr < 2) b using (model, scenario, yr, mon, lat, lon)""", ("multi",))
+    {r6('b.pr', 'pr')} from (select * from multi where model <> '1-URGENT') a
+    full join (select * from multi where model <> '5-LOW') b using (model, scenario, yr, mon, lat, lon)""", ("multi",))
 def _(spark, sf):
     cube = multi(spark, sf)
-    merged = align.merge_variables(cube.filter("tas > 40").drop("pr"), cube.filter("pr < 2").drop("tas"))
+    merged = align.merge_variables(cube.filter("model <> '1-URGENT'").drop("pr"), cube.filter("model <> '5-LOW'").drop("tas"))
     return merged.select("model", "scenario", F.year("time").alias("year"), F.month("time").alias("month"),
                          "lat", "lon", "tas", "pr")
 

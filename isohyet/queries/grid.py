@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from isohyet.operators import grids
 from isohyet.operators.regrid import flatten, lon_name, pivot_map, regrid, to_grid
-from isohyet.queries.base import coarse, coarse_points, observed, observed_points, query, r6, table
+from isohyet.queries.base import coarse, coarse_points, observed, observed_points, query, r6, table, target_months
 from isohyet.queries.sqltext import linear_tables
 
 _XYM = ["year", "month", "lat", "lon", "tas", "pr"]
@@ -61,10 +61,10 @@ def _edges(axes: str) -> str:
         from {axes} window w as (partition by axis order by v)"""
 
 
-_OVERLAPS = f"""select axis, t, s, w, count(*) over (partition by axis, t) as n from (
+_OVERLAPS = f"""select axis, t, s, part / sum(part) over (partition by axis, t) as w, count(*) over (partition by axis, t) as n from (
     select d.axis, d.v as t, s.v as s, case when d.axis = 'lat'
-        then (sin(radians(least(d.e1, s.e1))) - sin(radians(greatest(d.e0, s.e0)))) / (sin(radians(d.e1)) - sin(radians(d.e0)))
-        else (least(d.e1, s.e1) - greatest(d.e0, s.e0)) / (d.e1 - d.e0) end as w
+        then sin(radians(least(d.e1, s.e1))) - sin(radians(greatest(d.e0, s.e0)))
+        else least(d.e1, s.e1) - greatest(d.e0, s.e0) end as part
     from ({_edges('axes_dst')}) d join ({_edges('axes_src')}) s on d.axis = s.axis and least(d.e1, s.e1) > greatest(d.e0, s.e0))"""
 
 
@@ -77,6 +77,18 @@ def _(spark, sf):
     return regridded(spark, sf, "conservative").select(*_XYM)
 
 
+@query("regrid_same_grid", f"""select yr as year, mon as month, lat, lon, {r6('o.tas', 'tas')}, {r6('o.pr', 'pr')}, {r6('t.tas', 'target_tas')}
+    from obs o join tgt t using (yr, mon, lat, lon) where o.tas is not null or o.pr is not null""", ("obs", "tgt"))
+def _(spark, sf):
+    """A source that misses the target's coordinates by rounding, then joined exactly."""
+    cube = observed(spark, sf).withColumns({"lat": F.col("lat") + 1e-4, "lon": F.col("lon") - 1e-4})
+    source = grids.grid_of(cube)
+    target = grids.grid_of(observed_points(spark, sf))
+    moved = regrid(cube, source, target, keys=("year", "month"))
+    other = target_months(spark, sf).select("year", "month", "lat", "lon", F.col("tas").alias("target_tas"))
+    return moved.join(other, ["year", "month", "lat", "lon"]).select(*_XYM, "target_tas")
+
+
 @query("regrid_weights", f"select axis, s as src, t as dst, {r6('w', 'w')}, n as n_src from linear", ("linear",))
 def _(spark, sf):
     grid = both_grids(spark, sf)
@@ -165,8 +177,9 @@ def _(spark, sf):
 _LONS = [60.125 + 0.25 * i for i in range(15)]
 
 
-@query("pivot_map", "select lat, " + ", ".join(
-    r6(f"avg(tas) filter (where lon = {x})", lon_name(x)) for x in _LONS) + " from obs group by lat", ("obs",))
+@query("pivot_map", " union all ".join(f"select '{v}' as variable, lat, " + ", ".join(
+    r6(f"avg({v}) filter (where lon = {x})", lon_name(x)) for x in _LONS) + " from obs group by lat" for v in ("tas", "pr")), ("obs",))
 def _(spark, sf):
-    cube = observed(spark, sf)
-    return pivot_map(cube, "tas", grids.grid_of(observed_points(spark, sf)))
+    cube, grid = observed(spark, sf), grids.grid_of(observed_points(spark, sf))
+    tas, pr = (pivot_map(cube, v, grid).withColumn("variable", F.lit(v)) for v in ("tas", "pr"))
+    return tas.unionByName(pr)

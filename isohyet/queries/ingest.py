@@ -143,13 +143,15 @@ def _(spark, sf):
 
 
 @query("standardize_coords", f"select {STAMP.format('o_orderdate')} as time, "
-       "22.5::double + (o_custkey % 5) as lat, 60.0::double + (o_orderkey % 5) as lon, o_totalprice as tas from orders")
+       "22.5::double + (o_custkey % 5) as lat, 60.0::double + (o_orderkey % 5) as lon, o_totalprice as tas, "
+       "o_totalprice as longwave, o_totalprice as latent_heat from orders")
 def _(spark, sf):
     raw = table(spark, sf, "orders").select(
         F.col("o_orderdate").alias("Valid_Time"), (F.lit(22.5) + F.col("o_custkey") % 5).alias("LATITUDE"),
         (F.lit(60.0) + F.col("o_orderkey") % 5).alias("nav_lon"), F.col("o_totalprice").alias("tas"),
+        F.col("o_totalprice").alias("longwave"), F.col("o_totalprice").alias("latent_heat"),
     )
-    return naming.standardize_coords(raw)
+    return naming.standardize_coords(raw, values=("tas", "longwave", "latent_heat"))
 
 
 @query("alias_variable", f"select {r6('l_quantity', 'cru_tmp')}, {r6('l_discount', 'cru_pre')}, l_orderkey, l_linenumber "
@@ -289,7 +291,8 @@ def _(spark, sf):
     return wet_only(scored(spark, sf), "p_wet").select("l_orderkey", "l_linenumber", "p_wet")
 
 
-@query("sample_rows")
+@query("sample_rows", """select l_orderkey, l_linenumber, round(l_quantity::double, 6) + 0.0::double as l_quantity from lineitem
+    where ('0x' || substr(md5(l_orderkey::varchar || '|' || l_linenumber::varchar || '|42'), 1, 8))::bigint < 0.2::double * 4294967296""")
 def _(spark, sf):
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     return sample_rows(rows, 0.2, ["l_orderkey", "l_linenumber"])

@@ -100,7 +100,7 @@ def _(spark, sf):
 def trained(spark, sf) -> ml.ModelSet:
     """All models, trained, saved, found again by name and loaded."""
     folder = f"{scratch(spark)}/models"
-    train_plan.train_all(spark, stored_training(spark, sf), folder, "gbt", True, 0.5, SMALL)
+    train_plan.train_all(spark, stored_training(spark, sf), folder, "gbt", True, 1.0, SMALL)
     names = spark.createDataFrame([(f"{folder}/{n}",) for n in ("gbt_tas", "gbt_pr_occ", "gbt_pr_amt")], "path string")
     return ml.ModelSet.load(registry.resolve_models(names))
 
@@ -129,14 +129,33 @@ def _(spark, sf):
     return spark.read.parquet(f"{folder}/ensemble")
 
 
-@query("process_and_save", """select dataset, stage, status from (select 'reference' as dataset union all select 'target'
+@query("process_and_save", """select dataset, stage, status, case when dataset in ('reference', 'target') then null
+        else n is not null end as stored from (select dataset, stage, status from (select 'reference' as dataset union all select 'target'
     union all select distinct model from multi) cross join (select 'preprocess' as stage, 'completed' as status)
-    union all select 'NO-SUCH-MODEL', 'preprocess', 'failed'""", ("multi",))
+    union all select 'NO-SUCH-MODEL', 'preprocess', 'failed') left join (
+    select model as dataset, count(distinct (yr, mon)) as n from multi where scenario = 'hist' and yr between 1995 and 1998 group by 1)
+    using (dataset)""", ("multi",))
 def _(spark, sf):
     reference = observed(spark, sf).withColumnsRenamed({"tas": "tmp", "pr": "pre"})
     names = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "NO-SUCH-MODEL"]
+    out = f"{scratch(spark)}/processed"
     log = preprocess.process_and_save(
-        spark, reference, raw_target(spark, sf), raw_scenarios(spark, sf), f"{scratch(spark)}/processed", names,
-        years=(1995, 1998),
+        spark, reference, raw_target(spark, sf), raw_scenarios(spark, sf), out, names, years=(1995, 1998),
     )
-    return log.select("dataset", "stage", "status")
+    stored = spark.read.parquet(f"{out}/models").groupBy(F.col("model").alias("dataset")).agg(F.count_distinct("time").alias("n"))
+    there = F.when(~F.col("dataset").isin("reference", "target"), F.col("n").isNotNull())
+    return log.join(stored, "dataset", "left").select("dataset", "stage", "status", there.alias("stored"))
+
+
+@query("process_bad_model", """select distinct model as dataset, case when model = '2-HIGH' then 'failed' else 'completed' end as status,
+    model = '2-HIGH' as twice from multi""", ("multi",))
+def _(spark, sf):
+    """A model with repeated cells is logged and does not stop the others."""
+    reference = observed(spark, sf).withColumnsRenamed({"tas": "tmp", "pr": "pre"})
+    names = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    raw = raw_scenarios(spark, sf)
+    raw = raw.unionByName(raw.filter("model = '2-HIGH'"))
+    log = preprocess.process_and_save(
+        spark, reference, raw_target(spark, sf), raw, f"{scratch(spark)}/processed", names, years=(1995, 1998))
+    return log.filter(F.col("dataset").isin(*names)).select(
+        "dataset", "status", F.coalesce(F.col("error").endswith("cells stand twice"), F.lit(False)).alias("twice"))

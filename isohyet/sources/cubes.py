@@ -19,6 +19,7 @@ from isohyet.functions.units import (
 )
 from isohyet.operators.features import scoring_features
 from isohyet.operators.align import join_tas_pr
+from isohyet.functions.coords import axis_key
 from isohyet.operators.grids import Grid, grid_of, grids_of
 from isohyet.operators.naming import (
     alias_variable, drop_coords, nulls_for_nan, rename_coords,
@@ -126,6 +127,13 @@ def read_model(raw: DataFrame, reference: Grid | None = None, years: tuple[int,
     return regrid(cube, grids, reference, method, keys=("model", "scenario", "time"), grid_key="model")
 
 
+def repeated_cells(cube: DataFrame, keys: Sequence[str] = ("model", "scenario")) -> DataFrame:
+    """The datasets (keys) in which a cell stands twice at a time, with the number of such cells."""
+    cells = cube.groupBy(*keys, "time", axis_key(F.col("lat")).alias("_lat"), axis_key(F.col("lon")).alias("_lon")).agg(
+        F.count(F.lit(1)).alias("_rows"))
+    return cells.filter("_rows > 1").groupBy(*keys).agg(F.count(F.lit(1)).alias("n_repeated"))
+
+
 def model_report(raw: DataFrame) -> DataFrame:
     """Lenient range report per model and scenario."""
     return validate_range(convert_model(raw), RANGES["model"], ("model", "scenario"))

@@ -35,12 +35,16 @@ def downscaled_table(df: DataFrame, values: Mapping[str, str] | None = None) ->
     return out
 
 
-def write_downscaled(df: DataFrame, path: str, model_paths: Mapping[str, object], algorithm: str) -> None:
-    """Predictions by scenario and model, and a provenance table beside them."""
+def write_downscaled(df: DataFrame, path: str, model_paths: Mapping[str, object], algorithm: str,
+                     pairs: DataFrame | None = None) -> None:
+    """Predictions by scenario and model, and provenance rows beside them.
+
+    `pairs` are the (model, scenario) of this run; rows of earlier runs stay as
+    they were written. Without it the pairs are taken from `df`.
+    """
     write_table(downscaled_table(df), f"{path}/data", ("scenario", "model"))
-    provenance(df.sparkSession.read.parquet(f"{path}/data"), model_paths, algorithm).repartition(1).write.mode(
-        "overwrite"
-    ).json(f"{path}/provenance")
+    made = df.select("model", "scenario").distinct() if pairs is None else pairs
+    provenance(made, model_paths, algorithm).repartition(1).write.mode("append").json(f"{path}/provenance")
 
 
 def provenance(df: DataFrame, model_paths: Mapping[str, object], algorithm: str) -> DataFrame:
