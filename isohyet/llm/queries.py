@@ -6,11 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from isohyet.llm import block_tree, bpe_transducer, hpyp, hyperminhash, risk_thresholds, rp_forest, subword_embedding, suffix_dedup, sumsquares_packing, token_counts
+from isohyet.llm import (
+    block_tree, bpe_transducer, hpyp, hyperminhash, oracles, risk_thresholds, rp_forest, subword_embedding, suffix_dedup,
+    sumsquares_packing, token_counts,
+)
 from isohyet.llm.texts import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_embedding_near_dedup": oracles.EMBEDDINGS,
+    "op6_suffix_dedup": oracles.PASSAGES,
+    "op10_minhash_near_dedup": oracles.NEAR_DUPLICATES,
+}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
