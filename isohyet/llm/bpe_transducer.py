@@ -19,15 +19,17 @@ import mmap
 import unicodedata
 import uuid
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isohyet.llm.ragged_merge import MergeTable
-from isohyet.llm.texts import id_and_text, map_texts, scratch
+from isohyet.llm.texts import chunks, id_and_text, map_texts, scratch, settled
 
 # Words of the lexicon; the rest of the vocabulary is merged when met.
 LEXICON_WORDS = 50_000
@@ -242,35 +244,54 @@ class Encoder:
 
 
 def word_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """word, n: how often each pre-token occurs in all texts; counted in the tasks before the shuffle."""
-    texts = id_and_text(docs, id_col, text_col)
+    """word, n: how often each pre-token occurs in all texts.
 
-    def start():
-        bpe = WordBpe(path)
+    Each task counts the runs between white space, cuts every distinct run once,
+    and gives the sums to the shuffle; its memory is emptied when it is full.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe, runs = WordBpe(path), Counter()
 
-        def work(ids, texts):
-            chunks = Counter()
-            for t in texts:
-                chunks.update(bpe.chunks(t))
+        def flush() -> pa.RecordBatch:
             words = Counter()
-            for c, n in chunks.items():
+            for c, n in runs.items():
                 for w in bpe.words(c):
                     words[w] += n
+            runs.clear()
             for s in bpe.special:
                 words.pop(s, None)
-            return [list(words), list(words.values())]
-
-        return work
-
-    counted = map_texts(texts, "word string, n long", start)
+            return pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())],
+                                              names=["word", "n"])
+
+        for batch in batches:
+            texts = batch.column(1)
+            for low, high in chunks(texts):
+                for t in texts.slice(low, high - low).to_pylist():
+                    runs.update(bpe.chunks(t))
+                if len(runs) > REMEMBERED:
+                    yield flush()
+        yield flush()
+
+    counted = id_and_text(docs, id_col, text_col).mapInArrow(run, "word string, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def build_lexicon(docs: DataFrame, path: str, max_words: int = LEXICON_WORDS,
                   id_col: str = "doc_id", text_col: str = "text") -> Transducer:
-    """Compile the `max_words` most frequent pre-tokens of all texts; only these come to the driver."""
-    top = word_counts(docs, path, id_col, text_col).orderBy(F.desc("n"), "word").limit(max_words).select("word")
-    words = [r[0] for r in top.collect()]
+    """Compile the most frequent pre-tokens of all texts, at most `max_words`; only these come to the driver.
+
+    The counts of counts give the frequency from which on all words fit.
+    """
+    counts = settled(word_counts(docs, path, id_col, text_col).filter("n > 1"))
+    # At most as many rows as there are different frequencies; the largest ones fill the lexicon.
+    sizes = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(max_words).collect()
+    least, total = None, 0
+    for row in sizes:
+        total += row["words"]
+        if total > max_words:
+            break
+        least = row["n"]
+    words = [] if least is None else [r[0] for r in counts.filter(F.col("n") >= least).select("word").collect()]
     return Transducer.compile(dict(zip(words, WordBpe(path).merge(words))))
 
 
