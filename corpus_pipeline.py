@@ -26,28 +26,22 @@ PASSAGE = 200
 ORACLE_SQL = None
 
 
-def _only(docs: DataFrame, decided: DataFrame, keep) -> DataFrame:
-    """The documents whose ids are decided to stay; a null id is looked up like any other."""
-    ids = decided.filter(keep).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
-
-
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good ones."""
-    model = subword_embedding.fit(docs, table(spark, sf_dir, "labels"))
-    return _only(docs, subword_embedding.score(docs, model), F.col("predicted") == 1)
+    return subword_embedding.kept_rows(docs, subword_embedding.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule rejects."""
-    return _only(docs, risk_thresholds.apply_rules(docs, table(spark, sf_dir, "labels")), F.col("kept"))
+    return risk_thresholds.kept_rows(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
-    kept = _only(docs, hyperminhash.near_duplicates(docs, SHINGLE, PERCENT), F.col("kept"))
+    kept = hyperminhash.near_duplicates(docs, SHINGLE, PERCENT).filter("kept and doc_id is not null").select("doc_id").distinct()
     # Rows that repeat an id are copies of each other.
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    known = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return known.unionByName(docs.filter("doc_id is null"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

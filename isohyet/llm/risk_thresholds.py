@@ -19,19 +19,21 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isohyet.llm.texts import map_texts, settled, words_of
+from isohyet.llm.texts import CHUNK_CHARS, settled, words_of
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 _CAPITALS = re.compile("[A-ZÀ-ÖØ-Þ]")
 ALPHA, DELTA = 0.05, 0.1
+# Strata whose cutoffs are handed out to all tasks; more are joined by a shuffle.
+BROADCAST_STRATA = 100_000
 # Weight of a good document's rejection against a bad one's when certified cutoffs are compared.
 GOOD_WEIGHT = 10.0
 
@@ -93,20 +95,32 @@ def counts_of(texts: list[str]) -> list[list[int]]:
             repeats.tolist(), lines, doubled.tolist(), [len(_CAPITALS.findall(t)) for t in texts]]
 
 
-def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", strata: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the counts of COUNTS, base_failed and one `_stratum`, a text of the strata columns."""
-    stratum = F.to_json(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in strata])) if strata else F.lit("[]")
-    keyed = docs.select(F.struct(F.col(id_col).cast("long").alias("doc_id"), stratum.alias("stratum")).alias("key"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def counted() -> Callable[[Column], Column]:
+    """A column function: text -> struct of COUNTS. Only the text goes through Arrow, other columns stay where they are."""
+    @F.pandas_udf(", ".join(f"{c} long" for c in COUNTS))
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for part in texts:
+            done, chunk, size = [], [], 0
+            for t in part:
+                if size > CHUNK_CHARS:
+                    done.append(pd.DataFrame(dict(zip(COUNTS, counts_of(chunk)))))
+                    chunk, size = [], 0
+                chunk.append(t)
+                size += len(t)
+            done.append(pd.DataFrame(dict(zip(COUNTS, counts_of(chunk)))))
+            yield pd.concat(done, ignore_index=True)
 
-    def start():
-        def work(keys, texts):
-            return [[k["doc_id"] for k in keys], [k["stratum"] for k in keys], *counts_of(texts)]
+    return run
 
-        return work
 
-    counted = map_texts(keyed, "doc_id long, _stratum string, " + ", ".join(f"{c} long" for c in COUNTS), start)
-    return counted.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
+def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", strata: tuple[str, ...] = (),
+            keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, `_row` (a struct of the columns to keep), `_stratum` (a text of the strata columns), the counts and base_failed."""
+    stratum = F.to_json(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in strata])) if strata else F.lit("[]")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *[F.struct(*keep).alias("_row")] * bool(keep),
+                       stratum.alias("_stratum"), counted()(F.coalesce(F.col(text_col), F.lit(""))).alias("_counts"))
+    return rows.select(*[c for c in rows.columns if c != "_counts"], "_counts.*").withColumn(
+        "base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
 def measures() -> dict[str, Column]:
@@ -145,13 +159,13 @@ def choose_cutoff(good: int, bad: int, good_above: list[int], bad_above: list[in
 
 
 def calibrate(measured: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA,
-              label_col: str = "quality", id_col: str = "doc_id") -> DataFrame:
+              label_col: str = "quality") -> DataFrame:
     """_stratum and one column per rule with its cutoff, null where nothing is certified.
 
     Labels count for documents that pass the base rules. A document labelled
     more than once counts with its lowest label.
     """
-    known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     known = known.filter(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("label").alias("label"))
     held = measured.filter(~F.col("base_failed")).join(known, "doc_id")
     good, bad = F.col("label") == 1, F.col("label") == 0
@@ -177,6 +191,19 @@ def calibrate(measured: DataFrame, labels: DataFrame, alpha: float = ALPHA, delt
     return by_stratum.mapInPandas(choose, "_stratum string, " + ", ".join(f"{r} double" for r in RULES))
 
 
+def judge(measured: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """A stored table of measure() with failed_rules and kept."""
+    cutoffs = settled(calibrate(measured, labels, alpha, delta))
+    # A row per stratum. Handed out if few, so that a stratum with most of the rows needs no shuffle.
+    few = cutoffs.count() <= BROADCAST_STRATA
+    joined = measured.join(F.broadcast(cutoffs) if few else cutoffs, "_stratum", "left")
+    # pandas hands an absent cutoff over as NaN.
+    failed = {rule: F.coalesce((value > F.col(rule)) & ~F.isnan(rule), F.lit(False)) for rule, value in measures().items()}
+    rejected = F.filter(F.array(*[F.when(f, F.lit(rule)) for rule, f in failed.items()]), lambda x: x.isNotNull())
+    return joined.select(*measured.columns, rejected.alias("failed_rules")).withColumn(
+        "kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+
+
 def apply_rules(docs: DataFrame, labels: DataFrame, strata: tuple[str, ...] = ("lang",), alpha: float = ALPHA,
                 delta: float = DELTA, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, the counts, base_failed, kept and the rules that reject, for every row.
@@ -185,11 +212,12 @@ def apply_rules(docs: DataFrame, labels: DataFrame, strata: tuple[str, ...] = ("
     value counts as the empty one. Repeated rows give repeated results, a null id
     stays null, other columns are left out. Without labels only the base rules reject.
     """
-    measured = settled(measure(docs, id_col, text_col, strata))
-    cutoffs = calibrate(measured, labels, alpha, delta, id_col=id_col)
-    joined = measured.join(cutoffs, "_stratum", "left")
-    # pandas hands an absent cutoff over as NaN.
-    failed = {rule: F.coalesce((value > F.col(rule)) & ~F.isnan(rule), F.lit(False)) for rule, value in measures().items()}
-    rejected = F.filter(F.array(*[F.when(f, F.lit(rule)) for rule, f in failed.items()]), lambda x: x.isNotNull())
-    return joined.select("doc_id", *COUNTS, "base_failed", rejected.alias("failed_rules")).withColumn(
-        "kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+    judged = judge(settled(measure(docs, id_col, text_col, strata)), labels, alpha, delta)
+    return judged.select("doc_id", *COUNTS, "base_failed", "failed_rules", "kept")
+
+
+def kept_rows(docs: DataFrame, labels: DataFrame, strata: tuple[str, ...] = ("lang",), alpha: float = ALPHA,
+              delta: float = DELTA) -> DataFrame:
+    """The rows of `docs` that no rule rejects. Texts are not shuffled."""
+    judged = judge(settled(measure(docs, strata=strata, keep=tuple(docs.columns))), labels, alpha, delta)
+    return judged.filter("kept").select("_row.*")

@@ -14,9 +14,11 @@ for scoring. Tasks remember those sums per word and score whole texts.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from operator import eq, mul
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -201,3 +203,17 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
     scored = map_texts(id_and_text(docs, id_col, text_col), "doc_id long, score double", start)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def kept_rows(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose score is at least 0.5. Texts are not shuffled."""
+    weights, bias = model
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+
+    @F.pandas_udf("double")
+    def score_of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scorer = Scorer(shared.value, bias)
+        for part in texts:
+            yield pd.Series([s for low in range(0, len(part), 500) for s in scorer.scores(part.iloc[low:low + 500].tolist())], dtype="float64")
+
+    return docs.filter(score_of(F.coalesce(F.col(text_col), F.lit(""))) >= 0.5)
