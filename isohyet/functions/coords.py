@@ -6,6 +6,8 @@ on floating-point coordinates. The packed cell key needs no grid table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +42,13 @@ def with_cell(df: DataFrame) -> DataFrame:
     if "lat_key" in df.columns and "lon_key" in df.columns:
         return df.withColumn("cell_id", pack_keys(F.col("lat_key"), F.col("lon_key")))
     return df.withColumn("cell_id", cell_key(F.col("lat"), F.col("lon")))
+
+
+def aggregate_cells(df: DataFrame, keys: Sequence[str | Column], *aggregates: Column) -> DataFrame:
+    """`df.groupBy(*keys).agg(*aggregates)`, with lat and lon among the keys compared as integer keys."""
+    axes = [k for k in keys if isinstance(k, str) and k in ("lat", "lon")]
+    names = [k if isinstance(k, str) else df.select(k).columns[0] for k in keys]
+    by = [axis_key(F.col(k)).alias(f"_key_{k}") if isinstance(k, str) and k in axes else k for k in keys]
+    out = df.groupBy(*by).agg(*[F.min(k).alias(k) for k in axes], *aggregates)
+    hidden = {f"_key_{k}" for k in axes}
+    return out.select(*names, *[c for c in out.columns if c not in names and c not in hidden])

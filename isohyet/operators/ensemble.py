@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isohyet.constants import ALL_YEARS, FUTURE_YEARS, HISTORICAL
+from isohyet.functions.coords import aggregate_cells
 
 VALUES = ("tas", "pr")
 
@@ -18,20 +19,20 @@ def ensemble_stats(df: DataFrame, values: Sequence[str] = VALUES,
 
     n_models counts the models that have a value.
     """
-    return df.groupBy(*keys).agg(
-        F.count_if(F.coalesce(*values).isNotNull()).alias("n_models"),
+    return aggregate_cells(
+        df, keys, F.count_if(F.coalesce(*values).isNotNull()).alias("n_models"),
         *[F.avg(v).alias(f"{v}_mean") for v in values], *[F.stddev_pop(v).alias(f"{v}_std") for v in values],
     )
 
 
 def ensemble_mean(df: DataFrame, values: Sequence[str] = VALUES,
                   keys: Sequence[str] = ("scenario", "year", "month", "lat", "lon")) -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.avg(v).alias(v) for v in values])
+    return aggregate_cells(df, keys, *[F.avg(v).alias(v) for v in values])
 
 
 def ensemble_std(df: DataFrame, values: Sequence[str] = VALUES,
                  keys: Sequence[str] = ("scenario", "year", "month", "lat", "lon")) -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.stddev_pop(v).alias(v) for v in values])
+    return aggregate_cells(df, keys, *[F.stddev_pop(v).alias(v) for v in values])
 
 
 def change_signal(ensemble: DataFrame, future: tuple[int, int] = FUTURE_YEARS,

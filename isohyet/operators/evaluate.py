@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from isohyet.constants import SAMPLE_POINTS, TEST_YEARS
 from isohyet.functions.calendar import season_of
-from isohyet.functions.coords import cell_key
+from isohyet.functions.coords import aggregate_cells, cell_key
 from isohyet.functions.statistics import (
     bias, both, correlation, mae, r_squared, rmse, share,
 )
@@ -86,14 +86,12 @@ def mae_bias(pairs: DataFrame, variables: Sequence[str] = VARIABLES, keys: Seque
 def seasonal_climatology(df: DataFrame, values: Sequence[str] = VARIABLES,
                          cell: Sequence[str] = ("lat", "lon")) -> DataFrame:
     """Mean per season and cell, all seasons in one pass."""
-    return df.groupBy(season_of(F.col("month")).alias("season"), *cell).agg(
-        *[F.avg(v).alias(v) for v in values]
-    )
+    return aggregate_cells(df, [season_of(F.col("month")).alias("season"), *cell], *[F.avg(v).alias(v) for v in values])
 
 
 def monthly_climatology(df: DataFrame, values: Sequence[str] = VARIABLES,
                         cell: Sequence[str] = ("lat", "lon")) -> DataFrame:
-    return df.groupBy("month", *cell).agg(*[F.avg(v).alias(v) for v in values])
+    return aggregate_cells(df, ["month", *cell], *[F.avg(v).alias(v) for v in values])
 
 
 def pattern_correlation(sides: DataFrame, variables: Sequence[str] = VARIABLES, strict: bool = False) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from isohyet.constants import ALL_YEARS, HISTORICAL, SEASONS
 from isohyet.functions.calendar import from_fields, month_start, ntz, parse_time
+from isohyet.functions.coords import aggregate_cells
 
 
 def _years(time: str, start: int, end: int) -> Column:
@@ -74,8 +75,9 @@ def resample_monthly(df: DataFrame, rules: Mapping[str, str],
     unknown = set(rules.values()) - set(kinds)
     if unknown:
         raise ValueError(f"unknown rule: {sorted(unknown)}")
-    monthly = df.groupBy(*keys, F.year(time).alias("year"), F.month(time).alias("month"), *cell).agg(
-        *[kinds[rule](name).alias(name) for name, rule in rules.items()]
+    monthly = aggregate_cells(
+        df, [*keys, F.year(time).alias("year"), F.month(time).alias("month"), *cell],
+        *[kinds[rule](name).alias(name) for name, rule in rules.items()],
     )
     return monthly.filter(F.col("year").isNotNull()).select(
         *keys, month_start(F.col("year"), F.col("month")).alias(time), "year", "month", *cell, *rules

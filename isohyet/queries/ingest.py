@@ -326,6 +326,25 @@ def _(spark, sf):
     return prof.grid_info(raw_model(spark, sf).withColumnsRenamed({"model": "dataset", "YAX": "lat", "XAX": "lon"}))
 
 
+_DATED = """select o_orderpriority as model, case when year(o_orderdate) <= 1998 then 'hist' else 'ssp585' end as scenario,
+    year(o_orderdate) as y, try_cast(printf('%04d-%02d-%02d', year(o_orderdate), month(o_orderdate), 1 + o_orderkey % 31) as timestamp) as t,
+    floor(o_totalprice/1000)/7.91907019::double as tas, 30*(floor(o_totalprice/1000)/7.91907019::double) as pr from orders"""
+
+
+@query("model_check", f"""select *, case when n_in_period = 0 then 'empty' when n_outside_tas + n_outside_pr > 0 then 'warning' else 'ok' end as status
+    from (select model, scenario, count(*) as n_rows, count(*) filter (where t is null) as n_impossible, count(*) filter (where ok) as n_in_period,
+    count(*) filter (where ok and (tas < -50 or tas > 60)) as n_outside_tas, count(*) filter (where ok and (pr < 0 or pr > 2000)) as n_outside_pr
+    from (select *, t is not null and (scenario <> 'hist' or y between 1980 and 1995) as ok from ({_DATED})) group by 1, 2)""")
+def _(spark, sf):
+    day = (1 + F.col("o_orderkey") % 31).cast("int")
+    raw = table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("model"), F.when(F.year("o_orderdate") <= 1998, "hist").otherwise("ssp585").alias("scenario"),
+        F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), day.alias("day"), F.lit(1.0).alias("YAX"), F.lit(1.0).alias("XAX"),
+        (F.floor(F.col("o_totalprice") / 1000) / 7.91907019).alias("TMP"), (F.floor(F.col("o_totalprice") / 1000) / 7.91907019).alias("PRE"),
+    )
+    return cubes.model_check(raw, (1980, 1995))
+
+
 @query("catalog", f"""select model || '_' || scenario as dataset, count(*) as n_rows, count(distinct time) as n_times,
     count(distinct lat) as n_lat, count(distinct lon) as n_lon, {STAMP.format('min(time)')} as first_time,
     {STAMP.format('max(time)')} as last_time, 'tas,pr' as variables from raw_model group by 1""", ("raw_model",))

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isohyet.constants import (
-    ALL_YEARS, MODEL_COORDS, RANGES, TARGET_COORDS, VARIABLE_ALIASES,
+    ALL_YEARS, HISTORICAL, MODEL_COORDS, RANGES, TARGET_COORDS, VARIABLE_ALIASES,
 )
+from isohyet.functions.calendar import from_fields
 from isohyet.functions.units import (
     kelvin_to_celsius, metres_to_mm, per_day_to_per_month,
 )
@@ -27,7 +28,7 @@ from isohyet.operators.naming import (
 from isohyet.operators.quality import enforce, require_rows, validate_range
 from isohyet.operators.regrid import regrid
 from isohyet.operators.temporal import (
-    clip_years, conditional_clip, decode_calendar, parse_times, resample_monthly,
+    clip_years, conditional_clip, parse_times, resample_monthly,
 )
 
 FORMATS = ("parquet", "json", "csv")
@@ -98,21 +99,47 @@ def read_target(raw: DataFrame, reference: Grid | None = None, years: tuple[int,
     return regrid(monthly, grid_of(cube), reference, keys=("time", "year", "month"))
 
 
+def _named_model(raw: DataFrame) -> DataFrame:
+    """Standard names, NULL for NaN, and the time; a date that cannot exist is missing here."""
+    cube = rename_coords(raw, MODEL_COORDS)
+    cube = alias_variable(alias_variable(cube, VARIABLE_ALIASES["gcm_tas"], "tas"), VARIABLE_ALIASES["gcm_pr"], "pr")
+    cube = nulls_for_nan(cube, VALUES)
+    if "time" not in cube.columns:
+        fields = [F.col(c) for c in ("year", "month", "day")]
+        return cube.withColumn("time", from_fields(*fields, F.col("hour") if "hour" in cube.columns else None))
+    return parse_times(cube, "time") if dict(cube.dtypes)["time"] == "string" else cube
+
+
 def convert_model(raw: DataFrame, exact_days: bool = False) -> DataFrame:
     """Rename, decode the calendar and turn mm/day into mm/month.
 
     Times may be timestamps, text, or the fields year, month, day (and hour).
+    Rows with fields that make no date are dropped; `model_check` counts them.
     """
-    cube = rename_coords(raw, MODEL_COORDS)
-    cube = alias_variable(alias_variable(cube, VARIABLE_ALIASES["gcm_tas"], "tas"), VARIABLE_ALIASES["gcm_pr"], "pr")
-    cube = nulls_for_nan(cube, VALUES)
-    if "time" not in cube.columns:
-        cube = decode_calendar(cube, "year", "month", "day", "hour" if "hour" in cube.columns else None)
-    elif dict(cube.dtypes)["time"] == "string":
-        cube = parse_times(cube, "time")
+    cube = _named_model(raw)
+    if "time" not in raw.withColumnsRenamed(MODEL_COORDS).columns:
+        cube = cube.filter(F.col("time").isNotNull())
     return cube.withColumn("pr", per_day_to_per_month(F.col("pr"), F.col("time"), exact_days))
 
 
+def model_check(raw: DataFrame, years: tuple[int, int] = ALL_YEARS) -> DataFrame:
+    """Per model and scenario, in one pass: rows, impossible dates, rows in the period, values outside the range, a status.
+
+    `empty` is a dataset without rows in the period, `warning` one with values
+    outside the (lenient) range, `ok` any other. Only historical rows are clipped.
+    """
+    cube = _named_model(raw).withColumn("pr", per_day_to_per_month(F.col("pr"), F.col("time"), False))
+    dated = F.col("time").isNotNull()
+    inside = dated & ((F.col("scenario") != HISTORICAL) | F.year("time").between(*years))
+    out = cube.groupBy("model", "scenario").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~dated).alias("n_impossible"), F.count_if(inside).alias("n_in_period"),
+        *[F.count_if(inside & ((F.col(v) < low) | (F.col(v) > high))).alias(f"n_outside_{v}")
+          for v, (low, high, _) in RANGES["model"].items()],
+    )
+    outside = sum((F.col(f"n_outside_{v}") for v in RANGES["model"]), F.lit(0))
+    return out.withColumn("status", F.when(F.col("n_in_period") == 0, "empty").when(outside > 0, "warning").otherwise("ok"))
+
+
 def read_model(raw: DataFrame, reference: Grid | None = None, years: tuple[int, int] = ALL_YEARS,
                method: str = "bilinear", source_grids: Mapping[str, Grid] | None = None) -> DataFrame:
     """Climate-model cube of all models and scenarios in the input, in one plan.
