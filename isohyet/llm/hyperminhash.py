@@ -10,8 +10,11 @@
 4. Candidates whose Jaccard similarity, estimated from equal registers and
    corrected for chance collisions, is far too low are dropped; the others are
    verified on the full sets, which are rebuilt from the texts.
-5. Representatives of a bucket that verified links have not yet joined are
-   compared with the rest of the bucket, until nothing is left to compare.
+5. A bucket may hold several components then. Its members outside the largest
+   one are compared with the others by their registers, in blocks, and plausible
+   pairs join components into families. In a family, the members outside the
+   largest component are verified against all others on the full sets, again in
+   blocks. No pairs are written but the links that join components.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ BANDS, BAND_BUCKETS = 32, 4
 SLACK = 0.2
 # Sets with fewer shingles are verified without an estimate.
 SURE_SIZE = 200
+BLOCK = 1_024  # members of a bucket or a family that one task compares at a time
 CHUNK = 256  # candidates that share one copy of their centre's text
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 
@@ -140,9 +144,7 @@ def _plausible(threshold: float):
                 continue
             n_a, n_b = (np.asarray(batch.column(c)) for c in ("n_a", "n_b"))
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(len(n_a), -1) for c in ("r_a", "r_b"))
-            guess = estimate((a == b).sum(axis=1), n_a, n_b, a.shape[1])
-            keep = (guess >= threshold - SLACK) | (np.minimum(n_a, n_b) < SURE_SIZE)
-            keep &= np.minimum(n_a, n_b) >= threshold * np.maximum(n_a, n_b) - 1e-9
+            keep = plausible((a == b).sum(axis=1), n_a, n_b, threshold, a.shape[1])
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))],
                                              names=["a", "b"])
 
@@ -171,6 +173,106 @@ def _verify(percent: int, shingle: int):
     return run
 
 
+def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables with the rows of one group each, from rows sorted by the keys."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = list(zip(*(batch.column(k).to_pylist() for k in keys)))
+        start = 0
+        for i, key in enumerate(columns):
+            if key != last:
+                if i > start:
+                    held.append(batch.slice(start, i - start))
+                if held:
+                    yield pa.Table.from_batches(held)
+                held, start, last = [], i, key
+        held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class Joiner:
+    """Components of a group of rows, for emitting only links that join two of them."""
+
+    def __init__(self, parts):
+        self.up = {p: p for p in parts}
+
+    def root(self, x):
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def join(self, a, b) -> bool:
+        a, b = self.root(a), self.root(b)
+        self.up[a] = b
+        return a != b
+
+
+def _plausible_in_bucket(threshold: float):
+    """Rows sorted by bucket and block. Plausible pairs between components, as far as they join components."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups_of(batches, ["key", "block"]):
+            reps, parts = group.column("rep").to_pylist(), group.column("component").to_pylist()
+            n = group.column("n_shingles").to_numpy()
+            registers = np.frombuffer(b"".join(group.column("registers").to_pylist()), "<u2").reshape(len(reps), -1)
+            number = {p: k for k, p in enumerate(dict.fromkeys(parts))}
+            part = np.array([number[p] for p in parts])
+            joiner, a, b = Joiner(parts), [], []
+            for i in np.flatnonzero(group.column("other").to_numpy(zero_copy_only=False)):
+                rows = np.flatnonzero((part != part[i]) & plausible(
+                    (registers == registers[i]).sum(axis=1), np.full(len(n), n[i]), n, threshold, registers.shape[1]))
+                # One row stands for each component that is met.
+                for j in rows[np.unique(part[rows], return_index=True)[1]].tolist():
+                    if joiner.join(parts[i], parts[j]):
+                        a.append(reps[i]), b.append(reps[j])
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def plausible(equal: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, threshold: float, buckets: int) -> np.ndarray:
+    """Whether a verification could confirm pairs with so many equal registers."""
+    small, large = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
+    keep = small >= threshold * large - 1e-9
+    keep[keep] = (estimate(equal[keep], n_a[keep], n_b[keep], buckets) >= threshold - SLACK) | (small[keep] < SURE_SIZE)
+    return keep
+
+
+def _verify_family(percent: int, shingle: int):
+    """Rows sorted by family and block pair. Links between components, as far as they join components."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups_of(batches, ["family", "i", "j"]):
+            reps, parts = group.column("rep").to_pylist(), group.column("component").to_pylist()
+            asks = group.column("asks").to_pylist()
+            texts, sets = group.column("text"), []
+            for low in range(0, len(reps), 200):
+                sets += shingle_sets(texts.slice(low, 200).to_pylist(), shingle)
+            asked = [k for k in range(len(reps)) if not asks[k]]
+            sizes = np.array([len(sets[k]) for k in asked])
+            flat = np.concatenate([sets[k] for k in asked]) if asked else np.empty(0, np.uint64)
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], np.repeat(np.arange(len(asked)), sizes)[order]
+            joiner, a, b = Joiner(parts), [], []
+            for k in (k for k in range(len(reps)) if asks[k]):
+                low, high = np.searchsorted(flat, sets[k]), np.searchsorted(flat, sets[k], side="right")
+                count = high - low
+                at = np.repeat(low - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
+                both = np.bincount(owner[at], minlength=len(asked))
+                for m in np.flatnonzero(100 * both >= percent * (len(sets[k]) + sizes - both)).tolist():
+                    other = asked[m]
+                    if parts[other] != parts[k] and joiner.join(parts[k], parts[other]):
+                        a.append(reps[k]), b.append(reps[other])
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row.
@@ -181,7 +283,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     linked with nothing. Repeated rows of one id are linked with each other.
     Sets are compared by 64-bit hashes of their shingles.
     """
-    spark = docs.sparkSession
     sets = settled(sketches(docs, shingle, id_col, text_col))
     usable = sets.filter("n_shingles > 0 and doc_id is not null")
     folded = usable.groupBy("n_shingles", "print_a", "print_b").agg(
@@ -194,31 +295,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     shared = bands.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).filter("centre < last")
     buckets = settled(bands.join(shared.select("key", "centre"), "key").distinct())
 
-    texts = None
-    links = spark.createDataFrame([], "a long, b long")
-    checked = links
-    candidates = buckets.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    while True:
-        left, right = (sketch_of.select(F.col("rep").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("registers").alias(f"r_{k}"))
-                       for k in ("a", "b"))
-        candidates = settled(candidates)
-        likely = settled(candidates.join(left, "a").join(right, "b").mapInArrow(_plausible(percent / 100), "a long, b long"))
-        texts = id_and_text(docs, id_col, text_col)
-        links = links.union(settled(_linked(likely, texts, percent, shingle)))
-        checked = checked.union(candidates)
-        joined = components(links)
-        # Members of a bucket outside its most frequent component meet the rest of the bucket.
-        placed = buckets.select("key", "rep").join(joined.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
-            "component", F.coalesce("component", "rep"))
-        sizes = placed.groupBy("key", "component").count()
-        main = sizes.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
-        apart = placed.join(main.filter("parts > 1"), "key")
-        others = apart.filter("component <> main").select("key", F.col("rep").alias("x"), F.col("component").alias("cx"))
-        pairs = others.join(apart.select("key", "rep", "component"), "key").filter("cx <> component").select(
-            F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
-        candidates = settled(pairs.join(checked, ["a", "b"], "left_anti"))
-        if candidates.isEmpty():
-            break
+    texts = id_and_text(docs, id_col, text_col)
+    left, right = (sketch_of.select(F.col("rep").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("registers").alias(f"r_{k}"))
+                   for k in ("a", "b"))
+    stars = buckets.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    likely = settled(stars.join(left, "a").join(right, "b").mapInArrow(_plausible(percent / 100), "a long, b long"))
+    links = settled(_linked(likely, texts, percent, shingle))
+    first = components(links)
+    families = _families(buckets, sketch_of, first, percent / 100)
+    more = _linked_in_families(families, texts, percent, shingle)
+    joined = components(links.union(more))
     of_rep = joined.select(F.col("id").alias("rep"), "component")
     whole = reps.select("n_shingles", "print_a", "print_b", "rep").join(of_rep, "rep", "left").select(
         "n_shingles", "print_a", "print_b", F.coalesce("component", "rep").alias("component"))
@@ -228,6 +314,51 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _families(buckets: DataFrame, sketch_of: DataFrame, first: DataFrame, threshold: float) -> DataFrame:
+    """rep, component, family of all representatives in families of several components."""
+    placed = buckets.select("key", "rep").join(first.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
+        "component", F.coalesce("component", "rep"))
+    main = placed.groupBy("key", "component").count().groupBy("key").agg(
+        F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts"),
+        F.ceil(F.sum("count") / BLOCK).alias("blocks")).filter("parts > 1")
+    apart = placed.join(main, "key").withColumn("other", F.col("component") != F.col("main")).join(sketch_of, "rep")
+    # Those outside the largest component visit all blocks of their bucket.
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    dealt = apart.withColumn("block", F.explode(F.when(F.col("other"), every).otherwise(F.array(F.pmod(F.xxhash64("rep"), "blocks")))))
+    dealt = dealt.select("key", "block", "rep", "component", "other", "n_shingles", "registers")
+    met = dealt.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(
+        _plausible_in_bucket(threshold), "a long, b long")
+    met = settled(met.distinct())
+    # A family joins whole components.
+    part = first.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    touched = met.select(F.col("a").alias("id")).union(met.select(F.col("b").alias("id"))).distinct()
+    own = touched.join(first, "id", "left").select(F.coalesce("component", "id").alias("b")).distinct()
+    family = components(met.union(part.join(own, "b", "left_semi").select("a", "b")))
+    family = family.withColumnsRenamed({"id": "rep", "component": "family"})
+    return settled(family.join(first.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "rep", "family", F.coalesce("component", "rep").alias("component")))
+
+
+def _linked_in_families(families: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """Verified links between the components of each family."""
+    sizes = families.groupBy("family", "component").count().groupBy("family").agg(
+        F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts"),
+        F.ceil(F.sum("count") / BLOCK).alias("blocks")).filter("parts > 1")
+    members = families.join(sizes, "family").withColumn("own", F.pmod(F.xxhash64("rep"), "blocks"))
+    needed = members.select(F.col("rep").alias("doc_id")).distinct()
+    known = texts.join(needed, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    members = members.join(known.withColumnRenamed("doc_id", "rep"), "rep")
+    every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    columns = ["family", "i", "j", "rep", "component", "asks", "text"]
+    # Block i asks (its members outside the largest component), block j is asked (all its members).
+    asking = members.filter("component <> main").withColumns({"i": F.col("own"), "j": F.explode(every), "asks": F.lit(True)})
+    asked_by = asking.select("family", "i").distinct()
+    asked = members.join(asked_by, "family").withColumns({"j": F.col("own"), "asks": F.lit(False)})
+    rows = asking.select(columns).union(asked.select(columns))
+    return settled(rows.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j").mapInArrow(
+        _verify_family(percent, shingle), "a long, b long"))
+
+
 def _linked(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough. Texts of documents without a pair are left out at once."""
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
