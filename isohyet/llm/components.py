@@ -31,6 +31,13 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], names=["a", "b"])
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every id has one link to a smaller one, or only links from larger ones: nothing is left to do."""
+    ends = edges.select(F.col("a").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or (up = 1 and down = 1)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """id, component for every id of `links` (columns a, b): the smallest id that is reachable.
 
@@ -41,8 +48,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
     edges = settled(links.mapInArrow(_forests, "a long, b long").distinct())
-    state = None
-    while True:
+    while not _is_stars(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         # Large star: every larger neighbour to the smallest of the neighbourhood.
@@ -54,9 +60,5 @@ def components(links: DataFrame) -> DataFrame:
             F.struct(F.col("a"), F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b"))
         )).alias("e")).select("e.*").filter("a <> b").distinct()
         edges = settled(small)
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == state:
-            break
-        state = now
     roots = edges.select(F.col("b").alias("id")).distinct().select("id", F.col("id").alias("component"))
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).union(roots)
