@@ -29,8 +29,9 @@ from isohyet.llm.suffix_sort import Hashes, suffix_sort
 from isohyet.llm.texts import chunks, map_texts, settled
 
 ANCHOR_BYTES = 40
-# Regions sorted at a time by a task.
-BATCH_REGIONS = 20_000
+# Regions sorted at a time by a task, whole groups together; characters hashed at a time.
+BATCH_REGIONS = 3_000
+HASHED_CHARS = 1_000_000
 NO_ID = -(1 << 63)
 PLACE_BITS, SIZE_BITS = 31, 8
 
@@ -126,13 +127,15 @@ def _sort_regions(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         for batch in batches:
-            held += batch.to_pylist()
-            if len(held) > BATCH_REGIONS and held[0]["anchor"] != held[-1]["anchor"]:
+            for low in range(0, batch.num_rows, BATCH_REGIONS):
+                held += batch.slice(low, BATCH_REGIONS).to_pylist()
+                # The last group may go on.
                 cut = len(held)
-                while held[cut - 1]["anchor"] == held[-1]["anchor"]:
+                while cut and held[cut - 1]["anchor"] == held[-1]["anchor"]:
                     cut -= 1
-                yield solve(held[:cut])
-                held = held[cut:]
+                if cut and len(held) >= BATCH_REGIONS:
+                    yield solve(held[:cut])
+                    held = held[cut:]
         if held:
             yield solve(held)
 
@@ -203,7 +206,7 @@ def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
 
         return work
 
-    all_regions = settled(map_texts(texts, "_id long, place long, anchor long, region long", start))
+    all_regions = settled(map_texts(texts, "_id long, place long, anchor long, region long", start, HASHED_CHARS))
     anchors = all_regions.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("rows"), F.min("region").alias("low"), F.max("region").alias("high")).filter("rows > 1")
     shared = settled(all_regions.join(anchors.select("anchor", (F.col("low") < F.col("high")).alias("several")), "anchor"))

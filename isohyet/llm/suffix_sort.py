@@ -126,9 +126,10 @@ def _in_order(raw, a, a_len, b, b_len, common) -> np.ndarray:
     """Byte by byte: the common part is equal, and what follows is in order."""
     good = next_byte(raw, a, a_len, common) <= next_byte(raw, b, b_len, common)
     good &= (next_byte(raw, a, a_len, common) != next_byte(raw, b, b_len, common)) | (common >= np.minimum(a_len, b_len))
-    total = int(common.sum())
-    if total:
-        owner = np.repeat(np.arange(len(a)), common)
-        step = np.arange(total) - np.repeat(np.cumsum(common) - common, common)
+    # Some strings at a time, so that the bytes compared stay few.
+    for low in range(0, len(a), 1_000):
+        part = common[low:low + 1_000]
+        owner = np.repeat(np.arange(low, low + len(part)), part)
+        step = np.arange(len(owner)) - np.repeat(np.cumsum(part) - part, part)
         good[owner[raw[a[owner] + step] != raw[b[owner] + step]]] = False
     return good

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from isohyet.session import checkpoint_dir
 
-# Characters of text held as Python objects at a time.
+# Bytes of text held as Python objects at a time.
 CHUNK_CHARS = 2_000_000
 # The white space that separates words; every other character belongs to a word.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,12 +49,13 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def map_texts(df: DataFrame, schema: str, start: Callable[[], Callable[[list, list[str]], list[list]]]) -> DataFrame:
+def map_texts(df: DataFrame, schema: str, start: Callable[[], Callable[[list, list[str]], list[list]]],
+              size: int = CHUNK_CHARS) -> DataFrame:
     """Apply a function to chunks of (ids, texts) inside the tasks.
 
     `start` is called once per task and returns the function, so that it can
     hold models and caches. The function returns one list per output column.
-    A chunk holds about CHUNK_CHARS characters, or one longer text.
+    A chunk holds about `size` bytes, or one longer text.
     """
     columns = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     out_schema = arrow_schema(columns)
@@ -63,7 +64,7 @@ def map_texts(df: DataFrame, schema: str, start: Callable[[], Callable[[list, li
         work = start()
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            for low, high in chunks(texts):
+            for low, high in chunks(texts, size):
                 got = work(ids.slice(low, high - low).to_pylist(), texts.slice(low, high - low).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, type=f.type) for v, f in zip(got, out_schema, strict=True)], schema=out_schema)
