@@ -31,7 +31,7 @@ from isohyet.llm.texts import chunks, map_texts, settled
 ANCHOR_BYTES = 40
 # Regions sorted at a time by a task, whole groups together; characters hashed at a time.
 BATCH_REGIONS = 3_000
-HASHED_CHARS = 1_000_000
+HASHED_CHARS = 300_000
 NO_ID = -(1 << 63)
 PLACE_BITS, SIZE_BITS = 31, 8
 
