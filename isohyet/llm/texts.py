@@ -104,3 +104,10 @@ def settled(df: DataFrame, folder: str | None = None) -> DataFrame:
     path = folder or scratch(spark)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove a stored intermediate table that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
