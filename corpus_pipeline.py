@@ -37,20 +37,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
-    kept = hyperminhash.near_duplicates(docs, SHINGLE, PERCENT).filter("kept and doc_id is not null").select("doc_id").distinct()
-    # Rows that repeat an id are copies of each other.
-    known = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(docs.filter("doc_id is null"))
+    """One row of each group of rows with similar texts: one with the smallest id. Rows without an id stay."""
+    # A stored key of each row stands for its id: different texts of one id are different documents.
+    rows = settled(docs.select(F.monotonically_increasing_id().alias("_key"), F.struct(*docs.columns).alias("_row")))
+    known = rows.filter(F.col("_row.doc_id").isNotNull())
+    texts = known.select("_key", F.col("_row.text").alias("text"))
+    groups = hyperminhash.near_duplicates(texts, SHINGLE, PERCENT, id_col="_key").select(F.col("doc_id").alias("_key"), "component_id")
+    ids = known.select("_key", F.col("_row.doc_id").alias("doc_id"))
+    kept = groups.join(ids, "_key").groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("first")).select("first._key")
+    alone = rows.filter(F.col("_row.doc_id").isNull())
+    return known.join(kept, "_key", "left_semi").unionByName(alone).select("_row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that stand elsewhere too; documents of which no word is left go."""
-    texts = suffix_dedup.dedup(docs, PASSAGE).filter(F.col("kept_text").rlike(r"[^\x20\x09-\x0D]")).select(
-        F.col("doc_id").alias("_id"), "kept_text").dropDuplicates(["_id"])
-    joined = docs.drop("text", "n_chars").join(texts, docs["doc_id"].eqNullSafe(texts["_id"]))
-    out = joined.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")})
-    return out.select(*[c for c in docs.columns])
+    others = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
+    rows = suffix_dedup.kept_texts(docs, others, PASSAGE).filter(F.col("kept_text").rlike(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return rows.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -119,21 +119,26 @@ def estimate(equal: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, buckets: int =
 
 
 def sketches(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, a fingerprint of the set and its registers."""
+    """doc_id, text_hash, n_shingles, a fingerprint of the set and its registers."""
     def start():
         sketch = Sketch()
 
-        def work(ids, texts):
+        def work(keys, texts):
             sets = shingle_sets(texts, shingle)
             one = [int(np.bitwise_xor.reduce(s).astype(np.int64)) if len(s) else 0 for s in sets]
             two = [int(mixed(s + np.uint64(5)).sum().astype(np.int64)) if len(s) else 0 for s in sets]
-            return [ids, [len(s) for s in sets], one, two,
+            return [[k["doc_id"] for k in keys], [k["text_hash"] for k in keys], [len(s) for s in sets], one, two,
                     [sketch.registers(s).tobytes() if len(s) else None for s in sets]]
 
         return work
 
-    return map_texts(id_and_text(docs, id_col, text_col),
-                     "doc_id long, n_shingles long, print_a long, print_b long, registers binary", start)
+    return map_texts(hashed_texts(docs, id_col, text_col).select(F.struct("doc_id", "text_hash").alias("key"), "text"),
+                     "doc_id long, text_hash long, n_shingles long, print_a long, print_b long, registers binary", start)
+
+
+def hashed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_hash, text: one id may have several texts."""
+    return id_and_text(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
 
 
 def _plausible(threshold: float):
@@ -280,40 +285,61 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     Documents are linked when 100 * intersection >= percent * union of their
     shingle sets. component_id is the smallest doc_id reachable by links, kept
     is doc_id = component_id. Null and empty texts, and rows with a null id, are
-    linked with nothing. Repeated rows of one id are linked with each other.
-    Sets are compared by 64-bit hashes of their shingles.
+    linked with nothing. Repeated rows of one id are linked with each other, and
+    each with what its own text is similar to. Sets are compared by 64-bit hashes
+    of their shingles.
     """
-    sets = settled(sketches(docs, shingle, id_col, text_col))
+    print_ = ["n_shingles", "print_a", "print_b"]
+    sets = settled(sketches(docs, shingle, id_col, text_col).withColumn("row", F.monotonically_increasing_id()))
     usable = sets.filter("n_shingles > 0 and doc_id is not null")
-    folded = usable.groupBy("n_shingles", "print_a", "print_b").agg(
-        F.min("doc_id").alias("rep"), F.min("registers").alias("registers"), F.count(F.lit(1)).alias("n"))
-    reps = settled(folded)
-    sketch_of = reps.select("rep", "n_shingles", "registers").dropDuplicates(["rep"])
+    # A set is known by the key of one of its rows: an id may have several sets.
+    first_row = F.min(F.struct("row", "doc_id", "text_hash")).alias("first")
+    folded = usable.groupBy(*print_).agg(first_row, F.min("doc_id").alias("low"), F.min("registers").alias("registers"))
+    reps = settled(folded.select(*print_, F.col("first.row").alias("rep"), F.col("first.doc_id").alias("doc_id"),
+                                 F.col("first.text_hash").alias("text_hash"), "low", "registers"))
+    sketch_of = reps.select("rep", "n_shingles", "registers")
     width = 2 * BAND_BUCKETS
     bands = reps.select("rep", F.explode(F.array(*[
         F.xxhash64(F.lit(i), F.substring("registers", i * width + 1, width)) for i in range(BANDS)])).alias("key"))
     shared = bands.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).filter("centre < last")
     buckets = settled(bands.join(shared.select("key", "centre"), "key").distinct())
 
-    texts = id_and_text(docs, id_col, text_col)
+    places, texts = reps.select("rep", "doc_id", "text_hash"), hashed_texts(docs, id_col, text_col)
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """rep, text of the wanted reps; repeated rows have one text."""
+        place = places.join(wanted.distinct(), "rep", "left_semi")
+        return texts.join(place, ["doc_id", "text_hash"]).groupBy("doc_id", "text_hash", "rep").agg(F.min("text").alias("text")).select("rep", "text")
+
     left, right = (sketch_of.select(F.col("rep").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("registers").alias(f"r_{k}"))
                    for k in ("a", "b"))
     stars = buckets.filter("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     likely = settled(stars.join(left, "a").join(right, "b").mapInArrow(_plausible(percent / 100), "a long, b long"))
-    links = settled(_linked(likely, texts, percent, shingle))
+    links = settled(_linked(likely, texts_of, percent, shingle).union(_same_id(usable, reps, print_)))
     first = components(links)
     families = _families(buckets, sketch_of, first, percent / 100)
-    more = _linked_in_families(families, texts, percent, shingle)
+    more = _linked_in_families(families, texts_of, percent, shingle)
     joined = components(links.union(more))
-    of_rep = joined.select(F.col("id").alias("rep"), "component")
-    whole = reps.select("n_shingles", "print_a", "print_b", "rep").join(of_rep, "rep", "left").select(
-        "n_shingles", "print_a", "print_b", F.coalesce("component", "rep").alias("component"))
-    return sets.join(whole, ["n_shingles", "print_a", "print_b"], "left").select(
+    of_rep = joined.select(F.col("id").alias("rep"), "component").join(reps.select("rep", "low"), "rep")
+    lowest = of_rep.groupBy("component").agg(F.min("low").alias("component_id"))
+    of_rep = of_rep.join(lowest, "component").select("rep", "component_id")
+    whole = reps.join(of_rep, "rep", "left").select(*print_, F.coalesce("component_id", "low").alias("component_id"))
+    return sets.join(whole, print_, "left").select(
         "doc_id", "n_shingles",
-        F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+        F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _same_id(usable: DataFrame, reps: DataFrame, print_: list[str]) -> DataFrame:
+    """Links (a, b) between the sets of ids that have several."""
+    several = usable.groupBy("doc_id").agg(F.min(F.struct(*print_)).alias("low"), F.max(F.struct(*print_)).alias("high"))
+    several = several.filter("low < high").select("doc_id")
+    own = usable.select("doc_id", *print_).join(several, "doc_id").join(reps.select("rep", *print_), print_)
+    own = settled(own.select("doc_id", "rep").distinct())
+    least = own.groupBy("doc_id").agg(F.min("rep").alias("a"))
+    return own.join(least, "doc_id").filter("a < rep").select("a", F.col("rep").alias("b"))
+
+
 def _families(buckets: DataFrame, sketch_of: DataFrame, first: DataFrame, threshold: float) -> DataFrame:
     """rep, component, family of all representatives in families of several components."""
     placed = buckets.select("key", "rep").join(first.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
@@ -339,15 +365,13 @@ def _families(buckets: DataFrame, sketch_of: DataFrame, first: DataFrame, thresh
         "rep", "family", F.coalesce("component", "rep").alias("component")))
 
 
-def _linked_in_families(families: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
+def _linked_in_families(families: DataFrame, texts_of: Callable[[DataFrame], DataFrame], percent: int, shingle: int) -> DataFrame:
     """Verified links between the components of each family."""
     sizes = families.groupBy("family", "component").count().groupBy("family").agg(
         F.max_by("component", F.struct("count", "component")).alias("main"), F.count(F.lit(1)).alias("parts"),
         F.ceil(F.sum("count") / BLOCK).alias("blocks")).filter("parts > 1")
     members = families.join(sizes, "family").withColumn("own", F.pmod(F.xxhash64("rep"), "blocks"))
-    needed = members.select(F.col("rep").alias("doc_id")).distinct()
-    known = texts.join(needed, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    members = members.join(known.withColumnRenamed("doc_id", "rep"), "rep")
+    members = members.join(texts_of(members.select("rep")), "rep")
     every = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     columns = ["family", "i", "j", "rep", "component", "asks", "text"]
     # Block i asks (its members outside the largest component), block j is asked (all its members).
@@ -359,14 +383,12 @@ def _linked_in_families(families: DataFrame, texts: DataFrame, percent: int, shi
         _verify_family(percent, shingle), "a long, b long"))
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
+def _linked(pairs: DataFrame, texts_of: Callable[[DataFrame], DataFrame], percent: int, shingle: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough. Texts of documents without a pair are left out at once."""
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
     edges = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), "chunks").alias("chunk"))
-    rows = edges.select("a", "chunk", "b", F.col("b").alias("doc_id")).union(
+    rows = edges.select("a", "chunk", "b", F.col("b").alias("rep")).union(
         edges.select("a", "chunk").distinct().select("a", "chunk", F.lit(None).cast("long"), F.col("a")))
-    # One text per id: rows that repeat an id share their smallest text.
-    needed = texts.join(rows.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-    placed = rows.join(needed, "doc_id").select("a", "chunk", "b", "text")
+    placed = rows.join(texts_of(rows.select("rep")), "rep").select("a", "chunk", "b", "text")
     placed = placed.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
     return placed.mapInArrow(_verify(percent, shingle), "a long, b long")

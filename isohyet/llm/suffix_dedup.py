@@ -17,7 +17,6 @@ the leftmost place of the smallest hash among its runs of ANCHOR_BYTES bytes.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +31,7 @@ ANCHOR_BYTES = 40
 # Regions sorted at a time by a task, whole groups together; characters hashed at a time.
 BATCH_REGIONS = 3_000
 HASHED_CHARS = 300_000
-NO_ID = -(1 << 63)
-PLACE_BITS, SIZE_BITS = 31, 8
+SIZE_BITS = 8
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -81,11 +79,6 @@ def flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(coded), np.uint8), np.cumsum(sizes) - sizes, sizes
 
 
-def mark_of(data: bytes) -> int:
-    """15 bits that tell apart rows with one id and different texts."""
-    return zlib.crc32(data) & 0x7FFF
-
-
 def repeated_strings(raw: np.ndarray, start: np.ndarray, size: np.ndarray, before: np.ndarray, count: np.ndarray,
                      copies: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
     """Which strings of each region are repeated: a boolean row per region, a column per string.
@@ -149,13 +142,11 @@ def _cut_regions(length: int):
             out: list[list] = [[], [], [], [], [], []]
             for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
                 data = text.encode("utf-8", "surrogatepass")
-                mark = mark_of(data)
                 for w in wanted:
-                    low, count, before, own = unpack(w["place"])
-                    if own == mark:
-                        for column, value in zip(out, (w["anchor"], w["region"], w["copies"], before, count,
-                                                       data[low:low + count - 1 + length])):
-                            column.append(value)
+                    low, count, before = unpack(w["place"])
+                    for column, value in zip(out, (w["anchor"], w["region"], w["copies"], before, count,
+                                                   data[low:low + count - 1 + length])):
+                        column.append(value)
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
                                              names=["anchor", "region", "copies", "before", "strings", "bytes"])
@@ -163,20 +154,17 @@ def _cut_regions(length: int):
     return run
 
 
-def unpack(place: int) -> tuple[int, int, int, int]:
-    """First string, number of strings, bytes before the anchor, mark of the text."""
+def unpack(place: int) -> tuple[int, int, int]:
+    """First string, number of strings, bytes before the anchor."""
     size = (1 << SIZE_BITS) - 1
-    return ((place >> 2 * SIZE_BITS) & ((1 << PLACE_BITS) - 1), ((place >> SIZE_BITS) & size) + 1, place & size,
-            place >> (2 * SIZE_BITS + PLACE_BITS))
+    return place >> 2 * SIZE_BITS, ((place >> SIZE_BITS) & size) + 1, place & size
 
 
-def removed_bytes(n: int, mark: int, found: list[dict], length: int) -> np.ndarray:
+def removed_bytes(n: int, found: list[dict], length: int) -> np.ndarray:
     """Which of a document's n bytes are covered by repeated strings."""
     change = np.zeros(n + 1, np.int64)
     for f in found:
-        low, count, _, own = unpack(f["place"])
-        if own != mark:
-            continue
+        low, count, _ = unpack(f["place"])
         if f["bits"] is None:
             again = np.arange(low, low + count)
         else:
@@ -186,22 +174,23 @@ def removed_bytes(n: int, mark: int, found: list[dict], length: int) -> np.ndarr
     return np.cumsum(change[:n]) > 0
 
 
-def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_id, text and `found` (the repeated strings of each text), all rows of `docs`, by row.
+def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text",
+            keep: tuple[str, ...] = ()) -> DataFrame:
+    """_id, doc_id, `_row` (a struct of the columns to keep), text and `found` (the repeated strings of each text), for every row.
 
-    _id stands for the document's id; a null id has a value of its own.
+    _id is a key of the row, stored with it: ids may repeat or be null.
     """
     if not ANCHOR_BYTES < length <= ANCHOR_BYTES + (1 << SIZE_BITS):
         raise ValueError(f"length must lie between {ANCHOR_BYTES + 1} and {ANCHOR_BYTES + (1 << SIZE_BITS)}")
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = settled(docs.select(F.monotonically_increasing_id().alias("_id"), F.col(id_col).cast("long").alias("doc_id"),
+                               *[F.struct(*keep).alias("_row")] * bool(keep), F.coalesce(F.col(text_col), F.lit("")).alias("text")))
+    texts = rows.select("_id", "text")
 
     def start():
         def work(ids, texts):
             raw, starts, sizes = flat(texts)
             doc, low, count, before, anchor, region = regions_of(raw, starts, sizes, length)
-            marks = np.array([mark_of(raw[s:s + n].tobytes()) for s, n in zip(starts, sizes)], np.int64)
-            place = (((marks[doc] << PLACE_BITS) | low) << 2 * SIZE_BITS) | ((count - 1) << SIZE_BITS) | before
+            place = (low << 2 * SIZE_BITS) | ((count - 1) << SIZE_BITS) | before
             return [np.array(ids, np.int64)[doc], place, anchor, region]
 
         return work
@@ -214,12 +203,11 @@ def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("_id", "place")).alias("first"))
     lenders = folded.filter("several").select(
         F.col("first._id").alias("_id"), F.struct(F.col("first.place").alias("place"), "anchor", "region", "copies").alias("w"))
-    by_id = texts.repartition("_id")
+    by_id = rows.repartition("_id")
     # A document lends at most its own regions.
     lent = by_id.join(lenders.groupBy("_id").agg(F.collect_list("w").alias("wanted")), "_id").select("text", "wanted")
     cut = lent.mapInArrow(_cut_regions(length), "anchor long, region long, copies long, before int, strings int, bytes binary")
-    # Rows that repeat an id and a text lend the same bytes twice.
-    cut = cut.repartition("anchor").sortWithinPartitions("anchor", "region").mapInArrow(_once, cut.schema)
+    cut = cut.repartition("anchor").sortWithinPartitions("anchor", "region")
     solved = settled(cut.mapInArrow(_sort_regions(length), "anchor long, region long, bits binary"))
     whole = folded.filter("not several and copies > 1").select("anchor", "region", F.lit(None).cast("binary").alias("bits"))
     known = solved.filter(F.col("bits") != F.lit(bytes((length - ANCHOR_BYTES + 8) // 8))).union(whole)
@@ -227,48 +215,52 @@ def repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col
     return by_id.join(marks, "_id", "left")
 
 
-def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    last = None
-    for batch in batches:
-        keep = []
-        for key in zip(batch.column("anchor").to_pylist(), batch.column("region").to_pylist()):
-            keep.append(key != last)
-            last = key
-        yield batch.filter(pa.array(keep, pa.bool_()))
+def _removed(data: bytes, found: list[dict] | None, length: int) -> np.ndarray:
+    return removed_bytes(len(data), found, length) if found else np.zeros(len(data), bool)
+
+
+def _kept(data: bytes, removed: np.ndarray) -> bytes:
+    return np.frombuffer(data, np.uint8)[~removed].tobytes()
+
 
+def dedup(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept text of every row.
 
-def _apply(length: int, finish):
-    """Run `finish(_id, data, removed)` on every document."""
+    A byte is removed when it is covered by a string of `length` bytes that also
+    starts anywhere else in the table, the same document included. A null text
+    counts as empty; texts shorter than `length` stay whole. Repeated rows are
+    copies of each other and lose all they have. A character of which a part is
+    removed is left out of the kept text; the digest is of the bytes.
+    """
     def start():
         def work(keys, texts):
             out = []
             for key, text in zip(keys, texts):
                 data = text.encode("utf-8", "surrogatepass")
-                found = key["found"] or []
-                gone = removed_bytes(len(data), mark_of(data), found, length) if found else np.zeros(len(data), bool)
-                out.append(finish(key["_id"], data, gone))
+                gone = _removed(data, key["found"], length)
+                kept = _kept(data, gone)
+                spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+                out.append((key["doc_id"], len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(),
+                            kept.decode("utf-8", "ignore")))
             return [list(c) for c in zip(*out)]
 
         return work
 
-    return start
+    rows = repeats(docs, length, id_col, text_col).select(F.struct("doc_id", "found").alias("key"), "text")
+    return map_texts(rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string", start)
 
 
-def dedup(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept text of every row.
+def kept_texts(docs: DataFrame, keep: tuple[str, ...], length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The kept text of every row as dedup() has it, and `_row`, a struct of the columns to keep."""
+    @F.arrow_udf("string")
+    def kept_of(texts: pa.Array, found: pa.Array) -> pa.Array:
+        out = []
+        for low, high in chunks(texts):
+            for text, own in zip(texts.slice(low, high - low).to_pylist(), found.slice(low, high - low).to_pylist()):
+                data = text.encode("utf-8", "surrogatepass")
+                out.append(_kept(data, _removed(data, own, length)).decode("utf-8", "ignore"))
+        return pa.array(out, pa.string())
 
-    A byte is removed when it is covered by a string of `length` bytes that also
-    starts anywhere else in the table, the same document included. A null text
-    counts as empty; texts shorter than `length` stay whole. Repeated rows are
-    copies of each other and lose all they have. A character of which a part is
-    removed is left out of the kept text; the digest is of the bytes.
-    """
-    def finish(doc_id, data, gone):
-        kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-        spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-        return (None if doc_id == NO_ID else doc_id, len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(),
-                kept.decode("utf-8", "ignore"))
-
-    rows = repeats(docs, length, id_col, text_col).select(F.struct("_id", "found").alias("key"), "text")
-    return map_texts(rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string",
-                     _apply(length, finish))
+    # A deterministic function would be called again for every use of its result.
+    kept = kept_of.asNondeterministic()("text", "found")
+    return repeats(docs, length, id_col, text_col, keep).select("_row", kept.alias("kept_text"))

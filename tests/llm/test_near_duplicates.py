@@ -48,6 +48,14 @@ def test_documents_against_all_pairs(spark, shingle):
         assert (r["n_shingles"], r["component_id"], r["kept"]) == (len(sets[i]), groups.root(i), groups.root(i) == i)
 
 
+def test_one_id_with_several_texts_has_the_links_of_all(spark):
+    rnd = random.Random(5)
+    one, two, three = (sentences(rnd, 80) for _ in range(3))
+    rows = [(7, one), (7, two), (7, ""), (8, one + " tail"), (9, two + " tail"), (3, three), (None, one), (None, two)]
+    got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in hyperminhash.near_duplicates(frame(spark, rows)).collect()), key=str)
+    assert got == [(3, 3, True), (7, 7, True), (7, 7, True), (7, 7, True), (8, 7, False), (9, 7, False), (None, None, True), (None, None, True)]
+
+
 def test_registers_estimate_similarity():
     rng = np.random.default_rng(4)
     sketch, pool = hyperminhash.Sketch(), rng.integers(0, 1 << 63, 3000).astype(np.uint64) * np.uint64(2)
@@ -144,6 +152,16 @@ def test_passages_against_all_substrings(spark, length):
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]], r["doc_id"]
 
 
+def test_passages_of_many_rows_without_an_id(spark):
+    rnd = random.Random(11)
+    shared = sentences(rnd, 60)
+    texts = [sentences(rnd, 60) + (shared if i % 10 == 0 else "") for i in range(600)]
+    want = brute_passages(texts, 200)
+    rows = [(None, t) for t in texts]
+    got = suffix_dedup.dedup(frame(spark, rows), 200).select("n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 @pytest.mark.parametrize("broken", [False, True])
 def test_suffix_sort_is_right_even_with_colliding_hashes(broken, monkeypatch):
     rng = np.random.default_rng(1)

@@ -1,11 +1,15 @@
 """The pipeline on the smallest tables: every stage against what it must keep and drop."""
 
+import random
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from isohyet.llm import hyperminhash
 from isohyet.llm.texts import settled
-from tests.llm.common import LOWER, SF, WORD, needs_tables
+from tests.llm.common import LOWER, SF, WORD, needs_tables, path, sentences
+from tests.llm.test_edges import LABELS, clashing
 
 
 @needs_tables
@@ -54,3 +58,31 @@ def test_near_duplicate_stage_is_the_operator(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = {r["doc_id"] for r in hyperminhash.near_duplicates(docs, 5, 80).filter("kept").collect()}
     assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()} == kept
+
+
+def test_rows_with_null_and_repeated_ids_keep_their_own_texts(spark, monkeypatch):
+    rnd = random.Random(9)
+    one, two, three, four, shared = (sentences(rnd, 60) for _ in range(5))
+    rows = [(None, one, "p"), (None, two, "q"), (7, three, "r"), (7, four, "s"), (7, four, "s"), (9, three + " tail", "t"), (8, shared, "u"), (None, shared, "v")]
+    docs = clashing(spark.createDataFrame(rows, "doc_id long, text string, own string")).withColumns({"_key": F.lit("y"), "kept_text": F.lit("y")})
+    columns = docs.columns
+
+    def of(df):
+        assert df.columns == columns
+        return sorted((str(r["doc_id"]), r["text"], r["own"], r["_row"], r["_key"]) for r in df.collect())
+
+    def want(*which):
+        return sorted((str(rows[i][0]), rows[i][1], rows[i][2], "x", "y") for i in which)
+
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: spark.createDataFrame([], LABELS))
+    # Without labels every document scores 0.5.
+    assert of(corpus_pipeline.quality_classifier(spark, docs, "")) == want(*range(8))
+    assert of(corpus_pipeline.quality_rules(spark, docs, "")) == want(*range(8))
+    single = settled(corpus_pipeline.near_duplicates(spark, docs, ""))
+    assert of(single) == want(0, 1, 2, 3, 6, 7)
+    assert of(corpus_pipeline.repeated_passages(spark, single, "")) == want(0, 1, 2, 3)
+    lengths = [r["n_chars"] for r in corpus_pipeline.repeated_passages(spark, single, "").collect()]
+    assert sorted(lengths) == sorted(map(len, (one, two, three, four)))
+    monkeypatch.setattr(corpus_pipeline, "tokenizer_path", path)
+    packed = corpus_pipeline.best_fit_packing(spark, single, "").collect()
+    assert sorted(str(r["doc_id"]) for r in packed if r["piece"] == 0) == ["7", "7", "8", "None", "None", "None"]
