@@ -38,6 +38,11 @@ PAGES = (
     '<nav>{-1a}</nav><article><h1>{+5}</h1><p>{+1}</p><p>{+2}</p></article><footer>{-4}</footer>',
     '<ul><li>{-2a}</li><li>{-1a}</li></ul><article><p>{+2}</p><p>{+3}</p><p>{+1}</p><p>{+7a}</p><p>{+2}</p></article>',
     '<div class="nav">{-3a}</div><main><h1>{+3}</h1><p>{+1}</p><p>{+4a}</p><p>{+1a}</p><p>{+1}</p></main><p>{-6}</p>',
+    '<div class="layout has-sidebar"><form class="page-header"><article><h1>{+6}</h1><p>{+30}</p><p>{+2}</p></article></form>'
+    '<div class="sidebar"><p>{-30}</p></div></div>',
+    '<div class="with-comments no-ads"><div class="menu-wrapper">{-2a}</div><main><datalist><option>no<option>no</datalist>'
+    '<p>{+35}</p><svg class="icon"/><p>{+8}</p></main><section class="comments"><article class="comment-body"><p>{-35}</p>'
+    '</article></section></div>',
     '<p>{-9}</p><article><p>{+1a}</p><p>{+3}</p><p>{+90}</p></article><p>{-14}</p>',
 )
 

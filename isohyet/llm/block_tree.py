@@ -25,14 +25,19 @@ FEATURES = ("words", "link_density", "words_before", "link_density_before", "wor
             "in_article", "in_boilerplate", "is_heading", "page_has_article")
 
 # Fixed values of HTML and of common page templates.
-RAW = "script style noscript template svg math iframe object canvas audio video textarea select option button title".split()
+RAW = "script style noscript iframe textarea title".split()
+FOREIGN = "svg math".split()
+# Their text is not the page's. They end with an element around them, if not before.
+HIDDEN = frozenset("template object canvas audio video select datalist optgroup option button".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody "
     "td tfoot th thead tr ul".split())
 CONTAINERS = frozenset("article aside body details dialog div dl fieldset figure footer form header li main menu nav ol "
-                       "section table td ul".split())
+                       "section table td ul".split()) | HIDDEN
 ARTICLE = frozenset("article main".split())
+# An article in one of these is a teaser; elsewhere it ends the boilerplate that it stands in.
+ASIDE = frozenset("nav footer aside menu dialog".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog header fieldset".split())
 HINTS = frozenset(
     "ad ads adv advert advertisement adverts alert author banner bio breadcrumb breadcrumbs byline comment comments "
@@ -40,13 +45,20 @@ HINTS = frozenset(
     "menu meta modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup "
     "promo promoted promotion recommended related replies reply respond search share sharing sidebar signup skip social "
     "sponsor sponsored subscribe tags toolbar topbar trending warning widget widgets".split())
+# The main name of a class or id is its last part that is not one of these.
+PLAIN = frozenset("area block body box container content inner item items link links list outer section wrap wrapper".split())
+# Names that begin so tell of what is elsewhere on the page, or of the whole page.
+STATES = frozenset("has with without no not non is page".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 
 # Inside a tag: anything but its end; an open quote runs to the next one or to the end of the page.
-INSIDE = r"(?:[^>\"']|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+"
+QUOTED = r"\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)"
+INSIDE = rf"(?:[^>\"']|{QUOTED})*+"
+UNCLOSED = rf"(?:[^>\"'/]|/(?!>)|{QUOTED})*+"  # nor a slash that ends the element
 TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"
-    r"|<(?P<raw>" + "|".join(RAW) + rf")\b{INSIDE}(?:/>|>.*?(?:</(?P=raw)\b[^>]*+(?:>|\Z)|\Z)|\Z)"
+    r"|<(?P<foreign>" + "|".join(FOREIGN) + rf")\b{UNCLOSED}(?:/>|>.*?(?:</(?P=foreign)\b[^>]*+(?:>|\Z)|\Z)|\Z)"
+    r"|<(?P<raw>" + "|".join(RAW) + rf")\b{INSIDE}(?:>.*?(?:</(?P=raw)\b[^>]*+(?:>|\Z)|\Z)|\Z)"
     rf"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>{INSIDE})(?:>|\Z)"
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.S | re.I)
@@ -54,20 +66,29 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 PARTS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
-def marks_of(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether an element opens an article, and whether it opens boilerplate."""
+def is_hint(name: str) -> bool:
+    """Whether a class or id names boilerplate."""
+    parts = [p.lower() for p in PARTS.findall(name)]
+    main = next((p for p in reversed(parts) if p not in PLAIN), "")
+    return main in HINTS and parts[0] not in STATES
+
+
+def marks_of(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, bool]:
+    """Whether an element opens an article, whether it opens boilerplate, and whether it ends the boilerplate around it."""
     article = tag in ARTICLE
     # A header inside an article holds the article's own heading.
     boilerplate = tag in BOILERPLATE and not (tag == "header" and in_article)
-    if not article and tag not in ("body", "html"):
+    named = False
+    if tag not in ("body", "html", "main"):
         for name, *values in ATTRIBUTE.findall(attrs):
             value = "".join(values)
             if name.lower() == "role":
-                boilerplate |= value.lower() in ROLES
+                named |= value.lower() in ROLES
                 article |= value.lower() in ("main", "article")
             else:
-                boilerplate |= any(p.lower() in HINTS for p in PARTS.findall(value))
-    return article, boilerplate
+                named |= any(map(is_hint, value.split()))
+    # Names of an article tell of its topics too: they do not make it boilerplate, but a comment stays one.
+    return article, boilerplate or named and tag not in ARTICLE, article and not boilerplate and not named
 
 
 class Block:
@@ -85,9 +106,12 @@ class Block:
 def blocks_of(page: str) -> list[Block]:
     """The flat text blocks of a page, in page order; tags, comments and raw elements are gone."""
     blocks: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []
+    # Name, opens an article, is in boilerplate, is in an aside, is hidden: the last three hold for all that is inside.
+    stack: list[tuple[str, bool, bool, bool, bool]] = []
     open_tags: Counter[str] = Counter()
-    articles = boilerplates = 0
+    open_shown: Counter[str] = Counter()  # those outside of all hidden elements
+    articles = 0
+    boilerplate = aside = hidden = False
     parts: list[str] = []
     linked: list[str] = []
     in_link, heading = False, False
@@ -98,11 +122,11 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 words = len(html.unescape("".join(linked)).split())
-                blocks.append(Block(text, words, articles > 0, boilerplates > 0, heading))
+                blocks.append(Block(text, words, articles > 0, boilerplate, heading))
         parts, linked = [], []
 
     def take(text: str) -> None:
-        if text:
+        if text and not hidden:
             parts.append(text)
             if in_link:
                 linked.append(text)
@@ -112,25 +136,46 @@ def blocks_of(page: str) -> list[Block]:
         take(page[at:m.start()])
         at = m.end()
         tag = (m["tag"] or "").lower()
+        close = bool(m["close"])
         if tag == "a":
-            in_link = not m["close"]
-            linked.append(" ")
-        elif tag in BLOCKS:
-            cut()
-            if tag in CONTAINERS:
-                if not m["close"]:
-                    stack.append((tag, *marks_of(tag, m["attrs"], articles > 0)))
-                    open_tags[tag] += 1
-                    articles += stack[-1][1]
-                    boilerplates += stack[-1][2]
-                elif open_tags[tag]:
-                    name = ""
-                    while name != tag:
-                        name, article, boilerplate = stack.pop()
-                        open_tags[name] -= 1
-                        articles -= article
-                        boilerplates -= boilerplate
-            heading = tag[0] == "h" and tag[1:].isdigit() and not m["close"] or heading and tag == "br"
+            if close or not hidden:
+                in_link = not close
+                linked.append(" ")
+        elif tag in CONTAINERS and close:
+            # A hidden element ends with those around it.
+            if tag not in HIDDEN and (not hidden or open_shown[tag] and open_tags[tag] == open_shown[tag]):
+                cut()
+                heading = False
+            if open_tags[tag]:
+                name = ""
+                while name != tag:
+                    name, article, *_, own_hidden = stack.pop()
+                    open_tags[name] -= 1
+                    open_shown[name] -= not own_hidden
+                    articles -= article
+                boilerplate, aside, hidden = stack[-1][2:] if stack else (False, False, False)
+        elif tag in CONTAINERS:
+            if tag not in HIDDEN and not hidden:
+                cut()
+                heading = False
+            if tag == "option" and stack and stack[-1][0] == "option":
+                continue
+            article, opens, ends = marks_of(tag, m["attrs"], articles > 0)
+            boilerplate = opens or boilerplate and (aside or not ends)
+            aside = aside or tag in ASIDE
+            hidden = hidden or tag in HIDDEN
+            stack.append((tag, article, boilerplate, aside, hidden))
+            open_tags[tag] += 1
+            open_shown[tag] += not hidden
+            articles += article
+        elif tag in BLOCKS and (not hidden or close and stack[-1][0] in ("option", "optgroup")):
+            while stack and stack[-1][4] and stack[-1][0] in ("option", "optgroup"):
+                name = stack.pop()[0]
+                open_tags[name] -= 1
+                boilerplate, aside, hidden = stack[-1][2:] if stack else (False, False, False)
+            if not hidden:
+                cut()
+                heading = tag[0] == "h" and tag[1:].isdigit() and not close or heading and tag == "br"
     take(page[at:])
     cut()
     return blocks

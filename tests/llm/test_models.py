@@ -34,13 +34,22 @@ def test_tree_fits_its_labels_and_uses_neighbours(tree):
      "One two a bc d&amp; <e> f"),
     ("<article><p>x<!-- y --><script>var a='</p>'</script></p><form><p>no</p></form><p>z", "x z"),
     ("<article><p>kept</p><div class='post-comments'><p>said</p></div><p>on</p><aside>no</aside></article>", "kept on"),
+    ("<article><p>one <svg width='1' /> two</p><math/><p>three</p><svg><text>no</text></svg></article>", "one two three"),
+    ("<article><datalist id='d'><option>no<option value='/'>no</datalist><p>one</p><select><option>no</select><p>two</p></article>", "one two"),
+    ("<article><div><button>no</div><p>one <button><div>no</div></button> two</p></article>", "one two"),
+    ("<article><p><option>no</p><p>one</p></article>", "one"),
+    ("<div class='layout has-sidebar'><div class='with-comments no-ads'><article><p>one</p><p>two</p></article></div></div>", "one two"),
+    ("<form class='page-header'><div class='social'><article><p>one</p></article></div></form>", "one"),
+    ("<article><p>one</p></article><div class='comments'><article class='comment-body'><p>no</p></article></div>"
+     "<aside><article><p>no</p></article></aside>", "one"),
+    ("<div class='has-sidebar'><article class='post tag-social category-legal'><p>one</p></article></div>", "one"),
     ("<article><p title='a>b'>t</p><p>cut off <a href='x", "t cut off"),
 ])
 def test_pages(tree, page, text):
     assert block_tree.main_text(page, tree)[0] == text
 
 
-@pytest.mark.parametrize("page", ["<" * 50_000, '<a href="' * 9_000, "<!--" * 9_000, "<div>" * 9_000 + "x" + "</div>" * 9_000, '<p "' * 9_000])
+@pytest.mark.parametrize("page", ["<" * 50_000, '<a href="' * 9_000, "<!--" * 9_000, "<div>" * 9_000 + "x" + "</div>" * 9_000, "<svg /" * 9_000, "<option><div>" * 9_000, '<p "' * 9_000])
 def test_broken_pages_take_linear_time(tree, page):
     block_tree.main_text(page, tree)
 
