@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from isohyet.llm import (
-    block_tree, bpe_transducer, hpyp, hyperminhash, oracles, risk_thresholds, rp_forest, subword_embedding, suffix_dedup,
+    block_tree, bpe_transducer, conversation_repair, hpyp, hyperminhash, oracles, risk_thresholds, rp_forest, subword_embedding, suffix_dedup,
     sumsquares_packing, token_counts,
 )
 from isohyet.llm.texts import table
@@ -82,3 +82,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.audits(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
