@@ -43,3 +43,21 @@ PASSAGES = """with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, st
         coalesce(string_agg(byte, '' order by p) filter (where gone = 0), '') as kept from spans group by 1)
     select d.doc_id, n as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
         sha256(unhex(coalesce(kept, ''))) as kept_sha256 from d left join done using (doc_id)"""
+
+DIVERGENCE = r"""with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as doc, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+    t as (select lang, source, doc, unnest(w) as term from d),
+    k as (select lang, term, count(*) as total from t group by 1, 2 having count(distinct doc) >= 3),
+    c as (select lang, source, term, count(*) as n from t semi join k using (lang, term) group by 1, 2, 3),
+    v as (select lang, count(*) as v, sum(total) as n from k group by 1),
+    g as (select d.lang, d.source, (select coalesce(sum(c.n), 0) from c where c.lang = d.lang and c.source = d.source) as n from d group by 1, 2),
+    p as (select g.lang, g.source, k.term, coalesce(c.n, 0) as own, 1 + (1000000000::hugeint * (coalesce(c.n, 0) + 1)) // (g.n + v.v) as p,
+            1 + (1000000000::hugeint * (k.total + 1)) // (v.n + v.v) as q
+        from g join k using (lang) join v using (lang) left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+    pairs as (select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+        from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 3),
+    rows as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+            from g a join g b on a.lang = b.lang and a.source <> b.source left join pairs on pairs.lang = a.lang and pairs.source = a.source and pairs.item = b.source
+        union all select lang, source, 'term', term, (((p - q) * (p - q)) // q)::bigint from p where own > 0 and p > q),
+    ranked as (select *, row_number() over (partition by lang, source, part order by value desc, encode(item)) as rank from rows)
+    select lang, source, part, item, value, rank::int as rank from ranked where part = 'pair' or rank <= 200"""

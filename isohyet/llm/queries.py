@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from isohyet.llm import (
-    block_tree, bpe_transducer, conversation_repair, hpyp, hyperminhash, oracles, risk_thresholds, rp_forest, subword_embedding, suffix_dedup,
+    block_tree, bpe_transducer, conversation_repair, divergence_audit, hpyp, hyperminhash, oracles, risk_thresholds, rp_forest, subword_embedding, suffix_dedup,
     sumsquares_packing, token_counts,
 )
 from isohyet.llm.texts import table
@@ -17,6 +17,7 @@ ORACLES: dict[str, str] = {
     "op1_embedding_near_dedup": oracles.EMBEDDINGS,
     "op6_suffix_dedup": oracles.PASSAGES,
     "op10_minhash_near_dedup": oracles.NEAR_DUPLICATES,
+    "op13_source_divergence": oracles.DIVERGENCE,
 }
 
 
@@ -87,3 +88,8 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.audits(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_audit.audit(table(spark, sf_dir, "documents"))
