@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from isohyet.llm import (
-    block_tree, bpe_transducer, conversation_repair, divergence_audit, hpyp, hyperminhash, oracles, risk_thresholds, rp_forest, subword_embedding, suffix_dedup,
+    block_tree, bpe_transducer, conversation_repair, divergence_audit, hpyp, hyperminhash, oracles, pii_disclosure,
+    risk_thresholds, rp_forest, subword_embedding, suffix_dedup,
     sumsquares_packing, token_counts,
 )
 from isohyet.llm.texts import table
@@ -85,6 +86,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 
+@query
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_disclosure.find(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.audits(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
