@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 MICRO = 1_000_000
 _LON_SPAN = 1_000 * MICRO
+# Height of a latitude band. Rows of one band and time share a task in regrids and alignments.
+BAND = 8 * MICRO
 
 
 def axis_key(degrees: Column) -> Column:
@@ -28,14 +30,20 @@ def pack_keys(lat_key: Column, lon_key: Column) -> Column:
     return (lat_key + 90 * MICRO) * _LON_SPAN + (lon_key + 180 * MICRO)
 
 
+def lat_band(lat_key: Column) -> Column:
+    """The band of 8 degrees a latitude lies in; it follows from the key, so it may join any set of join keys."""
+    return F.floor(lat_key / F.lit(BAND)).cast("int")
+
+
 def with_keys(df: DataFrame) -> DataFrame:
-    """Add lat_key and lon_key where they are not there yet.
+    """Add lat_band, lat_key and lon_key where they are not there yet.
 
-    Joins use the pair, so a cube that is hashed by (time, lat_key) can keep
+    Joins use all three, so a cube that is hashed by (time, lat_band) can keep
     its partitioning through an alignment.
     """
     missing = {k: axis_key(F.col(c)) for k, c in (("lat_key", "lat"), ("lon_key", "lon")) if k not in df.columns}
-    return df.withColumns(missing) if missing else df
+    keyed = df.withColumns(missing) if missing else df
+    return keyed if "lat_band" in df.columns else keyed.withColumn("lat_band", lat_band(F.col("lat_key")))
 
 
 def with_cell(df: DataFrame) -> DataFrame:

@@ -19,7 +19,9 @@ from isohyet.operators.sizing import one_per_key
 from isohyet.operators.temporal import add_calendar
 
 
-CELL_KEYS = ("lat_key", "lon_key")
+AXIS_KEYS = ("lat_key", "lon_key")
+# The band adds nothing to the keys; it lets a regridded cube, hashed by its bands, stay where it is.
+CELL_KEYS = ("lat_band", *AXIS_KEYS)
 
 
 def align_exact(frames: Sequence[tuple[DataFrame, Sequence[str]]], keys: Sequence[str] = ()) -> DataFrame:
@@ -97,7 +99,7 @@ def align_pred_obs(pred: DataFrame, obs: DataFrame, variables: Sequence[str] = (
 
     joined = side(pred, "pred").join(side(obs, "obs"), keys, how)
     return joined.select(
-        *on, pack_keys(*map(F.col, CELL_KEYS)).alias("cell_id"),
+        *on, pack_keys(*map(F.col, AXIS_KEYS)).alias("cell_id"),
         F.coalesce("_obs_lat", "_pred_lat").alias("lat"), F.coalesce("_obs_lon", "_pred_lon").alias("lon"),
         *[f"{p}_{v}" for v in variables for p in ("pred", "obs")],
     )

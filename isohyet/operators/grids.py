@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from isohyet.functions.coords import MICRO, axis_key, cell_key
+from isohyet.functions.coords import BAND, MICRO, axis_key, cell_key, lat_band
 from isohyet.operators.sizing import fail_when
 
 # 200,000 coordinates on one axis are 200 m at the equator.
@@ -287,7 +287,7 @@ def conservative_weights(source: DataFrame, target: DataFrame) -> DataFrame:
 
 def axis_weights(spark: SparkSession, sources: Mapping[str, Grid], target: Grid,
                  method: str = "bilinear") -> DataFrame:
-    """Weights (grid, axis, src_key, dst, w, n_src) of named source grids to one target.
+    """Weights (grid, axis, src_key, dst, w, n_src, bands) of named source grids to one target.
 
     n_src is the number of source coordinates a target coordinate needs. A grid
     that is the target up to rounding maps one to one.
@@ -300,7 +300,20 @@ def axis_weights(spark: SparkSession, sources: Mapping[str, Grid], target: Grid,
     weights = build(axes_table(spark, other), axes_table(spark, {name: target for name in other}))
     weights = weights.unionByName(same_weights(axes_table(spark, same), axes_table(spark, {name: target for name in same})))
     # A few rows per coordinate of grids that are in memory already: evaluated once, here.
-    return spark.createDataFrame(weights.toArrow(), schema=weights.schema)
+    return spark.createDataFrame(_with_bands(weights.toArrow()))
+
+
+def _with_bands(weights: pa.Table) -> pa.Table:
+    """Add `bands`: at the first row of each source latitude the target bands that need it, elsewhere nothing."""
+    needed: dict[tuple[str, int], set[int]] = {}
+    firsts = []
+    for grid, axis, src, dst in zip(*(weights[c].to_pylist() for c in ("grid", "axis", "src_key", "dst"))):
+        key = (grid, src) if axis == "lat" else None
+        firsts.append(key if key and key not in needed else None)
+        if key:
+            needed.setdefault(key, set()).add(round(dst * MICRO) // BAND)
+    bands = [sorted(needed[key]) if key else None for key in firsts]
+    return weights.append_column("bands", pa.array(bands, pa.list_(pa.int32())))
 
 
 def same_weights(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -337,13 +350,17 @@ def points_table(spark: SparkSession, points: Sequence[tuple[float, float]]) ->
 
 
 def weights_by_axis(weights: DataFrame, key: str | None) -> dict[str, DataFrame]:
-    """The two weight tables a regrid joins, with the grid under the cube's key column."""
+    """The tables a regrid joins, with the grid under the cube's key column: both axes' weights, and the bands that need a source latitude."""
     grid = [F.col("grid").alias(key)] if key else []
+    band = lat_band(axis_key(F.col("dst")))
     return {
+        "bands": weights.filter(F.col("bands").isNotNull()).select(*grid, F.col("src_key").alias("_lat_src"), F.col("bands").alias("_bands")),
+    } | {
         axis: weights.filter(F.col("axis") == axis).select(
             *grid, F.col("src_key").alias(f"_{axis}_src"), F.col("dst").alias(axis),
             axis_key(F.col("dst")).alias(f"{axis}_key"),
             F.col("w").alias(f"_{axis}_w"), F.col("n_src").alias(f"_{axis}_n"),
+            *([band.alias("lat_band")] if axis == "lat" else []),
         )
         for axis in ("lat", "lon")
     }

@@ -8,11 +8,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +48,52 @@ DEFAULTS = {
 }
 SUFFIX = {"temperature": "tas", "precipitation": "pr", "precipitation_occurrence": "pr_occ"}
 SEED = 42
+# Rounds without a smaller validation error after which boosting stops.
+PATIENCE = 50
+# Training rows of one task at least; fewer make each round's jobs wait for many small tasks.
+ROWS_PER_TASK = 20_000
+
+
+def rounds_kept(curve: Sequence[float], patience: int = PATIENCE) -> tuple[int, int]:
+    """The best round and the one at which boosting stops, both counted from 1; (0, 0) without a curve.
+
+    A round is better only if its error is smaller than that of all before it.
+    Boosting stops `patience` rounds after the best one, or at the last.
+    """
+    best = -1
+    for i, error in enumerate(curve):
+        if best < 0 or error < curve[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, i + 1
+    return best + 1, len(curve)
+
+
+def first_trees(model, n: int):
+    """A boosted model cut to its first `n` trees. The trees are those of the fit; nothing is fitted anew."""
+    if n >= model.getNumTrees:
+        return model
+    spark = SparkSession.active()
+    gateway, java = spark.sparkContext._gateway, model._java_obj
+    package = gateway.jvm.org.apache.spark.ml
+    trees = gateway.new_array(package.regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(gateway.jvm.double, n)
+    for i, weight in enumerate(model.treeWeights[:n]):
+        trees[i], weights[i] = java.getTree(i), float(weight)
+    if isinstance(model, GBTClassificationModel):
+        cut = GBTClassificationModel(package.classification.GBTClassificationModel(model.uid, trees, weights, model.numFeatures, model.numClasses))
+    else:
+        cut = GBTRegressionModel(package.regression.GBTRegressionModel(model.uid, trees, weights, model.numFeatures))
+    model._copyValues(cut)
+    cut._transfer_params_to_java()
+    return cut
+
+
+def validation_curve(model, rows: DataFrame) -> list[float]:
+    """Mean error over `rows` (with features and label) after each round, in one pass."""
+    if isinstance(model, GBTClassificationModel):
+        return list(model.evaluateEachIteration(rows))
+    return list(model.evaluateEachIteration(rows, model.getLossType()))
 
 
 def choose_algorithm(algorithm: str) -> str:
@@ -83,40 +129,40 @@ class DownscalingModel:
     def occurrence(self) -> bool:
         return self.model_type == "precipitation_occurrence"
 
-    def _estimator(self, validation: str | None, tolerance: float):
+    def _estimator(self):
         common = {"featuresCol": "features", "labelCol": self.target, "seed": SEED, **self.hyperparams}
         if self.algorithm == "rf":
             return (RandomForestClassifier if self.occurrence else RandomForestRegressor)(**common)
-        if validation:
-            # Stops when the validation error no longer falls by the tolerance.
-            common.update(validationIndicatorCol=validation, validationTol=tolerance)
         return (GBTClassifier if self.occurrence else GBTRegressor)(**common)
 
-    def fit(self, df: DataFrame, early_stopping: bool = False, metrics: bool = True, tolerance: float = 0.01) -> DownscalingModel:
+    def fit(self, df: DataFrame, early_stopping: bool = False, metrics: bool = True, patience: int = PATIENCE) -> DownscalingModel:
         """Fit on the `train` split; `validation` rows serve early stopping and metrics.
 
-        Boosting stops when the validation error falls by less than `tolerance` (of its value).
-        Without a `split` column all rows are training rows.
+        With `early_stopping` a boosted ensemble is cut at its best round: the last one before
+        `patience` rounds went by without a smaller validation error. The curve of these
+        errors, the best round and the one it stopped at are kept in the history.
+        Without validation rows nothing is cut. Without a `split` column all rows are training rows.
         """
         checkpoint_dir(df.sparkSession)
         if "split" not in df.columns:
             df = df.withColumn("split", F.lit("train"))
         df = df.na.drop(subset=[*self.features, self.target])
-        stop = early_stopping and self.algorithm == "gbt"
-        if stop:
-            rows = df.filter(F.col("split").isin("train", "validation")).withColumn(
-                "_validation", F.col("split") == "validation"
-            )
-        else:
-            rows = df.filter(F.col("split") == "train")
         assembler = VectorAssembler(inputCols=list(self.features), outputCol="features", handleInvalid="error")
         started = time.monotonic()
-        self.fitted = Pipeline(stages=[assembler, self._estimator("_validation" if stop else None, tolerance)]).fit(rows)
+        rows = df.filter(F.col("split") == "train").select(*self.features, self.target)
+        n_rows = rows.count()
+        rows = rows.coalesce(max(1, -(-n_rows // ROWS_PER_TASK)))
+        estimator, stopping = self._estimator(), {}
+        if early_stopping and self.algorithm == "gbt":
+            validation = assembler.transform(df.filter(F.col("split") == "validation")).withColumn(self.target, F.col(self.target).cast("double"))
+            self.fitted, stopping = self._stopped_fit(estimator, assembler, rows, validation, patience)
+        else:
+            self.fitted = PipelineModel(stages=[assembler, estimator.fit(assembler.transform(rows))])
         self.history = {
             "model_type": self.model_type, "algorithm": self.algorithm,
             "hyperparams": dict(self.hyperparams), "n_features": len(self.features),
             "feature_names": list(self.features), "training_time_sec": time.monotonic() - started,
-            "timestamp": datetime.now(timezone.utc).isoformat(),
+            "timestamp": datetime.now(timezone.utc).isoformat(), **stopping,
         }
         if metrics:
             self.history["metrics"] = {
@@ -126,6 +172,33 @@ class DownscalingModel:
             self.history["n_train_samples"] = df.filter(F.col("split") == "train").count()
         return self
 
+    def _stopped_fit(self, estimator, assembler: VectorAssembler, rows: DataFrame, validation: DataFrame,
+                     patience: int) -> tuple[PipelineModel, dict]:
+        """The ensemble cut at its best round, and what the history keeps of it.
+
+        The first trees of a short fit are those of a long one. Most fits stop soon, so a short one
+        is tried first; all rounds are made only if patience did not end it.
+        """
+        most = estimator.getMaxIter()
+        if validation.isEmpty():
+            return PipelineModel(stages=[assembler, estimator.fit(assembler.transform(rows))]), {"validation_curve": [], "best_round": most, "stopped_round": most}
+        features = assembler.transform(rows).persist()
+        try:
+            for rounds in sorted({min(2 * patience, most), most}):
+                model = estimator.fit(features, {estimator.maxIter: rounds})
+                curve = validation_curve(model, validation)
+                best, stopped = rounds_kept(curve, patience)
+                if stopped < rounds or stopped - best >= patience:
+                    break
+        finally:
+            features.unpersist()
+        return PipelineModel(stages=[assembler, first_trees(model, best)]), {"validation_curve": curve[:stopped], "best_round": best, "stopped_round": stopped}
+
+    def curve(self, spark: SparkSession) -> DataFrame:
+        """(round, error, kept): the validation error of every round looked at, and whether the model holds the round's tree."""
+        rows = [(i + 1, float(e), i < self.history["best_round"]) for i, e in enumerate(self.history.get("validation_curve", []))]
+        return spark.createDataFrame(rows, "round int, error double, kept boolean")
+
     def predict(self, df: DataFrame, name: str = "prediction") -> DataFrame:
         """Add the prediction; for occurrence, the probability of a wet month."""
         scored = self.fitted.transform(df)

@@ -8,28 +8,30 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isohyet.functions.coords import MICRO, axis_key, with_keys
+from isohyet.functions.coords import MICRO, axis_key, lat_band, with_keys
 from isohyet.operators.grids import Grid, axis_weights, weights_by_axis
 from isohyet.operators.sizing import fail_when
 
-CELL = ("lat_key", "lon_key", "lat", "lon")
+CELL = ("lat_band", "lat_key", "lon_key", "lat", "lon")
 _DUPLICATE = "regrid: two source rows for one cell"
 
 
 def regrid(df: DataFrame, source: Grid | Mapping[str, Grid], target: Grid, method: str = "bilinear",
            values: Sequence[str] = ("tas", "pr"), keys: Sequence[str] = ("time",), grid_key: str | None = None,
            weights: DataFrame | None = None, keep_missing: bool = False) -> DataFrame:
-    """Move a cube from one grid to another; output: keys, lat_key, lon_key, lat, lon, values.
+    """Move a cube from one grid to another; output: keys, lat_band, lat_key, lon_key, lat, lon, values.
 
     `source` is one grid, or one grid per value of `grid_key` (one of `keys`,
     such as the model), all moved in one plan.
 
-    Latitudes are combined first, then longitudes. Both weight tables are axis
-    tables and are broadcast. One shuffle, by (keys, target latitude), carries
-    source-resolution rows; both aggregates run on it, so the fine rows are
-    never shuffled. A value is missing when any cell it needs is missing. A
-    source that is the target up to rounding gets the target's coordinates; the
-    check for duplicates and the rule for missing cells are the same.
+    Target latitudes lie in bands of 8 degrees. A source row goes to the bands
+    that need it: to its own, and next to a border also to the neighbour. One
+    shuffle, by (keys, band), carries these source-resolution rows; latitudes are
+    combined behind it, then longitudes, so neither weighted nor fine rows are
+    ever shuffled. The weight tables are axis tables and are broadcast. A value is
+    missing when any cell it needs is missing. A source that is the target up to
+    rounding gets the target's coordinates; the check for duplicates and the
+    rule for missing cells are the same.
     """
     sources = {"": source} if isinstance(source, Grid) else dict(source)
     if not isinstance(source, Grid) and grid_key not in keys:
@@ -41,11 +43,13 @@ def regrid(df: DataFrame, source: Grid | Mapping[str, Grid], target: Grid, metho
     )
     on = [] if isinstance(source, Grid) else [grid_key]
     parts = weights_by_axis(weights, on[0] if on else None)
-    # Both tables hold a few rows per axis coordinate, bounded by AXIS_LIMIT.
-    by_lat = rows.join(F.broadcast(parts["lat"]), [*on, "_lat_src"]).repartition(*keys, "lat_key")
-    columns = _combine(by_lat, [*keys, "lat_key", "_lon_src"], ["lat"], values, "lat")
+    # The tables hold a few rows per axis coordinate, bounded by AXIS_LIMIT.
+    banded = rows.join(F.broadcast(parts["bands"]), [*on, "_lat_src"]).withColumn("lat_band", F.explode("_bands")).drop("_bands")
+    spread = banded.repartition(*keys, "lat_band")
+    by_lat = spread.join(F.broadcast(parts["lat"]), [*on, "_lat_src", "lat_band"])
+    columns = _combine(by_lat, [*keys, "lat_band", "lat_key", "_lon_src"], ["lat"], values, "lat")
     by_lon = columns.join(F.broadcast(parts["lon"]), [*on, "_lon_src"])
-    cells = _combine(by_lon, [*keys, "lat_key", "lon_key"], ["lat", "lon"], values, "lon")
+    cells = _combine(by_lon, [*keys, "lat_band", "lat_key", "lon_key"], ["lat", "lon"], values, "lon")
     if not keep_missing:
         cells = cells.na.drop(how="all", subset=list(values))
     return cells.select(*keys, *CELL, *values)
@@ -91,11 +95,12 @@ def to_grid(df: DataFrame, grid: Grid, values: Sequence[str], keys: Sequence[str
     """
     if steps is None:
         steps = df.select(*keys).distinct()
-    on = [*keys, "lat_key", "lon_key"]
+    on = [*keys, "lat_band", "lat_key", "lon_key"]
     skeleton = (
         steps.withColumn("lat", F.explode(F.lit(np.array(grid.lat))))
         .withColumn("lat_key", axis_key(F.col("lat")))
-        .repartition(*keys, "lat_key")
+        .withColumn("lat_band", lat_band(F.col("lat_key")))
+        .repartition(*keys, "lat_band")
         .withColumn("lon", F.explode(F.lit(np.array(grid.lon))))
         .withColumn("lon_key", axis_key(F.col("lon")))
         .withColumn("_on_grid", F.lit(True))

@@ -12,7 +12,7 @@ from isohyet.operators.align import pending
 from isohyet.operators.grids import Grid, grid_of
 from isohyet.sources import manifest as manifest_table
 from isohyet.sources.cubes import read_model, read_target, reference_cube, repeated_cells
-from isohyet.sources.sinks import write_table
+from isohyet.sources.sinks import read_table, write_table
 
 STAGE = "preprocess"
 
@@ -48,7 +48,7 @@ def process_and_save(spark: SparkSession, reference: DataFrame, target: DataFram
         fail_fast("reference", lambda: write_table(
             reference_cube(reference, years).select("time", "lat", "lon", "tas", "pr"), f"{output}/reference"
         ))
-    grid = grid_of(spark.read.parquet(f"{output}/reference"))
+    grid = grid_of(read_table(spark, f"{output}/reference"))
     if "target" in todo:
         fail_fast("target", lambda: write_table(
             read_target(target, grid, years).select("time", "lat", "lon", "tas", "pr"), f"{output}/target"
@@ -73,7 +73,8 @@ def _models(spark: SparkSession, models: DataFrame, grid: Grid, names: Sequence[
     if present:
         cube = read_model(good.filter(F.col("model").isin(*present)), grid, years)
         try:
-            write_table(cube.withColumn("year", F.year("time")), f"{output}/models", ("model", "scenario", "year"))
+            write_table(cube.withColumn("year", F.year("time")), f"{output}/models", ("model", "scenario", "year"),
+                        ("model",), [(n,) for n in present])
         except Exception as error:
             errors |= {n: str(error) for n in present}
     return [(n, "failed", errors[n]) if n in errors else (n, "completed", None) for n in names]

@@ -16,7 +16,7 @@ from isohyet.operators.learning import ModelSet, score
 from isohyet.operators.regrid import to_grid
 from isohyet.sources import manifest as manifest_table
 from isohyet.sources.cubes import read_model, repeated_cells
-from isohyet.sources.sinks import write_downscaled, write_table
+from isohyet.sources.sinks import read_table, write_downscaled, write_table
 
 KEYS = ("model", "scenario", "time")
 
@@ -84,7 +84,7 @@ def downscale_all(spark: SparkSession, raw: DataFrame, models: ModelSet, grid: G
             broken = str(error)
         else:
             # The stored predictions feed the rest, so nothing is scored twice.
-            stored = spark.read.parquet(f"{output}/data").withColumnsRenamed({"tas": "pred_tas", "pr": "pred_pr"})
+            stored = read_table(spark, f"{output}/data").withColumnsRenamed({"tas": "pred_tas", "pr": "pred_pr"})
             rows = stored.join(F.broadcast(ready), ["model", "scenario"], "left_semi")
             outputs = rows.groupBy("model", "scenario").agg(F.count("pred_tas").alias("n_tas"), F.count("pred_pr").alias("n_pr"))
             status = plan.join(outputs, ["model", "scenario"], "left").select("model", "scenario", "error", F.when(

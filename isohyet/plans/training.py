@@ -13,7 +13,7 @@ from isohyet.operators.features import (
     add_calendar_features, add_log_features, sample_splits, split_by_year,
 )
 from isohyet.operators.learning import (
-    DownscalingModel, ModelSet, evaluate_two_stage, fit_amount, fit_occurrence, fit_precip, fit_temperature, SUFFIX,
+    PATIENCE, SUFFIX, DownscalingModel, ModelSet, evaluate_two_stage, fit_amount, fit_occurrence, fit_precip, fit_temperature,
 )
 from isohyet.operators.naming import rename_training
 from isohyet.operators.quality import drop_missing
@@ -44,12 +44,12 @@ def save_training_table(table: DataFrame, path: str) -> None:
 
 def train_two_stage(table: DataFrame, output: str, algorithm: str = "auto",
                     hyperparams: Mapping[str, Mapping] | None = None, early_stopping: bool = True,
-                    tolerance: float = 0.01) -> tuple[DownscalingModel, DownscalingModel]:
+                    patience: int = PATIENCE) -> tuple[DownscalingModel, DownscalingModel]:
     """Occurrence and amount models, saved with the metrics of their product.
 
-    Boosted trees stop early on the validation rows unless told otherwise.
+    Boosted trees stop early on the validation rows, by patience, unless told otherwise.
     """
-    params, stop = hyperparams or {}, {"early_stopping": early_stopping, "tolerance": tolerance}
+    params, stop = hyperparams or {}, {"early_stopping": early_stopping, "patience": patience}
     occurrence = fit_occurrence(table, algorithm, params.get("precipitation_occurrence"), **stop)
     amount = fit_amount(table, algorithm, params.get("precipitation"), **stop)
     occurrence.save(f"{output}/{occurrence.algorithm}_pr_occ")
@@ -61,7 +61,7 @@ def train_two_stage(table: DataFrame, output: str, algorithm: str = "auto",
 
 def train_all(spark: SparkSession, data: str, output: str, algorithm: str = "auto", two_stage: bool = True,
               sample_fraction: float = 1.0, hyperparams: Mapping[str, Mapping] | None = None,
-              early_stopping: bool = True, tolerance: float = 0.01) -> ModelSet:
+              early_stopping: bool = True, patience: int = PATIENCE) -> ModelSet:
     """Temperature and precipitation models from the stored training table.
 
     Boosted trees stop early on the validation rows unless told otherwise.
@@ -71,7 +71,7 @@ def train_all(spark: SparkSession, data: str, output: str, algorithm: str = "aut
     table = with_keys(read_split(spark, data)).filter(F.col("split").isNotNull())
     table = sample_splits(table, sample_fraction, ["year", "month", "lat_key", "lon_key"]).persist()
     try:
-        stop = {"early_stopping": early_stopping, "tolerance": tolerance}
+        stop = {"early_stopping": early_stopping, "patience": patience}
         temperature = fit_temperature(table, algorithm, params.get("temperature"), **stop)
         temperature.save(f"{output}/{temperature.algorithm}_{SUFFIX['temperature']}")
         if two_stage:

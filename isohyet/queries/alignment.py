@@ -149,11 +149,10 @@ def _(spark, sf):
 @query("manifest_roundtrip", "select status, count(*) as n from status_log group by status", ("status_log",))
 def _(spark, sf):
     from isohyet.queries.base import scratch
-    from isohyet.sources.sinks import write_table
 
     path = f"{scratch(spark)}/manifest"
     rows = status_log(spark, sf).withColumns({"stage": F.lit("load"), "error": F.lit(None).cast("string")})
-    write_table(rows, path, mode="append")
+    rows.write.mode("append").parquet(path)
     return manifest.batch_summary(manifest.load(spark, path))
 
 
@@ -221,6 +220,7 @@ _TRAINING_COLUMNS = [
     "gcm_pr_mm", "month_sin", "month_cos", "era_tp_log1p", "gcm_pr_log1p",
 ]
 _NEED = ("obs", "tgt", "regridded")
+TRAINING_SQL, TRAINING_TABLES = _TRAINING, _NEED
 
 
 def training(spark, sf):

@@ -1,106 +1,140 @@
-"""Fitting, scoring and their metrics. Few shallow trees keep the runs short."""
+"""Fitting, scoring and their metrics, at the default hyperparameters and with early stopping by patience.
+
+A model is fitted once per application and table folder, stored, and read by every query that needs it.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isohyet.operators import learning as ml
 from isohyet.operators.grids import grid_of
 from isohyet.plans import preprocess, scoring, training as train_plan
-from isohyet.queries.alignment import training
-from isohyet.queries.base import (
-    SPLITS, coarse, multi, observed, observed_points, query, r6, raw_model, raw_target, scratch,
-)
-from isohyet.sources import registry
+from isohyet.queries.alignment import TRAINING_SQL, TRAINING_TABLES, training
+from isohyet.queries.base import multi, observed, observed_points, query, r6, raw_target, scratch
+from isohyet.sources import registry, sinks
 
-GBT = {"maxIter": 3, "maxDepth": 4, "stepSize": 0.3}
-RF = {"numTrees": 5, "maxDepth": 6}
-TINY = {"maxIter": 2, "maxDepth": 3, "stepSize": 0.5}
-SMALL = {"temperature": TINY, "precipitation": TINY, "precipitation_occurrence": TINY}
+_FOLDERS: dict[tuple[str, str], str] = {}
+_FITTED: set[str] = set()
+# Model type, algorithm and rows of each stored model, by its file name.
+FITS = {
+    "gbt_tas": ("temperature", "gbt"), "rf_tas": ("temperature", "rf"), "gbt_pr": ("precipitation", "gbt"),
+    "gbt_pr_occ": ("precipitation_occurrence", "gbt"), "gbt_pr_amt": ("precipitation", "gbt"),
+}
 
 
-def stored_training(spark, sf) -> str:
-    """The training table, written once and read by every fit."""
-    path = f"{scratch(spark)}/training"
-    train_plan.save_training_table(training(spark, sf), path)
-    return path
+def folder_of(spark, sf) -> str:
+    """Where the application keeps the training table and the models of one table folder; the table is written once."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FOLDERS:
+        folder = scratch(spark)
+        train_plan.save_training_table(training(spark, sf), f"{folder}/training")
+        _FOLDERS[key] = folder
+    return _FOLDERS[key]
 
 
-def table_of(spark, sf):
-    return spark.read.parquet(stored_training(spark, sf))
+def table_of(spark, sf) -> DataFrame:
+    return sinks.read_split(spark, f"{folder_of(spark, sf)}/training").filter(F.col("split").isNotNull())
 
 
-@query("fit_temperature")
-def _(spark, sf):
-    rows = table_of(spark, sf)
-    return ml.fit_temperature(rows, "auto", GBT, metrics=False).evaluate(rows)
+def rows_of(spark, sf, name: str) -> DataFrame:
+    """The rows a model is fitted on and judged by."""
+    rows = ml.with_wet(table_of(spark, sf))
+    return rows.filter("era_tp_mm > 0") if name.endswith("_amt") else rows
 
 
-@query("fit_temperature_forest")
-def _(spark, sf):
-    rows = table_of(spark, sf)
-    return ml.fit_temperature(rows, "rf", RF, metrics=False).evaluate(rows)
+def stored(spark, sf, name: str) -> ml.DownscalingModel:
+    """One of FITS, fitted where that has not happened yet, as it comes back from its folder."""
+    path = f"{folder_of(spark, sf)}/models/{name}"
+    if path not in _FITTED:
+        kind, algorithm = FITS[name]
+        ml.DownscalingModel(kind, algorithm).fit(rows_of(spark, sf, name), early_stopping=True).save(path)
+        _FITTED.add(path)
+    return ml.DownscalingModel.load(path)
 
 
-@query("fit_precip")
-def _(spark, sf):
-    rows = table_of(spark, sf)
-    return ml.fit_precip(rows, "auto", GBT, metrics=False).evaluate(rows)
+def _metrics(name: str):
+    return lambda spark, sf: stored(spark, sf, name).evaluate(rows_of(spark, sf, name))
 
 
-@query("fit_occurrence")
-def _(spark, sf):
-    rows = ml.with_wet(table_of(spark, sf))
-    return ml.fit_occurrence(rows, "auto", GBT, metrics=False).evaluate(rows)
+query("fit_temperature")(_metrics("gbt_tas"))
+query("fit_temperature_forest")(_metrics("rf_tas"))
+query("fit_precip")(_metrics("gbt_pr"))
+query("fit_occurrence")(_metrics("gbt_pr_occ"))
+query("fit_amount")(_metrics("gbt_pr_amt"))
+# Saved and loaded again, as all of them.
+query("save_load")(_metrics("gbt_tas"))
 
 
-@query("fit_amount")
+@query("early_stop")
 def _(spark, sf):
-    rows = table_of(spark, sf)
-    model = ml.fit_amount(rows, "auto", GBT, metrics=False)
-    return model.evaluate(rows.filter("era_tp_mm > 0"))
+    """The validation error of every round until patience ran out, and the rounds that the model keeps."""
+    return stored(spark, sf, "gbt_tas").curve(spark)
 
 
-@query("early_stop")
+def _base_sql(name: str, target: str, where: str = "true") -> str:
+    """Rows of each split, and the error of the mean of the training rows: what a model is held against."""
+    return f"""select '{name}' as model, split, count(*) as n_rows, {r6(f'sqrt(avg(({target} - m)*({target} - m)))', 'mean_rmse')}, true as agrees,
+        case when split = 'train' then true end as beats_mean
+        from (select *, avg(case when split = 'train' then {target} end) over () as m from (
+            select split, era_t2m_degC as t, era_tp_log1p as p, case when era_tp_mm > 0 then 1.0 else 0.0 end as wet
+            from ({TRAINING_SQL}) where split is not null and {where})) group by split"""
+
+
+@query("fit_checks", " union all ".join(_base_sql(*args) for args in (
+    ("gbt_tas", "t"), ("rf_tas", "t"), ("gbt_pr", "p"), ("gbt_pr_occ", "wet"), ("gbt_pr_amt", "p", "era_tp_mm > 0"))), TRAINING_TABLES)
 def _(spark, sf):
-    rows = table_of(spark, sf)
-    return ml.fit_temperature(rows, "gbt", GBT, metrics=False, early_stopping=True).evaluate(rows)
+    """Every fitted model: its rows, whether its metrics are those of its stored predictions, and whether it beats the mean in training."""
+    return reduce(DataFrame.unionByName, [_compared(spark, sf, name) for name in FITS])
+
+
+def _compared(spark, sf, name: str) -> DataFrame:
+    model = stored(spark, sf, name)
+    rows = rows_of(spark, sf, name)
+    path = f"{folder_of(spark, sf)}/predictions/{name}"
+    predictions = model.predict(rows, "_score").select("split", F.col(model.target).cast("double").alias("y"), "_score")
+    sinks.write_table(predictions, path)
+    kept = sinks.read_table(spark, path)
+    mean = kept.filter("split = 'train'").agg(F.avg("y").alias("_mean"))
+    square = lambda x: F.sqrt(F.avg((F.col("y") - x) ** 2))
+    # A one-row table.
+    again = kept.join(F.broadcast(mean)).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), square(F.col("_mean")).alias("mean_rmse"), square(F.col("_score")).alias("_rmse"),
+        F.avg(((F.col("_score") > 0.5).cast("int") == F.col("y")).cast("int")).alias("_right"))
+    told = model.evaluate(rows)
+    name_of, value = ("accuracy", "_right") if model.occurrence else ("rmse_log" if "rmse_log" in told.columns else "rmse", "_rmse")
+    return again.join(told.select("split", F.col(name_of).alias("_told")), "split").select(
+        F.lit(name).alias("model"), "split", "n_rows", "mean_rmse", (F.abs(F.col("_told") - F.col(value)) < 1e-9).alias("agrees"),
+        F.when(F.col("split") == "train", F.col("_rmse") < F.col("mean_rmse")).alias("beats_mean"))
 
 
 @query("evaluate_split")
 def _(spark, sf):
-    model = ml.fit_temperature(table_of(spark, sf), "gbt", GBT)
+    """The metrics that the fit left in the history, per split."""
+    model = stored(spark, sf, "gbt_tas")
     rows = [(s, k, float(v)) for s, m in model.history["metrics"].items() for k, v in m.items()]
     return spark.createDataFrame(rows, "split string, metric string, value double")
 
 
 @query("feature_importance")
 def _(spark, sf):
-    model = ml.fit_temperature(table_of(spark, sf), "gbt", GBT, metrics=False)
-    return model.feature_importance(spark)
+    return stored(spark, sf, "gbt_tas").feature_importance(spark)
 
 
 @query("train_two_stage")
 def _(spark, sf):
-    rows = table_of(spark, sf)
-    pair = train_plan.train_two_stage(rows, f"{scratch(spark)}/models", "gbt", SMALL)
-    return ml.evaluate_two_stage(rows, ml.ModelSet(None, None, *pair))
-
-
-@query("save_load")
-def _(spark, sf):
-    path = f"{scratch(spark)}/gbt_tas"
-    rows = table_of(spark, sf)
-    ml.fit_temperature(rows, "gbt", GBT, metrics=False).save(path)
-    return ml.DownscalingModel.load(path).evaluate(rows)
+    pair = ml.ModelSet(None, None, stored(spark, sf, "gbt_pr_occ"), stored(spark, sf, "gbt_pr_amt"))
+    return ml.evaluate_two_stage(table_of(spark, sf), pair)
 
 
 def trained(spark, sf) -> ml.ModelSet:
-    """All models, trained, saved, found again by name and loaded."""
-    folder = f"{scratch(spark)}/models"
-    train_plan.train_all(spark, stored_training(spark, sf), folder, "gbt", True, 1.0, SMALL)
+    """The stored models of a scoring run, found again by name."""
+    for name in ("gbt_tas", "gbt_pr_occ", "gbt_pr_amt"):
+        stored(spark, sf, name)
+    folder = f"{folder_of(spark, sf)}/models"
     names = spark.createDataFrame([(f"{folder}/{n}",) for n in ("gbt_tas", "gbt_pr_occ", "gbt_pr_amt")], "path string")
     return ml.ModelSet.load(registry.resolve_models(names))
 
@@ -126,7 +160,7 @@ def _(spark, sf):
     names = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     folder = f"{scratch(spark)}/downscaled"
     scoring.downscale_all(spark, raw_scenarios(spark, sf), trained(spark, sf), grid, folder, names, ["ssp126", "ssp585"])
-    return spark.read.parquet(f"{folder}/ensemble")
+    return sinks.read_table(spark, f"{folder}/ensemble")
 
 
 @query("process_and_save", """select dataset, stage, status, case when dataset in ('reference', 'target') then null
@@ -142,9 +176,9 @@ def _(spark, sf):
     log = preprocess.process_and_save(
         spark, reference, raw_target(spark, sf), raw_scenarios(spark, sf), out, names, years=(1995, 1998),
     )
-    stored = spark.read.parquet(f"{out}/models").groupBy(F.col("model").alias("dataset")).agg(F.count_distinct("time").alias("n"))
+    stored_cells = sinks.read_table(spark, f"{out}/models").groupBy(F.col("model").alias("dataset")).agg(F.count_distinct("time").alias("n"))
     there = F.when(~F.col("dataset").isin("reference", "target"), F.col("n").isNotNull())
-    return log.join(stored, "dataset", "left").select("dataset", "stage", "status", there.alias("stored"))
+    return log.join(stored_cells, "dataset", "left").select("dataset", "stage", "status", there.alias("stored"))
 
 
 @query("process_bad_model", """select distinct model as dataset, case when model = '2-HIGH' then 'failed' else 'completed' end as status,

@@ -27,6 +27,7 @@ from isohyet.operators.naming import (
 )
 from isohyet.operators.quality import enforce, require_rows, validate_range
 from isohyet.operators.regrid import regrid
+from isohyet.sources import runs
 from isohyet.operators.temporal import (
     clip_years, conditional_clip, parse_times, resample_monthly,
 )
@@ -198,7 +199,7 @@ def read_processed(spark: SparkSession, candidates: Mapping[str, Sequence[str]])
     out = {}
     for source, names in {"cru": ("cru_tmp", "cru_pre"), "era5": ("era5_t2m", "era5_tp"),
                           "gcm": ("gcm_tas", "gcm_pr")}.items():
-        df = spark.read.parquet(first_existing(spark, candidates[source]))
+        df = runs.read(spark, first_existing(spark, candidates[source]))
         for name in names:
             df = alias_variable(df, VARIABLE_ALIASES[name], name)
         out[source] = df
@@ -208,6 +209,6 @@ def read_processed(spark: SparkSession, candidates: Mapping[str, Sequence[str]])
 def read_future(spark: SparkSession, tas_path: str, pr_path: str,
                 keys: Sequence[str] = ("model", "scenario")) -> DataFrame:
     """Two single-variable future cubes as scoring features, without a target."""
-    tas = alias_variable(spark.read.parquet(tas_path), VARIABLE_ALIASES["gcm_tas"], "gcm_tas_degC")
-    pr = alias_variable(spark.read.parquet(pr_path), VARIABLE_ALIASES["gcm_pr"], "gcm_pr_mm")
+    tas = alias_variable(runs.read(spark, tas_path), VARIABLE_ALIASES["gcm_tas"], "gcm_tas_degC")
+    pr = alias_variable(runs.read(spark, pr_path), VARIABLE_ALIASES["gcm_pr"], "gcm_pr_mm")
     return scoring_features(join_tas_pr(tas, pr, keys))

@@ -1,5 +1,6 @@
 """Sinks. Writes are rebalanced by their partition columns, so a large model
-or year is split over tasks and a small one makes one file."""
+or year is split over tasks and a small one makes one file. Tables are written in
+runs of their own and are read by their last commit."""
 
 from __future__ import annotations
 
@@ -7,22 +8,37 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from isohyet.constants import OUTPUT_ATTRIBUTES, TARGET_RESOLUTION
 from isohyet.operators.naming import to_float32
+from isohyet.sources import runs
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
-    """Snappy Parquet; with partitions, only those in the data are replaced."""
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), keys: Sequence[str] = (),
+                values: Sequence[Sequence[str]] = ()) -> None:
+    """Snappy Parquet, visible as a whole once all of it is written.
+
+    The table is replaced; with `keys` only the rows whose keys have one of `values` are, and `df`
+    holds those. The run before stays readable for readers that are at work; older ones go.
+    """
+    spark = df.sparkSession
+    folder = runs.new_run(path)
     rows = df.hint("rebalance", *partition_by) if partition_by else df
-    rows.write.mode(mode).option("compression", "snappy").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *partition_by
-    ).parquet(path)
+    rows.write.option("compression", "snappy").partitionBy(*partition_by).parquet(folder)
+    schema = T.StructType([f for f in df.schema if f.name not in partition_by] + [df.schema[c] for c in partition_by])
+    runs.commit(spark, path, folder, schema, keys, values)
+    runs.vacuum(spark, path)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """What the last finished run left."""
+    return runs.read(spark, path)
 
 
 def read_split(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
     """The training table, or one split of it by partition pruning."""
-    df = spark.read.parquet(path)
+    df = read_table(spark, path)
     return df.filter(F.col("split") == split) if split else df
 
 
@@ -39,11 +55,13 @@ def write_downscaled(df: DataFrame, path: str, model_paths: Mapping[str, object]
                      pairs: DataFrame | None = None) -> None:
     """Predictions by scenario and model, and provenance rows beside them.
 
-    `pairs` are the (model, scenario) of this run; rows of earlier runs stay as
-    they were written. Without it the pairs are taken from `df`.
+    `pairs` are the (model, scenario) of this run; the data of other pairs and the provenance of
+    earlier runs stay as they were written. Without it the pairs are taken from `df`.
     """
-    write_table(downscaled_table(df), f"{path}/data", ("scenario", "model"))
     made = df.select("model", "scenario").distinct() if pairs is None else pairs
+    # A list of requested pairs, not of rows.
+    values = [(r["scenario"], r["model"]) for r in made.distinct().collect()]
+    write_table(downscaled_table(df), f"{path}/data", ("scenario", "model"), ("scenario", "model"), values)
     provenance(made, model_paths, algorithm).repartition(1).write.mode("append").json(f"{path}/provenance")
 
 

@@ -153,11 +153,31 @@ def test_regrid_plan_has_one_shuffle_and_no_nested_loop(spark, cube, tmp_path):
     cube(plane(SRC)).write.parquet(str(tmp_path / "c"))
     plan = plan_of(regrid(spark.read.parquet(str(tmp_path / "c")), SRC, Grid((0.5, 1.5), (10.5, 11.5))))
     assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.count("BroadcastHashJoin") == 2
+    # The bands before the shuffle, both axes' weights behind it: nothing is multiplied before.
+    before, after = plan.split("Exchange hashpartitioning")
+    assert after.count("BroadcastHashJoin") == 1 and before.count("BroadcastHashJoin") == 2
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan
 
 
+@pytest.mark.parametrize("method", grids.METHODS)
+def test_shuffled_rows_are_the_source_rows_and_borders(spark, method):
+    """A global regrid from 1 to 0.25 degrees sends on few more rows than the source has."""
+    source = Grid(tuple(np.arange(-89.5, 90, 1.0).tolist()), (0.0, 1.0))
+    target = Grid(tuple(np.arange(-89.375, 89.5, 0.25).tolist()), (0.5,))
+    bands = [r["_bands"] for r in grids.weights_by_axis(grids.axis_weights(spark, {"g": source}, target, method), None)["bands"].collect()]
+    assert len(bands) == 180 and max(map(len, bands)) <= 2 and sum(map(len, bands)) <= 1.3 * 180
+    needed = {b for bs in bands for b in bs}
+    assert needed == {int(t // 8) for t in target.lat}
+
+
+def test_bands_give_the_same_cells_on_both_sides_of_a_border(cube):
+    source = Grid((6.0, 7.0, 8.0, 9.0, 15.5, 16.5), (10.0, 11.0))
+    target = Grid((6.25, 7.5, 7.999999, 8.0, 8.5, 15.75, 16.25), (10.5,))
+    got = result(regrid(cube(plane(source)), source, target))
+    assert len(got) == 7 and all(tas == pytest.approx(1 + 2 * la - 0.5 * lo) for (la, lo), (tas, _) in got.items())
+
+
 def test_nearest_cell_ties_and_ends(spark):
     points = grids.points_table(spark, [(0.5, 10.49), (-3.0, 12.5), (2.2, 99.0)])
     got = [(r["grid_lat"], r["grid_lon"]) for r in grids.nearest_cell(points, SRC).orderBy("point").collect()]
