@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -93,9 +95,34 @@ def chunks(texts: pa.Array, size: int = CHUNK_CHARS) -> Iterator[tuple[int, int]
         yield low, len(lengths)
 
 
+#: The folder in which the operators of a workspace store their tables; none outside.
+_WORKSPACE: ContextVar[str | None] = ContextVar("workspace", default=None)
+_LEFT: list[str] = []
+
+
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/isohyet-llm-{uuid.uuid4().hex}"
+    """A new folder below the shared checkpoint folder, or below the workspace that is open."""
+    return f"{_WORKSPACE.get() or checkpoint_dir(spark)}/isohyet-llm-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def workspace(spark: SparkSession, source: DataFrame) -> Iterator[None]:
+    """A folder for all tables that operators store inside.
+
+    It outlasts the block, since results are read later. The next workspace of the application removes it,
+    unless that one's `source` is still read from it.
+    """
+    files = source.inputFiles() if _LEFT else []
+    for folder in [f for f in _LEFT if not any(f.split(":", 1)[-1].lstrip("/") in x for x in files)]:
+        discard(spark, folder)
+        _LEFT.remove(folder)
+    folder = f"{checkpoint_dir(spark)}/isohyet-stage-{uuid.uuid4().hex}"
+    token = _WORKSPACE.set(folder)
+    try:
+        yield
+    finally:
+        _WORKSPACE.reset(token)
+        _LEFT.append(folder)
 
 
 def settled(df: DataFrame, folder: str | None = None) -> DataFrame:

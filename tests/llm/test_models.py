@@ -188,8 +188,7 @@ def test_probabilities_of_a_context_add_up_to_one(spark):
     docs = frame(spark, [(i, "a b c a b d " * 3 + f"x{i % 7} y") for i in range(60)])
     texts = docs
     blocks = hpyp.settled(hpyp.blocks_of(texts, 2, 10_000))
-    counted = hpyp.settled(blocks.filter("shard >= 0 and counts is not null").select("shard", "counts").groupBy("shard").applyInArrow(
-        hpyp.merge_counts, "shard int, table binary, state binary, tokens long, words long, once long, twice long, totals binary"))
+    counted = hpyp.settled(hpyp.counts_by_shard(blocks))
     state, samples, _, words = hpyp.sample_seating(counted, 2)
     models = {r["shard"]: r for r in counted.join(state.withColumnRenamed("state", "seats"), "shard").collect()}
     from isohyet.llm.hyperminhash import word_hashes

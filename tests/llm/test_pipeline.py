@@ -86,3 +86,30 @@ def test_rows_with_null_and_repeated_ids_keep_their_own_texts(spark, monkeypatch
     monkeypatch.setattr(corpus_pipeline, "tokenizer_path", path)
     packed = corpus_pipeline.best_fit_packing(spark, single, "").collect()
     assert sorted(str(r["doc_id"]) for r in packed if r["piece"] == 0) == ["7", "7", "8", "None", "None", "None"]
+
+
+def test_a_stage_removes_the_tables_of_the_one_before(spark, tmp_path):
+    """Its own stay until its result is stored, also where two stages follow each other without that."""
+    import os
+
+    from isohyet.llm import texts
+    from isohyet.session import checkpoint_dir
+
+    docs = spark.createDataFrame([(i, f"text {i}", "en", "s", 6) for i in range(5)], "doc_id long, text string, lang string, source string, n_chars long")
+    folder = checkpoint_dir(spark).split(":", 1)[-1]
+    stages = lambda: {f for f in os.listdir(folder) if f.startswith("isohyet-stage-")}
+
+    def step(source):
+        with texts.workspace(spark, source):
+            return texts.settled(source)
+
+    step(docs)
+    before = stages()
+    one = step(docs)
+    assert not before & stages() and len(stages()) == 1
+    two = step(one)  # reads what the first stored: nothing may go yet
+    assert len(stages()) == 2 and two.count() == 5
+    two.write.parquet(str(tmp_path / "stored"))
+    three = step(spark.read.parquet(str(tmp_path / "stored")))
+    assert len(stages()) == 1 and three.count() == 5
+    assert "isohyet-stage-" not in texts.scratch(spark)
