@@ -10,12 +10,15 @@ the operators state; a null or empty text fails the quality rules.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isohyet.llm import hyperminhash, risk_thresholds, subword_embedding, suffix_dedup, sumsquares_packing
 from isohyet.llm.queries import tokenizer_path
-from isohyet.llm.texts import settled, table
+from isohyet.llm.texts import discard, scratch, settled, table, workspace
 
 #: Word shingles of the near-duplicate stage, and the least similarity in percent.
 SHINGLE, PERCENT = 5, 80
@@ -26,16 +29,29 @@ PASSAGE = 200
 ORACLE_SQL = None
 
 
+def own_tables(stage: Callable) -> Callable:
+    """A stage that keeps the tables of its operator to itself and removes those of the stage before, whose result is stored by now."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        with workspace(spark, docs):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@own_tables
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good ones."""
     return subword_embedding.kept_rows(docs, subword_embedding.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@own_tables
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule rejects."""
     return risk_thresholds.kept_rows(docs, table(spark, sf_dir, "labels"))
 
 
+@own_tables
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of rows with similar texts: one with the smallest id. Rows without an id stay."""
     # A stored key of each row stands for its id: different texts of one id are different documents.
@@ -49,6 +65,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return known.join(kept, "_key", "left_semi").unionByName(alone).select("_row.*")
 
 
+@own_tables
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that stand elsewhere too; documents of which no word is left go."""
     others = tuple(c for c in docs.columns if c not in ("text", "n_chars"))
@@ -57,6 +74,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return rows.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
+@own_tables
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their sequences."""
     return sumsquares_packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
@@ -72,7 +90,10 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, folder = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
-        docs = settled(stage(spark, docs, sf_dir))
+        before, folder = folder, scratch(spark)
+        docs = settled(stage(spark, docs, sf_dir), folder)
+        if before:
+            discard(spark, before)
     return docs
