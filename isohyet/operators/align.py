@@ -9,13 +9,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isohyet.constants import FUTURE_SCENARIOS, MODELS
 from isohyet.functions.calendar import month_start
 from isohyet.functions.coords import pack_keys, with_keys
-from isohyet.operators.sizing import one_per_key
+from isohyet.operators.sizing import fail_when, one_per_key
 from isohyet.operators.temporal import add_calendar
 
 
@@ -63,17 +63,55 @@ def align_month(frames: Sequence[tuple[DataFrame, Sequence[str]]], keys: Sequenc
     return joined.withColumn("time", month_start(F.col("year"), F.col("month")))
 
 
+def _grown(i: int):
+    """A tuple of rows with each row of source i that has its time."""
+    def grown(t: Column) -> Column:
+        same = F.filter(F.col(f"_rows_{i}"), lambda r: r["time"] == t["r0"]["time"])
+        return F.transform(same, lambda r: F.struct(*[t[f"r{k}"].alias(f"r{k}") for k in range(i)], r.alias(f"r{i}")))
+
+    return grown
+
+
+def align_auto(frames: Sequence[tuple[DataFrame, Sequence[str]]], keys: Sequence[str] = ()) -> DataFrame:
+    """Exact matches; months only when there is none in the whole input. One plan, no job of its own.
+
+    Every source is gathered once by (keys, year, month, cell), the rows of a month
+    side by side, and joined once. Exact matches are found inside the joined months by their times, and
+    one flag over all of them picks the branch; Spark reuses the shuffles for it.
+    In the month branch a second row for a month and cell is an error.
+    """
+    on = [*keys, "year", "month", *CELL_KEYS]
+
+    def months(df: DataFrame, names: Sequence[str], i: int) -> DataFrame:
+        rows = with_keys(df if {"year", "month"} <= set(df.columns) else add_calendar(df)).filter(
+            F.col("year").isNotNull() & F.col("time").isNotNull())
+        return rows.groupBy(*on).agg(F.collect_list(F.struct("time", "lat", "lon", *names)).alias(f"_rows_{i}"))
+
+    sides = [months(df, names, i) for i, (df, names) in enumerate(frames)]
+    joined = reduce(lambda a, b: a.join(b, on), sides)
+    # Tuples (r0, r1, ...) of rows with one time, grown source by source.
+    exact = F.transform("_rows_0", lambda r: F.struct(r.alias("r0")))
+    for i in range(1, len(frames)):
+        exact = F.flatten(F.transform(exact, _grown(i)))
+    # Exact tuples alone decide, so the flag's branch of the plan ends there.
+    matched = joined.select(*on, exact.alias("_exact"), *[f"_rows_{i}" for i in range(len(frames))])
+    found = F.coalesce(matched.agg(F.max(F.size("_exact") > 0)).scalar(), F.lit(False))
+    single = [fail_when(F.size(f"_rows_{i}") > 1, f"source {i + 1}: more than one row for a key of ({', '.join(on)})",
+                        F.get(f"_rows_{i}", F.lit(0))).alias(f"r{i}") for i in range(len(frames))]
+    chosen = F.when(F.col("_found"), F.col("_exact")).otherwise(F.array(F.struct(*single)))
+    rows = matched.withColumn("_found", found).select(*on, "_found", F.explode(chosen).alias("_t"))
+    stamp = F.when(F.col("_found"), F.col("_t.r0.time")).otherwise(month_start(F.col("year"), F.col("month")))
+    values = [F.col(f"_t.r{i}")[n].alias(n) for i, (_, names) in enumerate(frames) for n in names]
+    return rows.select(*keys, stamp.alias("time"), *CELL_KEYS, "year", "month", F.col("_t.r0.lat").alias("lat"), F.col("_t.r0.lon").alias("lon"), *values)
+
+
 def align(frames: Sequence[tuple[DataFrame, Sequence[str]]], keys: Sequence[str] = (),
           mode: str = "month") -> DataFrame:
     """`month` (default), `exact`, or `auto`: months only when exact finds nothing."""
-    if mode == "month":
-        return align_month(frames, keys)
-    exact = align_exact(frames, keys)
-    if mode == "exact":
-        return exact
-    if mode != "auto":
+    ways = {"month": align_month, "exact": align_exact, "auto": align_auto}
+    if mode not in ways:
         raise ValueError(f"unknown mode: {mode}")
-    return align_month(frames, keys) if exact.isEmpty() else exact
+    return ways[mode](frames, keys)
 
 
 def join_tas_pr(tas: DataFrame, pr: DataFrame, keys: Sequence[str] = ("model", "scenario"),

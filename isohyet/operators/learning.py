@@ -132,6 +132,8 @@ class DownscalingModel:
     def _estimator(self):
         common = {"featuresCol": "features", "labelCol": self.target, "seed": SEED, **self.hyperparams}
         if self.algorithm == "rf":
+            # Deep trees have many nodes; statistics of more of them fit into one pass.
+            common.setdefault("maxMemoryInMB", 1024)
             return (RandomForestClassifier if self.occurrence else RandomForestRegressor)(**common)
         return (GBTClassifier if self.occurrence else GBTRegressor)(**common)
 
@@ -151,7 +153,9 @@ class DownscalingModel:
         started = time.monotonic()
         rows = df.filter(F.col("split") == "train").select(*self.features, self.target)
         n_rows = rows.count()
-        rows = rows.coalesce(max(1, -(-n_rows // ROWS_PER_TASK)))
+        # A forest grows all of its trees at once, each with a sample of the rows.
+        trees = self.hyperparams.get("numTrees", 1) if self.algorithm == "rf" else 1
+        rows = rows.coalesce(max(1, -(-n_rows * trees // ROWS_PER_TASK)))
         estimator, stopping = self._estimator(), {}
         if early_stopping and self.algorithm == "gbt":
             validation = assembler.transform(df.filter(F.col("split") == "validation")).withColumn(self.target, F.col(self.target).cast("double"))

@@ -18,7 +18,7 @@ _DUPLICATE = "regrid: two source rows for one cell"
 
 def regrid(df: DataFrame, source: Grid | Mapping[str, Grid], target: Grid, method: str = "bilinear",
            values: Sequence[str] = ("tas", "pr"), keys: Sequence[str] = ("time",), grid_key: str | None = None,
-           weights: DataFrame | None = None, keep_missing: bool = False) -> DataFrame:
+           weights: DataFrame | None = None, keep_missing: bool = False, duplicates: str = "error") -> DataFrame:
     """Move a cube from one grid to another; output: keys, lat_band, lat_key, lon_key, lat, lon, values.
 
     `source` is one grid, or one grid per value of `grid_key` (one of `keys`,
@@ -31,8 +31,12 @@ def regrid(df: DataFrame, source: Grid | Mapping[str, Grid], target: Grid, metho
     ever shuffled. The weight tables are axis tables and are broadcast. A value is
     missing when any cell it needs is missing. A source that is the target up to
     rounding gets the target's coordinates; the check for duplicates and the
-    rule for missing cells are the same.
+    rule for missing cells are the same. A source cell that stands twice is an error, or,
+    with `duplicates='flag'`, makes the results that use it missing and true in the column `twice`.
     """
+    if duplicates not in ("error", "flag"):
+        raise ValueError(f"unknown duplicates rule: {duplicates}")
+    flag = duplicates == "flag"
     sources = {"": source} if isinstance(source, Grid) else dict(source)
     if not isinstance(source, Grid) and grid_key not in keys:
         raise ValueError("several source grids need grid_key, one of the keys")
@@ -47,28 +51,32 @@ def regrid(df: DataFrame, source: Grid | Mapping[str, Grid], target: Grid, metho
     banded = rows.join(F.broadcast(parts["bands"]), [*on, "_lat_src"]).withColumn("lat_band", F.explode("_bands")).drop("_bands")
     spread = banded.repartition(*keys, "lat_band")
     by_lat = spread.join(F.broadcast(parts["lat"]), [*on, "_lat_src", "lat_band"])
-    columns = _combine(by_lat, [*keys, "lat_band", "lat_key", "_lon_src"], ["lat"], values, "lat")
+    columns = _combine(by_lat, [*keys, "lat_band", "lat_key", "_lon_src"], ["lat"], values, "lat", flag)
     by_lon = columns.join(F.broadcast(parts["lon"]), [*on, "_lon_src"])
-    cells = _combine(by_lon, [*keys, "lat_band", "lat_key", "lon_key"], ["lat", "lon"], values, "lon")
+    cells = _combine(by_lon, [*keys, "lat_band", "lat_key", "lon_key"], ["lat", "lon"], values, "lon", flag)
     if not keep_missing:
-        cells = cells.na.drop(how="all", subset=list(values))
-    return cells.select(*keys, *CELL, *values)
+        some = F.coalesce(*[F.col(v) for v in values]).isNotNull()
+        cells = cells.filter(some | F.col("twice") if flag else some)
+    return cells.select(*keys, *CELL, *values, *["twice"] * flag)
 
 
 def _combine(df: DataFrame, keys: Sequence[str], carried: Sequence[str], values: Sequence[str],
-             axis: str) -> DataFrame:
+             axis: str, flag: bool) -> DataFrame:
     """Weighted sums per key; `carried` columns are the same in all rows of a key."""
     w, need = F.col(f"_{axis}_w"), F.col("_need")
+    before = [F.max("twice").alias("_twice")] if "twice" in df.columns else []
     summed = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), F.max(f"_{axis}_n").alias("_need"), *[F.max(c).alias(c) for c in carried],
+        F.count(F.lit(1)).alias("_rows"), F.max(f"_{axis}_n").alias("_need"), *before, *[F.max(c).alias(c) for c in carried],
         *[F.sum(F.col(v) * w).alias(v) for v in values],
         *[F.count(v).alias(f"_have_{v}") for v in values],
     )
-    complete = [
-        fail_when(F.col("_rows") > need, _DUPLICATE, F.when(F.col(f"_have_{v}") == need, F.col(v))).alias(v)
-        for v in values
-    ]
-    return summed.select(*keys, *carried, *complete)
+    twice = F.col("_rows") > need
+    if before:
+        twice = twice | F.col("_twice")
+    whole = {v: F.when(F.col(f"_have_{v}") == need, F.col(v)) for v in values}
+    if flag:
+        return summed.select(*keys, *carried, *[F.when(~twice, whole[v]).alias(v) for v in values], twice.alias("twice"))
+    return summed.select(*keys, *carried, *[fail_when(twice, _DUPLICATE, whole[v]).alias(v) for v in values])
 
 
 def flatten(df: DataFrame, values: str, lat: str = "lats", lon: str = "lons",

@@ -12,6 +12,11 @@ from isohyet.functions.calendar import from_fields, month_start, ntz, parse_time
 from isohyet.functions.coords import aggregate_cells
 
 
+def in_years(start: int, end: int, time: str = "time") -> Column:
+    """Whether a time lies in whole years, both included."""
+    return _years(time, start, end)
+
+
 def _years(time: str, start: int, end: int) -> Column:
     # Half-open, so the whole last day is inside and Parquet can use it.
     return (F.col(time) >= ntz(f"{start:04d}-01-01")) & (F.col(time) < ntz(f"{end + 1:04d}-01-01"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from isohyet.functions.coords import with_keys
@@ -39,7 +40,11 @@ def training_table(reference: DataFrame, target: DataFrame, model: DataFrame, mo
 
 
 def save_training_table(table: DataFrame, path: str) -> None:
-    write_table(table, path, ("split", "year"))
+    """Store the table by split and year; warns when the sources had nothing in common."""
+    seen = Observation()
+    write_table(table.observe(seen, F.count(F.lit(1)).alias("n_rows")), path, ("split", "year"))
+    if not seen.get["n_rows"]:
+        warnings.warn("the training table is empty: its sources share no time, month or cell", stacklevel=2)
 
 
 def train_two_stage(table: DataFrame, output: str, algorithm: str = "auto",

@@ -64,6 +64,17 @@ def _(spark, sf):
     return _aligned(spark, sf, "auto")
 
 
+@query("align_auto_months", _ALIGNED, ("obs", "tgt", "regridded"))
+def _(spark, sf):
+    """No two sources share a time, so the months are matched."""
+    o, t, g = frames(spark, sf)
+    shift = lambda df, days: df.withColumn("time", F.col("time") + F.expr(f"INTERVAL '{days}' DAY"))
+    joined = align.align([
+        (o, ["cru_tmp", "cru_pre"]), (shift(t, 10), ["era5_t2m", "era5_tp"]), (shift(g, 5), ["gcm_tas", "gcm_pr"]),
+    ], mode="auto")
+    return joined.select(*_COLS)
+
+
 @query("join_tas_pr", f"""select model, scenario, yr as year, mon as month, lat, lon, {r6('tas', 'gcm_tas_degC')},
     {r6('pr', 'gcm_pr_mm')} from multi where model not in ('1-URGENT', '5-LOW')""", ("multi",))
 def _(spark, sf):

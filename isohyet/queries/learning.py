@@ -15,6 +15,7 @@ from isohyet.operators.grids import grid_of
 from isohyet.plans import preprocess, scoring, training as train_plan
 from isohyet.queries.alignment import TRAINING_SQL, TRAINING_TABLES, training
 from isohyet.queries.base import multi, observed, observed_points, query, r6, raw_target, scratch
+from isohyet.queries.sqltext import linear_tables
 from isohyet.sources import registry, sinks
 
 _FOLDERS: dict[tuple[str, str], str] = {}
@@ -163,22 +164,28 @@ def _(spark, sf):
     return sinks.read_table(spark, f"{folder}/ensemble")
 
 
-@query("process_and_save", """select dataset, stage, status, case when dataset in ('reference', 'target') then null
-        else n is not null end as stored from (select dataset, stage, status from (select 'reference' as dataset union all select 'target'
-    union all select distinct model from multi) cross join (select 'preprocess' as stage, 'completed' as status)
-    union all select 'NO-SUCH-MODEL', 'preprocess', 'failed') left join (
-    select model as dataset, count(distinct (yr, mon)) as n from multi where scenario = 'hist' and yr between 1995 and 1998 group by 1)
-    using (dataset)""", ("multi",))
+_STORED = ", ".join(f"{e} as {n}" for e, n in (("yr", "year"), ("mon", "month")))
+_CELLS = f"{_STORED}, lat, lon, {r6('tas', 'tas')}, {r6('pr', 'pr')}"
+
+
+@query("process_and_save", f"""with {linear_tables('monthly_95', 'obs', 'tgt', ('yr', 'mon'), extra='raw_target, obs')},
+    {linear_tables('multi_hist', 'obs', 'models', ('model', 'yr', 'mon'), extra='multi', prefix='m_')}
+    select 'reference' as dataset, {_CELLS}, 'completed' as status from obs where yr between 1995 and 1998
+    union all select 'target', {_CELLS}, 'completed' from tgt union all select model, {_CELLS}, 'completed' from models
+    union all select 'NO-SUCH-MODEL', null, null, null, null, null, null, 'failed'""")
 def _(spark, sf):
+    """All stored cells of all cubes with the status that the log has of them."""
     reference = observed(spark, sf).withColumnsRenamed({"tas": "tmp", "pr": "pre"})
     names = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "NO-SUCH-MODEL"]
     out = f"{scratch(spark)}/processed"
     log = preprocess.process_and_save(
         spark, reference, raw_target(spark, sf), raw_scenarios(spark, sf), out, names, years=(1995, 1998),
     )
-    stored_cells = sinks.read_table(spark, f"{out}/models").groupBy(F.col("model").alias("dataset")).agg(F.count_distinct("time").alias("n"))
-    there = F.when(~F.col("dataset").isin("reference", "target"), F.col("n").isNotNull())
-    return log.join(stored_cells, "dataset", "left").select("dataset", "stage", "status", there.alias("stored"))
+    cells = [sinks.read_table(spark, f"{out}/{n}").withColumn("dataset", F.lit(n)) for n in ("reference", "target")]
+    cells.append(sinks.read_table(spark, f"{out}/models").withColumn("dataset", F.col("model")))
+    stored_cells = reduce(DataFrame.unionByName, [c.select(
+        "dataset", F.year("time").alias("year"), F.month("time").alias("month"), "lat", "lon", "tas", "pr") for c in cells])
+    return stored_cells.join(F.broadcast(log.select("dataset", "status")), "dataset", "right")
 
 
 @query("process_bad_model", """select distinct model as dataset, case when model = '2-HIGH' then 'failed' else 'completed' end as status,
@@ -192,4 +199,4 @@ def _(spark, sf):
     log = preprocess.process_and_save(
         spark, reference, raw_target(spark, sf), raw, f"{scratch(spark)}/processed", names, years=(1995, 1998))
     return log.filter(F.col("dataset").isin(*names)).select(
-        "dataset", "status", F.coalesce(F.col("error").endswith("cells stand twice"), F.lit(False)).alias("twice"))
+        "dataset", "status", F.coalesce(F.col("error").endswith("cells that stand twice"), F.lit(False)).alias("twice"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from isohyet.constants import (
@@ -20,16 +20,17 @@ from isohyet.functions.units import (
 )
 from isohyet.operators.features import scoring_features
 from isohyet.operators.align import join_tas_pr
-from isohyet.functions.coords import axis_key
-from isohyet.operators.grids import Grid, grid_of, grids_of
+from isohyet.functions.coords import MICRO, axis_key
+from isohyet.operators.grids import Grid
 from isohyet.operators.naming import (
     alias_variable, drop_coords, nulls_for_nan, rename_coords,
 )
-from isohyet.operators.quality import enforce, require_rows, validate_range
+from isohyet.operators.quality import validate_range
 from isohyet.operators.regrid import regrid
 from isohyet.sources import runs
+from isohyet.sources.survey import Range, Survey, judge, survey
 from isohyet.operators.temporal import (
-    clip_years, conditional_clip, parse_times, resample_monthly,
+    clip_years, conditional_clip, in_years, parse_times, resample_monthly,
 )
 
 FORMATS = ("parquet", "json", "csv")
@@ -50,27 +51,45 @@ def read_cells(spark: SparkSession, path: str | Sequence[str], fmt: str = "parqu
     return reader.format(fmt).load(path)
 
 
-def _checked(df: DataFrame, source: str, keys: Sequence[str], validate: bool) -> DataFrame:
-    if validate:
-        enforce(validate_range(df, RANGES[source], keys))
-    return df
+def _standard_reference(raw: DataFrame) -> DataFrame:
+    cube = alias_variable(alias_variable(raw, VARIABLE_ALIASES["cru_tmp"], "tas"), VARIABLE_ALIASES["cru_pre"], "pr")
+    return nulls_for_nan(cube, VALUES)
 
 
-def reference_cube(raw: DataFrame, years: tuple[int, int] = ALL_YEARS, validate: bool = True) -> DataFrame:
-    """Observed cube of the period.
+def read_reference(raw: DataFrame, years: tuple[int, int] = ALL_YEARS, validate: bool = True) -> tuple[DataFrame, Grid]:
+    """The observed cube of the period and the grid it defines, after one pass.
 
     Ranges are strict and are checked on all years; an empty period is an error.
     """
-    cube = alias_variable(alias_variable(raw, VARIABLE_ALIASES["cru_tmp"], "tas"), VARIABLE_ALIASES["cru_pre"], "pr")
-    cube = _checked(nulls_for_nan(cube, VALUES), "reference", (), validate)
-    clipped = clip_years(cube, *years)
-    return require_rows(clipped, "reference") if validate else clipped
+    cube = _standard_reference(raw)
+    found = survey(cube, RANGES["reference"], inside=in_years(*years), axes_inside=True)
+    if validate:
+        judge(found, "reference")
+    return clip_years(cube, *years), found[()].grid
 
 
-def read_reference(raw: DataFrame, years: tuple[int, int] = ALL_YEARS, validate: bool = True) -> tuple[DataFrame, Grid]:
-    """The observed cube and the grid it defines."""
-    cube = reference_cube(raw, years, validate)
-    return cube, grid_of(cube)
+def watched_reference(raw: DataFrame, years: tuple[int, int] = ALL_YEARS) -> tuple[DataFrame, Observation]:
+    """The observed cube of the period, and what `check_watched` needs, observed while the cube is written: no pass of its own.
+
+    Ranges are seen on all years, before the clip.
+    """
+    seen = Observation()
+    cube = _standard_reference(raw)
+    counts = [F.count(F.lit(1)).alias("n_rows"), F.count_if(in_years(*years)).alias("n_in_period")]
+    for name, (low, high, _) in RANGES["reference"].items():
+        c = F.col(name)
+        counts += [F.min(c).alias(f"{name}__min"), F.max(c).alias(f"{name}__max"), F.avg(c).alias(f"{name}__mean"),
+                   F.count(c).alias(f"{name}__n"), F.count_if((c < low) | (c > high)).alias(f"{name}__outside")]
+    # The clip stands behind the observation, which sees every row.
+    return clip_years(cube.observe(seen, *counts), *years), seen
+
+
+def check_watched(seen: Observation, what: str = "reference") -> None:
+    """Raise where the observed rows break a strict rule or leave nothing in the period."""
+    got = seen.get
+    ranges = {name: Range(low, high, strict, got["n_rows"] - got[f"{name}__n"], got[f"{name}__outside"], got[f"{name}__min"],
+                          got[f"{name}__max"], got[f"{name}__mean"]) for name, (low, high, strict) in RANGES["reference"].items()}
+    judge({(): Survey(got["n_rows"], 0, got["n_in_period"], ranges, Grid((), ()))}, what)
 
 
 def convert_target(raw: DataFrame) -> DataFrame:
@@ -85,19 +104,20 @@ def read_target(raw: DataFrame, reference: Grid | None = None, years: tuple[int,
                 validate: bool = True) -> DataFrame:
     """Reanalysis cube: converted, monthly, clipped and put on the reference grid.
 
-    Temperatures of a month are averaged, precipitation is summed.
+    Temperatures of a month are averaged, precipitation is summed. Ranges, the period and the
+    native grid come from one pass.
     """
-    cube = _checked(convert_target(raw), "target", (), validate)
+    cube = convert_target(raw)
     if dict(cube.dtypes)["time"] == "string":
         cube = parse_times(cube, "time")
-    # Whole months lie on one side of a year's end, so the clip goes first and reaches the scan.
-    clipped = clip_years(cube, *years)
+    found = survey(cube, RANGES["target"], inside=in_years(*years)) if validate or reference is not None else {}
     if validate:
-        require_rows(clipped, "target")
-    monthly = resample_monthly(clipped, {"tas": "mean", "pr": "sum"})
+        judge(found, "target")
+    # Whole months lie on one side of a year's end, so the clip goes first and reaches the scan.
+    monthly = resample_monthly(clip_years(cube, *years), {"tas": "mean", "pr": "sum"})
     if reference is None:
         return monthly
-    return regrid(monthly, grid_of(cube), reference, keys=("time", "year", "month"))
+    return regrid(monthly, found[()].grid, reference, keys=("time", "year", "month"))
 
 
 def _named_model(raw: DataFrame) -> DataFrame:
@@ -141,18 +161,46 @@ def model_check(raw: DataFrame, years: tuple[int, int] = ALL_YEARS) -> DataFrame
     return out.withColumn("status", F.when(F.col("n_in_period") == 0, "empty").when(outside > 0, "warning").otherwise("ok"))
 
 
+def survey_models(raw: DataFrame, years: tuple[int, int] = ALL_YEARS, exact_days: bool = False) -> dict[tuple, Survey]:
+    """Every (model, scenario) of the input: dates, period, lenient ranges and grid, from one pass."""
+    cube = _named_model(raw)
+    cube = cube.withColumn("pr", per_day_to_per_month(F.col("pr"), F.col("time"), exact_days))
+    inside = F.col("time").isNotNull() & ((F.col("scenario") != HISTORICAL) | in_years(*years))
+    return survey(cube, RANGES["model"], ("model", "scenario"), inside)
+
+
+def grids_by_model(found: Mapping[tuple, Survey]) -> dict[str, Grid]:
+    """The native grid of each model, over its scenarios."""
+    out: dict[str, tuple[dict, dict]] = {}
+    for (model, _), s in found.items():
+        axes = out.setdefault(model, ({}, {}))
+        for axis, values in zip(axes, (s.grid.lat, s.grid.lon)):
+            for v in values:  # one coordinate per key, as in the survey
+                key = round(v * MICRO)
+                axis[key] = min(v, axis.get(key, v))
+    return {model: Grid(*[tuple(sorted(a.values())) for a in axes]) for model, axes in out.items()}
+
+
 def read_model(raw: DataFrame, reference: Grid | None = None, years: tuple[int, int] = ALL_YEARS,
-               method: str = "bilinear", source_grids: Mapping[str, Grid] | None = None) -> DataFrame:
+               method: str = "bilinear", source_grids: Mapping[str, Grid] | None = None, validate: bool = True,
+               duplicates: str = "error") -> DataFrame:
     """Climate-model cube of all models and scenarios in the input, in one plan.
 
-    Only historical rows are clipped. Each model may have its own native grid;
-    pass `source_grids` when they are known, to save the pass that finds them.
+    Only historical rows are clipped. Each model may have its own native grid.
+    One pass before the plan finds the grids, warns of values outside the lenient ranges
+    and of dates that cannot exist, and makes a model without rows in the period an error.
+    Pass `source_grids` when they are known, to save it; without `reference` no
+    pass is made. `duplicates='flag'` marks results that use a cell that stands twice instead of failing.
     """
     cube = conditional_clip(convert_model(raw), *years)
     if reference is None:
         return cube
-    grids = source_grids or grids_of(rename_coords(raw, MODEL_COORDS), "model")
-    return regrid(cube, grids, reference, method, keys=("model", "scenario", "time"), grid_key="model")
+    if source_grids is None:
+        found = survey_models(raw, years)
+        if validate:
+            judge(found, "model")
+        source_grids = grids_by_model(found)
+    return regrid(cube, source_grids, reference, method, keys=("model", "scenario", "time"), grid_key="model", duplicates=duplicates)
 
 
 def repeated_cells(cube: DataFrame, keys: Sequence[str] = ("model", "scenario")) -> DataFrame:

@@ -5,6 +5,7 @@ runs of their own and are read by their last commit."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,20 +16,36 @@ from isohyet.operators.naming import to_float32
 from isohyet.sources import runs
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), keys: Sequence[str] = (),
-                values: Sequence[Sequence[str]] = ()) -> None:
-    """Snappy Parquet, visible as a whole once all of it is written.
+@dataclass(frozen=True)
+class Staged:
+    """A run that is written and not yet visible."""
 
-    The table is replaced; with `keys` only the rows whose keys have one of `values` are, and `df`
-    holds those. The run before stays readable for readers that are at work; older ones go.
-    """
-    spark = df.sparkSession
+    path: str
+    folder: str
+    schema: T.StructType
+
+
+def stage_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Staged:
+    """Write a run as snappy Parquet; `commit_table` makes it visible."""
     folder = runs.new_run(path)
     rows = df.hint("rebalance", *partition_by) if partition_by else df
     rows.write.option("compression", "snappy").partitionBy(*partition_by).parquet(folder)
-    schema = T.StructType([f for f in df.schema if f.name not in partition_by] + [df.schema[c] for c in partition_by])
-    runs.commit(spark, path, folder, schema, keys, values)
-    runs.vacuum(spark, path)
+    return Staged(path, folder, T.StructType([f for f in df.schema if f.name not in partition_by] + [df.schema[c] for c in partition_by]))
+
+
+def commit_table(spark: SparkSession, staged: Staged, keys: Sequence[str] = (), values: Sequence[Sequence[str]] = ()) -> None:
+    """Make a staged run the table; with `keys` only its rows whose keys have one of `values`, the rest of the table stays.
+
+    The run before stays readable for readers that are at work; older ones go.
+    """
+    runs.commit(spark, staged.path, staged.folder, staged.schema, keys, values)
+    runs.vacuum(spark, staged.path)
+
+
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), keys: Sequence[str] = (),
+                values: Sequence[Sequence[str]] = ()) -> None:
+    """Stage and commit a table, or with `keys` the rows whose keys have one of `values`, which `df` holds."""
+    commit_table(df.sparkSession, stage_table(df, path, partition_by), keys, values)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

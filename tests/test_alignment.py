@@ -33,6 +33,41 @@ def test_partial_exact_match_hides_months_from_auto(cube):
     assert align.align(frames).count() == 2
 
 
+def test_auto_equals_the_exact_join(cube):
+    """Several steps in a month, in a different number per source, and three sources."""
+    a = [day(2000, 1, d) for d in (1, 2, 2, 3)] + [day(2000, 2)]
+    frames = pair(cube, a, [day(2000, 1, d) for d in (2, 3, 3, 9)])
+    third = cube([(day(2000, 1, d), 0.0, 0.0, 7.0 + d, 1.0) for d in (2, 3)]).withColumnRenamed("tas", "z")
+    for given in (frames, [*frames, (third, ["z"])]):
+        columns = ["time", "lat", "lon", "x", "y", *["z"] * (len(given) - 2)]
+        want = sorted(tuple(r) for r in align.align(given, mode="exact").select(*columns).collect())
+        assert want and sorted(tuple(r) for r in align.align(given, mode="auto").select(*columns).collect()) == want
+
+
+def test_auto_is_one_plan(spark, cube, tmp_path):
+    """No job before the result, and each source is shuffled once for both branches and the flag."""
+    for i, (df, _names) in enumerate(pair(cube, [day(2000, 1)], [day(2000, 1, 16)])):
+        df.write.parquet(str(tmp_path / str(i)))
+    frames = [(spark.read.parquet(str(tmp_path / "0")), ["x"]), (spark.read.parquet(str(tmp_path / "1")), ["y"])]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.sparkContext.setJobGroup("auto", "auto")
+    try:
+        got = align.align(frames, mode="auto")
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("auto")
+        assert [(r["time"], r["x"], r["y"]) for r in got.collect()] == [(day(2000, 1), 1.0, 2.0)]
+        plan = plan_of(got)
+        final = plan[plan.index("Final Plan"):plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+        assert final.count("Exchange hashpartitioning") - final.count("ReusedExchange") <= 2
+        assert plan.count("Join") <= 8 and "CartesianProduct" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sparkContext.setJobGroup("other", "other")
+
+
+def test_auto_finds_neither(cube):
+    assert align.align(pair(cube, [day(2000, 1)], [day(2001, 1)]), mode="auto").count() == 0
+
+
 def test_duplicate_month_is_an_error(cube):
     frames = pair(cube, [day(2000, 1), day(2000, 1, 15)], [day(2000, 1)])
     with pytest.raises(PySparkException, match="source 1: more than one row"):
