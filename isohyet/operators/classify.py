@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from isohyet.functions.statistics import both
-
-ROWS_PER_RANGE = 500_000
-
+from isohyet.session import checkpoint_dir
 
 def _number(score: Column) -> Column:
     """The score as a double; NaN counts as missing."""
@@ -32,19 +29,18 @@ def score_counts(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()
 
 
 def totals_below(counts: DataFrame, values: Sequence[str], keys: Sequence[str] = (), by: str = "score",
-                 rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+                 ranges: int | None = None) -> DataFrame:
     """Add <v>_below: the total of <v> over all rows with a smaller `by` (and the same keys).
 
-    `counts` holds each `by` once per key, without NaN. It is cut into ranges of
-    about `rows_per_range` rows; sums run inside each range and are shifted by
-    the totals of the ranges before it, so no task ever sorts the whole. The way
-    is the same at every size. A missing key is a group like any other.
+    `counts` holds each `by` once per key, without NaN. A range exchange deals it out by
+    `by`, and is stored in the shared folder, so the ranges are the same for all that follows and
+    the input is run once. Sums run inside each range and are shifted by the totals of the ranges
+    before it: no task ever sorts the whole, whatever the distribution. `ranges` is
+    the number of ranges, by default the session's number of shuffle partitions. A missing key is a group like any other.
     """
-    ranges = max(1, -(-counts.count() // rows_per_range))
-    steps = [i / ranges for i in range(1, ranges)]
-    quantiles = counts.approxQuantile(by, steps, 1 / (4 * ranges)) if steps else []
-    splits = [float("-inf"), *sorted({0.0, *quantiles} - {float("-inf"), float("inf")}), float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol=by, outputCol="_range").transform(counts)
+    checkpoint_dir(counts.sparkSession)
+    dealt = counts.repartitionByRange(ranges, by) if ranges else counts.repartitionByRange(by)
+    ranged = dealt.withColumn("_range", F.spark_partition_id()).checkpoint()
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # One row per range and key.
     shift = ranged.groupBy(*keys, "_range").agg(*[F.sum(v).alias(v) for v in values]).select(
@@ -60,25 +56,25 @@ def totals_below(counts: DataFrame, values: Sequence[str], keys: Sequence[str] =
 
 
 def tied_ranks(df: DataFrame, score: str, keys: Sequence[str] = (),
-               rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+               ranges: int | None = None) -> DataFrame:
     """Each distinct score with its row count and its average rank, ties shared."""
     rows = df.withColumn("_score", _number(F.col(score))).filter(F.col("_score").isNotNull())
     counts = rows.groupBy(*keys, F.col("_score").alias("score")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    ranked = totals_below(counts, ["n"], keys, rows_per_range=rows_per_range)
+    ranked = totals_below(counts, ["n"], keys, ranges=ranges)
     return ranked.select(*keys, "score", "n", (F.col("n_below") + (F.col("n") + 1) / 2).alias("rank"))
 
 
 def classification_metrics(df: DataFrame, label: str, score: str, threshold: float = 0.5,
-                           keys: Sequence[str] = (), rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+                           keys: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
     """Accuracy, precision, recall and exact ROC AUC, all from the score counts.
 
     A row is predicted positive when its score is strictly above the threshold.
     Precision and recall are 0 without a denominator. AUC (pairs ranked right,
     ties counted half) is missing when one class is absent.
     """
-    ranked = totals_below(score_counts(df, label, score, keys), ["n_neg"], keys, rows_per_range=rows_per_range)
+    ranked = totals_below(score_counts(df, label, score, keys), ["n_neg"], keys, ranges=ranges)
     high = F.col("score") > threshold
     pos, neg = F.sum("n_pos"), F.sum("n_neg")
     true_pos = F.sum(F.when(high, F.col("n_pos")).otherwise(0))

@@ -7,6 +7,7 @@ before it shuffles and no cell or model is gathered whole.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -244,6 +245,41 @@ def density_bins(df: DataFrame, truth: str, pred: str, bins: int = 50) -> DataFr
     ).groupBy("x_bin", "y_bin").agg(F.count(F.lit(1)).alias("n"))
 
 
+def hexagon_bins(df: DataFrame, truth: str, pred: str, bins: int = 50, min_count: int = 1) -> DataFrame:
+    """Counts of (observed, predicted) pairs in hexagons: lattice, i, j, the centre (x, y) and n, from `min_count` pairs on.
+
+    Hexagons are the cells of the points nearest to one of two lattices, the second offset by half
+    a step on both axes. There are `bins` steps on the x axis and bins / sqrt(3) on the y axis,
+    whose distances count three times, so the cells are regular. A pair as close to both
+    lattices belongs to the offset one; halfway between two centres of one lattice it belongs to the larger.
+    """
+    x, y = F.col(truth).cast("double"), F.col(pred).cast("double")
+    pairs = df.filter(both(x, y) & ~F.isnan(x) & ~F.isnan(y)).select(x.alias("x"), y.alias("y"))
+    box = pairs.agg(F.struct(
+        F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")
+    ).alias("box")).scalar()
+    steps = {"x": bins, "y": max(1, int(bins / math.sqrt(3)))}
+
+    def width(axis: str) -> Column:
+        return (F.col(f"box.{axis}1") - F.col(f"box.{axis}0")) / steps[axis]
+
+    def scaled(axis: str) -> Column:
+        return F.coalesce((F.col(axis) - F.col(f"box.{axis}0")) / F.nullif(width(axis), F.lit(0.0)), F.lit(0.0))
+
+    placed = pairs.withColumn("box", box).select("box", scaled("x").alias("u"), scaled("y").alias("v"))
+    placed = placed.withColumns({"i1": F.floor(F.col("u") + 0.5), "j1": F.floor(F.col("v") + 0.5), "i2": F.floor("u"), "j2": F.floor("v")})
+
+    def distance(i: Column, j: Column) -> Column:
+        return (F.col("u") - i) * (F.col("u") - i) + 3 * (F.col("v") - j) * (F.col("v") - j)
+
+    offset = distance(F.col("i2") + 0.5, F.col("j2") + 0.5) <= distance(F.col("i1"), F.col("j1"))
+    cells = placed.select("box", offset.cast("int").alias("lattice"), F.when(offset, F.col("i2")).otherwise(F.col("i1")).alias("i"),
+                          F.when(offset, F.col("j2")).otherwise(F.col("j1")).alias("j"))
+    counted = cells.groupBy("lattice", "i", "j").agg(F.count(F.lit(1)).alias("n"), F.first("box").alias("box")).filter(F.col("n") >= min_count)
+    return counted.select("lattice", "i", "j", (F.col("box.x0") + (F.col("i") + F.col("lattice") * 0.5) * width("x")).alias("x"),
+                          (F.col("box.y0") + (F.col("j") + F.col("lattice") * 0.5) * width("y")).alias("y"), "n")
+
+
 def bias_map(pairs: DataFrame, variable: str = "tas", by_season: bool = False) -> DataFrame:
     """Mean predicted, observed and their difference per cell, with the symmetric limit.
 

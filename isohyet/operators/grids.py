@@ -326,12 +326,21 @@ def same_weights(source: DataFrame, target: DataFrame) -> DataFrame:
 def nearest_cell(points: DataFrame, grid: Grid, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Add grid_lat and grid_lon: the nearest on each axis alone, ties upwards.
 
-    The sorted axes are array literals, so no join is needed.
+    The sorted axes are array literals, so no join is needed; each is searched by
+    halving, in as many steps as its length has binary digits.
     """
     def near(col: Column, axis: Sequence[float]) -> Column:
-        values = F.lit(np.array(axis))
-        below = F.try_element_at(F.filter(values, lambda v: v <= col), F.lit(-1))
-        above = F.get(F.filter(values, lambda v: v >= col), F.lit(0))
+        values = F.lit(np.array(axis, float))
+        steps = [1 << k for k in reversed(range(len(axis).bit_length()))]
+
+        def further(at: Column, step: Column) -> Column:
+            # Past the end there is no value, and the comparison is not true.
+            return F.when(F.get(values, at + step - 1) <= col, at + step).otherwise(at)
+
+        # How many coordinates are not larger than the value.
+        upto = F.aggregate(F.lit(steps), F.lit(0), further)
+        below = F.get(values, upto - 1)
+        above = F.when(below == col, below).otherwise(F.get(values, upto))
         return _nearest(col, below, above)
 
     return points.withColumns({

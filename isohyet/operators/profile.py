@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from isohyet.functions.coords import axis_key
 from isohyet.operators.grids import axis_values
 
 
@@ -59,11 +60,18 @@ def grid_info(df: DataFrame, keys: Sequence[str] = ("dataset",), lat: str = "lat
 
 def catalog(df: DataFrame, keys: Sequence[str] = ("dataset",), values: Sequence[str] = ("tas", "pr"),
             time: str = "time") -> DataFrame:
-    """Per dataset: rows, shape, time range and the variables that hold data."""
+    """Per dataset: rows, shape, time range and the variables that hold data, in one pass.
+
+    Distinct times and coordinates are gathered as sets of keys, combined before the
+    shuffle: a dataset has few of them however many rows it has, and no row is multiplied.
+    """
+    def n_distinct(c: Column) -> Column:
+        return F.size(F.collect_set(c)).cast("long")
+
     present = F.array_compact(F.array(*[F.when(F.count(v) > 0, F.lit(v)) for v in values]))
     return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(time).alias("n_times"),
-        F.count_distinct("lat").alias("n_lat"), F.count_distinct("lon").alias("n_lon"),
+        F.count(F.lit(1)).alias("n_rows"), n_distinct(F.col(time)).alias("n_times"),
+        n_distinct(axis_key(F.col("lat"))).alias("n_lat"), n_distinct(axis_key(F.col("lon"))).alias("n_lon"),
         F.min(time).alias("first_time"), F.max(time).alias("last_time"),
         F.array_join(present, ",").alias("variables"),
     )

@@ -13,7 +13,7 @@ from isohyet.operators.grids import Grid, grid_of
 from isohyet.sources import manifest as manifest_table
 from isohyet.sources.cubes import check_watched, grids_by_model, read_model, read_target, survey_models, watched_reference
 from isohyet.sources.sinks import commit_table, read_table, stage_table, write_table
-from isohyet.sources.survey import judge
+from isohyet.sources.survey import judge, values_of
 
 STAGE = "preprocess"
 
@@ -98,7 +98,8 @@ def _store(spark: SparkSession, history: DataFrame, grid: Grid, names: Sequence[
     twice = [F.count_if((F.col("model") == n) & F.col("twice")).alias(f"twice_{i}") for i, n in enumerate(names)]
     staged = stage_table(cube.observe(seen, *twice).drop("twice").withColumn("year", F.year("time")), f"{output}/models",
                          ("model", "scenario", "year"))
-    errors = {n: f"{seen.get[f'twice_{i}']} results use cells that stand twice" for i, n in enumerate(names) if seen.get[f"twice_{i}"]}
+    counts = values_of(seen)
+    errors = {n: f"{counts[f'twice_{i}']} results use cells that stand twice" for i, n in enumerate(names) if counts.get(f"twice_{i}")}
     good = [(n,) for n in names if n not in errors]
     if good:
         commit_table(spark, staged, ("model",), good)

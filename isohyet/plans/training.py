@@ -18,6 +18,7 @@ from isohyet.operators.learning import (
 )
 from isohyet.operators.naming import rename_training
 from isohyet.operators.quality import drop_missing
+from isohyet.sources.survey import values_of
 from isohyet.sources.sinks import read_split, write_metrics, write_table
 
 
@@ -43,7 +44,7 @@ def save_training_table(table: DataFrame, path: str) -> None:
     """Store the table by split and year; warns when the sources had nothing in common."""
     seen = Observation()
     write_table(table.observe(seen, F.count(F.lit(1)).alias("n_rows")), path, ("split", "year"))
-    if not seen.get["n_rows"]:
+    if not values_of(seen).get("n_rows"):
         warnings.warn("the training table is empty: its sources share no time, month or cell", stacklevel=2)
 
 

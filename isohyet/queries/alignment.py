@@ -253,6 +253,15 @@ def _(spark, sf):
     return features.split_by_year(scored(spark, sf), SPLITS).select("l_orderkey", "l_linenumber", "split")
 
 
+@query("sample_splits", f"""select l_orderkey, l_linenumber, split from (select *, count(*) over (partition by split) as n,
+        row_number() over (partition by split order by md5(l_orderkey::varchar || '|' || l_linenumber::varchar || '|42')) as k
+        from (select l_orderkey, l_linenumber, {_SPLIT_SQL} as split from scored))
+    where split is null or k <= round_even(case split when 'train' then 0.07::double when 'validation' then 0.2::double else 1.0::double end * n, 0)""", ("scored",))
+def _(spark, sf):
+    rows = features.split_by_year(scored(spark, sf), SPLITS, keep_unassigned=True)
+    return features.sample_splits(rows, 0.07, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "split")
+
+
 @query("training_drop_report", f"""select count(*) as rows_before, count(era5_t2m) as rows_after,
     count(*) - count(era5_t2m) as rows_dropped, {r6('(count(*) - count(era5_t2m))*100.0/count(*)', 'percent_dropped')}
     from ({_ALIGNED})""", _NEED)

@@ -180,7 +180,7 @@ def _(spark, sf):
     select floor(y_pred*100) as score, row_number() over (order by floor(y_pred*100)) as rn from scored) group by score""", ("scored",))
 def _(spark, sf):
     rows = scored(spark, sf).withColumn("score", F.floor(F.col("y_pred") * 100).cast("double"))
-    return classify.tied_ranks(rows, "score", rows_per_range=1000)
+    return classify.tied_ranks(rows, "score", ranges=16)
 
 
 _TWO_STAGE = "p_wet * greatest(exp(ln(1+y_pred)) - 1, 0)"
@@ -218,6 +218,19 @@ def _(spark, sf):
     return evaluate.density_bins(scored(spark, sf), "y_true", "y_pred")
 
 
+_HEXAGON = """with box as (select min(y_true) as x0, max(y_true) as x1, min(y_pred) as y0, max(y_pred) as y1 from scored),
+    uv as (select (y_true - x0)/((x1 - x0)/50) as u, (y_pred - y0)/((y1 - y0)/28) as v from scored, box),
+    at as (select u, v, floor(u + 0.5) as i1, floor(v + 0.5) as j1, floor(u) as i2, floor(v) as j2 from uv),
+    cell as (select *, (u - (i2 + 0.5))*(u - (i2 + 0.5)) + 3*(v - (j2 + 0.5))*(v - (j2 + 0.5)) <= (u - i1)*(u - i1) + 3*(v - j1)*(v - j1) as o from at)
+    select o::int as lattice, (case when o then i2 else i1 end)::bigint as i, (case when o then j2 else j1 end)::bigint as j, count(*) as n
+    from cell group by 1, 2, 3"""
+
+
+@query("hexagon_bins", "select * from (" + _HEXAGON + ")", ("scored",))
+def _(spark, sf):
+    return evaluate.hexagon_bins(scored(spark, sf), "y_true", "y_pred").select("lattice", "i", "j", "n")
+
+
 @query("bias_map", f"""select lat, lon, {r6('p', 'pred_mean')}, {r6('o', 'obs_mean')}, {r6('p-o', 'bias')},
     {r6('max(abs(p-o)) over ()', '"limit"')} from (select lat, lon, avg(pt) as p, avg(ot) as o from pairs group by 1,2)""", ("pairs",))
 def _(spark, sf):

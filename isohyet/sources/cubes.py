@@ -25,10 +25,10 @@ from isohyet.operators.grids import Grid
 from isohyet.operators.naming import (
     alias_variable, drop_coords, nulls_for_nan, rename_coords,
 )
-from isohyet.operators.quality import validate_range
+from isohyet.operators.quality import DataQualityError, validate_range
 from isohyet.operators.regrid import regrid
 from isohyet.sources import runs
-from isohyet.sources.survey import Range, Survey, judge, survey
+from isohyet.sources.survey import Range, Survey, judge, survey, values_of
 from isohyet.operators.temporal import (
     clip_years, conditional_clip, in_years, parse_times, resample_monthly,
 )
@@ -86,7 +86,9 @@ def watched_reference(raw: DataFrame, years: tuple[int, int] = ALL_YEARS) -> tup
 
 def check_watched(seen: Observation, what: str = "reference") -> None:
     """Raise where the observed rows break a strict rule or leave nothing in the period."""
-    got = seen.get
+    got = values_of(seen)
+    if not got:
+        raise DataQualityError(f"{what}: no rows")
     ranges = {name: Range(low, high, strict, got["n_rows"] - got[f"{name}__n"], got[f"{name}__outside"], got[f"{name}__min"],
                           got[f"{name}__max"], got[f"{name}__mean"]) for name, (low, high, strict) in RANGES["reference"].items()}
     judge({(): Survey(got["n_rows"], 0, got["n_in_period"], ranges, Grid((), ()))}, what)

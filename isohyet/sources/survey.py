@@ -12,7 +12,8 @@ import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from isohyet.functions.coords import axis_key
@@ -66,6 +67,14 @@ class Survey:
         return "warning" if outside or self.n_undated else "ok"
 
 
+def values_of(seen: Observation) -> dict[str, object]:
+    """What was observed; nothing where Spark left the observed part out of the plan because it had no rows."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
+
+
 def survey_rows(cube: DataFrame, rules: Mapping[str, tuple[float, float, bool]], keys: Sequence[str] = (),
                 inside: Column | None = None) -> DataFrame:
     """One row per dataset (keys), axis and coordinate with the counts of its rows; the numbers stand at the latitudes."""

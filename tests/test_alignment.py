@@ -193,4 +193,28 @@ def test_sample_is_the_same_for_any_partitioning(spark):
 def test_validation_sample_is_at_least_a_fifth(spark):
     df = spark.range(9000).withColumn("split", F.element_at(F.array(*map(F.lit, ("train", "validation", "test"))), (F.col("id") % 3 + 1).cast("int")))
     got = {r["split"]: r["n_rows"] for r in features.split_counts(features.sample_splits(df, 0.05, ["id"])).collect()}
-    assert got["test"] == 3000 and 500 < got["validation"] < 700 and 90 < got["train"] < 220
+    assert got == {"test": 3000, "validation": 600, "train": 150}
+
+
+@pytest.mark.parametrize("limit", [100_000, 1])
+def test_exact_samples_are_the_smallest_hashes(spark, monkeypatch, limit):
+    import hashlib
+
+    monkeypatch.setattr(features, "HASH_LIMIT", limit)
+    df = spark.range(5000).withColumn("split", F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "b"))
+    got = features.sample_exact(df.repartition(5), {"a": 0.333, "b": 0.0}, ["id"])
+    want = sorted((i for i in range(0, 5000, 3)), key=lambda i: hashlib.md5(f"{i}|42".encode()).hexdigest())[:round(0.333 * 1667)]
+    rows = got.collect()
+    assert sorted(r["id"] for r in rows if r["split"] == "a") == sorted(want)
+    assert sum(r["split"] is None for r in rows) == 1666 and not any(r["split"] == "b" for r in rows)
+    again = features.sample_exact(df.coalesce(1), {"a": 0.333, "b": 0.0}, ["id"]).collect()
+    assert sorted(again, key=str) == sorted(rows, key=str)
+
+
+def test_exact_samples_with_equal_keys_and_without_rows(spark):
+    df = spark.createDataFrame([("a", 1, float(i)) for i in range(10)] + [("b", None, 0.0)], "split string, k int, x double")
+    got = features.sample_exact(df, {"a": 0.4, "b": 1.0, "none": 0.5}, ["k"]).collect()
+    assert sorted(r["split"] for r in got) == ["a"] * 4 + ["b"] and len({r["x"] for r in got if r["split"] == "a"}) == 4
+    assert features.sample_exact(df.limit(0), {"a": 0.4}, ["k"]).count() == 0
+    with pytest.raises(ValueError):
+        features.sample_exact(df, {"a": 1.5}, ["k"])

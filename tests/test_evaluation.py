@@ -1,3 +1,4 @@
+import math
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -126,15 +127,15 @@ def _auc(label, score):
     return np.mean((pos[:, None] > neg[None, :]) + 0.5 * (pos[:, None] == neg[None, :]))
 
 
-@pytest.mark.parametrize("rows_per_range", [500_000, 40])
-def test_auc_matches_all_pairs_with_ties_and_a_hot_score(spark, rows_per_range):
+@pytest.mark.parametrize("ranges", [None, 1, 25])
+def test_auc_matches_all_pairs_with_ties_and_a_hot_score(spark, ranges):
     rng = np.random.default_rng(9)
     # A third of all rows share one score.
     score = np.where(rng.random(3000) < 0.33, 0.5, np.round(rng.random(3000), 3))
     label = (rng.random(3000) < score).astype(int)
     key = rng.integers(0, 2, 3000)
     df = spark.createDataFrame([(int(k), int(a), float(b)) for k, a, b in zip(key, label, score)], "k int, y int, p double")
-    got = {r["k"]: r for r in classify.classification_metrics(df, "y", "p", keys=["k"], rows_per_range=rows_per_range).collect()}
+    got = {r["k"]: r for r in classify.classification_metrics(df, "y", "p", keys=["k"], ranges=ranges).collect()}
     for k in (0, 1):
         y, p = label[key == k], score[key == k]
         said = p > 0.5
@@ -153,7 +154,7 @@ def test_tied_ranks_in_ranges(spark):
     rng = np.random.default_rng(4)
     x = np.round(rng.random(500), 2)
     df = spark.createDataFrame([(float(v),) for v in x], "s double")
-    got = {r["score"]: r["rank"] for r in classify.tied_ranks(df, "s", rows_per_range=20).collect()}
+    got = {r["score"]: r["rank"] for r in classify.tied_ranks(df, "s", ranges=6).collect()}
     assert all(got[v] == pytest.approx(np.sum(x < v) + (np.sum(x == v) + 1) / 2) for v in np.unique(x))
 
 
@@ -199,13 +200,56 @@ def test_float_noise_does_not_split_a_cell(spark):
     assert len(rows) == 1 and rows[0]["n_tas"] == 2
 
 
-@pytest.mark.parametrize("rows_per_range", [500_000, 3])
-def test_missing_keys_and_nan_scores_at_every_size(spark, rows_per_range):
+@pytest.mark.parametrize("ranges", [None, 14])
+def test_missing_keys_and_nan_scores_at_every_size(spark, ranges):
     rows = [(None if i % 3 else "a", float(i % 2), float("nan") if i == 7 else i / 10) for i in range(40)]
     df = spark.createDataFrame(rows, "k string, y double, p double")
-    got = classify.classification_metrics(df, "y", "p", keys=["k"], rows_per_range=rows_per_range).collect()
+    got = classify.classification_metrics(df, "y", "p", keys=["k"], ranges=ranges).collect()
     assert {r["k"] for r in got} == {None, "a"}
     for r in got:
         own = [(y, p) for k, y, p in rows if k == r["k"] and p == p]
         pairs = [(p > q) + (p == q) / 2 for y, p in own for z, q in own if y == 1 and z == 0]
         assert r["roc_auc"] == pytest.approx(sum(pairs) / len(pairs))
+
+
+def test_metrics_run_their_input_once(spark):
+    """No count and no quantiles before the job: every input row is made one time."""
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(0, 400, 1, 4).selectExpr("int(id % 2) as y", "id / 400 as p").mapInArrow(counted, "y int, p double")
+    got = classify.classification_metrics(df, "y", "p", ranges=8).first()
+    assert made.value == 400 and got["roc_auc"] == pytest.approx(0.5, abs=0.01)
+
+
+def test_ranks_of_a_long_tail_stay_in_their_ranges(spark):
+    """Scores over 300 orders of magnitude, negative ones and infinities: ranges follow the rows, not the values."""
+    values = [s * 10.0 ** e for e in range(-150, 150) for s in (1, -1)] + [float("inf"), float("-inf"), 0.0]
+    df = spark.createDataFrame([(v,) for v in values * 2], "s double")
+    got = {r["score"]: r["rank"] for r in classify.tied_ranks(df, "s", ranges=9).collect()}
+    assert [got[v] for v in sorted(values)] == [2 * i + 1.5 for i in range(len(values))]
+
+
+def test_hexagons_match_a_search_over_all_centres(spark):
+    rng = np.random.default_rng(5)
+    x, y = np.round(rng.random(400) * 7, 2), np.round(rng.random(400) * 3, 2)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)] + [(None, 1.0), (float("nan"), 1.0)], "x double, y double")
+    got = {(r["x"], r["y"]): r["n"] for r in evaluate.hexagon_bins(df, "x", "y", 10).collect()}
+    assert sum(got.values()) == 400
+    n_y = int(10 / math.sqrt(3))
+    w, h = (x.max() - x.min()) / 10, (y.max() - y.min()) / n_y
+    centres = [(i + o, j + o) for o in (0.0, 0.5) for i in range(-1, 12) for j in range(-1, n_y + 2)]
+    want = {}
+    for a, b in zip((x - x.min()) / w, (y - y.min()) / h):
+        # The closest centre; of equally close ones the offset lattice, then the larger.
+        i, j = min(centres, key=lambda c: (round((a - c[0]) ** 2 + 3 * (b - c[1]) ** 2, 9), -(c[0] % 1), -c[0], -c[1]))
+        want[i, j] = want.get((i, j), 0) + 1
+    near = lambda cells: {(round(a, 6), round(b, 6)): n for (a, b), n in cells.items()}
+    assert near(got) == near({(x.min() + i * w, y.min() + j * h): n for (i, j), n in want.items()})
+    one = spark.createDataFrame([(1.0, 2.0)] * 3, "x double, y double")
+    assert [(r["n"], r["x"], r["y"]) for r in evaluate.hexagon_bins(one, "x", "y").collect()] == [(3, 1.0, 2.0)]
+    assert evaluate.hexagon_bins(df, "x", "y", 10, min_count=3).count() == sum(n > 2 for n in want.values())

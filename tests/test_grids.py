@@ -184,6 +184,20 @@ def test_nearest_cell_ties_and_ends(spark):
     assert got == [(1.0, 10.0), (0.0, 13.0), (2.0, 13.0)]
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(axis=st.lists(st.integers(-40, 40), min_size=1, max_size=17, unique=True), points=st.lists(st.integers(-90, 90), min_size=1, max_size=30))
+def test_nearest_cell_by_halving_equals_a_search_of_all(spark, axis, points):
+    grid = Grid(tuple(sorted(x / 2 for x in axis)), (0.0,))
+    df = grids.points_table(spark, [(p / 4, 1.0) for p in points])
+    for r in grids.nearest_cell(df, grid).collect():
+        assert r["grid_lat"] == min(grid.lat, key=lambda v: (abs(v - r["lat"]), -v)) and r["grid_lon"] == 0.0
+
+
+def test_nearest_cell_has_no_filter_of_the_axis(spark):
+    plan = plan_of(grids.nearest_cell(grids.points_table(spark, [(1.0, 1.0)]).repartition(2), SRC))
+    assert "filter(" not in plan and "aggregate(" in plan and "Join" not in plan
+
+
 def test_same_grid_tolerance():
     assert grids.same_grid(SRC, Grid(tuple(x + 1e-9 for x in SRC.lat), SRC.lon))
     assert not grids.same_grid(SRC, Grid(SRC.lat[:-1], SRC.lon))
