@@ -13,6 +13,8 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +33,8 @@ SAMPLE = 65_536  # vectors that come to the driver to fit the upper levels
 LEAST_SAMPLE = 64  # sampled vectors of a cell
 CELL_ROWS = 8_192
 BLOCK = 1_024
+# Cosines this close to the threshold are decided exactly.
+TIE = 1e-9
 
 
 def direction(tree: int, node: int, dim: int) -> np.ndarray:
@@ -48,8 +52,32 @@ def margin_of(threshold: float, dim: int) -> float:
     return OVERLAP * float(np.sqrt(2 * (1 - threshold) / dim))
 
 
+def numbers(raw: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1)
+
+
+def near_pairs(unit_a: np.ndarray, unit_b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarray, threshold: float) -> np.ndarray:
+    """Which pairs have a cosine of at least the threshold.
+
+    A product of unit vectors may miss the threshold by rounding, and by another amount in a matrix
+    of another shape. Pairs that close are decided exactly, from their own numbers:
+    dot > 0 and dot^2 >= threshold^2 * |a|^2 * |b|^2 in rational arithmetic.
+    """
+    cosine = unit_a @ unit_b.T
+    near = cosine >= threshold
+    for i, j in zip(*np.nonzero(np.abs(cosine - threshold) < TIE)):
+        near[i, j] = reaches(raw_a[i], raw_b[j], threshold)
+    return near
+
+
+def reaches(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
+    x, y = [Fraction(v) for v in a.tolist()], [Fraction(v) for v in b.tolist()]
+    dot, limit = sum(p * q for p, q in zip(x, y)), Fraction(repr(threshold))
+    return dot > 0 and dot * dot >= limit * limit * sum(p * p for p in x) * sum(q * q for q in y)
+
+
 def unit(raw: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(raw), "<f8").reshape(len(raw), -1)
+    x = numbers(raw)
     # Scaled first: squares of very small or large values would leave the range of doubles.
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -91,14 +119,18 @@ def route(vectors: np.ndarray, nodes: dict[int, tuple[float, float]], tree: int)
                 open_.append((child, part))
 
 
-def leaf_stars(vectors: np.ndarray, ids: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def leaf_stars(vectors: np.ndarray, raw: np.ndarray, ids: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Verified links of a leaf, as stars around the smallest id of each linked group."""
-    label = ids.copy()
+    label, found = ids.copy(), {}
     while True:
         new = label.copy()
         for low in range(0, len(ids), BLOCK):
-            near = vectors[low:low + BLOCK] @ vectors.T >= threshold
-            np.fill_diagonal(near[:, low:], True)
+            near = found.get(low)
+            if near is None:
+                near = near_pairs(vectors[low:low + BLOCK], vectors, raw[low:low + BLOCK], raw, threshold)
+                np.fill_diagonal(near[:, low:], True)
+                if len(ids) <= CELL_ROWS:  # one bit a byte; larger leaves are compared anew
+                    found[low] = near
             new[low:low + BLOCK] = np.where(near, label[None, :], np.iinfo(np.int64).max).min(axis=1)
         if (new == label).all():
             break
@@ -107,7 +139,7 @@ def leaf_stars(vectors: np.ndarray, ids: np.ndarray, threshold: float) -> tuple[
     return ids[apart], label[apart]
 
 
-def cell_stars(vectors: np.ndarray, ids: np.ndarray, tree: int, node: int, threshold: float):
+def cell_stars(vectors: np.ndarray, raw: np.ndarray, ids: np.ndarray, tree: int, node: int, threshold: float):
     """Split a cell on to leaves and compare within each."""
     margin = margin_of(threshold, vectors.shape[1])
     open_ = [(node, np.arange(len(ids)))]
@@ -121,7 +153,7 @@ def cell_stars(vectors: np.ndarray, ids: np.ndarray, tree: int, node: int, thres
                 open_ += [(2 * node, left), (2 * node + 1, right)]
                 continue
         if len(rows) > 1:
-            yield leaf_stars(vectors[rows], ids[rows], threshold)
+            yield leaf_stars(vectors[rows], raw[rows], ids[rows], threshold)
 
 
 def usable_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -145,7 +177,7 @@ def near_duplicates(table: DataFrame, threshold: float = 0.9, trees: int = TREES
                     vector_col: str = "embedding") -> DataFrame:
     """vec_id, n_links, component_id, kept for every row.
 
-    Vectors are linked when their cosine is at least `threshold`. Null, empty and
+    Vectors are linked when their cosine is at least `threshold`; ties are decided exactly. Null, empty and
     zero vectors, those with null or non-finite components, and rows with a null
     id are linked with nothing; vectors of different lengths are never linked.
     Rows that repeat an id with the same vector are linked with each other.
@@ -194,8 +226,8 @@ def _forest(reps: DataFrame, total: int, trees: int, threshold: float) -> DataFr
 
     def compare(cell: pa.Table) -> pa.Table:
         a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        vectors, ids = unit(cell.column("data").to_pylist()), cell.column("rep").to_numpy().astype(np.int64)
-        for x, y in cell_stars(vectors, ids, cell.column("tree")[0].as_py(), cell.column("cell")[0].as_py(), threshold):
+        data, ids = cell.column("data").to_pylist(), cell.column("rep").to_numpy().astype(np.int64)
+        for x, y in cell_stars(unit(data), numbers(data), ids, cell.column("tree")[0].as_py(), cell.column("cell")[0].as_py(), threshold):
             a.append(x), b.append(y)
         return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
@@ -222,9 +254,9 @@ def _count_links(reps: DataFrame, joined: DataFrame, threshold: float) -> DataFr
         linked = np.zeros(len(ids), np.int64)
         cuts = np.r_[0, np.flatnonzero(np.diff(component)) + 1, len(ids)]
         for low, high in zip(cuts, cuts[1:]):
-            x, rows = unit(packed[low:high]), np.arange(low, high)
+            x, raw, rows = unit(packed[low:high]), numbers(packed[low:high]), np.arange(low, high)
             first, second = rows[own[low:high] == i[low]], rows[own[low:high] == j[low]]
-            near = x[first - low] @ x[second - low].T >= threshold
+            near = near_pairs(x[first - low], x[second - low], raw[first - low], raw[second - low], threshold)
             if i[low] == j[low]:
                 np.fill_diagonal(near, False)
                 linked[first] = near @ n[second]

@@ -101,7 +101,7 @@ def test_deep_trees_find_the_links():
     near = {(i, i + 3000) for i in range(3000) if x[i] @ x[i + 3000] >= 0.9}
     found = set()
     for tree in range(rp_forest.TREES):
-        for a, b in rp_forest.cell_stars(x, np.arange(6000), tree, 1, 0.9):
+        for a, b in rp_forest.cell_stars(x, x, np.arange(6000), tree, 1, 0.9):
             found |= {(min(p), max(p)) for p in zip(a.tolist(), b.tolist())}
     assert found <= near | found and len(near - found) <= 0.002 * len(near)
 
@@ -183,3 +183,37 @@ def test_suffix_sort_is_right_even_with_colliding_hashes(broken, monkeypatch):
             x, y = texts[place[k - 1]], texts[place[k]]
             same = next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
             assert common[rows[k]] == same
+
+
+def test_cosines_of_exactly_the_threshold_are_links(spark):
+    """Integer vectors at exactly 0.9, in every scale and order, and the nearest ones below it."""
+    rnd = random.Random(8)
+    rows, links = [], {}
+    for k in range(2000):
+        # Orthogonal blocks of four places, so that different pairs have nothing in common.
+        base, other = [1, 0, 0, 0], [9, 3, 3, 1]
+        order = rnd.sample(range(4), 4)
+        scale = rnd.choice([1, 3, 7, 10, 1000])
+        place = lambda v: [float(v[i] * scale) for i in order]
+        if k % 10 == 9:
+            other = [9, 3, 3, 1.0000001]  # just below
+        at = 4 * (k % 16)
+        a, b = [0.0] * 64, [0.0] * 64
+        a[at:at + 4], b[at:at + 4] = place(base), place(other)
+        rows.append((a, b, k % 10 != 9))
+    for a, b, want in rows:
+        assert rp_forest.reaches(np.array(a), np.array(b), 0.9) == want
+        x, y = (rp_forest.unit([np.array(v, "<f8").tobytes()]) for v in (a, b))
+        assert rp_forest.near_pairs(x, y, np.array([a]), np.array([b]), 0.9)[0, 0] == want
+    one = {tuple(v) for r in rows[:160:16] for v in r[:2]}
+    vectors = [list(v) for v in sorted(one)]
+    table = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    for i, a in enumerate(vectors):
+        links[i] = sum(rp_forest.reaches(np.array(a), np.array(b), 0.9) for j, b in enumerate(vectors) if j != i)
+    got = rp_forest.near_duplicates(table).collect()
+    assert {r["vec_id"]: r["n_links"] for r in got} == links and any(links.values())
+    # What is counted and what is joined agree: a vector without links is alone.
+    sizes = {}
+    for r in got:
+        sizes[r["component_id"]] = sizes.get(r["component_id"], 0) + 1
+    assert all((r["n_links"] > 0) == (sizes[r["component_id"]] > 1) for r in got)
