@@ -296,6 +296,18 @@ def bias_map(pairs: DataFrame, variable: str = "tas", by_season: bool = False) -
     return maps.withColumn("limit", limits.scalar())
 
 
+def bias_maps(pairs: DataFrame, variables: Sequence[str] = VARIABLES, by_season: bool = False) -> DataFrame:
+    """`bias_map` of several variables in one pass over the pairs: variable, (season,) lat, lon, cell_id and the means."""
+    keys = ["season"] if by_season else []
+    rows = pairs.withColumn("season", season_of(F.col("month"))) if by_season else pairs
+    means = _per_cell(rows, [F.avg(f(v)).alias(f"{n}_{v}") for v in variables for n, f in (("p", _p), ("o", _o))], keys)
+    parts = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(f"p_{v}").alias("pred_mean"), F.col(f"o_{v}").alias("obs_mean")) for v in variables])
+    names = [c for c in means.columns if not c.startswith(("p_", "o_"))]
+    maps = means.select(*names, F.explode(parts).alias("m")).select(*names, "m.*").withColumn("bias", F.col("pred_mean") - F.col("obs_mean"))
+    limits = maps.groupBy("variable", *keys).agg(F.max(F.abs(F.col("bias"))).alias("limit"))
+    return maps.join(F.broadcast(limits), ["variable", *keys])  # a few rows per variable
+
+
 def prediction_summary(df: DataFrame, values: Sequence[str] = ("pred_tas", "pred_pr"),
                        keys: Sequence[str] = ("model", "scenario")) -> DataFrame:
     return df.groupBy(*keys).agg(*[

@@ -33,6 +33,18 @@ def profile(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) ->
     )
 
 
+def coordinates(df: DataFrame, names: Sequence[str] = ("time", "lat", "lon"), keys: Sequence[str] = ()) -> DataFrame:
+    """Per coordinate: type, number of distinct values, first and last (as text); one pass for all.
+
+    Distinct values are gathered as sets, combined before the shuffle: there are few of them.
+    """
+    types = dict(df.dtypes)
+    records = F.array(*[F.struct(
+        F.lit(n).alias("coordinate"), F.lit(types[n]).alias("dtype"), F.size(F.collect_set(n)).cast("long").alias("size"),
+        F.min(n).cast("string").alias("first"), F.max(n).cast("string").alias("last")) for n in names])
+    return df.groupBy(*keys).agg(records.alias("r")).select(*keys, F.explode("r").alias("r")).select(*keys, "r.*")
+
+
 def time_coverage(df: DataFrame, keys: Sequence[str] = ("dataset",), time: str = "time") -> DataFrame:
     """First and last time and number of time steps.
 

@@ -178,11 +178,11 @@ def _(spark, sf):
     return align.complete_models(outputs)
 
 
-@query("stack_models", f"""select model, yr as year, mon as month, lat, lon, {r6('tas', 'tas')} from (
+@query("stack_models", f"""select model, yr as year, mon as month, lat, lon, {r6('tas', 'tas')}, {r6('pr', 'pr')} from (
     select 'observed' as model, * from obs union all select 'target', * from tgt)""", ("obs", "tgt"))
 def _(spark, sf):
     cubes = {"observed": observed(spark, sf), "target": target_months(spark, sf)}
-    return align.stack_models(cubes).select("model", "year", "month", "lat", "lon", "tas")
+    return align.stack_models(cubes).select("model", "year", "month", "lat", "lon", "tas", "pr")
 
 
 @query("job_matrix", """select m.model, s.scenario, count(r.model) as n_rows from (select distinct o_orderpriority as model from orders) m
@@ -283,6 +283,14 @@ def _(spark, sf):
     return features.feature_target(training(spark, sf), "temperature")
 
 
+@query("feature_target_precip", ", ".join([f"select {r6('ln(1+g.pr)', 'gcm_pr_log1p')}", r6("g.tas", "gcm_tas_degC"), "lat", "lon",
+       r6("sin(2*pi()*mon/12)", "month_sin"), r6("cos(2*pi()*mon/12)", "month_cos"), r6("ln(1+t.pr)", "era_tp_log1p")]) +
+       """ from obs o join tgt t using (yr, mon, lat, lon) join regridded g using (yr, mon, lat, lon)
+       where t.tas is not null and t.pr is not null and g.tas is not null and g.pr is not null""", _NEED)
+def _(spark, sf):
+    return features.feature_target(training(spark, sf), "precipitation")
+
+
 @query("log_features", f"""select l_orderkey, l_linenumber, {r6('ln(1+l_quantity)', 'era_tp_log1p')},
     {r6('exp(ln(1+l_quantity)) - 1', 'era_tp_back')} from lineitem""")
 def _(spark, sf):

@@ -220,8 +220,8 @@ def _(spark, sf):
 
 _HEXAGON = """with box as (select min(y_true) as x0, max(y_true) as x1, min(y_pred) as y0, max(y_pred) as y1 from scored),
     uv as (select (y_true - x0)/((x1 - x0)/50) as u, (y_pred - y0)/((y1 - y0)/28) as v from scored, box),
-    at as (select u, v, floor(u + 0.5) as i1, floor(v + 0.5) as j1, floor(u) as i2, floor(v) as j2 from uv),
-    cell as (select *, (u - (i2 + 0.5))*(u - (i2 + 0.5)) + 3*(v - (j2 + 0.5))*(v - (j2 + 0.5)) <= (u - i1)*(u - i1) + 3*(v - j1)*(v - j1) as o from at)
+    around as (select u, v, floor(u + 0.5) as i1, floor(v + 0.5) as j1, floor(u) as i2, floor(v) as j2 from uv),
+    cell as (select *, (u - (i2 + 0.5))*(u - (i2 + 0.5)) + 3*(v - (j2 + 0.5))*(v - (j2 + 0.5)) <= (u - i1)*(u - i1) + 3*(v - j1)*(v - j1) as o from around)
     select o::int as lattice, (case when o then i2 else i1 end)::bigint as i, (case when o then j2 else j1 end)::bigint as j, count(*) as n
     from cell group by 1, 2, 3"""
 
@@ -231,17 +231,25 @@ def _(spark, sf):
     return evaluate.hexagon_bins(scored(spark, sf), "y_true", "y_pred").select("lattice", "i", "j", "n")
 
 
-@query("bias_map", f"""select lat, lon, {r6('p', 'pred_mean')}, {r6('o', 'obs_mean')}, {r6('p-o', 'bias')},
-    {r6('max(abs(p-o)) over ()', '"limit"')} from (select lat, lon, avg(pt) as p, avg(ot) as o from pairs group by 1,2)""", ("pairs",))
+def _bias_sql(season: str) -> str:
+    """Maps of both variables; `season` is a column of the statement or empty."""
+    s = f"{season}, " if season else ""
+    part = f"partition by {season}" if season else ""
+    own = f"{SEASON_SQL} as season, " if season else ""
+    group = "1,2,3" if season else "1,2"
+    return " union all ".join(f"""select '{v}' as variable, {s}lat, lon, {r6('p', 'pred_mean')}, {r6('o', 'obs_mean')}, {r6('p-o', 'bias')},
+        {r6(f'max(abs(p-o)) over ({part})', '"limit"')} from (select {own}lat, lon, avg({p}) as p, avg({o}) as o from pairs group by {group})"""
+                              for v, p, o in (("tas", "pt", "ot"), ("pr", "pp", "op")))
+
+
+@query("bias_map", _bias_sql(""), ("pairs",))
 def _(spark, sf):
-    return evaluate.bias_map(pairs(spark, sf)).drop("cell_id")
+    return evaluate.bias_maps(pairs(spark, sf)).drop("cell_id")
 
 
-@query("seasonal_bias_map", f"""select season, lat, lon, {r6('p', 'pred_mean')}, {r6('o', 'obs_mean')}, {r6('p-o', 'bias')},
-    {r6('max(abs(p-o)) over (partition by season)', '"limit"')} from (
-    select {SEASON_SQL} as season, lat, lon, avg(pt) as p, avg(ot) as o from pairs group by 1,2,3)""", ("pairs",))
+@query("seasonal_bias_map", _bias_sql("season"), ("pairs",))
 def _(spark, sf):
-    return evaluate.bias_map(pairs(spark, sf), by_season=True).drop("cell_id")
+    return evaluate.bias_maps(pairs(spark, sf), by_season=True).drop("cell_id")
 
 
 @query("prediction_summary", "select model, scenario, " + ", ".join(

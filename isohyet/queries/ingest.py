@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from isohyet.constants import RANGES, VARIABLE_ALIASES
+from isohyet.constants import OUTPUT_ATTRIBUTES, RANGES, TARGET_RESOLUTION, VARIABLE_ALIASES
 from isohyet.functions import units
 from isohyet.functions.coords import cell_key
 from isohyet.functions.names import dataset_name
@@ -60,7 +60,7 @@ def _(spark, sf):
 
 
 @query("read_processed", f"select yr as year, mon as month, lat, lon, {r6('tas', 'cru_tmp')}, {r6('pr', 'cru_pre')}, "
-       f"{r6('gt', 'gcm_tas')}, {r6('gp', 'gcm_pr')} from obs "
+       f"{r6('tas', 'era5_t2m')}, {r6('pr', 'era5_tp')}, {r6('gt', 'gcm_tas')}, {r6('gp', 'gcm_pr')} from obs "
        "join (select yr, mon, lat as la, lon as lo, tas as gt, pr as gp from gcm) g using (yr, mon) "
        "where la = 22.5 + floor(lat - 22.5) and lo = 60 + floor(lon - 60)", ("obs", "gcm"))
 def _(spark, sf):
@@ -75,8 +75,9 @@ def _(spark, sf):
     home = (F.lit(22.5) + F.floor(F.col("lat") - 22.5), F.lit(60.0) + F.floor(F.col("lon") - 60))
     left = data["cru"].withColumn("home", cell_key(*home))
     right = data["gcm"].select("year", "month", cell_key(F.col("lat"), F.col("lon")).alias("home"), "gcm_tas", "gcm_pr")
-    return left.join(right, ["year", "month", "home"]).select(
-        "year", "month", "lat", "lon", "cru_tmp", "cru_pre", "gcm_tas", "gcm_pr"
+    middle = data["era5"].select("time", "lat", "lon", "era5_t2m", "era5_tp")
+    return left.join(right, ["year", "month", "home"]).join(middle, ["time", "lat", "lon"]).select(
+        "year", "month", "lat", "lon", "cru_tmp", "cru_pre", "era5_t2m", "era5_tp", "gcm_tas", "gcm_pr"
     )
 
 
@@ -142,6 +143,18 @@ def _(spark, sf):
     return quality.guarded_convert(first.unionByName(second), "target", ["dataset"])
 
 
+@query("guarded_convert_model", f"""select o_orderkey, dataset,
+    {r6("case when max(tas) over (partition by dataset) > 100 then tas - 273.15 else tas end", 'tas')},
+    {r6("case when max(pr) over (partition by dataset) < 1 then pr*2592000 else pr end", 'pr')} from (
+    select o_orderkey, 'kelvin_flux' as dataset, tas + 273.15::double as tas, pr_day/86400 as pr from raw_model
+    union all select o_orderkey, 'celsius_month', tas/10, pr_day*30 from raw_model)""", ("raw_model",))
+def _(spark, sf):
+    raw = raw_model(spark, sf).select("o_orderkey", F.col("TMP").alias("tas"), F.col("PRE").alias("pr"))
+    first = raw.select("o_orderkey", F.lit("kelvin_flux").alias("dataset"), (F.col("tas") + 273.15).alias("tas"), (F.col("pr") / 86400).alias("pr"))
+    second = raw.select("o_orderkey", F.lit("celsius_month").alias("dataset"), (F.col("tas") / 10).alias("tas"), (F.col("pr") * 30).alias("pr"))
+    return quality.guarded_convert(first.unionByName(second), "model", ["dataset"])
+
+
 @query("standardize_coords", f"select {STAMP.format('o_orderdate')} as time, "
        "22.5::double + (o_custkey % 5) as lat, 60.0::double + (o_orderkey % 5) as lon, o_totalprice as tas, "
        "o_totalprice as longwave, o_totalprice as latent_heat from orders")
@@ -309,6 +322,13 @@ def _(spark, sf):
     return prof.profile(rows, ["t2m", "tp", "lat", "lon"])
 
 
+@query("profile_coordinates", " union all ".join(f"""select model, '{n}' as coordinate, '{t}' as dtype, count(distinct {c}) as size,
+    {e.format(f'min({c})')} as first, {e.format(f'max({c})')} as last from raw_model group by model""" for n, t, c, e in (
+    ("TIME", "timestamp_ntz", "time", STAMP), ("YAX", "double", "lat", "{}::varchar"), ("XAX", "double", "lon", "{}::varchar"))), ("raw_model",))
+def _(spark, sf):
+    return prof.coordinates(raw_model(spark, sf), ("TIME", "YAX", "XAX"), ("model",))
+
+
 @query("time_coverage", f"""select model as dataset, {STAMP.format('min(time)')} as first_time,
     {STAMP.format('max(time)')} as last_time, count(distinct time) as n_times from raw_model group by model""",
        ("raw_model",))
@@ -377,11 +397,18 @@ def _(spark, sf):
     return sinks.read_table(spark, f"{path}/data")
 
 
-@query("provenance", """select distinct model, scenario, v.variable, v.unit from multi
-    cross join (values ('tas', 'degC'), ('pr', 'mm/month')) v(variable, unit)""", ("multi",))
+def _attribute_rows() -> str:
+    """The attributes of both variables as SQL values."""
+    made = {"model_algorithm": "gbt", "target_resolution": TARGET_RESOLUTION}
+    rows = [(v, k, x) for v, of in OUTPUT_ATTRIBUTES.items() for k, x in {**of, "model_file": f"gbt_{v}", **made}.items()]
+    return ", ".join("(" + ", ".join(f"'{x}'" for x in row) + ")" for row in rows)
+
+
+@query("provenance", f"""select distinct model, scenario, v.variable, v.attribute, v.value from multi
+    cross join (values {_attribute_rows()}) v(variable, attribute, value)""", ("multi",))
 def _(spark, sf):
     rows = sinks.provenance(multi(spark, sf), {"tas_path": "gbt_tas", "pr_path": "gbt_pr"}, "gbt")
-    return rows.select("model", "scenario", "variable", F.col("attributes")["units"].alias("unit"))
+    return rows.select("model", "scenario", "variable", F.explode("attributes").alias("attribute", "value"))
 
 
 @query("write_metrics", f"""select model, {r6('min(tas)', 'low')}, {r6('max(tas)', 'high')} from raw_model group by model""",

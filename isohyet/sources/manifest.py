@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from isohyet.sources import runs
+
 SCHEMA = "dataset string, stage string, status string, error string, ts timestamp_ntz"
 
 
@@ -21,10 +22,9 @@ def record(spark: SparkSession, path: str, entries: Sequence[tuple[str, str, str
 
 def load(spark: SparkSession, path: str) -> DataFrame:
     """The manifest, or an empty one when it is absent; files that cannot be read are skipped."""
-    try:
-        return spark.read.schema(SCHEMA).option("ignoreCorruptFiles", "true").parquet(path)
-    except AnalysisException:
+    if not runs.path_exists(spark, path):
         return spark.createDataFrame([], SCHEMA)
+    return spark.read.schema(SCHEMA).option("ignoreCorruptFiles", "true").parquet(path)
 
 
 def latest_status(manifest: DataFrame, keys: Sequence[str] = ("dataset",), ts: str = "ts") -> DataFrame:

@@ -35,6 +35,11 @@ def _fs(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where, fs = _fs(spark, path)
+    return fs.exists(where)
+
+
 def records(spark: SparkSession, path: str) -> list[dict]:
     """Commit records in order; one that can't be read (its writer was killed) is left out."""
     where, fs = _fs(spark, f"{path}/{COMMITS}")
