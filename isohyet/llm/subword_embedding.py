@@ -157,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     """Train on at most `rows_per_class` labelled rows of each class that are not held out.
 
     The rows are chosen by a hash of their ids. A document labelled more than
-    once counts with its lowest label; null labels and labels other than 0 and
+    once counts with its lowest label, one with several texts with the smallest of them; null labels and labels other than 0 and
     1 are left out. The bias is set back to the share of the classes among all training labels.
     """
     usable = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter(
@@ -170,7 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     n = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
     prior = float(np.log((n.get(1, 0) + 1) / (n.get(0, 0) + 1)))
     # At most 2 * rows_per_class short rows.
-    texts = id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    texts = id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.first("label").alias("label"))
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("doc_id")

@@ -32,6 +32,7 @@ ANCHOR_BYTES = 40
 BATCH_REGIONS = 3_000
 HASHED_CHARS = 300_000
 SIZE_BITS = 8
+PLACE_MASK = (1 << 32) - 1
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -55,8 +56,11 @@ def regions_of(raw: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: i
         return none, none, none, none, none, none
     hashes = Hashes(raw)
     grams = mixed(hashes.of(np.arange(len(raw) - ANCHOR_BYTES + 1), ANCHOR_BYTES))
-    # The place in the low bits makes the leftmost of equal hashes the smallest.
-    mask = np.uint64((1 << int(len(raw)).bit_length()) - 1)
+    # The place in the low bits makes the leftmost of equal (upper halves of) hashes the smallest. Their number is
+    # fixed: a string's anchor must not depend on how much text lies around it.
+    mask = np.uint64(PLACE_MASK)
+    if len(raw) > PLACE_MASK:
+        raise ValueError("a batch of texts must be shorter than 4 GB")
     anchor = (sliding_min((grams & ~mask) | np.arange(len(grams), dtype=np.uint64), length - ANCHOR_BYTES + 1) & mask).astype(np.int64)
     long = np.flatnonzero(sizes >= length)
     change = np.zeros(len(raw) + 1, np.int64)

@@ -13,6 +13,7 @@ possible number, so more shards cost next to nothing.
 
 from __future__ import annotations
 
+import json
 import zlib
 from array import array
 
@@ -42,11 +43,24 @@ def touching(text: str) -> bool:
         w in text and (w + " " in text or " " + w in text) for w in WHITE)
 
 
+def ids_are_ranks(spec: dict) -> bool:
+    """Whether a tokenizer file is plain byte-level BPE whose ids stand in the order of its merges, cut by the usual pattern."""
+    model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not any(model.get(k) for k in (
+        "dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    usual = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True) and not spec.get("normalizer")
+    if not (plain and usual):
+        return False
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    ids = [model["vocab"].get(a + b, -1) for a, b in pairs]
+    return all(b > a for a, b in zip(ids, ids[1:])) and -1 not in ids
+
+
 class ByteBpe:
     """Token ids of a byte-level BPE tokenizer file, remembered by runs between single spaces.
 
-    The file's ids are its merge ranks, so the faster rank-based library gives
-    the same ids for plain text; texts with special tokens go to the file's own.
+    Where the file's ids are its merge ranks, which is checked, the faster rank-based library gives
+    the same ids for plain text; texts with special tokens, and all texts of other files, go to the file's own.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -55,22 +69,26 @@ class ByteBpe:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.plain = None
+        self.end = np.array([end_id], "<u4").tobytes()
+        self.seen: dict[str, bytes] = {}
+        if not ids_are_ranks(json.loads(self.tokenizer.to_str())):
+            return
         byte = {c: b for b, c in enumerate(byte_letters())}
         ranks = {bytes(map(byte.__getitem__, t)): i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items()
                  if t not in self.specials}
         self.plain = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.end = np.array([end_id], "<u4").tobytes()
-        self.seen: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
-        if any(s in text for s in self.specials):
+        if self.plain is None or any(s in text for s in self.specials):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         ids = self.plain.encode_ordinary(text)
         return array("I", ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, with the end id."""
-        cut = [None if touching(t) else self._runs(t) for t in texts]
+        # Other files may join what stands on both sides of a space.
+        cut = [None if self.plain is None or touching(t) else self._runs(t) for t in texts]
         new = set().union(*[c for c in cut if c]).difference(self.seen)
         if new:
             if len(self.seen) > REMEMBERED:

@@ -105,3 +105,33 @@ def test_decreasing_packing_is_near_the_bound(n):
     lengths = np.random.default_rng(n).integers(1, 1024, n)
     bins, _ = sumsquares_packing.pack(lengths, 1024)
     assert np.bincount(bins, weights=lengths).max() <= 1024 and bins.max() + 1 <= 1.05 * lengths.sum() / 1024 + 2
+
+
+def test_files_whose_ids_are_no_ranks_use_their_own_library(tmp_path):
+    """A file with a prefix space, and one with ids in another order, against the file's own library."""
+    import json
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from isohyet.llm import sumsquares_packing as packing
+
+    given = path("byte_bpe_50k.json")
+    spec = json.loads(Tokenizer.from_file(given).to_str())
+    assert packing.ids_are_ranks(spec)
+    texts = ["Hello world", " it's 12  apples", "", "a b c"]
+    prefixed = json.loads(json.dumps(spec))
+    prefixed["pre_tokenizer"]["add_prefix_space"] = True
+    swapped = json.loads(json.dumps(spec))
+    merges = swapped["model"]["merges"]
+    (a, b), (c, d) = (m.split(" ") if isinstance(m, str) else m for m in merges[:2])
+    vocab = swapped["model"]["vocab"]
+    vocab[a + b], vocab[c + d] = vocab[c + d], vocab[a + b]
+    for i, other in enumerate((prefixed, swapped)):
+        assert not packing.ids_are_ranks(other)
+        file = str(tmp_path / f"{i}.json")
+        with open(file, "w") as f:
+            json.dump(other, f)
+        own = Tokenizer.from_file(file)
+        for text, ids in zip(texts, packing.ByteBpe(file, 2).encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == own.encode(text, add_special_tokens=False).ids + [2]
