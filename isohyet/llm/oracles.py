@@ -61,3 +61,35 @@ DIVERGENCE = r"""with d as (select coalesce(lang, '') as lang, coalesce(source,
         union all select lang, source, 'term', term, (((p - q) * (p - q)) // q)::bigint from p where own > 0 and p > q),
     ranked as (select *, row_number() over (partition by lang, source, part order by value desc, encode(item)) as rank from rows)
     select lang, source, part, item, value, rank::int as rank from ranked where part = 'pair' or rank <= 200"""
+
+# CRC-32 bit by bit; then, row by row, the cheapest (cost, audit, rows) of every state, an edit and the insertions behind it at a time.
+CONVERSATIONS = r"""with recursive key as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+        coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as s from conversations),
+    damaged as (select *, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(s) + 1), lambda i: ascii(s[i])::bigint)),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+            lambda c, z: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)), 4294967295) % 20 as kind from key),
+    copies as (select conv_id, turn, case when kind = 4 then 'user' else role end as role, case when kind = 1 then '' when kind = 2
+        then replace(replace(replace(text, '.', ''), '!', ''), '?', '') else text end as text
+        from damaged, unnest(range(case when kind = 3 then 2 else 1 end)) where kind <> 0),
+    numbered as (select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text)) as i, regexp_replace(text, '[\x20\x09-\x0D]+$', '') as body from copies),
+    met as (select *, row_number() over (partition by conv_id, role, text order by i) as seen from numbered),
+    faults as (select *, role[1] as x, case when body = '' then 'blank' when seen > 1 then 'duplicate' when body[-1] not in ('.', '!', '?') then 'truncated' else 'none' end as fault,
+        lag(role[1]) over (partition by conv_id order by i) || role[1] as pair from met),
+    stats as (select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (where fault = 'blank') as blank,
+        count(*) filter (where fault = 'duplicate') as duplicate, count(*) filter (where fault = 'truncated') as truncated,
+        count(*) filter (where pair not in ('su', 'ua', 'au')) as illegal from faults group by 1),
+    step(p, x, q) as (values (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+    gap(p, q, c, a, b) as (values (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''), (0, 2, 2, 'I', chr(10) || 'user:'), (1, 2, 2, 'I', chr(10) || 'user:'),
+        (2, 3, 2, 'I', chr(10) || 'assistant:'), (3, 2, 2, 'I', chr(10) || 'user:'), (0, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+        (1, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+    edits as (select f.conv_id, f.i, s.p, s.q, (case when s.x = f.x then 0 else 2 end) + (f.fault = 'truncated')::int as c, case when s.x = f.x then 'K' else 'R' end as a,
+            chr(10) || case when s.x = f.x then f.role when s.x = 'u' then 'user' else 'assistant' end || ':' || f.text as b
+            from faults f join step s on f.fault in ('none', 'truncated') and (s.x = f.x or s.x <> 's')
+        union all select conv_id, i, p, p, 3, 'D', '' from faults, (values (0), (1), (2), (3)) v(p)),
+    best as (select conv_id, 0::bigint as i, q, {'c': c, 'a': a, 'b': b} as v from (select conv_id from stats), gap where p = 0
+        union all select d.conv_id, d.i + 1, g.q, min({'c': d.v.c + e.c + g.c, 'a': d.v.a || e.a || g.a, 'b': d.v.b || e.b || g.b})
+        from best d join edits e on e.conv_id is not distinct from d.conv_id and e.i = d.i + 1 and e.p = d.q join gap g on g.p = e.q group by d.conv_id, d.i + 1, g.q),
+    last as (select b.conv_id, min(v) as v from best b join stats s on s.conv_id is not distinct from b.conv_id and s.n = b.i where q in (0, 3) group by 1)
+    select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+        coalesce(illegal, 0) as illegal, coalesce(v.c, 0)::bigint as cost, coalesce(v.a, '') as audit, sha256(coalesce(v.b[2:], '')) as repaired_sha256
+    from (select distinct conv_id from conversations) c left join stats s on s.conv_id is not distinct from c.conv_id left join last l on l.conv_id is not distinct from c.conv_id"""

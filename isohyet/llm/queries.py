@@ -18,6 +18,7 @@ ORACLES: dict[str, str] = {
     "op1_embedding_near_dedup": oracles.EMBEDDINGS,
     "op6_suffix_dedup": oracles.PASSAGES,
     "op10_minhash_near_dedup": oracles.NEAR_DUPLICATES,
+    "op12_conversation_repair": oracles.CONVERSATIONS,
     "op13_source_divergence": oracles.DIVERGENCE,
 }
 
