@@ -157,11 +157,18 @@ def _(spark, sf):
 
 @query("downscale_all")
 def _(spark, sf):
+    """The stored predictions of every pair and the ensemble over them, each dataset with the status of the run; pairs without input have no cells."""
     grid = grid_of(observed_points(spark, sf))
     names = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     folder = f"{scratch(spark)}/downscaled"
-    scoring.downscale_all(spark, raw_scenarios(spark, sf), trained(spark, sf), grid, folder, names, ["ssp126", "ssp585"])
-    return sinks.read_table(spark, f"{folder}/ensemble")
+    status = scoring.downscale_all(spark, raw_scenarios(spark, sf), trained(spark, sf), grid, folder, names, ["ssp126", "ssp585"])
+    cells = sinks.read_table(spark, f"{folder}/data").select("model", "scenario", "time", "lat", "lon", F.col("tas").cast("double"), F.col("pr").cast("double"))
+    spread = {n: F.lit(None).cast(kind) for n, kind in (("n_models", "long"), ("tas_std", "double"), ("pr_std", "double"))}
+    pairs = status.join(cells, ["model", "scenario"], "left").withColumns(spread)
+    mean = sinks.read_table(spark, f"{folder}/ensemble").select(
+        F.lit("ensemble").alias("model"), "scenario", F.lit("completed").alias("status"), F.lit(None).cast("string").alias("error"), "time", "lat", "lon",
+        F.col("tas_mean").alias("tas"), F.col("pr_mean").alias("pr"), "n_models", "tas_std", "pr_std")
+    return pairs.unionByName(mean)
 
 
 _STORED = ", ".join(f"{e} as {n}" for e, n in (("yr", "year"), ("mon", "month")))
