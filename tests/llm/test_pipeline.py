@@ -113,3 +113,79 @@ def test_a_stage_removes_the_tables_of_the_one_before(spark, tmp_path):
     three = step(spark.read.parquet(str(tmp_path / "stored")))
     assert len(stages()) == 1 and three.count() == 5
     assert "isohyet-stage-" not in texts.scratch(spark)
+
+
+LONG = " ".join(f"word{i} is number {i * 7919 % 104729}" for i in range(40_000))
+ODD = [(1, "plain words that stand in this text and nowhere else at all"), (2, None), (3, ""), (4, " \n\t"), (None, "a text without an id has words too, and more of them"), (5, LONG),
+       (6, "日本語 " * 200), (1, "plain words that stand in this text and nowhere else at all")]
+
+
+def _tables(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: spark.createDataFrame([], LABELS))
+    monkeypatch.setattr(corpus_pipeline, "tokenizer_path", path)
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    return lambda rows: spark.createDataFrame([(d, t, "en", None, None if t is None else len(t)) for d, t in rows], schema)
+
+
+def test_stages_on_odd_rows(spark, monkeypatch):
+    """Null, empty, blank and very long texts, a null id and a repeated row, in every stage."""
+    docs = _tables(spark, monkeypatch)(ODD)
+    got = {}
+    for name, stage in corpus_pipeline.STAGES:
+        rows = stage(spark, docs, "").collect()
+        got[name] = sorted((str(r["doc_id"]) for r in rows), key=str)
+        if name != "best-fit packing":
+            assert rows[0].asDict().keys() == set(docs.columns)
+    assert got["quality classifier"] == sorted(str(d) for d, _ in ODD)  # no labels: every document scores 0.5
+    # Fewer than ten words, or a text that repeats itself, fails the base rules.
+    assert got["quality rules"] == ["1", "1", "5", "None"]
+    assert got["near-duplicates"] == ["1", "2", "3", "4", "5", "6", "None"]
+    # The text that repeats itself is removed whole; texts without a word go.
+    assert got["repeated passages"] == ["1", "1", "5", "None"]
+    assert {*got["best-fit packing"]} == {"1", "2", "3", "4", "5", "6", "None"}
+
+
+def test_stages_on_an_empty_table(spark, monkeypatch):
+    docs = _tables(spark, monkeypatch)([])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "")
+        assert out.count() == 0, name
+        assert name == "best-fit packing" or out.columns == docs.columns
+
+
+def test_run_is_its_stages_one_after_the_other(spark, monkeypatch):
+    """Against a plain version of the last four stages; without labels the first keeps everything."""
+    rnd = random.Random(12)
+    shared = " ".join(f"s{rnd.randrange(10**6)}" for _ in range(60))
+    rows = [(i, sentences(rnd, 40) + (f" {shared} tail{i}" if i in (3, 4) else "")) for i in range(8)]
+    rows += [(20, rows[0][1]), (21, rows[1][1] + " more"), (22, "too short"), (23, None), (24, "again and again " * 30)]
+    docs = _tables(spark, monkeypatch)(rows)
+    labels = corpus_pipeline.table
+    monkeypatch.setattr(corpus_pipeline, "table", lambda s, d, name: docs if name == "documents" else labels())
+
+    def words(text):
+        return WORD.findall((text or "").translate(LOWER))
+
+    kept = []
+    for d, text in rows:
+        w = words(text)
+        fives = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+        covered = {i + k for i, f in enumerate(fives) if fives.count(f) > 1 for k in range(5)}
+        if len(w) >= 10 and 100 * len(covered) <= 20 * len(w):
+            kept.append((d, text, set(fives)))
+    single = [x for i, x in enumerate(kept) if not any(100 * len(x[2] & y[2]) >= 80 * len(x[2] | y[2]) for y in kept[:i])]
+    data = [(d, t.encode()) for d, t, _ in single]
+    starts = {}
+    for _, b in data:
+        for p in range(len(b) - 199):
+            starts[b[p:p + 200]] = starts.get(b[p:p + 200], 0) + 1
+    texts = {}
+    for d, b in data:
+        gone = {q for p in range(len(b) - 199) if starts[b[p:p + 200]] > 1 for q in range(p, p + 200)}
+        texts[d] = bytes(x for q, x in enumerate(b) if q not in gone).decode()
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    want = {d: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for d, t in texts.items()}
+    got = {r["doc_id"]: r["length"] for r in corpus_pipeline.run(spark, "").collect()}
+    assert got == want and set(got) == {0, 1, 2, 3, 4, 5, 6, 7} and want[3] < len(tokenizer.encode(rows[3][1], add_special_tokens=False).ids)
