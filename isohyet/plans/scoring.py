@@ -62,7 +62,8 @@ def downscale_all(spark: SparkSession, raw: DataFrame, models: ModelSet, grid: G
     One job scores all pairs. A pair without input or with repeated cells is
     logged as failed and does not stop the others; an error of the job itself is
     logged for the pairs it was to make. Statuses are those of this run: what an
-    older one has stored counts for nothing. The ensemble uses complete pairs only.
+    older one has stored counts for nothing. The ensemble uses complete pairs only, and
+    has no rows when no stored pair is complete.
     """
     jobs = job_matrix(spark, names, scenarios)
     wanted = raw.filter(F.col("model").isin(*names) & F.col("scenario").isin(*scenarios))
@@ -75,7 +76,7 @@ def downscale_all(spark: SparkSession, raw: DataFrame, models: ModelSet, grid: G
             F.col("_found").isNull(), "no input").when(F.col("n_repeated").isNotNull(), F.concat_ws(
                 " ", "n_repeated", F.lit("cells stand twice"))).alias("error")).toArrow(), "model string, scenario string, error string")
     ready = plan.filter("error is null").select("model", "scenario")
-    status, broken = plan.withColumn("status", F.lit("failed")), None
+    status, broken, rows = plan.withColumn("status", F.lit("failed")), None, None
     if not ready.isEmpty():
         good = wanted.join(F.broadcast(ready), ["model", "scenario"], "left_semi")
         try:
@@ -87,8 +88,10 @@ def downscale_all(spark: SparkSession, raw: DataFrame, models: ModelSet, grid: G
             stored = read_table(spark, f"{output}/data").withColumnsRenamed({"tas": "pred_tas", "pr": "pred_pr"})
             rows = stored.join(F.broadcast(ready), ["model", "scenario"], "left_semi")
             outputs = rows.groupBy("model", "scenario").agg(F.count("pred_tas").alias("n_tas"), F.count("pred_pr").alias("n_pr"))
-            status = plan.join(outputs, ["model", "scenario"], "left").select("model", "scenario", "error", F.when(
-                F.col("error").isNull() & (F.col("n_tas") > 0) & (F.col("n_pr") > 0), "completed").otherwise("failed").alias("status"))
+            whole = F.coalesce(F.col("error").isNull() & (F.col("n_tas") > 0) & (F.col("n_pr") > 0), F.lit(False))
+            status = plan.join(outputs, ["model", "scenario"], "left").select(
+                "model", "scenario", F.when(~whole, F.coalesce("error", F.lit("no predicted values"))).alias("error"),
+                F.when(whole, "completed").otherwise("failed").alias("status"))
     if broken:
         status = status.withColumn("error", F.coalesce("error", F.lit(broken)))
     log = spark.createDataFrame(status.select("model", "scenario", "status", "error").toArrow(),
@@ -96,7 +99,7 @@ def downscale_all(spark: SparkSession, raw: DataFrame, models: ModelSet, grid: G
     entries = [(f"{r['model']}_{r['scenario']}", "downscale", r["status"], r["error"]) for r in log.collect()]
     manifest_table.record(spark, f"{output}/manifest", entries)
     complete = log.filter(F.col("status") == "completed").select("model", "scenario")
-    if not complete.isEmpty():
+    if rows is not None:
         # At most one row per requested pair, so the semi join does not shuffle a large model.
         write_table(ensemble_of(rows.join(F.broadcast(complete), ["model", "scenario"], "left_semi")), f"{output}/ensemble", ("scenario",))
     return log
