@@ -253,3 +253,17 @@ def test_hexagons_match_a_search_over_all_centres(spark):
     one = spark.createDataFrame([(1.0, 2.0)] * 3, "x double, y double")
     assert [(r["n"], r["x"], r["y"]) for r in evaluate.hexagon_bins(one, "x", "y").collect()] == [(3, 1.0, 2.0)]
     assert evaluate.hexagon_bins(df, "x", "y", 10, min_count=3).count() == sum(n > 2 for n in want.values())
+
+
+def test_correlation_of_a_side_that_varies_by_rounding_alone_is_missing(spark):
+    """Seasonal means of one value differ in the last bit by the order of their sums."""
+    c = 499 / 7.91907019
+    rows = [(1, i, c if i % 3 else math.nextafter(c, 100), float(i * i % 7), c * (1 + 1e-9 * i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "month int, cell_id long, pred_tas double, obs_tas double, small double")
+    assert evaluate.pattern_correlation(df, ["tas"]).first()["pattern_corr_tas"] is None
+    swapped = df.select("month", "cell_id", F.col("obs_tas").alias("pred_tas"), F.col("pred_tas").alias("obs_tas"))
+    assert evaluate.pattern_correlation(swapped, ["tas"]).first()["pattern_corr_tas"] is None
+    real = df.withColumn("pred_tas", F.col("small")).withColumn("obs_tas", F.col("cell_id").cast("double"))
+    assert evaluate.pattern_correlation(real, ["tas"]).first()["pattern_corr_tas"] == pytest.approx(1.0, abs=1e-6)
+    odd = df.withColumn("pred_tas", F.when(F.col("cell_id") == 3, F.lit(float("nan"))).otherwise(F.col("small")))
+    assert math.isnan(evaluate.pattern_correlation(odd, ["tas"]).first()["pattern_corr_tas"])
