@@ -10,7 +10,7 @@ restaurants nearly of their own and rare ones share.
    and range of words (a shard). Blocks are stored in the shared folder.
 2. Training counts meet by shard. All contexts of a word lie in one shard, so a
    word's customers in the parent restaurant are counted without a further shuffle.
-3. Gibbs rounds: in every shard, customers stand up and are seated anew, first in
+3. Gibbs rounds: in every shard, every customer stands up and is seated anew, first in
    the context restaurants, then in the parent. The totals per restaurant (a fixed
    number) are summed over the shards and handed out for the next round.
 4. After the burn-in, each round is a sample. A token's probability is the mean
@@ -38,7 +38,7 @@ CLASSES = 1 << 16
 BLOCK_CHARS = 8_000_000
 SHARD_BYTES = 24_000_000  # of text for each shard
 MOST_SHARDS = 1 << 16
-BURN_IN, SAMPLES, MOVES = 2, 3, 6
+BURN_IN, SAMPLES = 2, 3
 # Customers of the parent restaurant that come or go one by one in a round, per dish.
 STEPS = 8
 STRENGTH, PARENT_STRENGTH = 1.0, 1.0
@@ -277,7 +277,7 @@ def gibbs_round(state: dict[str, np.ndarray], levels: Levels, shard: int, number
         size, owner = restaurants.first_seating(rng, n, weight * p[word], levels.discount)
         start = singles + np.bincount(word[owner], minlength=words)
         parent_size, parent_owner = restaurants.first_seating(rng, start, parent_weight, levels.parent_discount)
-    size, owner = restaurants.sweep(rng, size, owner, weight * p[word], levels.discount, MOVES)
+    size, owner = restaurants.sweep_all(rng, size, owner, weight * p[word], levels.discount)
     # Every table of a context is a customer of the parent.
     tables = np.bincount(owner, minlength=len(n))
     customers = singles + np.bincount(word, weights=tables, minlength=words).astype(np.int64)
@@ -290,7 +290,7 @@ def gibbs_round(state: dict[str, np.ndarray], levels: Levels, shard: int, number
             parent_size, parent_owner = restaurants.add(rng, parent_size, parent_owner, np.flatnonzero(change > 0), parent_weight, levels.parent_discount)
         if (change < 0).any():
             parent_size, parent_owner = restaurants.remove(rng, parent_size, parent_owner, np.flatnonzero(change < 0))
-    parent_size, parent_owner = restaurants.sweep(rng, parent_size, parent_owner, parent_weight, levels.parent_discount, MOVES)
+    parent_size, parent_owner = restaurants.sweep_all(rng, parent_size, parent_owner, parent_weight, levels.parent_discount)
     parent_tables = np.bincount(parent_owner, minlength=words)
     out = {k: state[k] for k in state if k in ("word", "classes", "n", "singles") or k.startswith("sample_")}
     out |= {"size": narrow(size), "tables": narrow(tables), "parent_size": narrow(parent_size), "parent_tables": narrow(parent_tables)}

@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import numpy as np
 
+# Steps of a sweep, and customers that a run of dishes holds in memory at once.
+PARTS, RUN = 64, 1_000_000
+
 
 class Finder:
     """Finds the table of a customer by its number; for tables that do not change meanwhile."""
@@ -107,3 +110,71 @@ def first_seating(rng, customers: np.ndarray, weight: np.ndarray, discount: floa
     size[over[owner]] = 1
     size[first] += customers - np.bincount(owner, weights=size, minlength=len(customers)).astype(np.int64)
     return size, owner
+
+
+def sweep_all(rng, size, owner, weight, discount: float):
+    """One Gibbs sweep: every customer of every dish with two or more stands up once and sits down anew.
+
+    Dishes do not depend on each other here. They go in runs of at most RUN customers, a larger dish by itself.
+    """
+    n = len(weight)
+    customers = np.bincount(owner, weights=size, minlength=n).astype(np.int64)
+    tables = np.bincount(owner, minlength=n)
+    run = (np.cumsum(customers) - customers) // RUN
+    dish = np.r_[np.flatnonzero(np.r_[True, run[1:] != run[:-1]]), n] if n else np.zeros(1, np.int64)
+    table = np.r_[0, np.cumsum(tables)]
+    sizes, owners = [size[:0]], [owner[:0]]
+    for a, b in zip(dish[:-1], dish[1:]):
+        own = slice(table[a], table[b])
+        new_size, new_owner = _sweep_run(rng, size[own], owner[own] - a, customers[a:b], weight[a:b], discount)
+        sizes.append(new_size), owners.append(new_owner + a)
+    return np.concatenate(sizes), np.concatenate(owners)
+
+
+def _sweep_run(rng, size, owner, customers, weight, discount: float):
+    """A sweep in PARTS steps. A dish with at most as many customers has one of them move at a time; of a larger one
+    a PARTS-th moves side by side, each by the seats of those who stay, as in the rounds of different shards."""
+    n, size = len(customers), size.astype(np.int64)
+    seat = np.repeat(np.arange(len(size)), size)  # the table of each customer, by dish
+    dish = np.repeat(np.arange(n), customers)
+    first = np.cumsum(customers) - customers
+    # A random order inside each dish, spread over the steps.
+    seat = seat[np.argsort(dish + rng.random(len(dish)))]
+    step = ((np.arange(len(dish)) - first[dish]) * PARTS // np.maximum(customers, 1)[dish]).astype(np.uint8)
+    step[customers[dish] < 2] = PARTS  # alone: stays
+    turn = np.argsort(step, kind="stable")
+    ends = np.searchsorted(step[turn], np.arange(PARTS + 1))
+    tables = np.bincount(owner, minlength=n)
+    for k in range(PARTS):
+        moving = turn[ends[k]:ends[k + 1]]
+        if not len(moving):
+            continue
+        at, old = dish[moving], seat[moving]
+        np.subtract.at(size, old, 1)
+        empty = np.unique(old[size[old] == 0])
+        np.subtract.at(tables, owner[empty], 1)
+        left = customers[at] - np.bincount(at, minlength=n)[at]
+        own = weight[at]
+        fresh = rng.random(len(at)) * (own + left - discount * tables[at]) < own
+        todo = np.flatnonzero(~fresh)
+        taken = old.copy()
+        while len(todo):  # a customer who stays shows the table, the discount is taken off by trying again
+            other = first[at[todo]] + (rng.random(len(todo)) * customers[at[todo]]).astype(np.int64)
+            shown = seat[other]
+            good = (step[other] != k) & (rng.random(len(todo)) * size[shown] >= discount)
+            taken[todo[good]] = shown[good]
+            todo = todo[~good]
+        np.add.at(size, taken[~fresh], 1)
+        opened = at[fresh]
+        np.add.at(tables, opened, 1)
+        # Tables that are empty now are used again, with their new dish; others are added.
+        reused = empty[:len(opened)]
+        more = len(opened) - len(reused)
+        place = np.r_[reused, len(size) + np.arange(more)]
+        size, owner = np.r_[size, np.zeros(more, np.int64)], np.r_[owner, np.zeros(more, np.int64)]
+        size[place], owner[place] = 1, opened
+        taken[fresh] = place
+        seat[moving] = taken
+    kept = np.flatnonzero(size > 0)
+    kept = kept[np.argsort(owner[kept], kind="stable")]
+    return size[kept], owner[kept]

@@ -154,6 +154,35 @@ def test_first_seating_and_changes_keep_customers():
     assert np.bincount(owner, weights=size).tolist() == [2, 2, 4, 1001, 99_999]
 
 
+def test_whole_sweeps_have_the_right_equilibrium():
+    """Dishes of 3 and of 100 customers (more than the steps of a sweep): the mean number of tables against the exact one."""
+    rng, d = np.random.default_rng(1), 0.5
+    for n, a, m, rounds in ((3, 0.7, 20_000, 8), (100, 1.5, 2_000, 40)):
+        ways = np.zeros(n + 2)
+        ways[1] = 1
+        for i in range(1, n):
+            ways = np.r_[0, ways[:-1]] + (i - d * np.arange(n + 2)).clip(0) * ways
+        p = ways * a ** np.arange(n + 2.0)
+        size, owner = np.full(m, n), np.arange(m)
+        for _ in range(rounds):
+            size, owner = restaurants.sweep_all(rng, size, owner, np.full(m, a), d)
+        assert np.bincount(owner, weights=size).tolist() == [n] * m and (np.diff(owner) >= 0).all()
+        assert len(size) / m == pytest.approx((np.arange(n + 2) * p).sum() / p.sum(), rel=0.03)
+    assert [len(x) for x in restaurants.sweep_all(rng, size[:0], owner[:0], np.empty(0), d)] == [0, 0]
+
+
+def test_a_round_reseats_every_customer(monkeypatch):
+    """A hot dish at one table, beside one that is alone: far more than a few of its customers move."""
+    monkeypatch.setattr(restaurants, "RUN", 1_000)
+    full = np.full(hpyp.CLASSES, 5_000)
+    levels = hpyp.Levels(0.5, 0.5, 2, full, np.full(hpyp.CLASSES, 500), 1_000.0, 2.0)
+    state = {"word": np.array([0, 1]), "classes": np.array([0, 0]), "n": np.array([5_000, 2]), "singles": np.array([900, 0]),
+             "size": np.array([5_000, 2]), "tables": np.array([1, 1]), "parent_size": np.array([901, 1]), "parent_tables": np.array([1, 1])}
+    out = hpyp.gibbs_round(state, levels, 0, 0, True)
+    assert out["tables"][0] > 50 and out["size"].sum() == 5_002
+    assert out["parent_size"].sum() == 900 + out["tables"].sum()
+
+
 @pytest.fixture(scope="module")
 def language(spark):
     rnd = random.Random(9)
