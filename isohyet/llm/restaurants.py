@@ -138,10 +138,15 @@ def _sweep_run(rng, size, owner, customers, weight, discount: float):
     seat = np.repeat(np.arange(len(size)), size)  # the table of each customer, by dish
     dish = np.repeat(np.arange(n), customers)
     first = np.cumsum(customers) - customers
-    # A random order inside each dish, spread over the steps.
-    seat = seat[np.argsort(dish + rng.random(len(dish)))]
-    step = ((np.arange(len(dish)) - first[dish]) * PARTS // np.maximum(customers, 1)[dish]).astype(np.uint8)
-    step[customers[dish] < 2] = PARTS  # alone: stays
+    # A random order inside each dish, spread over the steps: dish, random bits and table sorted as one number.
+    bits = len(size).bit_length()
+    chance = 63 - bits - n.bit_length()
+    key = (dish << (bits + chance)) | (rng.integers(0, 1 << chance, len(dish)) << bits) | seat
+    key.sort()
+    seat = (key & ((1 << bits) - 1)).astype(np.int32)
+    dish = dish.astype(np.int32)
+    step = ((np.arange(len(dish)) - np.repeat(first, customers)) * float(PARTS) / np.repeat(customers, customers)).astype(np.uint8)
+    step[np.repeat(customers < 2, customers)] = PARTS  # alone: stays
     turn = np.argsort(step, kind="stable")
     ends = np.searchsorted(step[turn], np.arange(PARTS + 1))
     tables = np.bincount(owner, minlength=n)
@@ -153,13 +158,17 @@ def _sweep_run(rng, size, owner, customers, weight, discount: float):
         np.subtract.at(size, old, 1)
         empty = np.unique(old[size[old] == 0])
         np.subtract.at(tables, owner[empty], 1)
-        left = customers[at] - np.bincount(at, minlength=n)[at]
-        own = weight[at]
-        fresh = rng.random(len(at)) * (own + left - discount * tables[at]) < own
+        # `at` is sorted, so its dishes are its runs.
+        start = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        times = np.diff(np.r_[start, len(at)])
+        dishes = at[start]
+        chance_of_new = weight[dishes] / (weight[dishes] + (customers[dishes] - times) - discount * tables[dishes])
+        fresh = rng.random(len(at)) < np.repeat(chance_of_new, times)
         todo = np.flatnonzero(~fresh)
         taken = old.copy()
+        low, many = np.repeat(first[dishes], times), np.repeat(customers[dishes], times)
         while len(todo):  # a customer who stays shows the table, the discount is taken off by trying again
-            other = first[at[todo]] + (rng.random(len(todo)) * customers[at[todo]]).astype(np.int64)
+            other = low[todo] + (rng.random(len(todo)) * many[todo]).astype(np.int64)
             shown = seat[other]
             good = (step[other] != k) & (rng.random(len(todo)) * size[shown] >= discount)
             taken[todo[good]] = shown[good]
