@@ -24,18 +24,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isohyet.llm import restaurants
-from isohyet.llm.hyperminhash import word_hashes
+from isohyet.llm.hyperminhash import byte_hashes
 from isohyet.llm.subword_embedding import held_out
-from isohyet.llm.texts import ascii_lower, chunks, discard, id_and_text, scratch, settled, words_of
+from isohyet.llm.texts import chunks, discard, id_and_text, scratch, settled
 
 CLASSES = 1 << 16
 BLOCK_CHARS = 8_000_000
+PIECE = 1 << 18  # bytes whose words are hashed at a time
 SHARD_BYTES = 24_000_000  # of text for each shard
 MOST_SHARDS = 1 << 16
 BURN_IN, SAMPLES = 2, 3
@@ -44,6 +46,8 @@ STEPS = 8
 STRENGTH, PARENT_STRENGTH = 1.0, 1.0
 END = np.uint64(0x0123456789ABCDEF)
 START_CLASS = 12_345
+# Bytes of words: all but the white space that separates them.
+IN_WORD = ~np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 SEED = 20
 
 
@@ -70,45 +74,38 @@ class Block:
 
     def __init__(self, number: int):
         self.number, self.chars = number, 0
-        self.words: dict[str, int] = {}
         self.parts: list[np.ndarray] = []
         self.docs: list = []
-        self.sizes: list[int] = []
-        self.train: list[bool] = []
+        self.sizes: list[np.ndarray] = []
+        self.train: list[np.ndarray] = []
 
-    def add(self, doc_id, held: bool, text: str) -> None:
-        words, take = words_of(ascii_lower(text)), self.words
-        self.parts.append(np.fromiter((take.setdefault(w, len(take)) for w in words), np.int32, len(words)))
-        self.docs.append(doc_id), self.sizes.append(len(words)), self.train.append(not held)
-        self.chars += len(text)
+    def add(self, ids: list, held: np.ndarray, texts: list[bytes], chars: int) -> None:
+        hashed, sizes = token_hashes(texts)
+        self.parts.append(hashed), self.sizes.append(sizes), self.train.append(~held)
+        self.docs += ids
+        self.chars += chars
 
     def rows(self, shards: int) -> Iterator[tuple[int, bytes]]:
         """(shard, places of all tokens, with how often each pair stands in training); shard -1 has the documents."""
-        sizes = np.array(self.sizes, np.int64)
+        sizes, train = np.concatenate(self.sizes), np.concatenate(self.train)
         yield -1, pack(ids=np.array([0 if d is None else d for d in self.docs], np.int64),
-                       missing=np.array([d is None for d in self.docs]), sizes=sizes, train=np.array(self.train))
+                       missing=np.array([d is None for d in self.docs]), sizes=sizes, train=train)
         n = int(sizes.sum()) + len(sizes)
         ends = np.cumsum(sizes + 1) - 1
-        is_end = np.zeros(n, bool)
-        is_end[ends] = True
-        number = np.empty(n, np.int64)
-        number[~is_end] = np.concatenate(self.parts)
-        number[is_end] = len(self.words)
-        hashed = np.r_[word_hashes(list(self.words)), END]
+        word = np.empty(n, np.uint64)
+        word[ends] = END
+        is_word = np.ones(n, bool)
+        is_word[ends] = False
+        word[is_word] = np.concatenate(self.parts)
         # The class of the word before; a document's first token follows its start.
         context = np.empty(n, np.int64)
-        context[1:] = (hashed[number[:-1]] & np.uint64(CLASSES - 1)).astype(np.int64)
+        context[1:] = word[:-1] & np.uint64(CLASSES - 1)
         context[0] = START_CLASS
         context[ends[:-1] + 1] = START_CLASS
         doc = np.repeat(np.arange(len(sizes)), sizes + 1)
-        by_hash = np.argsort(hashed, kind="stable")
-        rank = np.empty(len(hashed), np.int64)
-        rank[by_hash] = np.arange(len(hashed))
-        hashed = hashed[by_hash]
-        key = rank[number] * CLASSES + context
-        order = np.argsort(key, kind="stable")
-        key, doc = key[order], doc[order]
-        train = np.array(self.train)[doc]
+        hashed, rank = np.unique(word, return_inverse=True)
+        key, doc = by_key(rank * CLASSES + context, doc)
+        train = train[doc]
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         times, trained = np.diff(np.r_[first, n]), np.add.reduceat(train.astype(np.int64), first)
         pair = key[first]
@@ -127,6 +124,33 @@ class Block:
                           trained=narrow(trained[a:b]), doc=narrow(doc[token[a]:token[b]]), n_docs=np.array([len(sizes)]))
 
 
+def token_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts in order, and how many each text has; bytes.lower() changes A-Z alone."""
+    raw = np.frombuffer(b" ".join(texts).lower() + b" ", np.uint8)
+    inside = IN_WORD[raw]
+    edges = np.flatnonzero(np.diff(inside, prepend=False))
+    starts, stops = edges[::2], edges[1::2]
+    text_ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    hashed = [np.empty(0, np.uint64)]
+    cuts = np.r_[np.searchsorted(starts, np.arange(0, len(raw), PIECE)), len(starts)]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if a < b:
+            own = slice(starts[a], stops[b - 1])
+            hashed.append(byte_hashes(raw[own][inside[own]], stops[a:b] - starts[a:b]))
+    return np.concatenate(hashed), np.diff(np.searchsorted(starts, text_ends), prepend=0)
+
+
+def by_key(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both sorted by key, then document (`doc` is sorted): as one number where that has room."""
+    bits = int(doc[-1]).bit_length()
+    if bits + int(key.max()).bit_length() > 63:
+        order = np.argsort(key, kind="stable")
+        return key[order], doc[order]
+    both = (key << bits) | doc
+    both.sort()
+    return both >> bits, both & ((1 << bits) - 1)
+
+
 def shard_of(hashed: np.ndarray, shards: int) -> np.ndarray:
     """Ranges of the hash, so that words sorted by hash are sorted by shard."""
     return ((hashed >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
@@ -147,8 +171,8 @@ def blocks_of(docs: DataFrame, shards: int, block_chars: int) -> DataFrame:
             texts = batch.column(1)
             for low, high in chunks(texts):
                 part = batch.slice(low, high - low)
-                for doc_id, text, held in zip(*(part.column(i).to_pylist() for i in range(3))):
-                    block.add(doc_id, held, text)
+                block.add(part.column(0).to_pylist(), part.column(2).to_numpy(zero_copy_only=False),
+                          part.column(1).cast(pa.binary()).to_pylist(), pc.sum(pc.utf8_length(part.column(1))).as_py())
                 if block.chars >= block_chars:
                     yield from give(block)
                     made += 1
@@ -414,6 +438,11 @@ def _score_blocks(shared):
     return run
 
 
+def by_shard(rows: DataFrame, shards: int) -> DataFrame:
+    """One shard per partition, so that no Arrow batch holds those of several; its model first, then its blocks."""
+    return rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", F.col("block").asc_nulls_first())
+
+
 def _documents(tokens: int, words: int):
     """One block: its documents with the sums over all shards."""
     def run(group: pa.Table) -> pa.Table:
@@ -456,8 +485,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     models = counted.select("shard", "table").join(state, "shard").select(
         "shard", F.lit(None).cast("long").alias("block"), F.col("table").alias("one"), F.col("state").alias("two"))
     places = blocks.filter("shard >= 0").select("shard", "block", F.col("places").alias("one"), F.lit(None).cast("binary").alias("two"))
-    rows = models.union(places).repartition("shard").sortWithinPartitions("shard", F.col("block").asc_nulls_first())
-    partial = rows.mapInArrow(_score_blocks(shared), "block long, score binary, base binary, known binary")
+    partial = by_shard(models.union(places), shards).mapInArrow(_score_blocks(shared), "block long, score binary, base binary, known binary")
     none = F.lit(None).cast("binary")
     both = partial.withColumn("docs", none).union(blocks.filter("shard = -1").select(
         "block", none.alias("score"), none.alias("base"), none.alias("known"), F.col("places").alias("docs")))

@@ -51,12 +51,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def word_hashes(words: list[str]) -> np.ndarray:
     """64-bit hashes of words, the same in every process."""
     coded = [w.encode("utf-8", "surrogatepass") for w in words]
-    lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-    raw = np.frombuffer(b"".join(coded), np.uint8).astype(np.uint64) + np.uint64(1)
+    return byte_hashes(np.frombuffer(b"".join(coded), np.uint8), np.fromiter(map(len, coded), np.int64, len(coded)))
+
+
+def byte_hashes(raw: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The same hashes of words whose UTF-8 bytes follow each other in `raw`."""
+    if not len(lengths):
+        return np.empty(0, np.uint64)
     start = np.cumsum(lengths) - lengths
     place = np.arange(len(raw)) - np.repeat(start, lengths)
-    power = np.cumprod(np.full(int(lengths.max(initial=1)), _MUL, np.uint64))
-    return mixed(np.add.reduceat(raw * power[place], start) + lengths.astype(np.uint64)) if len(words) else np.empty(0, np.uint64)
+    power = np.cumprod(np.full(int(lengths.max()), _MUL, np.uint64))
+    return mixed(np.add.reduceat((raw.astype(np.uint64) + np.uint64(1)) * power[place], start) + lengths.astype(np.uint64))
 
 
 def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:

@@ -3,13 +3,15 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from isohyet.llm import block_labels, block_tree, hpyp, restaurants, risk_thresholds, subword_embedding
+from isohyet.llm import block_labels, block_tree, hpyp, hyperminhash, restaurants, risk_thresholds, subword_embedding
+from isohyet.llm.texts import ascii_lower, words_of
 from tests.llm.common import LOWER, SF, WORD, frame, needs_tables, sentences
 
 
@@ -183,6 +185,48 @@ def test_a_round_reseats_every_customer(monkeypatch):
     assert out["parent_size"].sum() == 900 + out["tables"].sum()
 
 
+def test_words_are_hashed_as_bytes(monkeypatch):
+    """Whole texts at once, as word by word: only A-Z in lower case, only six characters of white space, in any pieces."""
+    texts = ["", " ", "Ä ß\x0bA\x85b\xa0\x1cİI\tx\r\n\x0cy", "Q", " W ", "", "\u2028Z 世界 " + "LONG" * 40, "a", "B c"] * 3
+    words = [words_of(ascii_lower(t)) for t in texts]
+    want = hyperminhash.word_hashes([w for ws in words for w in ws])
+    for piece in (1, 7, 1 << 18):
+        monkeypatch.setattr(hpyp, "PIECE", piece)
+        hashed, sizes = hpyp.token_hashes([t.encode() for t in texts])
+        assert hashed.tolist() == want.tolist() and sizes.tolist() == [len(ws) for ws in words]
+    assert [len(x) for x in hpyp.token_hashes(["".encode(), b" \n"])] == [0, 2]
+
+
+def test_tokens_take_no_python_step_each():
+    """Texts outside ASCII were most of the query's time: lower-cased, split and numbered as strings."""
+    rnd = random.Random(4)
+    texts = [" ".join("ä" + rnd.choice("abcÉ") * rnd.randrange(1, 6) for _ in range(40_000)) for _ in range(10)]
+    coded = [t.encode() for t in texts]
+
+    def seconds(run):
+        began = time.process_time()
+        run()
+        return time.process_time() - began
+
+    assert min(seconds(lambda: hpyp.token_hashes(coded)) for _ in range(3)) < 0.5 * min(
+        seconds(lambda: [words_of(ascii_lower(t)) for t in texts]) for _ in range(3))
+
+
+def test_pairs_sort_alike_with_and_without_room_for_documents():
+    rng = np.random.default_rng(3)
+    key, doc = rng.integers(0, 50, 2_000), np.sort(rng.integers(0, 9, 2_000))
+    for shift in (0, 57):
+        got = hpyp.by_key(key << shift, doc)
+        want = sorted(zip((key << shift).tolist(), doc.tolist()))
+        assert list(zip(*(x.tolist() for x in got))) == want
+
+
+def test_scoring_tasks_get_one_shard_each(spark):
+    rows = spark.createDataFrame([(s, b) for s in range(40) for b in (2, None, 1)], "shard int, block long")
+    parts = hpyp.by_shard(rows, 40).rdd.glom().collect()
+    assert [[tuple(r) for r in p] for p in parts] == [[(s, None), (s, 1), (s, 2)] for s in range(40)]
+
+
 @pytest.fixture(scope="module")
 def language(spark):
     rnd = random.Random(9)
