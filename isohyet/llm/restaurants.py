@@ -150,13 +150,15 @@ def _sweep_run(rng, size, owner, customers, weight, discount: float):
     turn = np.argsort(step, kind="stable")
     ends = np.searchsorted(step[turn], np.arange(PARTS + 1))
     tables = np.bincount(owner, minlength=n)
+    used = len(size)  # the arrays of tables have room beyond
     for k in range(PARTS):
         moving = turn[ends[k]:ends[k + 1]]
         if not len(moving):
             continue
         at, old = dish[moving], seat[moving]
         np.subtract.at(size, old, 1)
-        empty = np.unique(old[size[old] == 0])
+        empty = np.sort(old[size[old] == 0])
+        empty = empty[np.diff(empty, prepend=-1) > 0]
         np.subtract.at(tables, owner[empty], 1)
         # `at` is sorted, so its dishes are its runs.
         start = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
@@ -179,8 +181,11 @@ def _sweep_run(rng, size, owner, customers, weight, discount: float):
         # Tables that are empty now are used again, with their new dish; others are added.
         reused = empty[:len(opened)]
         more = len(opened) - len(reused)
-        place = np.r_[reused, len(size) + np.arange(more)]
-        size, owner = np.r_[size, np.zeros(more, np.int64)], np.r_[owner, np.zeros(more, np.int64)]
+        place = np.r_[reused, used + np.arange(more)]
+        used += more
+        if used > len(size):
+            room = np.zeros(used - len(size) + len(size) // 8, np.int64)
+            size, owner = np.r_[size, room], np.r_[owner, room]
         size[place], owner[place] = 1, opened
         taken[fresh] = place
         seat[moving] = taken
