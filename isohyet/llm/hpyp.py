@@ -212,8 +212,13 @@ def merge_counts(group: pa.Table) -> pa.Table:
     for p in parts:
         key.append(np.repeat(np.searchsorted(words, p["words"]), p["per_word"]) * CLASSES + p["classes"])
         n.append(p["n"].astype(np.int64))
-    key, which = np.unique(np.concatenate(key), return_inverse=True)
-    n = np.bincount(which, weights=np.concatenate(n), minlength=len(key)).astype(np.int64)
+    del parts
+    key, n = np.concatenate(key), np.concatenate(n)
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    del order
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    key, n = key[first], np.add.reduceat(n, first)
     word, classes = key // CLASSES, key % CLASSES
     per_word = np.bincount(word, minlength=len(words))
     used = per_word > 0
